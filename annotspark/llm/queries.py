@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import quality_rules
+from annotspark.llm import byte_bpe, packing, quality_rules
 from annotspark.llm.common import read
+from annotspark.llm.tokens import tokenizer_path
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +18,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1, 4096)
+    return packing.pack(pieces, 4096)
+
+
+QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op7_best_fit_packing": op7_best_fit_packing,
+}
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
