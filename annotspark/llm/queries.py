@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, packing, quality_rules
+from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, wavelet
 from annotspark.llm.common import read
 from annotspark.llm.tokens import tokenizer_path
 
@@ -30,9 +32,24 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, 4096)
 
 
+def op5_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = wavelet.export(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2)
+    return wavelet.read_shards(manifest, folder, decode=_crc32, fields="ids_crc32 long")
+
+
+def _crc32(ids) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_wavelet_ids": op5_wavelet_ids,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
