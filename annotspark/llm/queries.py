@@ -7,11 +7,23 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, wavelet
+from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, secret_scan, wavelet
 from annotspark.llm.common import read
 from annotspark.llm.tokens import tokenizer_path
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents")).select("doc_id", "spans")
+    of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *[of(k).alias(f"n_{r.kind}") for k, r in enumerate(secret_scan.RULES) if r.base],
+        F.sha2(secret_scan.shown(base), 256).alias("base_sha256"),
+        secret_scan.shown(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")), "v2")
     base = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask_of("v1"))) != 0
@@ -46,6 +58,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_wavelet_ids": op5_wavelet_ids,
