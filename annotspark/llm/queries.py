@@ -7,8 +7,8 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, secret_scan, wavelet
-from annotspark.llm.common import read
+from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, secret_scan, warc, wavelet
+from annotspark.llm.common import read, shared_dir
 from annotspark.llm.tokens import tokenizer_path
 
 
@@ -53,6 +53,21 @@ def _crc32(ids) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), folder)
+    back = warc.read(spark, folder)
+    # of responses both are taken from the payload that was read, of revisits from their headers
+    answered = F.col("record_type") == "response"
+    return back.select(
+        "page_id",
+        F.when(answered, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(answered, warc.base32_sha1(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -63,6 +78,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_wavelet_ids": op5_wavelet_ids,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_warc": op8_warc,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
+ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op8_warc": warc.ORACLE}
