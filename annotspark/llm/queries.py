@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, license_scan, packing, quality_rules, secret_scan, warc, wavelet
+from annotspark.llm import byte_bpe, embed_dedup, license_scan, packing, quality_rules, secret_scan, warc, wavelet
 from annotspark.llm.common import read, shared_dir
 from annotspark.llm.tokens import tokenizer_path
 
@@ -24,6 +24,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")), "v2")
     base = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask_of("v1"))) != 0
@@ -74,6 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_wavelet_ids": op5_wavelet_ids,
