@@ -24,10 +24,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The finished plan's shuffle files go once the driver's JVM finds it unreachable, so it is asked to look.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, embed_dedup, license_scan, packing, quality_rules, secret_scan, warc, wavelet
+from annotspark.llm import byte_bpe, embed_dedup, license_scan, ngram_join, packing, quality_rules, secret_scan, warc, wavelet
 from annotspark.llm.common import read, shared_dir
 from annotspark.llm.tokens import tokenizer_path
 
@@ -43,6 +43,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(read(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1, 4096)
     return packing.pack(pieces, 4096)
@@ -82,6 +86,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_wavelet_ids": op5_wavelet_ids,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_warc": op8_warc,
     "op10_license_scan": op10_license_scan,
