@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, embed_dedup, license_scan, ngram_join, packing, quality_rules, secret_scan, warc, wavelet
+from annotspark.llm import byte_bpe, embed_dedup, license_scan, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, warc, wavelet
 from annotspark.llm.common import read, shared_dir
 from annotspark.llm.tokens import tokenizer_path
 
@@ -76,6 +76,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup(read(spark, sf_dir, "documents")))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_warc": op8_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
 }
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op8_warc": warc.ORACLE}
