@@ -344,8 +344,11 @@ def _cut(text: bytes, spans) -> tuple[bytes, int]:
     return (b"".join(kept) + text[at:], runs) if runs else (text, 0)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """All columns of ``docs`` as ``doc`` (a struct), and ``kept`` (bytes), n_bytes, n_removed, n_spans."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, as_text: bool = False) -> DataFrame:
+    """All columns of ``docs`` but the text as ``doc`` (a struct), and ``kept`` (what is left), n_bytes, n_removed, n_spans.
+
+    ``kept`` is bytes, or a string without characters cut in two with ``as_text``.
+    """
     cols = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text_col]).alias("doc"), text_or_empty(f"`{text_col}`").alias("_text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("_doc"))
     packed = packed.withColumn("_row", F.xxhash64("_doc", "_text"))
@@ -361,13 +364,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 text = text.encode("utf-8", "replace")
                 left, n = _cut(text, [(x["a"], x["b"]) for x in found or ()])
-                kept.append(left)
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 size.append(len(text))
                 gone.append(len(text) - len(left))
                 runs.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, gone, runs))], names=["doc", "kept", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string() if as_text else pa.binary()), *(pa.array(x, pa.int64()) for x in (size, gone, runs))], names=["doc", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return joined.mapInArrow(run, f"doc {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
+    return joined.mapInArrow(run, f"doc {kind}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
