@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import text_or_empty, written
@@ -216,51 +216,73 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("a", "b", "inter", (F.col("_n") - F.col("inter")).alias("total"))
 
 
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) out of rows (a, b, na, nb, ia, ib, ra, rb), one for each region in which a pair meets, that may be linked.
+
+    ``ia`` is the place of the region's shingle in the first order, ``ra`` how many of a's shingles up to there lie in
+    any other class's first ones.  Up to that shingle the two share at most ``ra`` and ``rb``, beyond it at most what
+    either has left.
+    """
+    most = F.least("ra", "rb") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) - 1
+    pairs = met.groupBy("a", "b", "na", "nb").agg(F.min(most).alias("most"))
+    return pairs.where(F.col("most") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+
+
+def _meeting(a: str, b: str) -> list:
+    return [F.col(f"{t}.{c}").alias(n + s) for c, n in (("cls", ""), ("n", "n"), ("i", "i"), ("r", "r")) for t, s in ((a, "a"), (b, "b"))]
+
+
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """Per document: id, ``n_shingles`` and ``component_id`` (least id reachable by links)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_or_empty(text_col).alias("_text"))
     seen = written(sketch(rows, percent, words, common_shingles(rows, words)), "sketch")
-    firsts = seen.where("first IS NOT NULL").select("cls", "n", F.explode("first").alias("key"))
-    shared = firsts.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("_max")).where("pivot <> _max").drop("_max")
-    regions = written(firsts.join(shared, "key").distinct(), "regions")
+    firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
+    shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
+    regions = firsts.join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
+    regions = written(regions, "regions")
 
     close = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))
     linked = F.col("inter") * 100 >= F.col("total") * percent
-    pairs = written(regions.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct(), "pairs")
-    nodes = regions.select("cls").distinct()
-    sets = sets_of(rows, nodes, words)
-    known = written(distances(pairs, sets), "distances")
+    pivots = written(regions.groupBy("key").agg(F.min(F.struct("cls", "n", "i", "r")).alias("p")), "pivots")
+    stars = regions.alias("b").join(pivots, "key").where((F.col("b.cls") != F.col("p.cls")) & close(F.col("b.n"), F.col("p.n")))
+    known = _measured(rows, _candidates(stars.select(*_meeting("p", "b")), percent), words)
     links = known.where(linked).select("a", "b")
     reach = 1.0 - percent / 100 + 1e-9
 
     away = known.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), (1 - F.col("inter") / F.col("total")).alias("away"))
-    regions = regions.join(away, ["pivot", "cls"], "left").withColumn("away", F.coalesce("away", F.lit(0.0))).where("cls <> pivot")
+    regions = regions.join(pivots.select("key", F.col("p.cls").alias("pivot")), "key").where("cls <> pivot")
+    regions = regions.join(away, ["pivot", "cls"], "left").drop("pivot")
     for turn in range(ROUNDS + 1):
         groups = components(links)
         left = regions.drop("label").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         cells = left.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("cls").alias("low"))
         open_ = cells.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.min("low").alias("next")).where("m * m > own")
-        regions = written(left.join(open_.select("key", "next"), "key").drop("next"), "open")
+        open_ = written(open_, "open")
         size = open_.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not size["pairs"]:
             break
+        regions = written(left.join(open_.select("key", "next"), "key"), "regions")
         a, b = regions.alias("a"), regions.alias("b")
-        window = (F.abs(F.col("a.away") - F.col("b.away")) <= reach) & close(F.col("a.n"), F.col("b.n")) & (F.col("a.label") != F.col("b.label"))
+        window = F.coalesce(F.abs(F.col("a.away") - F.col("b.away")) <= reach, F.lit(True)) & close(F.col("a.n"), F.col("b.n")) & (F.col("a.label") != F.col("b.label"))
         last = turn == ROUNDS or size["pairs"] <= max(FEW_IN_ALL, FEW_PAIRS * size["rows"])
-        if last:
-            met = a.join(b, (F.col("a.key") == F.col("b.key")) & window & (F.col("a.cls") < F.col("b.cls")))
-            more = met.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-        else:
-            chosen = regions.join(open_.select("key", "next"), (regions["key"] == open_["key"]) & (regions["cls"] == open_["next"])).select(regions["*"]).alias("a")
-            more = chosen.join(b, (F.col("a.key") == F.col("b.key")) & window).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-        fresh = written(distances(more, sets).where(linked).select("a", "b"), "links")
+        first = regions.alias("a") if last else regions.where("cls = next").alias("a")
+        order = F.col("a.cls") < F.col("b.cls") if last else F.lit(True)
+        met = first.join(b, (F.col("a.key") == F.col("b.key")) & window & order)
+        fresh = _measured(rows, _candidates(met.select(*_meeting("a", "b")), percent), words).where(linked).select("a", "b")
         links = written(links.union(fresh).distinct(), "links")
         if last:
             groups = components(links)
             break
-        regions = regions.join(open_.select("key", F.col("next").alias("cls")), ["key", "cls"], "left_anti")
+        regions = regions.where("cls <> next").drop("next")
 
     docs_by = seen.select("_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = docs_by.where("label IS NOT NULL").groupBy("label").agg(F.min("_id").alias("_least"))
     out = docs_by.join(least, "label", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "_id").alias("component_id"))
+
+
+def _measured(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """:func:`distances` of the pairs, from sets computed anew for the classes they name."""
+    pairs = written(pairs, "pairs")
+    nodes = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "nodes")
+    return written(distances(pairs, sets_of(rows, nodes, words)), "distances")
