@@ -7,21 +7,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from annotspark import fixtures
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_MODULES: tuple[str, ...] = ()
+_MODULES = ("features", "intervals", "sequences", "hits", "expression", "evaluation", "text", "formats", "hierarchy")
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a ``(spark, sf_dir) -> DataFrame`` function under ``name``."""
+def query(name: str, views: str = "", oracle: str | None = None):
+    """Register ``f(*views) -> DataFrame`` under ``name``; ``views`` names its inputs, blank separated."""
 
-    def wrap(f: Query) -> Query:
+    def wrap(f):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = f
+        QUERIES[name] = lambda spark, sf_dir: f(*[fixtures.table(spark, sf_dir, v) for v in views.split()])
         if oracle:
-            ORACLES[name] = oracle
+            ORACLES[name] = fixtures.oracle(oracle)
         return f
 
     return wrap
