@@ -1 +1,139 @@
-"""Queries."""
+"""Sequence functions and translation."""
+
+from __future__ import annotations
+
+import itertools
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from annotspark.registry import query
+
+#: The standard genetic code, codons in the order T, C, A, G of each base.
+STANDARD = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+#: Fixed deviations of other tables: table -> codon -> amino acid.
+DEVIATIONS = {1: {}, 4: {"TGA": "W"}, 6: {"TAA": "Q", "TAG": "Q"}, 12: {"CTG": "S"}, 26: {"CTG": "A"}}
+
+
+def codons(table: int = 1) -> dict[str, str]:
+    return dict(zip(map("".join, itertools.product("TCAG", repeat=3)), STANDARD)) | DEVIATIONS[table]
+
+
+def reverse_complement(seq: Column) -> Column:
+    return F.reverse(F.translate(seq, "ACGTacgtUu", "TGCAtgcaAa"))
+
+
+def subsequence(seq: Column, start: Column, end: Column) -> Column:
+    """1-based inclusive slice; empty when the start is 0 or behind the end."""
+    return F.when((start >= 1) & (start <= end), F.substring(seq, start, end - start + 1)).otherwise(F.lit(""))
+
+
+def translate(seq: Column, table: int = 1) -> Column:
+    """Protein of a coding sequence: unknown codons X, an incomplete last codon and one final stop dropped."""
+    code = F.create_map(*[F.lit(x) for pair in codons(table).items() for x in pair])
+    count = F.floor(F.length(seq) / 3).cast("int")
+    letters = F.transform(
+        F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(F.upper(seq), 3 * i - 2, F.lit(3))), lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X"))
+    )
+    return F.when(count < 1, F.lit("")).otherwise(F.regexp_replace(F.array_join(letters, ""), r"\*$", ""))
+
+
+def internal_stops(protein: Column) -> Column:
+    """0-based places of stops before the last letter."""
+    letters = F.split(F.substring(protein, F.lit(1), F.length(protein) - 1), "")
+    return F.filter(F.transform(letters, lambda x, i: F.when(x == "*", i)), lambda i: i.isNotNull())
+
+
+_CODE = "MAP {" + ", ".join(f"'{c}': '{a}'" for c, a in codons().items()) + "}"
+_CUT = "substr(upper(seq), 1, 3000)"
+_PROTEIN = f"regexp_replace(array_to_string(list_transform(range(0, length({_CUT}) // 3), lambda i: coalesce(({_CODE})[substr({_CUT}, CAST(3 * i + 1 AS BIGINT), 3)], 'X')), ''), '\\*$', '')"
+_PROT = f"(SELECT seq_id, {_PROTEIN} AS protein FROM fx_seq)"
+
+
+def proteins(seqs: DataFrame) -> DataFrame:
+    return seqs.select("seq_id", translate(F.substring("seq", 1, 3000)).alias("protein"))
+
+
+@query("P04_subsequence", "fx_seq", "SELECT seq_id, CASE WHEN seq_id % 20 BETWEEN 1 AND 60 THEN substr(seq, CAST(seq_id % 20 AS BIGINT), CAST(60 - seq_id % 20 + 1 AS BIGINT)) ELSE '' END AS part FROM fx_seq")
+def p04(seqs):
+    return seqs.select("seq_id", subsequence(F.col("seq"), (F.col("seq_id") % 20).cast("int"), F.lit(60)).alias("part"))
+
+
+@query("P05_reverse_complement", "fx_seq", "SELECT seq_id, reverse(translate(seq, 'ACGTacgtUu', 'TGCAtgcaAa')) AS rc FROM fx_seq")
+def p05(seqs):
+    return seqs.select("seq_id", reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query("P06_translate_codons", "fx_seq", f"SELECT * FROM {_PROT}")
+def p06(seqs):
+    return proteins(seqs)
+
+
+@query("P07_genetic_code_lookup", "fx_hits", "SELECT DISTINCT source, CASE source WHEN 'homology' THEN 1 WHEN 'domain' THEN 12 ELSE 1 END AS code FROM fx_hits")
+def p07(hits):
+    names = hits.sparkSession.createDataFrame([("homology", 1), ("domain", 12)], "source string, code int")
+    return hits.select("source").distinct().join(F.broadcast(names), "source", "left").select("source", F.coalesce("code", F.lit(1)).alias("code"))
+
+
+@query("P08_internal_stop_positions", "fx_seq", f"""SELECT seq_id, len(p) AS n, p[1] AS first, p[-1] AS last FROM (SELECT seq_id, list_filter(range(0, length(protein) - 1),
+lambda i: substr(protein, CAST(i + 1 AS BIGINT), 1) = '*') AS p FROM {_PROT})""")
+def p08(seqs):
+    p = proteins(seqs).select("seq_id", internal_stops(F.col("protein")).alias("p"))
+    return p.select("seq_id", F.size("p").cast("long").alias("n"), F.get("p", F.lit(0)).cast("long").alias("first"), F.try_element_at("p", F.lit(-1)).cast("long").alias("last"))
+
+
+_CLEAN = f"(SELECT seq_id, protein, CASE WHEN strpos(protein, '*') > 0 THEN substr(protein, 1, strpos(protein, '*') - 1) ELSE protein END AS c FROM {_PROT})"
+
+
+def clean_protein(protein: Column) -> tuple[Column, Column]:
+    """(cleaned, reason it is skipped): cut at the first stop, 10 to 40,000 letters, at most 80% X."""
+    cut = F.substring_index(protein, "*", 1)
+    x = F.length(cut) - F.length(F.replace(cut, F.lit("X"), F.lit("")))
+    reason = F.when(F.length(cut) < 10, "too_short").when(F.length(cut) > 40000, "too_long").when(x * 10 > F.length(cut) * 8, "mostly_unknown").otherwise("ok")
+    return cut, reason
+
+
+@query("P09_clean_protein", "fx_seq", f"""SELECT seq_id, c AS cleaned, CASE WHEN length(c) < 10 THEN 'too_short' WHEN length(c) > 40000 THEN 'too_long'
+WHEN (length(c) - length(replace(c, 'X', ''))) * 10 > length(c) * 8 THEN 'mostly_unknown' ELSE 'ok' END AS reason FROM {_CLEAN}""")
+def p09(seqs):
+    cut, reason = clean_protein(F.col("protein"))
+    return proteins(seqs).select("seq_id", cut.alias("cleaned"), reason.alias("reason"))
+
+
+@query("P21_softmask_case", "fx_seq", """SELECT CAST(sum(length(regexp_replace(seq, '[^a-z]', '', 'g'))) AS BIGINT) AS masked, CAST(sum(length(regexp_replace(seq, '[^A-Za-z]', '', 'g'))) AS BIGINT) AS letters,
+round(sum(length(regexp_replace(seq, '[^a-z]', '', 'g'))) / CAST(sum(length(regexp_replace(seq, '[^A-Za-z]', '', 'g'))) AS DOUBLE), 6) AS fraction FROM fx_seq""")
+def p21(seqs):
+    n = lambda p: F.sum(F.length(F.regexp_replace("seq", p, "")).cast("long"))
+    return seqs.agg(n("[^a-z]").alias("masked"), n("[^A-Za-z]").alias("letters")).withColumn("fraction", F.round(F.col("masked") / F.col("letters"), 6))
+
+
+_RUNS = "SELECT seq_id, unnest(regexp_extract_all(seq, '[a-z]+')) AS run FROM fx_seq"
+
+
+@query("A08_mask_stats", "fx_seq", f"SELECT CAST(sum(length(run)) AS BIGINT) AS masked, count(*) AS regions, max(length(run)) AS longest FROM ({_RUNS})")
+def a08(seqs):
+    runs = seqs.select(F.explode(F.regexp_extract_all("seq", F.lit("[a-z]+"), F.lit(0))).alias("run")).select(F.length("run").cast("long").alias("n"))
+    return runs.agg(F.sum("n").alias("masked"), F.count("*").alias("regions"), F.max("n").alias("longest"))
+
+
+@query("V07_validate_proteins", "fx_seq", f"""SELECT count(*) AS proteins, count(*) FILTER (WHERE strpos(substr(protein, 1, length(protein) - 1), '*') > 0) AS with_stops,
+count(*) FILTER (WHERE length(replace(protein, '*', '')) < 10) AS short, count(*) FILTER (WHERE regexp_matches(protein, '[^A-Z*]')) AS odd FROM {_PROT}""")
+def v07(seqs):
+    p = F.col("protein")
+    inner = F.substring(p, F.lit(1), F.length(p) - 1)
+    return proteins(seqs).agg(F.count("*").alias("proteins"), F.count_if(F.contains(inner, F.lit("*"))).alias("with_stops"), F.count_if(F.length(F.replace(p, F.lit("*"), F.lit(""))) < 10).alias("short"), F.count_if(p.rlike("[^A-Z*]")).alias("odd"))
+
+
+@query("K15_fasta_fastq_rejoin", "fx_seq", "SELECT seq_id, concat('@s', CAST(seq_id AS VARCHAR), chr(10), seq, chr(10), '+', chr(10), repeat('I', length(seq))) AS record FROM fx_seq")
+def k15(seqs):
+    return seqs.select("seq_id", F.concat(F.lit("@s"), F.col("seq_id").cast("string"), F.lit("\n"), "seq", F.lit("\n+\n"), F.repeat(F.lit("I"), F.length("seq"))).alias("record"))
+
+
+@query("K16_wrap_fasta", "fx_seq", "SELECT seq_id, concat('>s', CAST(seq_id AS VARCHAR), chr(10), rtrim(regexp_replace(seq, '(.{60})', '\\1' || chr(10), 'g'), chr(10))) AS record FROM fx_seq")
+def k16(seqs):
+    return seqs.select("seq_id", F.concat(F.lit(">s"), F.col("seq_id").cast("string"), F.lit("\n"), F.regexp_replace("seq", "(.{60})(?=.)", "$1\n")).alias("record"))
+
+
+@query("B05_decoy_names", "fx_ctg", "SELECT DISTINCT seqid FROM fx_ctg")
+def b05(contigs):
+    return contigs.select("seqid").distinct()
