@@ -1 +1,271 @@
-"""Queries."""
+"""Readers and writers of annotation formats, as functions on lines and on tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from annotspark.plans.sequences import reverse_complement, translate
+from annotspark.registry import query
+
+
+
+def _or_dot(c) -> Column:
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("."))
+
+
+def to_gff3(features: DataFrame) -> DataFrame:
+    """Nine columns; attributes in key order, empty ones as a dot."""
+    attrs = F.concat_ws(";", F.concat(F.lit("ID="), "id"), F.concat(F.lit("Parent="), "parent"), F.concat(F.lit("locus_tag="), "locus_tag"))
+    attrs = F.when(attrs == "", ".").otherwise(attrs)
+    return features.select(F.concat_ws("\t", "seqid", F.lit("annotspark"), "type", F.col("f_start").cast("string"), F.col("f_end").cast("string"), F.lit("."), "strand", _or_dot("phase"), attrs).alias("value"))
+
+
+_GFF = """concat_ws(chr(9), seqid, 'annotspark', type, CAST(f_start AS VARCHAR), CAST(f_end AS VARCHAR), '.', strand, coalesce(CAST(phase AS VARCHAR), '.'),
+concat_ws(';', 'ID=' || id, 'Parent=' || parent, 'locus_tag=' || locus_tag))"""
+
+
+@query("K01_to_gff3", "fx_feature", f"SELECT {_GFF} AS value FROM fx_feature")
+def k01(features):
+    return to_gff3(features)
+
+
+def parse_gff3(lines: DataFrame) -> DataFrame:
+    """Typed rows with ``attrs`` as a map, and ``_error`` on bad ones; comments and blank lines are skipped.
+
+    The last of repeated attribute keys wins and pairs without ``=`` are dropped.
+    """
+    p = F.split("value", "\t")
+    at = lambda k: F.get(p, F.lit(k))
+    pairs = F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("=")))
+    key = lambda x: F.trim(F.substring_index(x, "=", 1))
+    value = lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))
+    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: key(y) == key(x)))
+    attrs = F.map_from_entries(F.transform(last, lambda x: F.struct(key(x), value(x))))
+    start, end = at(3).try_cast("long"), at(4).try_cast("long")
+    bad = (F.size(p) != 9) | start.isNull() | end.isNull() | (start > end)
+    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    strand = F.when(F.length(at(6)) == 1, at(6)).otherwise(".")
+    return rows.select(at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), start.alias("start"), end.alias("end"), at(5).try_cast("double").alias("score"), strand.alias("strand"), at(7).try_cast("tinyint").alias("phase"), attrs.alias("attrs"), F.when(F.coalesce(bad, F.lit(True)), F.col("value")).alias("_error"))
+
+
+def read_gff3(spark, path: str, strict: bool = False) -> DataFrame:
+    """GFF3 files with their name; ``strict`` raises on the first bad line, else bad lines are left out."""
+    rows = parse_gff3(spark.read.text(path).select("value"))
+    if strict:
+        fine = F.when(F.col("_error").isNotNull(), F.raise_error(F.concat(F.lit("bad line: "), "_error")).cast("string")).otherwise(F.col("seqid"))
+        return rows.withColumn("seqid", fine).drop("_error")
+    return rows.where("_error IS NULL").drop("_error")
+
+
+@query("S01_read_gff3", "fx_feature", "SELECT seqid, type, f_start AS start, f_end AS \"end\", strand, CAST(phase AS INTEGER) AS phase, id, parent, locus_tag FROM fx_feature WHERE f_start <= f_end")
+def s01(features):
+    rows = parse_gff3(to_gff3(features)).where("_error IS NULL")
+    get = lambda k: F.try_element_at("attrs", F.lit(k)).alias(k.lower() if k != "ID" else "id")
+    return rows.select("seqid", "type", "start", "end", "strand", F.col("phase").cast("int").alias("phase"), get("ID"), get("Parent"), get("locus_tag"))
+
+
+@query("K03_to_bed6", "fx_feature", "SELECT concat_ws(chr(9), seqid, CAST(f_start - 1 AS VARCHAR), CAST(f_end AS VARCHAR), coalesce(id, '.'), '0', strand) AS value FROM fx_feature")
+def k03(features):
+    return features.select(F.concat_ws("\t", "seqid", (F.col("f_start") - 1).cast("string"), F.col("f_end").cast("string"), _or_dot("id"), F.lit("0"), "strand").alias("value"))
+
+
+@query("K04_to_bed12", "fx_cds", """SELECT concat_ws(chr(9), seqid, CAST(min(seg_start) - 1 AS VARCHAR), CAST(max(seg_end) AS VARCHAR), concat('m', gid, '.1'), '0', strand, CAST(min(seg_start) - 1 AS VARCHAR), CAST(max(seg_end) AS VARCHAR), '0',
+CAST(count(*) AS VARCHAR), string_agg(CAST(seg_end - seg_start + 1 AS VARCHAR), ',' ORDER BY seg_start, seg_end) || ',', string_agg(CAST(seg_start - s0 AS VARCHAR), ',' ORDER BY seg_start, seg_end) || ',') AS value
+FROM (SELECT *, min(seg_start) OVER (PARTITION BY gid) AS s0 FROM fx_cds) GROUP BY gid, seqid, strand""")
+def k04(segs):
+    """One line per transcript: blocks are its sorted segments."""
+    one = segs.groupBy("gid", "seqid", "strand").agg(F.sort_array(F.collect_list(F.struct("seg_start", "seg_end"))).alias("b"), F.min("seg_start").alias("s"), F.max("seg_end").alias("e"))
+    text = lambda c: c.cast("string")
+    sizes = F.array_join(F.transform("b", lambda x: text(x["seg_end"] - x["seg_start"] + 1)), ",")
+    starts = F.array_join(F.transform("b", lambda x: text(x["seg_start"] - F.col("s"))), ",")
+    low, high = text(F.col("s") - 1), text(F.col("e"))
+    return one.select(F.concat_ws("\t", "seqid", low, high, F.concat(F.lit("m"), text(F.col("gid")), F.lit(".1")), F.lit("0"), "strand", low, high, F.lit("0"), text(F.size("b")), F.concat(sizes, F.lit(",")), F.concat(starts, F.lit(","))).alias("value"))
+
+
+@query("K05_to_bedgraph", "fx_feature", "SELECT concat_ws(chr(9), seqid, CAST(f_start - 1 AS VARCHAR), CAST(f_end AS VARCHAR), '1') AS value FROM fx_feature WHERE type = 'gene'")
+def k05(features):
+    return features.where("type = 'gene'").select(F.concat_ws("\t", "seqid", (F.col("f_start") - 1).cast("string"), F.col("f_end").cast("string"), F.lit("1")).alias("value"))
+
+
+@query("K06_to_feature_table", "fx_feature", "SELECT seqid, type, f_start, f_end, strand, id, parent, coalesce('locus_tag=' || locus_tag, '') AS rest FROM fx_feature")
+def k06(features):
+    return features.select("seqid", "type", "f_start", "f_end", "strand", "id", "parent", F.coalesce(F.concat(F.lit("locus_tag="), "locus_tag"), F.lit("")).alias("rest"))
+
+
+@query("K08_to_genbank_locations", "fx_cds", """SELECT gid, CASE WHEN strand = '-' THEN 'complement(' || j || ')' ELSE j END AS location FROM (SELECT gid, strand, CASE WHEN count(*) > 1 THEN 'join(' || string_agg(concat(seg_start, '..', seg_end), ',' ORDER BY seg_start, seg_end) || ')'
+ELSE min(concat(seg_start, '..', seg_end)) END AS j FROM fx_cds GROUP BY gid, strand)""")
+def k08(segs):
+    one = segs.groupBy("gid", "strand").agg(F.sort_array(F.collect_list(F.struct("seg_start", "seg_end"))).alias("b"))
+    parts = F.array_join(F.transform("b", lambda x: F.concat_ws("..", x["seg_start"], x["seg_end"])), ",")
+    joined = F.when(F.size("b") > 1, F.concat(F.lit("join("), parts, F.lit(")"))).otherwise(parts)
+    return one.select("gid", F.when(F.col("strand") == "-", F.concat(F.lit("complement("), joined, F.lit(")"))).otherwise(joined).alias("location"))
+
+
+def variant_class(ref: Column, alt: Column) -> Column:
+    a, b = F.length(ref), F.length(alt)
+    return F.when((a == 1) & (b == 1), "SNP").when((a < b) & (a == 1), "INS").when((a > b) & (b == 1), "DEL").otherwise("DNP")
+
+
+_ALT = "string_split(alt, ',')[1]"
+_CLASS = f"CASE WHEN length(ref) = 1 AND length({_ALT}) = 1 THEN 'SNP' WHEN length(ref) = 1 AND length({_ALT}) > 1 THEN 'INS' WHEN length(ref) > 1 AND length({_ALT}) = 1 THEN 'DEL' ELSE 'DNP' END"
+
+
+def parse_vcf(lines: DataFrame) -> DataFrame:
+    """Variants with their first alternative; headers, short lines and bad positions are skipped."""
+    p = F.split("value", "\t")
+    at = lambda k: F.get(p, F.lit(k))
+    rows = lines.where(~F.col("value").startswith("#") & (F.size(p) >= 8) & at(1).try_cast("long").isNotNull())
+    return rows.select(at(0).alias("chrom"), at(1).try_cast("long").alias("pos"), at(2).alias("id"), at(3).alias("ref"), F.get(F.split(at(4), ","), F.lit(0)).alias("alt"), at(5).try_cast("double").alias("qual"), at(6).alias("filter"), at(9).alias("gt"))
+
+
+def vcf_lines(variants: DataFrame) -> DataFrame:
+    return variants.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.col("event_id").cast("string"), "ref", "alt", F.lit("."), "filter_tag", F.lit("."), F.lit("GT"), "gt").alias("value"))
+
+
+@query("S05_read_vcf", "fx_vcf", f"SELECT chrom, CAST(pos AS BIGINT) AS pos, CAST(event_id AS VARCHAR) AS id, ref, {_ALT} AS alt, filter_tag AS filter FROM fx_vcf")
+def s05(variants):
+    return parse_vcf(vcf_lines(variants)).select("chrom", "pos", "id", "ref", "alt", "filter")
+
+
+_STATUS = """CASE WHEN contains(alt, ',') THEN 'multi_allelic' WHEN left(alt, 1) IN ('<', '[', ']') THEN 'structural' WHEN gt = './.' THEN 'missing' ELSE 'ok' END"""
+
+
+def phased_status(alt: Column, gt: Column) -> Column:
+    """Why a variant is skipped, in the order of the tests; ``ok`` otherwise."""
+    return (
+        F.when(F.contains(alt, F.lit(",")), "multi_allelic").when(alt.rlike(r"^[<\[\]]"), "structural").when(F.length(alt) > 50, "long_indel").when(gt.isin("./.", ".|.", "."), "missing")
+        .when(~gt.rlike(r"^\d+[|/]\d+$"), "not_diploid").when(F.contains(gt, F.lit("/")) & (F.substring_index(gt, "/", 1) != F.substring_index(gt, "/", -1)), "unphased").otherwise("ok")
+    )
+
+
+@query("S06_read_phased_vcf", "fx_vcf", f"SELECT event_id, {_STATUS} AS status, CASE WHEN {_STATUS} = 'ok' THEN left(gt, 1) <> right(gt, 1) END AS informative FROM fx_vcf")
+def s06(variants):
+    status = phased_status(F.col("alt"), F.col("gt"))
+    return variants.select("event_id", status.alias("status"), F.when(status == "ok", F.substring("gt", 1, 1) != F.substring("gt", -1, 1)).alias("informative"))
+
+
+@query("A14_variant_summary", "fx_vcf", f"SELECT {_STATUS} AS status, {_CLASS} AS class, count(*) AS n FROM fx_vcf GROUP BY 1, 2")
+def a14(variants):
+    first = F.get(F.split("alt", ","), F.lit(0))
+    return variants.groupBy(phased_status(F.col("alt"), F.col("gt")).alias("status"), variant_class(F.col("ref"), first).alias("class")).agg(F.count("*").alias("n"))
+
+
+@query("P14_classify_variant", "fx_vcf", f"SELECT event_id, {_CLASS} AS class, pos + length(ref) - 1 AS pos_end FROM fx_vcf")
+def p14(variants):
+    first = F.get(F.split("alt", ","), F.lit(0))
+    return variants.select("event_id", variant_class(F.col("ref"), first).alias("class"), (F.col("pos") + F.length("ref") - 1).alias("pos_end"))
+
+
+@query("K10_vcf_to_bed", "fx_vcf", "SELECT chrom, pos - 1 AS start, pos + length(ref) - 1 AS \"end\", CAST(event_id AS VARCHAR) AS name FROM fx_vcf")
+def k10(variants):
+    return variants.select("chrom", (F.col("pos") - 1).alias("start"), (F.col("pos") + F.length("ref") - 1).alias("end"), F.col("event_id").cast("string").alias("name"))
+
+
+@query("K12_vcf_to_annovar", "fx_vcf", f"""SELECT event_id, CASE WHEN length({_ALT}) > 1 THEN '-' ELSE ref END AS ref, CASE WHEN length({_ALT}) > 1 THEN substr({_ALT}, 2) ELSE {_ALT} END AS alt, CASE WHEN length({_ALT}) > 1 THEN pos + 1 ELSE pos END AS a_end FROM fx_vcf""")
+def k12(variants):
+    alt = F.get(F.split("alt", ","), F.lit(0))
+    longer = F.length(alt) > F.length("ref")
+    return variants.select("event_id", F.when(longer, "-").otherwise(F.col("ref")).alias("ref"), F.when(longer, F.substring(alt, F.lit(2), F.length(alt))).otherwise(alt).alias("alt"), F.when(longer, F.col("pos") + 1).otherwise(F.col("pos")).alias("a_end"))
+
+
+@query("K13_vcf_to_maf", "fx_vcf", f"SELECT event_id, chrom, pos, {_CLASS} AS variant_type, ref, {_ALT} AS tumor_allele, 'TUMOR' AS sample FROM fx_vcf")
+def k13(variants):
+    alt = F.get(F.split("alt", ","), F.lit(0))
+    return variants.select("event_id", "chrom", "pos", variant_class(F.col("ref"), alt).alias("variant_type"), "ref", alt.alias("tumor_allele"), F.lit("TUMOR").alias("sample"))
+
+
+@query("S07_read_paf", "fx_paf", "SELECT qname, CAST(q_start AS BIGINT) AS q_start, tname, t_end, matches, block FROM fx_paf")
+def s07(paf):
+    text = [F.col(c).cast("string") for c in ("qname", "qlen", "q_start", "q_end")] + [F.lit("+")] + [F.col(c).cast("string") for c in ("tname", "tlen", "t_start", "t_end", "matches", "block")] + [F.lit("60")]
+    p = F.split("value", "\t")
+    at = lambda k: F.get(p, F.lit(k))
+    rows = paf.select(F.concat_ws("\t", *text).alias("value")).where(F.size(p) >= 12)
+    return rows.select(at(0).alias("qname"), at(2).try_cast("long").alias("q_start"), at(5).alias("tname"), at(8).try_cast("long").alias("t_end"), at(9).try_cast("long").alias("matches"), at(10).try_cast("long").alias("block")).dropna()
+
+
+_DROP = """SELECT CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN qname ELSE tname END AS short, CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN tname ELSE qname END AS long, least(qlen, tlen) AS n,
+sum(matches) AS m, sum(block) AS b FROM fx_paf WHERE qname <> tname GROUP BY 1, 2, 3"""
+
+
+@query("C07_redundant_contigs", "fx_paf", f"SELECT short, long, round(least(1.0, b / CAST(n AS DOUBLE)), 6) AS coverage, round(m / CAST(b AS DOUBLE), 6) AS identity FROM (SELECT *, row_number() OVER (PARTITION BY short ORDER BY b / CAST(n AS DOUBLE) DESC, long) AS r FROM ({_DROP})) WHERE r = 1 AND b >= 0.95 * n AND m >= 0.9 * b")
+def c07(paf, min_cov: float = 0.95, min_id: float = 0.9):
+    """Contigs that a longer one covers: per pair, summed aligned bases of the shorter."""
+    from annotspark.plans.hits import best
+
+    query_short = (F.col("qlen") < F.col("tlen")) | ((F.col("qlen") == F.col("tlen")) & (F.col("qname") > F.col("tname")))
+    sides = paf.where("qname <> tname").select(F.when(query_short, F.col("qname")).otherwise(F.col("tname")).alias("short"), F.when(query_short, F.col("tname")).otherwise(F.col("qname")).alias("long"), F.least("qlen", "tlen").alias("n"), "matches", "block")
+    pairs = sides.groupBy("short", "long", "n").agg(F.sum("matches").alias("m"), F.sum("block").alias("b")).withColumn("c", F.col("b") / F.col("n"))
+    top = best(pairs, ["short"], F.desc("c"), F.asc("long")).where((F.col("b") >= min_cov * F.col("n")) & (F.col("m") >= min_id * F.col("b")))
+    return top.select("short", "long", F.round(F.least(F.lit(1.0), F.col("c")), 6).alias("coverage"), F.round(F.col("m") / F.col("b"), 6).alias("identity"))
+
+
+@query("S09_read_gtf_transcripts", "fx_cds", "SELECT CAST(gid AS VARCHAR) AS transcript, seqid, strand, min(seg_start) AS g_start, max(seg_end) AS g_end, count(*) AS segments FROM fx_cds GROUP BY gid, seqid, strand")
+def s09(segs):
+    attrs = F.concat(F.lit('gene_id "'), F.col("gid").cast("string"), F.lit('"; transcript_id "'), F.col("gid").cast("string"), F.lit('";'))
+    lines = segs.select(F.concat_ws("\t", "seqid", "source", F.lit("CDS"), F.col("seg_start").cast("string"), F.col("seg_end").cast("string"), F.lit("."), "strand", F.lit("0"), attrs).alias("value"))
+    return gtf_transcripts(lines)
+
+
+def gtf_transcripts(lines: DataFrame) -> DataFrame:
+    """Transcripts of GTF lines by ``transcript_id``, else by place."""
+    p = F.split("value", "\t")
+    at = lambda k: F.get(p, F.lit(k))
+    named = F.nullif(F.regexp_extract(at(8), 'transcript_id "([^"]*)"', 1), F.lit(""))
+    rows = lines.where(at(2).isin("CDS", "exon")).select(F.coalesce(named, F.concat_ws("_", at(0), at(3), at(4))).alias("transcript"), at(0).alias("seqid"), at(6).alias("strand"), at(3).try_cast("long").alias("s"), at(4).try_cast("long").alias("e"))
+    return rows.groupBy("transcript", "seqid", "strand").agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("segments"))
+
+
+def spliced(segs: DataFrame, contigs: DataFrame) -> DataFrame:
+    """(gid, strand, cds): segments cut from their contigs, joined by start, reversed on the minus strand."""
+    cut = segs.join(contigs, "seqid").select("gid", "strand", "seg_start", F.substring("seq", F.col("seg_start").cast("int"), (F.col("seg_end") - F.col("seg_start") + 1).cast("int")).alias("s"))
+    one = cut.groupBy("gid", "strand").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seg_start", "s"))), lambda x: x["s"]), "").alias("cds"))
+    return one.withColumn("cds", F.when(F.col("strand") == "-", reverse_complement(F.col("cds"))).otherwise(F.col("cds")))
+
+
+_SPLICED = """SELECT gid, CASE WHEN strand = '-' THEN reverse(translate(c, 'ACGTacgtUu', 'TGCAtgcaAa')) ELSE c END AS cds FROM (SELECT gid, strand, string_agg(substr(seq, seg_start, seg_end - seg_start + 1), '' ORDER BY seg_start, seg_end) AS c
+FROM fx_cds JOIN fx_ctg ON fx_cds.seqid = fx_ctg.seqid GROUP BY gid, strand)"""
+
+
+@query("J04_spliced_cds", "fx_cds fx_ctg", f"SELECT gid, cds FROM ({_SPLICED})")
+def j04(segs, contigs):
+    return spliced(segs, contigs).select("gid", "cds")
+
+
+@query("J05_spliced_protein", "fx_cds fx_ctg", None)
+def j05(segs, contigs):
+    return spliced(segs, contigs).select("gid", translate(F.col("cds")).alias("protein")).where("length(protein) >= 10")
+
+
+_ORF = """CASE WHEN length(cds) % 3 <> 0 THEN 'BadLength' WHEN left(cds, 3) <> 'ATG' THEN 'NoStart' WHEN right(cds, 3) NOT IN ('TAA', 'TAG', 'TGA') THEN 'NoStop'
+WHEN len(list_filter(range(0, length(cds) // 3 - 1), lambda i: substr(cds, CAST(3 * i + 1 AS BIGINT), 3) IN ('TAA', 'TAG', 'TGA'))) > 0 THEN 'InternalStop' ELSE 'Complete' END"""
+
+
+def orf_status(cds: Column, stops: tuple = ("TAA", "TAG", "TGA")) -> Column:
+    n = F.floor(F.length(cds) / 3).cast("int")
+    inner = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & F.substring(cds, 3 * i - 2, F.lit(3)).isin(*stops))
+    return F.when(F.length(cds) % 3 != 0, "BadLength").when(F.substring(cds, 1, 3) != "ATG", "NoStart").when(~F.substring(cds, -3, 3).isin(*stops), "NoStop").when(inner, "InternalStop").otherwise("Complete")
+
+
+@query("C03_orf_gate", "fx_cds fx_ctg", f"SELECT gid, {_ORF} AS status FROM ({_SPLICED})")
+def c03(segs, contigs):
+    return spliced(segs, contigs).select("gid", orf_status(F.col("cds")).alias("status"))
+
+
+@query("S20_read_quant_sf", "fx_quant", "SELECT transcript, sample, round(tpm, 6) AS tpm, num_reads FROM fx_quant")
+def s20(quant):
+    lines = quant.select("sample", F.concat_ws("\t", "transcript", F.lit("1000"), F.lit("900.0"), F.col("tpm").cast("string"), F.col("num_reads").cast("string")).alias("value"))
+    p = F.split("value", "\t")
+    return lines.select(F.get(p, F.lit(0)).alias("transcript"), "sample", F.round(F.get(p, F.lit(3)).cast("double"), 6).alias("tpm"), F.get(p, F.lit(4)).cast("double").alias("num_reads"))
+
+
+@query("P15_cigar_reference_end", "fx_paf", "SELECT qname, q_start, q_start + matches + 7 AS r_end FROM fx_paf")
+def p15(paf):
+    cigar = F.concat(F.col("matches").cast("string"), F.lit("M3I2D5N"))
+    return paf.select("qname", "q_start", (F.col("q_start") + cigar_length(cigar)).alias("r_end"))
+
+
+def cigar_length(cigar: Column) -> Column:
+    """Reference bases of a CIGAR string."""
+    parts = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda t, x: t + x.cast("long"))

@@ -1 +1,154 @@
-"""Queries."""
+"""Feature hierarchies, validation and repair."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from annotspark.registry import query
+
+
+def ids(features: DataFrame) -> DataFrame:
+    """One row per id; where an id repeats, the row of the first bounds, with a locus tag that any of them has."""
+    row = F.min(F.struct("lvl", "f_start", "f_end", "parent", "type"))
+    one = features.where("id IS NOT NULL").groupBy("id").agg(row.alias("x"), F.min("locus_tag").alias("locus_tag"))
+    return one.select("id", *[F.col(f"x.{c}").alias(c) for c in ("parent", "type", "f_start", "f_end")], "locus_tag")
+
+
+_IDS = "SELECT id, min(parent) AS parent, min(type) AS type, min(f_start) AS f_start, min(f_end) AS f_end, min(locus_tag) AS locus_tag FROM fx_feature GROUP BY id"
+
+
+@query("J01_descend_hierarchy", "fx_feature", """SELECT g.id AS gene, m.id AS id, 1 AS depth FROM (SELECT DISTINCT id FROM fx_feature WHERE type = 'gene') g JOIN fx_feature m ON m.parent = g.id
+UNION ALL SELECT g.id, c.id, 2 FROM (SELECT DISTINCT id FROM fx_feature WHERE type = 'gene') g JOIN fx_feature m ON m.parent = g.id JOIN fx_feature c ON c.parent = m.id""")
+def j01(features, depth: int = 2):
+    """Children at any depth by repeated equi-joins; the depth of the format is fixed."""
+    genes = features.where("type = 'gene'").select(F.col("id").alias("gene"), F.col("id").alias("at")).distinct()
+    child = features.select(F.col("parent").alias("at"), F.col("id").alias("next"))
+    out, now = None, genes
+    for k in range(1, depth + 1):
+        now = now.join(child, "at").select("gene", F.col("next").alias("at"))
+        level = now.select("gene", F.col("at").alias("id"), F.lit(k).alias("depth"))
+        out = level if out is None else out.unionByName(level)
+    return out
+
+
+@query("J02_gene_of_transcript", "fx_feature", f"""SELECT c.id, coalesce(g.locus_tag, g.id, m.id, c.id) AS locus FROM fx_feature c LEFT JOIN ({_IDS}) m ON m.id = c.parent LEFT JOIN ({_IDS}) g ON g.id = m.parent WHERE c.type = 'CDS'""")
+def j02(features):
+    known = ids(features)
+    m = known.select(F.col("id").alias("parent"), F.col("id").alias("m_id"), F.col("parent").alias("m_parent"))
+    g = known.select(F.col("id").alias("m_parent"), F.col("id").alias("g_id"), F.col("locus_tag").alias("g_tag"))
+    cds = features.where("type = 'CDS'").select("id", "parent").join(m, "parent", "left").join(g, "m_parent", "left")
+    return cds.select("id", F.coalesce("g_tag", "g_id", "m_id", "id").alias("locus"))
+
+
+@query("J03_attr_from_ancestors", "fx_feature", f"""SELECT c.id, coalesce(c.locus_tag, m.locus_tag, g.locus_tag) AS locus_tag FROM fx_feature c LEFT JOIN ({_IDS}) m ON m.id = c.parent LEFT JOIN ({_IDS}) g ON g.id = m.parent""")
+def j03(features, hops: int = 2):
+    """The nearest locus tag up the parent chain."""
+    known = ids(features).select(F.col("id").alias("_up"), F.col("parent").alias("_next"), F.col("locus_tag").alias("_tag"))
+    out = features.select("id", F.col("locus_tag").alias("found"), F.col("parent").alias("_at"))
+    for _ in range(hops):
+        out = out.join(known, out["_at"] == known["_up"], "left").select("id", F.coalesce("found", "_tag").alias("found"), F.col("_next").alias("_at"))
+    return out.select("id", F.col("found").alias("locus_tag"))
+
+
+@query("J07_liftover_seqids", "fx_feature", "SELECT id, CASE WHEN seqid LIKE '%1' THEN concat('scaffold_', substr(seqid, 4)) ELSE seqid END AS seqid FROM fx_feature")
+def j07(features):
+    names = features.select("seqid").distinct().where("seqid LIKE '%1'").withColumn("new", F.concat(F.lit("scaffold_"), F.expr("substr(seqid, 4)")))
+    return features.join(names, "seqid", "left").select("id", F.coalesce("new", "seqid").alias("seqid"))
+
+
+_CHECKS = f"""SELECT 'duplicate_id' AS category, count(*) AS n FROM (SELECT id FROM fx_feature GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'missing_parent', count(*) FROM fx_feature f WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fx_feature p WHERE p.id = f.parent)
+UNION ALL SELECT 'reversed', count(*) FROM fx_feature WHERE f_start > f_end
+UNION ALL SELECT 'childless_gene', count(*) FROM (SELECT DISTINCT id FROM fx_feature WHERE type = 'gene') g WHERE NOT EXISTS (SELECT 1 FROM fx_feature c WHERE c.parent = g.id)
+UNION ALL SELECT 'cds_without_phase', count(*) FROM fx_feature WHERE type = 'CDS' AND phase IS NULL
+UNION ALL SELECT 'gene_without_locus_tag', count(*) FROM fx_feature WHERE type = 'gene' AND locus_tag IS NULL"""
+
+
+@query("V01_validate_features", "fx_feature", _CHECKS)
+def v01(features):
+    n = lambda df, name: df.agg(F.lit(name).alias("category"), F.count("*").alias("n"))
+    known, parents = features.select(F.col("id").alias("parent")).distinct(), features.select(F.col("parent").alias("id")).where("id IS NOT NULL").distinct()
+    parts = [
+        n(features.groupBy("id").count().where("count > 1"), "duplicate_id"),
+        n(features.where("parent IS NOT NULL").join(known, "parent", "left_anti"), "missing_parent"),
+        n(features.where("f_start > f_end"), "reversed"),
+        n(features.where("type = 'gene'").select("id").distinct().join(parents, "id", "left_anti"), "childless_gene"),
+        n(features.where("type = 'CDS' AND phase IS NULL"), "cds_without_phase"),
+        n(features.where("type = 'gene' AND locus_tag IS NULL"), "gene_without_locus_tag"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("V02_validate_submission", "fx_feature", """SELECT count(*) FILTER (WHERE type = 'gene') AS genes, count(*) FILTER (WHERE type = 'CDS') AS cds, count(*) FILTER (WHERE type = 'gene' AND locus_tag IS NOT NULL) AS tagged,
+count(*) FILTER (WHERE length(seqid) > 16) AS long_ids, count(*) - count(DISTINCT id) AS repeats FROM fx_feature""")
+def v02(features):
+    gene = F.col("type") == "gene"
+    return features.agg(F.count_if(gene).alias("genes"), F.count_if(F.col("type") == "CDS").alias("cds"), F.count_if(gene & F.col("locus_tag").isNotNull()).alias("tagged"), F.count_if(F.length("seqid") > 16).alias("long_ids"), (F.count("*") - F.count_distinct("id")).alias("repeats"))
+
+
+_PARENT = f"SELECT f.*, p.id AS pid, p.type AS ptype, p.f_start AS pstart, p.f_end AS pend FROM fx_feature f LEFT JOIN ({_IDS}) p ON p.id = f.parent"
+
+
+def with_parent(features: DataFrame) -> DataFrame:
+    p = ids(features).select(F.col("id").alias("pid"), F.col("type").alias("ptype"), F.col("f_start").alias("pstart"), F.col("f_end").alias("pend"))
+    return features.join(p, features["parent"] == p["pid"], "left")
+
+
+@query("V03_check_structure", "fx_feature", f"""SELECT issue, count(*) AS n FROM (SELECT CASE WHEN type <> 'gene' AND parent IS NULL THEN 'MissingParent' WHEN parent IS NOT NULL AND pid IS NULL THEN 'OrphanParent'
+WHEN type = 'mRNA' AND ptype <> 'gene' THEN 'MrnaParentNotGene' WHEN type = 'CDS' AND (f_start < pstart OR f_end > pend) THEN 'CdsOutsideMrna' END AS issue FROM ({_PARENT})) WHERE issue IS NOT NULL GROUP BY issue""")
+def v03(features):
+    t = F.col("type")
+    issue = (
+        F.when((t != "gene") & F.col("parent").isNull(), "MissingParent")
+        .when(F.col("parent").isNotNull() & F.col("pid").isNull(), "OrphanParent")
+        .when((t == "mRNA") & (F.col("ptype") != "gene"), "MrnaParentNotGene")
+        .when((t == "CDS") & ((F.col("f_start") < F.col("pstart")) | (F.col("f_end") > F.col("pend"))), "CdsOutsideMrna")
+    )
+    return with_parent(features).select(issue.alias("issue")).where("issue IS NOT NULL").groupBy("issue").agg(F.count("*").alias("n"))
+
+
+@query("V04_repair_structure", "fx_feature", """SELECT parent AS id, min(seqid) AS seqid, min(f_start) AS f_start, max(f_end) AS f_end, count(*) AS children FROM fx_feature f WHERE parent IS NOT NULL AND type = 'CDS'
+AND NOT EXISTS (SELECT 1 FROM fx_feature p WHERE p.id = f.parent) GROUP BY parent""")
+def v04(features):
+    """The transcripts made up for orphaned segments: bounds of their children."""
+    known = features.select(F.col("id").alias("parent")).distinct()
+    orphans = features.where("parent IS NOT NULL AND type = 'CDS'").join(known, "parent", "left_anti")
+    return orphans.groupBy(F.col("parent").alias("id")).agg(F.min("seqid").alias("seqid"), F.min("f_start").alias("f_start"), F.max("f_end").alias("f_end"), F.count("*").alias("children"))
+
+
+@query("V05_drop_orphans_and_fix", "fx_feature", """SELECT id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type FROM fx_feature f WHERE parent IS NULL OR EXISTS (SELECT 1 FROM fx_feature p WHERE p.id = f.parent)""")
+def v05(features):
+    known = features.select(F.col("id").alias("_p")).distinct()
+    top, rest = features.where("parent IS NULL"), features.where("parent IS NOT NULL")
+    kept = top.unionByName(rest.join(known, rest["parent"] == known["_p"], "left_semi"))
+    return kept.select("id", F.least("f_start", "f_end").alias("f_start"), F.greatest("f_start", "f_end").alias("f_end"), "type")
+
+
+@query("V06_clean_features", "fx_feature", "SELECT count(*) AS total, count(*) FILTER (WHERE f_end - f_start + 1 >= 100) AS kept, count(*) FILTER (WHERE f_end - f_start + 1 < 100) AS removed FROM fx_feature")
+def v06(features, least: int = 100):
+    long = F.col("f_end") - F.col("f_start") + 1 >= least
+    return features.agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), F.count_if(~long).alias("removed"))
+
+
+@query("V09_reparent_bounds", "fx_feature", """SELECT m.id, least(m.f_start, min(c.f_start)) AS f_start, greatest(m.f_end, max(c.f_end)) AS f_end FROM fx_feature m JOIN fx_feature c ON c.parent = m.id WHERE m.type = 'mRNA' GROUP BY m.id, m.f_start, m.f_end""")
+def v09(features):
+    child = features.groupBy(F.col("parent").alias("id")).agg(F.min("f_start").alias("_s"), F.max("f_end").alias("_e"))
+    m = features.where("type = 'mRNA'").join(child, "id")
+    return m.select("id", F.least("f_start", "_s").alias("f_start"), F.greatest("f_end", "_e").alias("f_end"))
+
+
+@query("V10_synthesise_children", "fx_feature", """SELECT parent, concat(id, '.exon') AS id, f_start, f_end FROM fx_feature c WHERE type = 'CDS' AND NOT EXISTS (SELECT 1 FROM fx_feature e WHERE e.type = 'exon' AND e.parent = c.parent)""")
+def v10(features):
+    exons = features.where("type = 'exon'").select("parent").distinct()
+    return features.where("type = 'CDS'").join(exons, "parent", "left_anti").select("parent", F.concat("id", F.lit(".exon")).alias("id"), "f_start", "f_end")
+
+
+@query("W06_dup_suffix", "fx_feature", """SELECT CASE WHEN r > 1 THEN concat(id, '_dup', CAST(r AS VARCHAR)) ELSE id END AS id, count(*) AS n FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY lvl, f_start) AS r FROM fx_feature) GROUP BY 1""")
+def w06(features):
+    r = F.row_number().over(Window.partitionBy("id").orderBy("lvl", "f_start"))
+    named = features.withColumn("r", r).select(F.when(F.col("r") > 1, F.concat("id", F.lit("_dup"), F.col("r").cast("string"))).otherwise(F.col("id")).alias("id"))
+    return named.groupBy("id").agg(F.count("*").alias("n"))

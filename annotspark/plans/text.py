@@ -1 +1,122 @@
-"""Queries."""
+"""Text, rules and retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from annotspark.registry import query
+
+
+def terms(text):
+    """Lower-cased terms of over two letters, digits or underscores."""
+    return F.filter(F.split(F.lower(text), "[^a-z0-9_]+"), lambda t: F.length(t) > 2)
+
+
+def bm25(docs: DataFrame, doc_id: str, text: str, asked: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """The k best documents for a query text.  Only terms of the query are counted per document; the query is a literal."""
+    words = docs.select(doc_id, terms(F.col(text)).alias("_t"))
+    wanted = docs.sparkSession.range(1).select(F.explode(terms(F.lit(asked))).alias("term")).groupBy("term").agg(F.count("*").alias("q"))
+    stats = docs.select(F.size(terms(F.col(text))).alias("n")).agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
+    tf = words.select(doc_id, F.size("_t").alias("len"), F.explode("_t").alias("term")).join(F.broadcast(wanted), "term")  # the query's terms
+    tf = tf.groupBy(doc_id, "len", "term", "q").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    rows = tf.join(df, "term").crossJoin(stats)  # one row
+    idf = F.greatest(F.lit(0.0), F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1))
+    part = F.col("q") * idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("mean")))
+    return rows.groupBy(doc_id).agg(F.round(F.sum(part), 6).alias("score")).where("score > 0").orderBy(F.desc("score"), doc_id).limit(k)
+
+
+_ASK = "the and with that license"
+_TERMS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9_]+'), lambda t: length(t) > 2)"
+
+
+@query("R01_bm25_search", "documents", f"""WITH w AS (SELECT doc_id, {_TERMS.format("text")} AS t FROM documents), s AS (SELECT count(*) AS docs, avg(len(t)) AS mean FROM w),
+q AS (SELECT term, count(*) AS q FROM (SELECT unnest({_TERMS.format(f"'{_ASK}'")}) AS term) GROUP BY term),
+tf AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS len, unnest(t) AS term FROM w) WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3), d AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT doc_id, round(sum(q.q * greatest(0.0, ln((docs - df + 0.5) / (df + 0.5) + 1)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+FROM tf JOIN d ON d.term = tf.term JOIN q ON q.term = tf.term, s GROUP BY doc_id HAVING score > 0 ORDER BY score DESC, doc_id LIMIT 10""")
+def r01(docs):
+    return bm25(docs, "doc_id", "text", _ASK)
+
+
+@query("R02_split_paragraphs", "documents", """SELECT doc_id, CAST(i AS BIGINT) AS n, left(p, 500) AS snippet FROM (SELECT doc_id, unnest(l) AS p, unnest(range(0, len(l))) AS i FROM
+(SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 50) AS l FROM documents))""")
+def r02(docs):
+    parts = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x)) > 50)
+    return docs.select("doc_id", F.posexplode(parts).alias("n", "p")).select("doc_id", F.col("n").cast("long").alias("n"), F.substring("p", 1, 500).alias("snippet"))
+
+
+#: Rule table: field, comparison, threshold, severity.
+RULES = [("genes", "lt", 5000.0, "warning"), ("genes", "gt", 10.0, "info"), ("mean_len", "gte", 500.0, "info"), ("mean_len", "lt", 100.0, "error"), ("single", "eq", 0.0, "error")]
+
+
+def threshold_rules(stats: DataFrame, rules: DataFrame) -> DataFrame:
+    """Findings of a rule table on (field, value) rows."""
+    met = stats.join(F.broadcast(rules), "field")  # the rule table
+    v, t = F.col("value"), F.col("threshold")
+    hit = F.when(F.col("op") == "gt", v > t).when(F.col("op") == "lt", v < t).when(F.col("op") == "gte", v >= t).when(F.col("op") == "lte", v <= t).otherwise(v == t)
+    return met.where(hit)
+
+
+@query("R03_threshold_rules", "fx_gene", """WITH s AS (SELECT 'genes' AS field, CAST(count(*) AS DOUBLE) AS value FROM fx_gene UNION ALL SELECT 'mean_len', avg(g_end - g_start + 1) FROM fx_gene UNION ALL SELECT 'single', CAST(count(*) FILTER (WHERE n_seg = 1) AS DOUBLE) FROM fx_gene),
+r(field, op, threshold, severity) AS (VALUES ('genes', 'lt', 5000.0, 'warning'), ('genes', 'gt', 10.0, 'info'), ('mean_len', 'gte', 500.0, 'info'), ('mean_len', 'lt', 100.0, 'error'), ('single', 'eq', 0.0, 'error'))
+SELECT s.field, op, severity, round(value, 6) AS value FROM s JOIN r ON s.field = r.field WHERE CASE op WHEN 'gt' THEN value > threshold WHEN 'lt' THEN value < threshold WHEN 'gte' THEN value >= threshold ELSE value = threshold END""")
+def r03(genes):
+    one = genes.agg(F.count("*").cast("double").alias("genes"), F.avg(F.col("g_end") - F.col("g_start") + 1).alias("mean_len"), F.count_if(F.col("n_seg") == 1).cast("double").alias("single"))
+    stats = one.unpivot([], ["genes", "mean_len", "single"], "field", "value")
+    rules = genes.sparkSession.createDataFrame(RULES, "field string, op string, threshold double, severity string")
+    return threshold_rules(stats, rules).select("field", "op", "severity", F.round("value", 6).alias("value"))
+
+
+@query("R04_stage_rules", "fx_runs", "SELECT tool AS stage, CASE WHEN avg(metric) < 40 THEN 'low' WHEN avg(metric) > 60 THEN 'high' ELSE 'ok' END AS finding FROM fx_runs GROUP BY tool")
+def r04(runs):
+    m = F.avg("metric")
+    return runs.groupBy(F.col("tool").alias("stage")).agg(F.when(m < 40, "low").when(m > 60, "high").otherwise("ok").alias("finding"))
+
+
+@query("R05_log_line_counts", "documents", """SELECT source, count(*) FILTER (WHERE contains(l, 'th')) AS errors, count(*) FILTER (WHERE contains(l, 'en')) AS warnings FROM (SELECT source, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY source""")
+def r05(docs):
+    lines = docs.select("source", F.explode(F.split("text", "\n")).alias("l"))
+    return lines.groupBy("source").agg(F.count_if(F.contains("l", F.lit("th"))).alias("errors"), F.count_if(F.contains("l", F.lit("en"))).alias("warnings"))
+
+
+@query("R06_classify_text_format", "documents", """SELECT doc_id, CASE WHEN len(list_filter(l, lambda x: len(string_split(x, chr(9))) = 9)) > 0 THEN 'gff3' WHEN len(list_filter(l, lambda x: left(x, 1) = '>')) > 0 THEN 'fasta'
+WHEN len(list_filter(l, lambda x: contains(x, 'License'))) > 0 THEN 'license' ELSE 'unknown' END AS format FROM (SELECT doc_id, string_split(text, chr(10))[1:20] AS l FROM documents)""")
+def r06(docs):
+    head = docs.select("doc_id", F.slice(F.split("text", "\n"), 1, 20).alias("l"))
+    some = lambda f: F.exists("l", f)
+    kind = F.when(some(lambda x: F.size(F.split(x, "\t")) == 9), "gff3").when(some(lambda x: x.startswith(">")), "fasta").when(some(lambda x: F.contains(x, F.lit("License"))), "license").otherwise("unknown")
+    return head.select("doc_id", kind.alias("format"))
+
+
+@query("S29_detect_format", "documents", "SELECT doc_id, CASE WHEN left(f, 1) = '>' THEN 'fasta' WHEN left(f, 5) = 'LOCUS' THEN 'genbank' WHEN left(f, 2) = '##' THEN 'gff3' ELSE 'other' END AS format FROM (SELECT doc_id, string_split(text, chr(10))[1] AS f FROM documents)")
+def s29(docs):
+    first = F.get(F.split("text", "\n"), F.lit(0))
+    return docs.select("doc_id", F.when(first.startswith(">"), "fasta").when(first.startswith("LOCUS"), "genbank").when(first.startswith("##"), "gff3").otherwise("other").alias("format"))
+
+
+#: Ordered screening rules.
+SCREEN = [(1, "number", "[0-9]{4}"), (2, "question", "\\?"), (3, "long", "^.{400}")]
+
+
+@query("R07_pattern_screen", "conversations", """SELECT conv_id, turn, CASE WHEN regexp_matches(lower(text), '[0-9]{4}') THEN 'number' WHEN regexp_matches(lower(text), '\\?') THEN 'question' WHEN regexp_matches(lower(text), '^.{400}') THEN 'long' ELSE 'pass' END AS verdict FROM conversations""")
+def r07(rows):
+    low = F.lower("text")
+    out = None
+    for _, name, pattern in sorted(SCREEN):
+        out = F.when(low.rlike(pattern), name) if out is None else out.when(low.rlike(pattern), name)
+    return rows.select("conv_id", "turn", out.otherwise("pass").alias("verdict"))
+
+
+@query("R08_drop_unknown_commands", "conversations", """SELECT conv_id, turn, CAST(len(k) AS BIGINT) AS kept, CAST(len(l) - len(k) AS BIGINT) AS removed FROM (SELECT conv_id, turn, l, list_filter(l, lambda x: NOT contains(x, '?')) AS k FROM
+(SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations))""")
+def r08(rows):
+    lines = F.split("text", "\n")
+    kept = F.filter(lines, lambda x: ~F.contains(x, F.lit("?")))
+    return rows.select("conv_id", "turn", F.size(kept).cast("long").alias("kept"), (F.size(lines) - F.size(kept)).cast("long").alias("removed"))
+
+
+@query("P17_sanitise_names", "documents", "SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9_\\-\"=/ \\t]', '_', 'g') AS clean FROM documents")
+def p17(docs):
+    return docs.select("doc_id", F.regexp_replace("text", r"[^A-Za-z0-9_\-\"=/ \t]", "_").alias("clean"))
