@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from annotspark.registry import query
 
 
-def best(hits: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+def best(hits: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     """The first row per key in the given order; the order ends in a tie-break."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return hits.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-EV = [F.asc("evalue"), F.asc("pos"), F.asc("partkey")]
+EV = ["evalue", "pos", "partkey"]
 
 
 @query("W02_best_hit_per_query", "fx_hits", "SELECT query, target, evalue FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY evalue, pos, partkey) AS r FROM fx_hits) WHERE r = 1")
