@@ -199,7 +199,7 @@ def read_shards(manifest: DataFrame, folder: str, id_col: str = "doc_id", decode
     offset, at = {}, 0
     for p in sorted(totals):
         offset[p], at = at, at + totals[p]
-    decode = decode or (lambda ids: ids.astype(np.int32).tolist())
+    whole, decode = decode is None, decode or (lambda ids: ids.tolist())
     id_type = manifest.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -214,7 +214,7 @@ def read_shards(manifest: DataFrame, folder: str, id_col: str = "doc_id", decode
                 starts = ends - row["lengths"]
                 found = [decode(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(starts + offset[row["part"]] + row["before"]), pa.array(row["lengths"], pa.int64()), pa.array(found)],
+                    [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(starts + offset[row["part"]] + row["before"]), pa.array(row["lengths"], pa.int64()), pa.array(found, pa.list_(pa.int32())) if whole else pa.array(found)],
                     names=[id_col, "start", "n_tokens", fields.split()[0]],
                 )
 
