@@ -36,14 +36,14 @@ from annotspark.llm.components import components
 WORDS = 5
 PERCENT = 75
 #: Shingles that are ordered last; a bounded list that is sent to all tasks.
-COMMON = 1 << 17
+COMMON = 1 << 20
 #: Bits of the filter of classes whose sets are needed; bounded, a fuller one only lets more sets pass.
 FILTER_BITS = 1 << 26
 #: Rounds with a further pivot before the rest is compared, and pairs per region row that make a round worth while.
-ROUNDS = 6
-FEW_PAIRS = 4
+ROUNDS = 2
+FEW_PAIRS = 16
 #: Pairs in all that are always few.
-FEW_IN_ALL = 200_000
+FEW_IN_ALL = 2_000_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -87,6 +87,20 @@ def shingles(texts, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def _sliced(column, words: int, limit: int = 4 << 20) -> Iterator[list[np.ndarray]]:
+    """:func:`shingles` of a few megabytes of text at a time, so that a batch's words are never all held at once."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        done = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield shingles(column.take(pa.array(np.arange(at, end))), words)  # a copy: offsets begin at 0
+        at = end
+
+
 def _class_of(s: np.ndarray) -> int:
     import xxhash
 
@@ -100,10 +114,9 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
         import pyarrow as pa
 
         for batch in batches:
-            sets = shingles(batch.column(0), words)
-            if sets:
+            for sets in _sliced(batch.column(0), words, 12 << 20):
                 key, n = np.unique(np.concatenate(sets), return_counts=True)
-                often = n > 2
+                often = n > 1
                 yield pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["key", "n"])
 
     rows = docs.select("_text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -126,7 +139,7 @@ def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray,
         seen: set[int] = set()
         for batch in batches:
             n, cls, first = [], [], []
-            for s in shingles(batch.column(1), words):
+            for s in (s for part in _sliced(batch.column(1), words) for s in part):
                 n.append(len(s))
                 c = _class_of(s) if len(s) else None
                 cls.append(c)
@@ -190,7 +203,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
         bits, seen = spread.value, set()
         for batch in batches:
             cls, sets = [], []
-            for s in shingles(batch.column(0), words):
+            for s in (s for part in _sliced(batch.column(0), words) for s in part):
                 if not len(s):
                     continue
                 c = _class_of(s)
