@@ -31,13 +31,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annotspark.llm.common import text_or_empty, written
+from annotspark.llm.common import discard, let, text_or_empty, written
 
 LENGTH = 50
 #: Bytes of the short strings whose least hash is a window's anchor.
 GRAM = 24
 #: Fragments in a block, at most (for anchors with more: on average).
-BLOCK = 2048
+BLOCK = 4096
 FILTER_BITS = 1 << 26
 _LAST = (1 << 63) - 1
 
@@ -167,8 +167,13 @@ def filter_bits(values: DataFrame) -> np.ndarray:
     return out
 
 
-def occurrences(rows: DataFrame, bits, length: int, gram: int) -> DataFrame:
-    """Fragments of shared anchors: anchor, fragment, doc, row, start, windows; the bytes once per few megabytes."""
+def _hits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    p = values.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return np.flatnonzero(bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & 1)
+
+
+def occurrences(rows: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataFrame:
+    """Fragments whose anchor passes the filter: anchor, fragment, doc, row, start, windows."""
     spread = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator) -> Iterator:
@@ -176,18 +181,45 @@ def occurrences(rows: DataFrame, bits, length: int, gram: int) -> DataFrame:
 
         for ids, keys, texts in _slices(batches):
             owner, start, windows, anchor, made = fragments(texts, length, gram)
-            p = anchor & np.uint64(FILTER_BITS - 1)
-            hit = np.flatnonzero(spread.value[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & 1)
+            hit = _hits(spread.value, anchor)
             owner, start, windows, anchor, made = (x[hit] for x in (owner, start, windows, anchor, made))
-            body: list = [None] * len(made)
-            for k in np.unique(made, return_index=True)[1].tolist():
-                body[k] = texts[owner[k]][start[k] : start[k] + windows[k] + length - 1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(made.view(np.int64)), pa.array(np.array(ids, dtype=np.int64)[owner]), pa.array(np.array(keys, dtype=np.int64)[owner]), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(body, pa.binary())],
-                names=["anchor", "fragment", "doc", "row", "start", "windows", "body"],
+                [pa.array(anchor.view(np.int64)), pa.array(made.view(np.int64)), pa.array(np.array(ids, dtype=np.int64)[owner]), pa.array(np.array(keys, dtype=np.int64)[owner]), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32))],
+                names=["anchor", "fragment", "doc", "row", "start", "windows"],
             )
 
-    return rows.mapInArrow(run, "anchor long, fragment long, doc long, row long, start int, windows int, body binary")
+    return rows.mapInArrow(run, "anchor long, fragment long, doc long, row long, start int, windows int")
+
+
+def bodies(rows: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataFrame:
+    """(fragment, body) of the fragments that pass the filter, once per few megabytes."""
+    spread = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for _, _, texts in _slices(batches):
+            owner, start, windows, _, made = fragments(texts, length, gram)
+            hit = _hits(spread.value, made)
+            hit = hit[np.unique(made[hit], return_index=True)[1]]
+            body = [texts[owner[k]][start[k] : start[k] + windows[k] + length - 1] for k in hit.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(made[hit].view(np.int64)), pa.array(body, pa.binary())], names=["fragment", "body"])
+
+    return rows.mapInArrow(run, "fragment long, body binary")
+
+
+def passing(found: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows whose column passes the filter, which spares the others a shuffle."""
+    spread = found.sparkSession.sparkContext.broadcast(bits)
+    at = found.columns.index(column)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.take(pa.array(_hits(spread.value, batch.column(at).to_numpy())))
+
+    return found.mapInArrow(run, found.schema)
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -260,16 +292,40 @@ def block_minima(bodies: list[bytes], docs: np.ndarray, length: int) -> tuple[li
     return [least[of[a:b]] for a, b in spans], [of[a:b] for a, b in spans]
 
 
+def _meets_another(bodies: list[bytes], length: int) -> np.ndarray:
+    """Which fragments have a window whose hash another window has too."""
+    sizes = np.array([len(b) for b in bodies], dtype=np.int64)
+    first = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(bodies)), sizes)
+    h = _grams(np.frombuffer(b"".join(bodies), dtype=np.uint8), length)
+    m = len(h)
+    whole = np.flatnonzero(np.arange(m) - first[owner[:m]] <= sizes[owner[:m]] - length)
+    order = np.argsort(h[whole], kind="stable")
+    key, own = h[whole][order], owner[whole][order]
+    same = key[1:] == key[:-1]
+    out = np.zeros(len(bodies), dtype=bool)
+    out[own[1:][same]] = True
+    out[own[:-1][same]] = True
+    return out
+
+
 def _minima(length: int, split: bool):
     def run(table):
         import pyarrow as pa
         import xxhash
 
         bodies = table.column("body").to_pylist()
-        least, groups = block_minima(bodies, table.column("low").to_numpy(), length)
-        names = table.column("fragment").to_numpy()
+        low, high, names = (table.column(c).to_numpy() for c in ("low", "high", "fragment"))
         if not split:
-            return pa.table({"fragment": names, "least": pa.array(least, pa.list_(pa.int64()))})
+            # all fragments of its anchors are here: one without a window like another's stands for itself
+            met = _meets_another(bodies, length)
+            alone = np.flatnonzero(~met & (low < high))
+            some = np.flatnonzero(met)
+            least = block_minima([bodies[k] for k in some.tolist()], low[some], length)[0] if len(some) else []
+            rows = [None] * len(alone) + least
+            which = np.concatenate([alone, some])
+            return pa.table({"fragment": names[which], "low": low[which], "least": pa.array(rows, pa.list_(pa.int64()))})
+        least, groups = block_minima(bodies, low, length)
         digests: dict[int, int] = {}
         rows = []
         for body, group in zip(bodies, groups):
@@ -282,19 +338,19 @@ def _minima(length: int, split: bool):
     return run
 
 
-def window_minima(found: DataFrame, length: int) -> DataFrame:
+def window_minima(rows: DataFrame, found: DataFrame, length: int, gram: int) -> DataFrame:
     """(fragment, low, least): the least document of the whole fragment and, where needed, of each of its windows."""
     distinct = written(found.groupBy("anchor", "fragment").agg(F.min("doc").alias("low"), F.max("doc").alias("high")), "fragments")
     anchors = distinct.groupBy("anchor").agg(F.count("*").alias("m"), F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low < _high")
     anchors = written(anchors.select("anchor", "m"), "anchors")
     alike = distinct.join(anchors.where("m = 1"), "anchor").where("low < high").select("fragment", "low", F.lit(None).cast("array<long>").alias("least"))
 
-    mixed = distinct.join(anchors.where("m > 1"), "anchor").select("anchor", "fragment", "low", "m")
-    bodies = found.where("body IS NOT NULL").select("fragment", "body")
-    full = written(mixed.join(bodies, "fragment").dropDuplicates(["fragment"]), "mixed")
+    mixed = written(distinct.join(anchors.where("m > 1"), "anchor").select("anchor", "fragment", "low", "high", "m"), "mixed")
+    made = bodies(rows, filter_bits(mixed.select("fragment")), length, gram)
+    full = written(mixed.join(made, "fragment").dropDuplicates(["fragment"]), "bodies")
     blocks = max(1, full.where(F.col("m") <= BLOCK).count() // (BLOCK // 2))
     few = full.where(F.col("m") <= BLOCK).withColumn("g", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    whole = few.groupBy("g").applyInArrow(_minima(length, False), "fragment long, least array<long>")
+    whole = few.groupBy("g").applyInArrow(_minima(length, False), "fragment long, low long, least array<long>")
 
     many = full.where(F.col("m") > BLOCK).withColumn("g", F.pmod(F.xxhash64("fragment"), F.ceil(F.col("m") / BLOCK)))
     parts = written(many.groupBy("anchor", "g").applyInArrow(_minima(length, True), "fragment long, least array<long>, windows array<long>"), "parts")
@@ -302,28 +358,39 @@ def window_minima(found: DataFrame, length: int) -> DataFrame:
     low = slots.groupBy("windows").agg(F.min("least").alias("low"))
     joined = slots.join(low, "windows").groupBy("fragment").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("s"))
     joined = joined.select("fragment", F.transform("s", lambda x: x["low"]).alias("least"))
-    return alike.unionByName(whole.unionByName(joined).withColumn("low", F.array_min("least")))
+    joined = joined.withColumn("low", F.array_min("least"))
+    whole = whole.withColumn("low", F.coalesce(F.array_min("least"), "low"))
+    out = written(alike.unionByName(whole).unionByName(joined), "minima")
+    discard(distinct, anchors, mixed, full, parts)
+    return out
 
 
 def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(row, spans): stretches [a, b) to remove, unsorted, for rows (_doc, _row, _text)."""
-    bits = filter_bits(written(shared_anchors(rows, length, gram), "shared"))
+    shared = written(shared_anchors(rows, length, gram), "shared")
+    bits = filter_bits(shared)
+    discard(shared)
     found = written(occurrences(rows, bits, length, gram), "occurrences")
-    minima = written(window_minima(found, length), "minima")
-    hits = found.select("fragment", "doc", "row", "start", "windows").join(minima, "fragment").where("low < doc")
-    flags = F.transform("least", lambda x: x < F.col("doc"))
-    runs = F.transform(  # where a run of removed windows begins and ends
-        F.filter(F.sequence(F.lit(0), F.size(flags)), lambda k: F.coalesce(F.get(F.col("_f"), k), F.lit(False)) != F.coalesce(F.get(F.col("_f"), k - 1), F.lit(False))),
-        lambda k: k,
+    minima = window_minima(rows, found, length, gram)
+    places = passing(found.select("fragment", "doc", "row", "start", "windows"), "fragment", filter_bits(minima.select("fragment")))
+    hits = places.join(minima, "fragment").where("low < doc")
+
+    def edges(flags):  # where runs of removed windows begin and end, in turn
+        at = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
+        return F.filter(F.sequence(F.lit(0), F.size(flags)), lambda k: at(k) != at(k - 1))
+
+    whole = F.array(F.lit(0), F.col("windows"))
+    cuts = F.when(F.col("least").isNull(), whole).otherwise(let(F.transform("least", lambda x: x < F.col("doc")), edges))
+    spans = let(
+        cuts,
+        lambda e: F.transform(
+            F.filter(e, lambda x, k: k % 2 == 0),
+            lambda x, k: F.struct((F.col("start") + x).alias("a"), (F.col("start") + F.get(e, 2 * k + 1) + length - 1).alias("b")),
+        ),
     )
-    split = hits.withColumn("_f", flags).withColumn(
-        "_e", F.when(F.col("least").isNull(), F.array(F.lit(0), F.col("windows"))).otherwise(runs)
-    )
-    spans = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("_e") / 2).cast("int") - 1),
-        lambda k: F.struct((F.col("start") + F.get(F.col("_e"), 2 * k)).alias("a"), (F.col("start") + F.get(F.col("_e"), 2 * k + 1) + length - 1).alias("b")),
-    )
-    return split.where(F.size("_e") > 0).select("row", spans.alias("s")).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    out = written(hits.select("row", spans.alias("s")).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    discard(found, minima)
+    return out
 
 
 def _cut(text: bytes, spans) -> tuple[bytes, int]:
@@ -352,7 +419,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     cols = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text_col]).alias("doc"), text_or_empty(f"`{text_col}`").alias("_text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("_doc"))
     packed = packed.withColumn("_row", F.xxhash64("_doc", "_text"))
-    spans = written(removed_spans(packed.select("_doc", "_row", "_text"), length, gram), "spans")
+    spans = removed_spans(packed.select("_doc", "_row", "_text"), length, gram)
     joined = packed.select("doc", "_row", "_text").join(spans.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
     kind = joined.schema["doc"].dataType.simpleString()
 
