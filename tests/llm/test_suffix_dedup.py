@@ -30,7 +30,7 @@ def test_sample_and_tricky(sample, tricky):
         assert got(docs) == sorted(map(str, sd.brute_force(rows)))
 
 
-@pytest.mark.parametrize("block", [2048, 4])
+@pytest.mark.parametrize("block", [4096, 4])
 def test_passages_in_many_documents(spark, monkeypatch, block):
     monkeypatch.setattr(sd, "BLOCK", block)
     rng = random.Random(2)
