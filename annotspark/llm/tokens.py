@@ -16,7 +16,9 @@ import numpy as np
 
 #: Entries after which a worker's memo is emptied; bounds memory, never results.
 MEMO_ENTRIES = 500_000
-ODD_SPACE = r" \s|\s |^\s|\s$"
+#: Unicode white space by name, as the patterns' ``\s`` means it; RE2's ``\s`` is ASCII without ``\v``.
+_SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+ODD_SPACE = rf" {_SPACE}|{_SPACE} |^{_SPACE}|{_SPACE}$"
 
 
 def tokenizer_path(name: str) -> str:

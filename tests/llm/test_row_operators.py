@@ -57,6 +57,18 @@ def test_byte_pairs_equal_the_library(sample, tricky):
         assert got == want
 
 
+def test_runs_of_unicode_white_space_equal_the_library(spark):
+    ranks = byte_bpe.read_ranks(RANKS)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spaces = "\t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2003\u200a\u2028\u2029\u202f\u205f\u3000"
+    texts = [f"Home{run}About us" for c in spaces for n in (1, 2, 4, 8) for run in (f" {c}" * n, f"{c} " * n, f" {c}" * n + " ", c * n)]
+    texts += [f"{c} a b {c}" for c in spaces] + [f"a {c}" for c in spaces]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()}
+    assert got == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert enc.encode_ordinary("Home \xa0 \xa0 \xa0 \xa0 About") == [16060, 22686, 7994]
+
+
 def test_long_and_short_pieces_merge_alike():
     enc = byte_bpe.encoder(RANKS, public_tokenizers.PATTERN)
     pieces = [b"ab" * n for n in range(1, 32)] + ["é".encode() * 9, b"internationalisation", bytes(range(200, 250))]
