@@ -31,11 +31,8 @@ def subsequence(seq: Column, start: Column, end: Column) -> Column:
 def translate(seq: Column, table: int = 1) -> Column:
     """Protein of a coding sequence: unknown codons X, an incomplete last codon and one final stop dropped."""
     code = F.create_map(*[F.lit(x) for pair in codons(table).items() for x in pair])
-    count = F.floor(F.length(seq) / 3).cast("int")
-    letters = F.transform(
-        F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(F.upper(seq), 3 * i - 2, F.lit(3))), lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X"))
-    )
-    return F.when(count < 1, F.lit("")).otherwise(F.regexp_replace(F.array_join(letters, ""), r"\*$", ""))
+    found = F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0))  # one pass, however long the sequence is
+    return F.regexp_replace(F.array_join(F.transform(found, lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X"))), ""), r"\*$", "")
 
 
 def internal_stops(protein: Column) -> Column:
@@ -51,7 +48,7 @@ _PROT = f"(SELECT seq_id, {_PROTEIN} AS protein FROM fx_seq)"
 
 
 def proteins(seqs: DataFrame) -> DataFrame:
-    return seqs.select("seq_id", translate(F.substring("seq", 1, 3000)).alias("protein"))
+    return seqs.select("seq_id", translate(F.col("seq")).alias("protein"))
 
 
 @query("P04_subsequence", "fx_seq", "SELECT seq_id, CASE WHEN seq_id % 20 BETWEEN 1 AND 60 THEN substr(seq, CAST(seq_id % 20 AS BIGINT), CAST(60 - seq_id % 20 + 1 AS BIGINT)) ELSE '' END AS part FROM fx_seq")
