@@ -100,8 +100,12 @@ def a06(features):
 
 #: Fixed reference ranges: taxon, least and greatest gene count, mean gene length, exons per gene.
 RANGES = [
-    ("ascomycota", 5000, 15000, 1200.0, 2500.0, 1.0, 4.0),
-    ("basidiomycota", 6000, 25000, 1300.0, 3000.0, 3.0, 8.0),
+    ("fungi", 5000, 15000, 100.0, 2000.0, 2.0, 5.0),
+    ("ascomycota", 6000, 12000, 300.0, 1500.0, 2.0, 4.0),
+    ("basidiomycota", 8000, 20000, 400.0, 2000.0, 3.0, 6.0),
+    ("plants", 20000, 50000, 1000.0, 5000.0, 4.0, 8.0),
+    ("animals", 15000, 25000, 1000.0, 10000.0, 5.0, 12.0),
+    ("mammals", 19000, 23000, 1500.0, 15000.0, 6.0, 15.0),
 ]
 
 
