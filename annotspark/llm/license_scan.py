@@ -2,9 +2,10 @@
 
 A template is its set of words.  Words of all templates are ordered by how many documents hold them, rarest first,
 counted over the whole corpus; a block that holds at least ``threshold`` of a template's m words must hold one of its
-``m - need + 1`` rarest (prefix filter), needs that many words itself (length filter), and from its first shared word
-on, enough must be left in the template (positional filter).  Blocks are windows of twice a template's length that
-start at every m-th word, so every passage of m words lies inside one.  Both sides of the join that are broadcast are
+``m - need + 1`` rarest (prefix filter), and the words around those must hold as many at all (length filter; with
+that, enough is left of the template from the first shared word on, so no positional filter is needed).  Blocks are all windows of twice a template's length (or
+the whole text, if shorter) that hold such a rare word; they are slid word by word with running counts, so where a
+passage stands in its text decides nothing.  Both sides of the join that are broadcast are
 the templates and their word counts, whose size is that of the template list and never grows with the data.
 
 Base phrases are found wherever their words stand in a row.
@@ -65,6 +66,34 @@ def word_counts(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text")
     return {r["word"].encode(): r["n"] for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
+def most_shared(ws: list[bytes], at: list[int], rank: dict[bytes, int], width: int, need: int) -> int:
+    """The most different template words in any ``width`` words around one of the places ``at``, as far as it is ``need`` or more."""
+    best, k, n = 0, 0, len(at)
+    while k < n:
+        low = max(at[k] - width + 1, 0)
+        high = at[k] + width
+        k += 1
+        while k < n and at[k] - width < high:  # areas that overlap are one
+            high = at[k] + width
+            k += 1
+        found = [(i, w) for i, w in enumerate(ws[low:high], low) if w in rank]
+        if len({w for _, w in found}) < need:
+            continue
+        held: dict[bytes, int] = {}
+        tail = 0
+        for i, w in found:
+            held[w] = held.get(w, 0) + 1
+            while found[tail][0] <= i - width:
+                old = found[tail][1]
+                tail += 1
+                if held[old] == 1:
+                    del held[old]
+                else:
+                    held[old] -= 1
+            best = max(best, len(held))
+    return best
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], phrases: dict[str, str], counts: dict[bytes, int], threshold: float):
         self.phrases = [(words(p), label) for p, label in phrases.items()]
@@ -85,7 +114,7 @@ class Scanner:
         ws = words(text)
         wanted = self.wanted
         hits = [i for i, w in enumerate(ws) if w in wanted]
-        places, base, extra, score, windows = [], set(), set(), 0.0, set()
+        places, base, extra, score, rare = [], set(), set(), 0.0, {}
         for i in hits:
             if ws[i] in self.first:
                 for phrase, label in self.phrases:
@@ -93,18 +122,13 @@ class Scanner:
                         places.append(i)
                         base.add(label)
             for r in self.owners.get(ws[i], ()):
-                m = self.rules[r][2]
-                windows.update((r, s) for s in (i // m * m, i // m * m - m) if s >= 0)
-        for r, s in windows:
-            label, template, m, need, rank = self.rules[r]
-            block = set(ws[s : s + 2 * m])
-            if len(block) < need:
-                continue
-            shared = block & template
-            if m - min(rank[w] for w in shared) < need or len(shared) < need:
-                continue
-            extra.add(label)
-            score = max(score, len(shared) / m)
+                rare.setdefault(r, []).append(i)
+        for r, at in rare.items():
+            label, _, m, need, rank = self.rules[r]
+            best = most_shared(ws, at, rank, 2 * m, need)
+            if best >= need:
+                extra.add(label)
+                score = max(score, best / m)
         return len(ws), len(places), min(places, default=None), max(places, default=None), base, base | extra, score
 
 
