@@ -42,7 +42,7 @@ def j02(features):
 
 
 @query("J03_attr_from_ancestors", "fx_feature", f"""SELECT c.id, coalesce(c.locus_tag, m.locus_tag, g.locus_tag) AS locus_tag FROM fx_feature c LEFT JOIN ({_IDS}) m ON m.id = c.parent LEFT JOIN ({_IDS}) g ON g.id = m.parent""")
-def j03(features, hops: int = 2):
+def j03(features, hops: int = 8):
     """The nearest locus tag up the parent chain."""
     known = ids(features).select(F.col("id").alias("_up"), F.col("parent").alias("_next"), F.col("locus_tag").alias("_tag"))
     out = features.select("id", F.col("locus_tag").alias("found"), F.col("parent").alias("_at"))
