@@ -1,21 +1,24 @@
-"""Exact n-gram Jaccard join by pivots, regions and triangle-inequality windows.
+"""Exact n-gram Jaccard join by pivots, Voronoi regions and triangle-inequality windows.
 
 A document's set is its distinct word shingles, hashed to 64 bits; documents with equal sets are one class, and the
 work is on classes.  Jaccard distance (one minus similarity) is a metric, but in prose nearly all distances to any
-pivot are 1, so pivots taken at large would replicate every document into every region.  Regions are therefore seeded
-by shingles: each class belongs to the regions of its ``n - ceil(t n) + 1`` first shingles in a fixed order, commonest
-last, and any two classes within the threshold meet in one.  In a region
-
-* a pivot's Voronoi cell is what lies within the threshold of it: such classes are linked without looking at pairs;
-* only members of different components are left, and for two of them to be linked their distances to the pivot may
-  differ by the threshold distance at most (triangle inequality) and their sizes must allow it: these windows decide
-  which border documents are carried over to another cell;
-* regions with much left are joined again with a further pivot each, and in the end what is left is compared exactly.
-
-So nothing is enumerated inside a large group of copies: it costs one distance per member.
+pivot are 1, so pivots taken at large would replicate every document into every region.  The first level of regions is
+therefore seeded by shingles: each class belongs to the regions of its ``n - ceil(t n) + 1`` first shingles in a fixed
+order, commonest last, and any two classes within the threshold meet in one.  Regions of the same members are one
+region.  From there on the metric decides:
+
+* every region has a pivot; members within the threshold of it are linked to it, so that copies cost one distance each
+  and only members of different components are left to compare.  A member too far by its size or its places in the
+  order is not measured: what these leave open is kept as the interval in which its distance lies;
+* a region of more than ``CELL`` rows gets ``PIVOTS`` further pivots.  The distances of all members to them are taken,
+  each member belongs to the Voronoi cell of its nearest pivot, and it is replicated as a guest into those other cells
+  whose members the triangle inequality lets it reach.  Cells that are still too large are divided again;
+* in a cell of at most ``CELL`` rows the pairs that the windows of distance, size and place leave are compared exactly.
+  A cell that pivots can't make smaller (all its members are about as far from one another) is joined block by block,
+  each block and group of that bounded size, all pairs of blocks together being the whole cell.
 
 The order of shingles affects cost only.  Shingles that repeat inside a batch of documents are counted over the whole
-corpus, and the ``COMMON`` most frequent (a bounded list) go last.
+corpus; of these the most frequent, by a count from which on there are at most ``COMMON``, go last.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; texts of fewer words than a
 shingle are one shingle; repeated rows are documents of their own; extra columns are ignored; an empty table gives no
@@ -27,23 +30,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annotspark.llm.common import text_or_empty, written
+from annotspark.llm.common import discard, text_or_empty, written
 from annotspark.llm.components import components
 
 WORDS = 5
 PERCENT = 75
 #: Shingles that are ordered last; a bounded list that is sent to all tasks.
-COMMON = 1 << 20
+COMMON = 1 << 19
 #: Bits of the filter of classes whose sets are needed; bounded, a fuller one only lets more sets pass.
 FILTER_BITS = 1 << 26
-#: Rounds with a further pivot before the rest is compared, and pairs per region row that make a round worth while.
-ROUNDS = 2
-FEW_PAIRS = 16
-#: Pairs in all that are always few.
-FEW_IN_ALL = 2_000_000
+#: Rows up to which a cell is compared directly, and pivots that divide a larger one.
+CELL = 128
+PIVOTS = 8
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -119,9 +120,26 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
                 often = n > 1
                 yield pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["key", "n"])
 
-    rows = docs.select("_text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = rows.orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
-    key, n = top["key"].to_numpy(dtype=np.int64).view(np.uint64), top["n"].to_numpy(dtype=np.int64)
+    counts = written(docs.select("_text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
+    # a count is looked for from which on the list is short enough; counts fall into at most 8 * 64 steps
+    step = F.floor(8 * F.log2("n")).cast("int")
+    room, least = COMMON, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("m")).collect(), reverse=True):
+        room -= r["m"]
+        if room < 0:
+            break
+        least = r["step"]
+
+    def pack(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy().tobytes()], pa.binary()) for c in batch.columns], names=["key", "n"])
+
+    top = [] if least is None else counts.where(step >= least).select("key", "n").mapInArrow(pack, "key binary, n binary").collect()
+    discard(counts)
+    key, n = (np.frombuffer(b"".join(bytes(r[c]) for r in top), dtype=np.int64) for c in (0, 1))
+    key = key.view(np.uint64)
     order = np.argsort(key)
     place = np.empty(len(key), dtype=np.int64)
     place[np.lexsort((key, n))] = np.arange(len(key))
@@ -221,81 +239,131 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, inter, total): sizes of the intersection and union of each pair's sets."""
+    """(a, b, inter, total, far): sizes of each pair's intersection and union, and its Jaccard distance; each pair once."""
+    pairs = pairs.distinct()
     right = pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_sb")), "b")
     both = right.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_sa")), "a")
-    inter = F.size(F.array_intersect("_sa", "_sb"))
-    rows = both.select("a", "b", inter.alias("inter"), (F.size("_sa") + F.size("_sb")).alias("_n"))
-    return rows.select("a", "b", "inter", (F.col("_n") - F.col("inter")).alias("total"))
+    rows = both.select("a", "b", F.size(F.array_intersect("_sa", "_sb")).alias("inter"), (F.size("_sa") + F.size("_sb")).alias("_n"))
+    rows = rows.select("a", "b", "inter", (F.col("_n") - F.col("inter")).alias("total"))
+    return written(rows.withColumn("far", 1 - F.col("inter") / F.col("total")), "distances")
 
 
-def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) out of rows (a, b, na, nb, ia, ib, ra, rb), one for each region in which a pair meets, that may be linked.
+def _most(a: str, b: str) -> Column:
+    """Shingles that two members of a region share at most.
 
-    ``ia`` is the place of the region's shingle in the first order, ``ra`` how many of a's shingles up to there lie in
-    any other class's first ones.  Up to that shingle the two share at most ``ra`` and ``rb``, beyond it at most what
-    either has left.
+    ``i`` is the place of the region's shingle in a class's order, ``r`` how many of the class's shingles up to there
+    lie in any other class's first ones: up to there two share no more than either has of those, beyond it no more
+    than either has left.
     """
-    most = F.least("ra", "rb") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) - 1
-    pairs = met.groupBy("a", "b", "na", "nb").agg(F.min(most).alias("most"))
-    return pairs.where(F.col("most") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+    c = lambda t, x: F.col(f"{t}.{x}")
+    return F.least(c(a, "r"), c(b, "r")) + F.least(c(a, "n") - c(a, "i"), c(b, "n") - c(b, "i")) - 1
+
+
+def _near_enough(a: str, b: str, percent: int) -> Column:
+    """Whether size and place let two members be linked."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_most(a, b) * (100 + percent) >= (n + m) * percent)
+
+
+def _linked(found: DataFrame, percent: int) -> DataFrame:
+    return found.where(F.col("inter") * 100 >= F.col("total") * percent).select("a", "b")
+
+
+def first_regions(seen: DataFrame, percent: int) -> DataFrame:
+    """(key, cls, n, i, r): the members of every region of two classes or more, regions of equal members once."""
+    firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
+    shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
+    rows = firsts.join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
+    # a linked pair shares at least the percentage of either set
+    rows = written(rows.where(100 * (F.col("r") + F.col("n") - F.col("i") - 1) >= percent * F.col("n")), "rows")
+    mark = lambda seed: F.bit_xor(F.xxhash64("cls", F.lit(seed)))
+    marks = rows.groupBy("key").agg(F.count("*").alias("m"), mark(1).alias("x"), mark(2).alias("y")).where("m > 1")
+    out = written(rows.join(marks.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key"), "regions")
+    discard(rows)
+    return out
 
 
-def _meeting(a: str, b: str) -> list:
-    return [F.col(f"{t}.{c}").alias(n + s) for c, n in (("cls", ""), ("n", "n"), ("i", "i"), ("r", "r")) for t, s in ((a, "a"), (b, "b"))]
+def _open(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the cells in which members of different components are left, with their labels and the cell's rows ``m``."""
+    now = cells.drop("label", "m").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    some = now.groupBy("key", "cell").agg(F.count("*").alias("m"), F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
+    return written(now.join(some.select("key", "cell", "m"), ["key", "cell"]), "open")
+
+
+def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
+    """Voronoi cells of large cells, and the distances to the pivots.
+
+    A member x and a member y of the cell around q, both within ``reach`` of each other, satisfy d(x, q) <= d(x, p) +
+    2 reach for every pivot p, and d(x, q) <= reach + the farthest member's distance.  Where both windows hold x is a
+    guest of q; guests meet members, not one another.  Of two members of different cells one visits the other's: the
+    one of the greater pivot.
+    """
+    draw = [F.min(F.struct(F.xxhash64("cls", "cell", F.lit(j)).alias("h"), "cls")).alias(f"p{j}") for j in range(PIVOTS)]
+    picked = cells.where("home").groupBy("key", "cell").agg(*draw)
+    picked = written(picked.select("key", "cell", F.explode(F.array_distinct(F.array(*[F.col(f"p{j}.cls") for j in range(PIVOTS)]))).alias("pivot")), "pivots")
+    met = cells.join(picked, ["key", "cell"])
+    found = distances(met.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")), sets)
+    far = found.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "far")
+    placed = met.join(far, ["pivot", "cls"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
+    near = placed.groupBy("key", "cell", "cls").agg(F.min(F.struct("far", "pivot")).alias("near"))
+    placed = written(placed.join(near, ["key", "cell", "cls"]), "placed")
+    own = F.col("home") & (F.col("pivot") == F.col("near.pivot"))
+    radius = placed.where(own).groupBy("key", "cell", "pivot").agg(F.max("far").alias("radius"))
+    visits = (F.col("far") <= F.col("near.far") + 2 * reach) & (F.col("far") <= F.col("radius") + reach) & (~F.col("home") | (F.col("pivot") < F.col("near.pivot")))
+    out = placed.join(radius, ["key", "cell", "pivot"]).where(own | visits)
+    out = out.select("key", F.xxhash64("cell", "pivot").alias("cell"), "cls", "n", "i", "r", own.alias("home"), F.col("far").alias("low"), F.col("far").alias("high"), F.col("m").alias("above"))
+    return written(out, "cells"), found
+
+
+def inside(cells: DataFrame, percent: int, reach: float) -> DataFrame:
+    """Pairs of a cell's members that all windows leave, block by block where a cell has more than ``CELL`` rows."""
+    blocks = F.ceil(F.col("m") / CELL).cast("int")
+    rows = cells.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
+    rows = rows.withColumn("p", F.explode(others)).select("*", "p.lo", "p.hi").drop("p", "m")
+    a, b = rows.where("block = lo").alias("a"), rows.where("block = hi").alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "cell", "lo", "hi")]
+    once = (F.col("a.cls") < F.col("b.cls")) | (F.col("a.lo") < F.col("a.hi"))
+    triangle = (F.col("a.low") <= F.col("b.high") + reach) & (F.col("b.low") <= F.col("a.high") + reach)
+    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home"))
+    met = a.join(b, [*same, once & apart & triangle & _near_enough("a", "b", percent)])
+    return met.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """Per document: id, ``n_shingles`` and ``component_id`` (least id reachable by links)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_or_empty(text_col).alias("_text"))
     seen = written(sketch(rows, percent, words, common_shingles(rows, words)), "sketch")
-    firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
-    shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
-    regions = firsts.join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
-    regions = written(regions, "regions")
-
-    close = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))
-    linked = F.col("inter") * 100 >= F.col("total") * percent
-    pivots = written(regions.groupBy("key").agg(F.min(F.struct("cls", "n", "i", "r")).alias("p")), "pivots")
-    stars = regions.alias("b").join(pivots, "key").where((F.col("b.cls") != F.col("p.cls")) & close(F.col("b.n"), F.col("p.n")))
-    known = _measured(rows, _candidates(stars.select(*_meeting("p", "b")), percent), words)
-    links = known.where(linked).select("a", "b")
+    regions = first_regions(seen, percent)
+    sets = sets_of(rows, regions.select("cls").distinct(), words)
     reach = 1.0 - percent / 100 + 1e-9
 
-    away = known.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), (1 - F.col("inter") / F.col("total")).alias("away"))
-    regions = regions.join(pivots.select("key", F.col("p.cls").alias("pivot")), "key").where("cls <> pivot")
-    regions = regions.join(away, ["pivot", "cls"], "left").drop("pivot")
-    for turn in range(ROUNDS + 1):
-        groups = components(links)
-        left = regions.drop("label").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        cells = left.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("cls").alias("low"))
-        open_ = cells.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.min("low").alias("next")).where("m * m > own")
-        open_ = written(open_, "open")
-        size = open_.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
-        if not size["pairs"]:
+    pivots = written(regions.groupBy("key").agg(F.min_by(F.struct("cls", "n", "i", "r"), "cls").alias("p")).select("key", "p.*"), "pivots")
+    stars = regions.alias("b").join(pivots.alias("p"), "key").where("b.cls <> p.cls")
+    found = distances(stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b")), sets)
+    links = written(_linked(found, percent), "links")
+    # the distance to the pivot: measured, or an interval from the most that the two can share
+    most = F.least(_most("p", "b"), F.col("p.n"), F.col("b.n"))
+    bound = stars.select("key", F.col("b.cls").alias("cls"), F.col("p.cls").alias("pivot"), (1 - most / (F.col("p.n") + F.col("b.n") - most)).alias("bound"))
+    known = bound.join(found.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "far"), ["pivot", "cls"], "left")
+    known = known.select("key", "cls", F.coalesce("far", "bound").alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
+    # the pivot itself has been compared with all
+    cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
+    ready = None
+    while True:
+        left = _open(cells, components(links))
+        direct = left.where((F.col("m") <= CELL) | (2 * F.col("m") > F.col("above"))).drop("above")
+        ready = direct if ready is None else ready.unionByName(direct)
+        large = left.where((F.col("m") > CELL) & ((2 * F.col("m") <= F.col("above")) | F.col("above").isNull()))
+        if large.isEmpty():
             break
-        regions = written(left.join(open_.select("key", "next"), "key"), "regions")
-        a, b = regions.alias("a"), regions.alias("b")
-        window = F.coalesce(F.abs(F.col("a.away") - F.col("b.away")) <= reach, F.lit(True)) & close(F.col("a.n"), F.col("b.n")) & (F.col("a.label") != F.col("b.label"))
-        last = turn == ROUNDS or size["pairs"] <= max(FEW_IN_ALL, FEW_PAIRS * size["rows"])
-        first = regions.alias("a") if last else regions.where("cls = next").alias("a")
-        order = F.col("a.cls") < F.col("b.cls") if last else F.lit(True)
-        met = first.join(b, (F.col("a.key") == F.col("b.key")) & window & order)
-        fresh = _measured(rows, _candidates(met.select(*_meeting("a", "b")), percent), words).where(linked).select("a", "b")
-        links = written(links.union(fresh).distinct(), "links")
-        if last:
-            groups = components(links)
-            break
-        regions = regions.where("cls <> next").drop("next")
+        cells, found = divide(large, sets, reach)
+        links = written(links.union(_linked(found, percent)), "links")
+    pairs = written(inside(ready, percent, reach).distinct(), "pairs")
+    links = links.union(_linked(distances(pairs, sets), percent))
+    groups = components(links)
 
     docs_by = seen.select("_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = docs_by.where("label IS NOT NULL").groupBy("label").agg(F.min("_id").alias("_least"))
     out = docs_by.join(least, "label", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "_id").alias("component_id"))
-
-
-def _measured(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """:func:`distances` of the pairs, from sets computed anew for the classes they name."""
-    pairs = written(pairs, "pairs")
-    nodes = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "nodes")
-    return written(distances(pairs, sets_of(rows, nodes, words)), "distances")

@@ -66,10 +66,11 @@ def test_chains_and_shared_passages(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
     assert got(nj.link_components(df)) == want
-    monkeypatch.setattr(nj, "FEW_PAIRS", 0)
-    monkeypatch.setattr(nj, "FEW_IN_ALL", 0)
-    monkeypatch.setattr(nj, "COMMON", 50)
-    assert got(nj.link_components(df)) == want
+    for cell, pivots, common in ((4, 2, 50), (8, 5, 0), (1, 3, 50)):
+        monkeypatch.setattr(nj, "CELL", cell)
+        monkeypatch.setattr(nj, "PIVOTS", pivots)
+        monkeypatch.setattr(nj, "COMMON", common)
+        assert got(nj.link_components(df)) == want
 
 
 def test_empty(spark):
