@@ -35,13 +35,12 @@ from pyspark.sql import functions as F
 
 from annotspark.llm.common import discard, text_or_empty, written
 from annotspark.llm.components import components
+from annotspark.llm.filters import filter_bits, hits, passing
 
 WORDS = 5
 PERCENT = 75
 #: Shingles that are ordered last; a bounded list that is sent to all tasks.
 COMMON = 1 << 19
-#: Bits of the filter of classes whose sets are needed; bounded, a fuller one only lets more sets pass.
-FILTER_BITS = 1 << 26
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
 CELL = 128
 PIVOTS = 8
@@ -184,68 +183,45 @@ def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray,
     return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, n long, cls long, first array<long>")
 
 
-def _needed(nodes: DataFrame) -> np.ndarray:
-    """A bit per hashed class, gathered as at most FILTER_BITS bits whatever the number of classes."""
-    piece = 1 << 19
+def sets_of(docs: DataFrame, seen: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(cls, shingles) of the given classes, computed anew from one document of each; a few come twice."""
+    kept = seen.join(nodes, "cls", "left_semi").groupBy("cls").agg(F.min(_place_of("_id")).alias("_at"))
+    spread = docs.sparkSession.sparkContext.broadcast(filter_bits(kept.select(_mark("cls", "_at"))))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
-            bits[batch.column(0).to_numpy() & (FILTER_BITS - 1)] = True
-        for k in range(FILTER_BITS // piece):
-            part = bits[k * piece : (k + 1) * piece]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part).tobytes()], pa.binary())], names=["k", "bits"])
+            cls, sets, at = [], [], 0
+            for part in _sliced(batch.column(1), words):
+                names = np.array([_class_of(s) if len(s) else 0 for s in part], dtype=np.int64)
+                place = batch.column(0).slice(at, len(part)).to_numpy()
+                at += len(part)
+                some = [k for k in hits(spread.value, names ^ place).tolist() if len(part[k])]
+                cls.extend(names[some].tolist())
+                sets.extend(part[k].view(np.int64) for k in some)
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
 
-    def join(table):
-        import pyarrow as pa
+    made = docs.select(_place_of("_id").alias("_at"), "_text").mapInArrow(run, "cls long, shingles array<long>")
+    return written(made, "sets")
 
-        parts = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
-        return pa.table({"k": table.column("k").slice(0, 1), "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
 
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in nodes.mapInArrow(run, "k int, bits binary").groupBy("k").applyInArrow(join, "k int, bits binary").collect():
-        out[r["k"] * piece // 8 : (r["k"] + 1) * piece // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
+def _place_of(id_col: str) -> Column:
+    return F.xxhash64(id_col)
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(cls, shingles) of the given classes, one row each."""
-    spread = docs.sparkSession.sparkContext.broadcast(_needed(nodes.select("cls")))
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        bits, seen = spread.value, set()
-        for batch in batches:
-            cls, sets = [], []
-            for s in (s for part in _sliced(batch.column(0), words) for s in part):
-                if not len(s):
-                    continue
-                c = _class_of(s)
-                p = c & (FILTER_BITS - 1)
-                if c not in seen and bits[p >> 3] >> (7 - (p & 7)) & 1:
-                    if len(seen) > 2_000_000:
-                        seen.clear()
-                    seen.add(c)
-                    cls.append(c)
-                    sets.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
-
-    made = docs.select("_text").mapInArrow(run, "cls long, shingles array<long>")
-    return written(made.join(nodes, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+def _mark(cls: str, at: str) -> Column:
+    return F.col(cls).bitwiseXOR(F.col(at)).alias("_mark")
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, inter, total, far): sizes of each pair's intersection and union, and its Jaccard distance; each pair once."""
-    pairs = pairs.distinct()
+    pairs = written(pairs.distinct(), "pairs")
     right = pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_sb")), "b")
     both = right.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_sa")), "a")
     rows = both.select("a", "b", F.size(F.array_intersect("_sa", "_sb")).alias("inter"), (F.size("_sa") + F.size("_sb")).alias("_n"))
     rows = rows.select("a", "b", "inter", (F.col("_n") - F.col("inter")).alias("total"))
-    return written(rows.withColumn("far", 1 - F.col("inter") / F.col("total")), "distances")
+    return written(rows.distinct().withColumn("far", 1 - F.col("inter") / F.col("total")), "distances")
 
 
 def _most(a: str, b: str) -> Column:
@@ -269,17 +245,22 @@ def _linked(found: DataFrame, percent: int) -> DataFrame:
     return found.where(F.col("inter") * 100 >= F.col("total") * percent).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+
+
 def first_regions(seen: DataFrame, percent: int) -> DataFrame:
     """(key, cls, n, i, r): the members of every region of two classes or more, regions of equal members once."""
     firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
     shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
-    rows = firsts.join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
+    shared = written(shared, "shared")
+    rows = passing(firsts, "key", filter_bits(shared)).join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
     # a linked pair shares at least the percentage of either set
     rows = written(rows.where(100 * (F.col("r") + F.col("n") - F.col("i") - 1) >= percent * F.col("n")), "rows")
     mark = lambda seed: F.bit_xor(F.xxhash64("cls", F.lit(seed)))
     marks = rows.groupBy("key").agg(F.count("*").alias("m"), mark(1).alias("x"), mark(2).alias("y")).where("m > 1")
     out = written(rows.join(marks.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key"), "regions")
-    discard(rows)
+    discard(rows, shared)
     return out
 
 
@@ -335,12 +316,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_or_empty(text_col).alias("_text"))
     seen = written(sketch(rows, percent, words, common_shingles(rows, words)), "sketch")
     regions = first_regions(seen, percent)
-    sets = sets_of(rows, regions.select("cls").distinct(), words)
     reach = 1.0 - percent / 100 + 1e-9
 
     pivots = written(regions.groupBy("key").agg(F.min_by(F.struct("cls", "n", "i", "r"), "cls").alias("p")).select("key", "p.*"), "pivots")
     stars = regions.alias("b").join(pivots.alias("p"), "key").where("b.cls <> p.cls")
-    found = distances(stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b")), sets)
+    tried = written(stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b")).distinct(), "stars")
+    sets = sets_of(rows, seen, _ends(tried), words)
+    found = distances(tried, sets)
     links = written(_linked(found, percent), "links")
     # the distance to the pivot: measured, or an interval from the most that the two can share
     most = F.least(_most("p", "b"), F.col("p.n"), F.col("b.n"))
@@ -352,6 +334,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ready = None
     while True:
         left = _open(cells, components(links))
+        if ready is None:
+            discard(sets)
+            sets = sets_of(rows, seen, left.select("cls").distinct(), words)
         direct = left.where((F.col("m") <= CELL) | (2 * F.col("m") > F.col("above"))).drop("above")
         ready = direct if ready is None else ready.unionByName(direct)
         large = left.where((F.col("m") > CELL) & ((2 * F.col("m") <= F.col("above")) | F.col("above").isNull()))
@@ -359,8 +344,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         cells, found = divide(large, sets, reach)
         links = written(links.union(_linked(found, percent)), "links")
-    pairs = written(inside(ready, percent, reach).distinct(), "pairs")
-    links = links.union(_linked(distances(pairs, sets), percent))
+    links = links.union(_linked(distances(inside(ready, percent, reach), sets), percent))
     groups = components(links)
 
     docs_by = seen.select("_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
