@@ -2,21 +2,23 @@
 
 Every byte covered by a ``length``-byte string that also starts in a document with a smaller id is removed.
 
-1. *Anchors.*  A window of ``length`` bytes is filed under the least hash of the short strings inside it, a function of
-   the window's bytes alone, so equal windows share it wherever they stand.  Neighbouring windows of one anchor are a
-   fragment.  Anchors seen in one document only are dropped; a filter of bounded size tells which are left.
-2. *Fragments.*  Fragments that are equal as a whole have their least document by a hash aggregation.  Where an anchor
-   has different fragments, one copy of each is gathered in blocks of bounded size, and the anchors with more
-   fragments than a block takes are dealt to several.
-3. *Blocks.*  In a block the fragments are put in suffix order, their Burrows-Wheeler transform is taken, and intervals
-   are extended backwards, breadth first, from the empty string: each level gives the places where neighbours share
-   exactly that many bytes, by increasing value, and the search stops at ``length``.  What is still undivided then
-   shares ``length`` bytes, and has a least document.  For anchors over several blocks those minima are combined by the
-   string's hash.
+1. *Anchors.*  A window of ``length`` bytes holds short strings of ``gram`` bytes.  It is filed under the first of those
+   with the least hash, taken together with the ``(length - gram) // 2`` bytes before it, or behind it where the window
+   ends too soon for those before it.  This key depends on the window's bytes alone, so equal windows share it wherever
+   they stand; and it covers most of a window, so that few others do.  Neighbouring windows of one key are a fragment.
+   Keys seen in documents of one id only are dropped; a filter of bounded size tells which are left.
+2. *Blocks.*  One copy of every fragment left is gathered, with the least document that holds it, in blocks of about
+   ``BLOCK`` bytes.  Keys with more than that are dealt to several.
+3. *Expansion.*  In a block the fragments are put in suffix order, their Burrows-Wheeler transform is taken, and
+   intervals are extended backwards, breadth first, from the empty string: each level gives the places where neighbours
+   share exactly that many bytes, by increasing value, and the search stops at ``length``.  What is still undivided then
+   shares ``length`` bytes, and has a least document.  For keys over several blocks those minima are combined by the
+   string's hash, one row for each block and string.
 4. Windows whose least document is smaller than their own are removed from the text.
 
 All shuffles carry hashes or distinct fragments, combined before they are sent; a passage in a third of all documents
-is one fragment.  Fragments and windows are told apart by 64-bit hashes.
+is one fragment.  A long text is worked on in pieces and a long fragment is cut, so that neither has to fit in a block.
+Keys and fragments are told apart by 64-bit hashes; which windows of a block are equal is told by the transform.
 
 Defined results: null text is the empty text; a null id is greater than all others, and rows with equal (or null) ids
 remove nothing from one another; extra columns are ignored; an empty table gives no rows.
@@ -26,20 +28,29 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import discard, let, text_or_empty, written
+from annotspark.llm.filters import filter_bits, hits, passing
 
 LENGTH = 50
-#: Bytes of the short strings whose least hash is a window's anchor.
-GRAM = 24
-#: Fragments in a block, at most (for anchors with more: on average).
-BLOCK = 4096
-FILTER_BITS = 1 << 26
+#: Bytes of the short strings that anchor a window.
+GRAM = 10
+#: Bytes of fragments in a block.
+BLOCK = 1 << 18
+#: Windows of a fragment at most, and bytes of text worked on at a time.
+WINDOWS = 1 << 12
+SLICE = 1 << 18
+#: Fragments of a task that are held before they are passed on.
+HELD = 1 << 20
 _LAST = (1 << 63) - 1
+_BASE = 0x9E3779B97F4A7C15
+#: Low bits of a hash that give way to the place inside a slice, so that the least value is also the first.
+_PLACE = (1 << 20) - 1
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -48,195 +59,172 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _grams(data: np.ndarray, size: int) -> np.ndarray:
-    """A polynomial hash of every ``size`` bytes, put together from hashes of powers of two."""
-    power = 0x9E3779B97F4A7C15
-    part, width, out, done = _mix(data.astype(np.uint64) + np.uint64(1)), 1, None, 0
-    while True:
-        if size & width:
-            if out is None:
-                out = part
-            else:
-                m = len(data) - done - width + 1
-                out = out[:m] * np.uint64(power) + part[done : done + m]
-            done += width
-        if 2 * width > size:
-            return _mix(out)
-        m = len(part) - width
-        part = part[:m] * np.uint64(power) + part[width : width + m]
-        power, width = power * power % (1 << 64), 2 * width
-
-
-def fragments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """(text number, start, windows, anchor, fragment hash) of all fragments; start is the place in its text."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    none = np.zeros(0, dtype=np.int64)
-    if len(data) < length:
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, and a hash for every byte."""
+
+    def powers(x: int) -> np.ndarray:
+        out = np.full(n, x, dtype=np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    return powers(_BASE), powers(pow(_BASE, -1, 1 << 64)), _mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def fragments(data: np.ndarray, owner: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """(owner, start, windows, key, fragment hash) of the fragments in a slice of joined pieces of text.
+
+    ``owner`` numbers the piece of every byte; no window reaches from one piece into another.
+    """
+    n, m, span = len(data), len(data) - length + 1, length - gram + 1
+    if m < 1:
+        none = np.zeros(0, dtype=np.int64)
         return none, none, none, none.view(np.uint64), none.view(np.uint64)
-    first = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    h = _grams(data, gram)
-    m = len(data) - length + 1
-    low, k, span = h, 1, length - gram + 1
+    if n > _PLACE:
+        raise ValueError("a slice has to be shorter")
+    up, down, letter = _powers(_PLACE + 1)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(letter[data] * up[:n], out=sums[1:])
+    text_hash = lambda a, size: (sums[a + size] - sums[a]) * down[a]
+    low = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
+    low = (low ^ (low >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    low = (low & ~np.uint64(_PLACE)) | np.arange(len(low), dtype=np.uint64)
+    k = 1
     while 2 * k <= span:
         low = np.minimum(low[: len(low) - k], low[k:])
         k *= 2
-    low = np.minimum(low[:m], low[span - k : span - k + m])
+    place = (np.minimum(low[:m], low[span - k : span - k + m]) & np.uint64(_PLACE)).astype(np.int32)
+    more = (length - gram) // 2
+    before = place - np.arange(m, dtype=np.int32) >= more
     inside = owner[:m] == owner[length - 1 :]
-    whole = _mix(h[:m] * np.uint64(0x9E3779B97F4A7C15) + _mix(h[gram : gram + m] ^ np.uint64(gram)) + h[length - gram : length - gram + m])
-    if 3 * gram < length:
-        raise ValueError("three short strings have to cover a window")
-    cut = np.concatenate([[True], (low[1:] != low[:-1]) | (owner[1:m] != owner[: m - 1]) | (inside[1:] != inside[:-1])])
+    cut = np.ones(m, dtype=bool)
+    cut[1:] = (place[1:] != place[:-1]) | (before[1:] != before[:-1]) | (inside[1:] != inside[:-1]) | (owner[1:m] != owner[: m - 1])
     start = np.flatnonzero(cut)
     end = np.append(start[1:], m)
     good = inside[start]
     start, end = start[good], end[good]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(whole, dtype=np.uint64)])
-    anchor = low[start]
-    made = _mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + anchor)
-    return owner[start].astype(np.int64), start - first[owner[start]], end - start, anchor, made
-
+    side = before[start]
+    key = _mix(text_hash(place[start].astype(np.int64) - side * more, gram + more) + side.astype(np.uint64))
+    if len(start):  # in periodic text neighbours have one key, and are one fragment up to a bounded length
+        new = np.ones(len(start), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (start[1:] != end[:-1]) | (owner[start[1:]] != owner[start[:-1]])
+        run = np.flatnonzero(new)
+        part = (start - np.repeat(start[run], np.diff(np.append(run, len(start))))) // WINDOWS
+        new[1:] |= part[1:] != part[:-1]
+        at = np.flatnonzero(new)
+        start, end, key = start[at], end[np.append(at[1:], len(start)) - 1], key[at]
+    made = _mix(text_hash(start, end - start + length - 1) + (end - start).astype(np.uint64) * np.uint64(_BASE) + key)
+    return owner[start].astype(np.int64), start, end - start, key, made
+
+
+def _slices(batches: Iterator, length: int, gram: int) -> Iterator:
+    """Fragments of rows (doc, row, text): arrays of key, fragment, doc, row, start and windows, and their bodies' places.
+
+    Each turn also gives the bytes that those places are counted in.
+    """
+    import pyarrow as pa
 
-def _slices(batches: Iterator, limit: int = 4 << 20) -> Iterator:
-    """(order values, row keys, texts as bytes) of a few megabytes each."""
     for batch in batches:
-        ids, keys, texts, size = [], [], [], 0
-        for i, k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            t = t.encode("utf-8", "replace")
-            ids.append(i)
-            keys.append(k)
-            texts.append(t)
-            size += len(t)
-            if size >= limit:
-                yield ids, keys, texts
-                ids, keys, texts, size = [], [], [], 0
-        if ids:
-            yield ids, keys, texts
+        doc, row = (batch.column(k).to_numpy() for k in (0, 1))
+        text = batch.column(2).cast(pa.large_binary())
+        ends = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset : text.offset + len(text) + 1]
+        bytes_ = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+        windows = np.diff(ends) - length + 1
+        step = SLICE // 2
+        count = np.maximum(-(-windows // step), 0)
+        of = np.repeat(np.arange(len(text)), count)
+        begin = (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)) * step
+        size = np.minimum(windows[of] - begin, step) + length - 1
+        at, held, parts = 0, 0, []
+        total = np.cumsum(size)
+        while at < len(of):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE, side="right")))
+            first = ends[of[at:to]] + begin[at:to]
+            data = np.concatenate([bytes_[a : a + n] for a, n in zip(first.tolist(), size[at:to].tolist())])
+            owner, start, wide, key, made = fragments(data, np.repeat(np.arange(to - at, dtype=np.int32), size[at:to]), length, gram)
+            start = start - (total[at:to] - size[at:to] - (total[at - 1] if at else 0))[owner]
+            k = of[at:to][owner]
+            parts.append((key, made, doc[k], row[k], start + begin[at:to][owner], wide, first[owner] + start))
+            held += len(key)
+            at = to
+            if held >= HELD or at == len(of):
+                yield tuple(np.concatenate(x) for x in zip(*parts)), bytes_
+                held, parts = 0, []
 
 
 def _least(key: np.ndarray, doc: np.ndarray):
+    """Distinct keys, where each first stands, and the least and greatest document of each."""
     order = np.argsort(key, kind="stable")
     key, doc = key[order], doc[order]
     at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     if not len(at):
-        return key, doc, doc
-    return key[at], np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
-
-
-def shared_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Anchors that stand in documents of different ids."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for ids, _, texts in _slices(batches, 32 << 20):
-            parts = [fragments(texts[k : k + 256], length, gram) for k in range(0, len(texts), 256)]
-            owner = np.concatenate([p[0] + 256 * k for k, p in enumerate(parts)])
-            key, low, high = _least(np.concatenate([p[3] for p in parts]), np.array(ids, dtype=np.int64)[owner])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(low), pa.array(high)], names=["anchor", "low", "high"])
-
-    found = rows.mapInArrow(run, "anchor long, low long, high long").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return found.where("low < high").select("anchor")
+        return key, order, doc, doc
+    return key[at], order[at], np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
 
 
-def filter_bits(values: DataFrame) -> np.ndarray:
-    """A bit per value's low bits, as FILTER_BITS bits at most whatever the number of values."""
-    piece = 1 << 19
+def shared_keys(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """Keys that stand in documents of different ids."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bits = np.zeros(FILTER_BITS, dtype=bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy() & (FILTER_BITS - 1)] = True
-        for k in range(FILTER_BITS // piece):
-            part = bits[k * piece : (k + 1) * piece]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], names=["k", "bits"])
-
-    def either(table):
-        import pyarrow as pa
+        for (key, _, doc, *_), _ in _slices(batches, length, gram):
+            key, _, low, high = _least(key, doc)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(low), pa.array(high)], names=["key", "low", "high"])
 
-        parts = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
-        return pa.table({"k": table.column("k").slice(0, 1), "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
-
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in values.mapInArrow(run, "k int, bits binary").groupBy("k").applyInArrow(either, "k int, bits binary").collect():
-        out[r["k"] * piece // 8 : (r["k"] + 1) * piece // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
-def _hits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    p = values.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
-    return np.flatnonzero(bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & 1)
+    found = rows.mapInArrow(run, "key long, low long, high long").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return found.where("low < high").select("key")
 
 
 def occurrences(rows: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataFrame:
-    """Fragments whose anchor passes the filter: anchor, fragment, doc, row, start, windows."""
+    """Fragments whose key passes the filter: key, fragment, doc, row, start, windows.
+
+    At one of a task's places of a fragment also its body, and the least and greatest document of those places.
+    """
     spread = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for ids, keys, texts in _slices(batches):
-            owner, start, windows, anchor, made = fragments(texts, length, gram)
-            hit = _hits(spread.value, anchor)
-            owner, start, windows, anchor, made = (x[hit] for x in (owner, start, windows, anchor, made))
+        for found, text in _slices(batches, length, gram):
+            hit = hits(spread.value, found[0])
+            key, made, doc, row, start, windows, place = (x[hit] for x in found)
+            _, at, low, high = _least(made, doc)
+            some = np.zeros(len(key), dtype=bool)
+            some[at] = True
+            put = lambda x: pa.array(np.take(x, np.cumsum(some) - 1), mask=~some) if len(x) else pa.array([], pa.int64())
+            order = np.argsort(at)
+            body = [None] * len(key)
+            for k, a, n in zip(at.tolist(), place[at].tolist(), windows[at].tolist()):
+                body[k] = text[a : a + n + length - 1].tobytes()
+            columns = [key.view(np.int64), made.view(np.int64), doc, row, start.astype(np.int32), windows.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(made.view(np.int64)), pa.array(np.array(ids, dtype=np.int64)[owner]), pa.array(np.array(keys, dtype=np.int64)[owner]), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32))],
-                names=["anchor", "fragment", "doc", "row", "start", "windows"],
+                [*map(pa.array, columns), pa.array(body, pa.binary()), put(low[order]), put(high[order])],
+                names=["key", "fragment", "doc", "row", "start", "windows", "body", "low", "high"],
             )
 
-    return rows.mapInArrow(run, "anchor long, fragment long, doc long, row long, start int, windows int")
-
-
-def bodies(rows: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataFrame:
-    """(fragment, body) of the fragments that pass the filter, once per few megabytes."""
-    spread = rows.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for _, _, texts in _slices(batches):
-            owner, start, windows, _, made = fragments(texts, length, gram)
-            hit = _hits(spread.value, made)
-            hit = hit[np.unique(made[hit], return_index=True)[1]]
-            body = [texts[owner[k]][start[k] : start[k] + windows[k] + length - 1] for k in hit.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made[hit].view(np.int64)), pa.array(body, pa.binary())], names=["fragment", "body"])
-
-    return rows.mapInArrow(run, "fragment long, body binary")
-
-
-def passing(found: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose column passes the filter, which spares the others a shuffle."""
-    spread = found.sparkSession.sparkContext.broadcast(bits)
-    at = found.columns.index(column)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            yield batch.take(pa.array(_hits(spread.value, batch.column(at).to_numpy())))
-
-    return found.mapInArrow(run, found.schema)
+    return rows.mapInArrow(run, "key long, fragment long, doc long, row long, start int, windows int, body binary, low long, high long")
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols, by doubling."""
-    n = len(text)
-    rank, width = text.astype(np.int64), 1
+    """Suffixes in the order of their first ``depth`` symbols (0 to 256), by doubling from seven symbols that fit a word."""
+    n, width = len(text), 7
+    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(width, dtype=np.int64)])
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(width):
+        key = (key << 9) | padded[k : n + k]
     while True:
-        ahead = np.zeros(n, dtype=np.int64)
-        ahead[: n - width] = rank[width:] + 1 if width < n else 0
-        key = rank * (int(rank.max()) + 2) + ahead
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
+        order = np.argsort(key)
+        new = np.zeros(n, dtype=np.int64)
+        np.cumsum(key[order][1:] != key[order][:-1], out=new[1:])
+        if width >= depth or new[-1] == n - 1:
+            return order
         rank = np.empty(n, dtype=np.int64)
         rank[order] = new
+        ahead = np.zeros(n, dtype=np.int64)
+        ahead[: max(0, n - width)] = rank[width:] + 1
+        key = rank * (n + 1) + ahead
         width *= 2
-        if width >= depth or new[-1] == n - 1:
-            return order
 
 
 def prefix_bounds(text: np.ndarray, order: np.ndarray, bound: int) -> np.ndarray:
@@ -244,30 +232,34 @@ def prefix_bounds(text: np.ndarray, order: np.ndarray, bound: int) -> np.ndarray
 
     Intervals of strings are extended backwards over the Burrows-Wheeler transform, breadth first: the strings of one
     length are met together, and an end that was not met before divides there neighbours that share one byte less.
+    An interval is extended by each letter in it at that letter's last place; where the letter's first place leads is
+    looked up among its places.
     """
     n = len(text)
-    letters, bwt = np.unique(text[order - 1], return_inverse=True)
-    count = np.zeros((len(letters), n + 1), dtype=np.int32)
-    for c in range(len(letters)):
-        np.cumsum(bwt == c, out=count[c, 1:])
-    base = np.cumsum(count[:, -1]) - count[:, -1]
+    bwt = text[order - 1].astype(np.int64)
+    places = np.argsort(bwt, kind="stable")
+    back = np.empty(n, dtype=np.int64)
+    back[places] = np.arange(n)
+    listed = bwt[places] * (n + 1) + places
+    again = np.full(n, n, dtype=np.int64)
+    same = bwt[places][1:] == bwt[places][:-1]
+    again[places[:-1][same]] = places[1:][same]
     shared = np.full(n + 1, bound, dtype=np.int16)
-    shared[0] = shared[n] = 0
     met = np.zeros(n + 1, dtype=bool)
     low, high = np.array([0]), np.array([n])
     for size in range(bound):
-        lows, highs = [], []
-        for c in range(len(letters)):
-            a, b = base[c] + count[c, low], base[c] + count[c, high]
-            some = (b > a) & ~met[b]
-            a, b = a[some], b[some]
-            met[b] = True
-            shared[b] = size
-            lows.append(a)
-            highs.append(b)
-        low, high = np.concatenate(lows), np.concatenate(highs)
-        if not len(low):
+        wide = high - low
+        at = np.repeat(low - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+        last = np.flatnonzero(again[at] >= np.repeat(high, wide))
+        last = last[~met[back[at[last]] + 1]]
+        if not len(last):
             break
+        begin = np.repeat(low, wide)[last]
+        at = at[last]
+        high = back[at] + 1
+        low = np.searchsorted(listed, bwt[at] * (n + 1) + begin)
+        met[high] = True
+        shared[high] = size
     shared[0] = 0
     return shared[:n]
 
@@ -278,102 +270,132 @@ def block_minima(bodies: list[bytes], docs: np.ndarray, length: int) -> tuple[li
     first = np.cumsum(sizes + 1) - sizes - 1
     text = np.zeros(int(sizes.sum()) + len(bodies), dtype=np.int16)
     owner = np.repeat(np.arange(len(bodies)), sizes + 1)
-    text[np.arange(len(text)) - first[owner] < sizes[owner]] = np.frombuffer(b"".join(bodies), dtype=np.uint8).astype(np.int16) + 1
-    order = suffix_order(text, length + 1)
-    group = np.cumsum(prefix_bounds(text, order, length) < length) - 1
     place = np.arange(len(text)) - first[owner]
-    valid = place <= sizes[owner] - length
-    doc = np.where(valid, docs[owner], _LAST)
-    least = np.full(int(group[-1]) + 1, _LAST, dtype=np.int64)
-    np.minimum.at(least, group, doc[order])
+    text[place < sizes[owner]] = np.frombuffer(b"".join(bodies), dtype=np.uint8).astype(np.int16) + 1
+    order = suffix_order(text, length + 1)
+    new = prefix_bounds(text, order, length) < length
+    doc = np.where(place <= sizes[owner] - length, docs[owner], _LAST)
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(new))
     of = np.empty(len(text), dtype=np.int64)
-    of[order] = group
+    of[order] = np.cumsum(new) - 1
     spans = [(int(f), int(f + s - length + 1)) for f, s in zip(first, sizes)]
     return [least[of[a:b]] for a, b in spans], [of[a:b] for a, b in spans]
 
 
-def _meets_another(bodies: list[bytes], length: int) -> np.ndarray:
-    """Which fragments have a window whose hash another window has too."""
-    sizes = np.array([len(b) for b in bodies], dtype=np.int64)
-    first = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(bodies)), sizes)
-    h = _grams(np.frombuffer(b"".join(bodies), dtype=np.uint8), length)
-    m = len(h)
-    whole = np.flatnonzero(np.arange(m) - first[owner[:m]] <= sizes[owner[:m]] - length)
-    order = np.argsort(h[whole], kind="stable")
-    key, own = h[whole][order], owner[whole][order]
-    same = key[1:] == key[:-1]
-    out = np.zeros(len(bodies), dtype=bool)
-    out[own[1:][same]] = True
-    out[own[:-1][same]] = True
-    return out
+def _block(table, whole: bool) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """The distinct fragments of a block: hashes, bodies, least and greatest document.
+
+    Where the block has ``whole`` keys, those that stand in one document are left out.
+    """
+    import pyarrow as pa
+
+    key, made, low, high = (table.column(c).to_numpy() for c in ("key", "fragment", "low", "high"))
+    some = np.arange(len(key))
+    if whole:
+        _, _, key_low, _ = _least(key, low)
+        keys, _, _, key_high = _least(key, high)
+        of = np.searchsorted(keys, key)
+        some = np.flatnonzero(key_low[of] < key_high[of])
+        made, low, high = made[some], low[some], high[some]
+    names, at, least, _ = _least(made, low)
+    greatest = _least(made, high)[3]
+    return names, table.column("body").take(pa.array(some[at])).to_pylist(), least, greatest
+
+
+def _minima(length: int):
+    """Of blocks with all fragments of their keys: (fragment, low, least) where a document beyond the least one holds a window."""
+
+    def run(table):
+        import pyarrow as pa
+
+        names, bodies, low, high = _block(table, True)
+        least = block_minima(bodies, low, length)[0] if len(names) else []
+        return _told(names, high, least)
+
+    return run
+
+
+def _told(names, high, least):
+    import pyarrow as pa
+
+    low = np.array([x.min() for x in least], dtype=np.int64)
+    some = np.flatnonzero(low < high[: len(low)])
+    lists = [None if least[k].max() == low[k] else least[k] for k in some.tolist()]
+    return pa.table({"fragment": pa.array(names[some], pa.int64()), "low": pa.array(low[some], pa.int64()), "least": pa.array(lists, pa.list_(pa.int64()))})
+
 
+def _parts(length: int):
+    """Of one of several blocks of a key: every distinct window's hash and least document, and the fragments' windows."""
 
-def _minima(length: int, split: bool):
     def run(table):
         import pyarrow as pa
         import xxhash
 
-        bodies = table.column("body").to_pylist()
-        low, high, names = (table.column(c).to_numpy() for c in ("low", "high", "fragment"))
-        if not split:
-            # all fragments of its anchors are here: one without a window like another's stands for itself
-            met = _meets_another(bodies, length)
-            alone = np.flatnonzero(~met & (low < high))
-            some = np.flatnonzero(met)
-            least = block_minima([bodies[k] for k in some.tolist()], low[some], length)[0] if len(some) else []
-            rows = [None] * len(alone) + least
-            which = np.concatenate([alone, some])
-            return pa.table({"fragment": names[which], "low": low[which], "least": pa.array(rows, pa.list_(pa.int64()))})
-        least, groups = block_minima(bodies, low, length)
-        digests: dict[int, int] = {}
+        names, bodies, low, high = _block(table, False)
+        least, groups = block_minima(bodies, low, length) if len(names) else ([], [])
+        digest: dict[int, int] = {}
+        minimum: dict[int, int] = {}
         rows = []
-        for body, group in zip(bodies, groups):
-            for k, g in enumerate(group.tolist()):
-                if g not in digests:
-                    digests[g] = int(np.uint64(xxhash.xxh3_64_intdigest(body[k : k + length])).view(np.int64))
-            rows.append([digests[g] for g in group.tolist()])
-        return pa.table({"fragment": names, "least": pa.array(least, pa.list_(pa.int64())), "windows": pa.array(rows, pa.list_(pa.int64()))})
+        for body, group, low_of in zip(bodies, groups, least):
+            for k, (g, x) in enumerate(zip(group.tolist(), low_of.tolist())):
+                if g not in digest:
+                    digest[g] = int(np.uint64(xxhash.xxh3_64_intdigest(body[k : k + length])).view(np.int64))
+                    minimum[digest[g]] = x
+            rows.append([digest[g] for g in group.tolist()])
+        n, m = len(names), len(minimum)
+        key, sub = table.column("key")[0].as_py(), table.column("sub")[0].as_py()
+        return pa.table({
+            "key": pa.array([key] * (n + m), pa.int64()), "sub": pa.array([sub] * (n + m), pa.int32()),
+            "fragment": pa.array([*names.tolist(), *[None] * m], pa.int64()), "high": pa.array([*high.tolist(), *[None] * m], pa.int64()), "windows": pa.array(rows + [None] * m, pa.list_(pa.int64())),
+            "window": pa.array([None] * n + list(minimum), pa.int64()), "low": pa.array([None] * n + list(minimum.values()), pa.int64()),
+        })
 
     return run
 
 
-def window_minima(rows: DataFrame, found: DataFrame, length: int, gram: int) -> DataFrame:
-    """(fragment, low, least): the least document of the whole fragment and, where needed, of each of its windows."""
-    distinct = written(found.groupBy("anchor", "fragment").agg(F.min("doc").alias("low"), F.max("doc").alias("high")), "fragments")
-    anchors = distinct.groupBy("anchor").agg(F.count("*").alias("m"), F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low < _high")
-    anchors = written(anchors.select("anchor", "m"), "anchors")
-    alike = distinct.join(anchors.where("m = 1"), "anchor").where("low < high").select("fragment", "low", F.lit(None).cast("array<long>").alias("least"))
-
-    mixed = written(distinct.join(anchors.where("m > 1"), "anchor").select("anchor", "fragment", "low", "high", "m"), "mixed")
-    made = bodies(rows, filter_bits(mixed.select("fragment")), length, gram)
-    full = written(mixed.join(made, "fragment").dropDuplicates(["fragment"]), "bodies")
-    blocks = max(1, full.where(F.col("m") <= BLOCK).count() // (BLOCK // 2))
-    few = full.where(F.col("m") <= BLOCK).withColumn("g", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    whole = few.groupBy("g").applyInArrow(_minima(length, False), "fragment long, low long, least array<long>")
-
-    many = full.where(F.col("m") > BLOCK).withColumn("g", F.pmod(F.xxhash64("fragment"), F.ceil(F.col("m") / BLOCK)))
-    parts = written(many.groupBy("anchor", "g").applyInArrow(_minima(length, True), "fragment long, least array<long>, windows array<long>"), "parts")
-    slots = parts.select("fragment", F.posexplode(F.arrays_zip("least", "windows")).alias("k", "x")).select("fragment", "k", "x.least", "x.windows")
-    low = slots.groupBy("windows").agg(F.min("least").alias("low"))
-    joined = slots.join(low, "windows").groupBy("fragment").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("s"))
-    joined = joined.select("fragment", F.transform("s", lambda x: x["low"]).alias("least"))
-    joined = joined.withColumn("low", F.array_min("least"))
-    whole = whole.withColumn("low", F.coalesce(F.array_min("least"), "low"))
-    out = written(alike.unionByName(whole).unionByName(joined), "minima")
-    discard(distinct, anchors, mixed, full, parts)
+def _resolved(key, parts, lows):
+    """Fragments of a block with their windows' least documents over all blocks."""
+    windows, order = lows.column("window").to_numpy(), np.argsort(lows.column("window").to_numpy())
+    low = lows.column("low").to_numpy()[order]
+    rows = parts.column("windows").to_pylist()
+    least = [low[np.searchsorted(windows, np.array(r, dtype=np.int64), sorter=order)] for r in rows]
+    return _told(parts.column("fragment").to_numpy(), parts.column("high").to_numpy(), least)
+
+
+def window_minima(found: DataFrame, length: int) -> DataFrame:
+    """(fragment, low, least): the least document of each window, or of all where they have one (``least`` is null)."""
+    told = "fragment long, low long, least array<long>"
+    copies = found.where("body IS NOT NULL").select("key", "fragment", "low", "high", "body")
+    total = copies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    large = copies.groupBy("key").agg(F.sum(F.octet_length("body")).alias("bytes")).where(F.col("bytes") > BLOCK)
+    large = written(large.select("key", F.ceil(F.col("bytes") / BLOCK).cast("int").alias("split")), "large")
+    dealt = copies.join(large, "key", "left")
+    blocks = -(-2 * total // BLOCK) + 1
+    few = dealt.where("split IS NULL").withColumn("g", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    whole = few.groupBy("g").applyInArrow(_minima(length), told)
+
+    many = dealt.where("split IS NOT NULL").withColumn("sub", F.pmod(F.xxhash64("fragment"), F.col("split")).cast("int"))
+    parts = written(many.groupBy("key", "sub").applyInArrow(_parts(length), "key long, sub int, fragment long, high long, windows array<long>, window long, low long"), "parts")
+    seen = parts.where("window IS NOT NULL").select("key", "sub", "window", "low")
+    lows = seen.select(F.col("key").alias("of"), F.col("sub").alias("part"), "window").join(seen.groupBy("window").agg(F.min("low").alias("low")), "window")
+    mine = parts.where("fragment IS NOT NULL").select("key", "sub", "fragment", "high", "windows")
+    joined = mine.groupBy("key", "sub").cogroup(lows.groupBy("of", "part")).applyInArrow(_resolved, told)
+    out = written(whole.unionByName(joined), "minima")
+    discard(large, parts)
     return out
 
 
 def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(row, spans): stretches [a, b) to remove, unsorted, for rows (_doc, _row, _text)."""
-    shared = written(shared_anchors(rows, length, gram), "shared")
+    if gram >= length:
+        raise ValueError("a window has to hold several short strings")
+    shared = written(shared_keys(rows, length, gram), "shared")
     bits = filter_bits(shared)
     discard(shared)
     found = written(occurrences(rows, bits, length, gram), "occurrences")
-    minima = window_minima(rows, found, length, gram)
+    minima = window_minima(found, length)
     places = passing(found.select("fragment", "doc", "row", "start", "windows"), "fragment", filter_bits(minima.select("fragment")))
-    hits = places.join(minima, "fragment").where("low < doc")
+    gone = places.join(minima, "fragment").where("low < doc")
 
     def edges(flags):  # where runs of removed windows begin and end, in turn
         at = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
@@ -388,7 +410,7 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             lambda x, k: F.struct((F.col("start") + x).alias("a"), (F.col("start") + F.get(e, 2 * k + 1) + length - 1).alias("b")),
         ),
     )
-    out = written(hits.select("row", spans.alias("s")).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    out = written(gone.select("row", spans.alias("s")).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
     discard(found, minima)
     return out
 

@@ -30,7 +30,7 @@ def test_sample_and_tricky(sample, tricky):
         assert got(docs) == sorted(map(str, sd.brute_force(rows)))
 
 
-@pytest.mark.parametrize("block", [4096, 4])
+@pytest.mark.parametrize("block", [1 << 18, 600])
 def test_passages_in_many_documents(spark, monkeypatch, block):
     monkeypatch.setattr(sd, "BLOCK", block)
     rng = random.Random(2)
@@ -50,5 +50,45 @@ def test_passages_in_many_documents(spark, monkeypatch, block):
     assert got(df) == sorted(map(str, sd.brute_force(rows)))
 
 
+def test_periodic_and_ruled_texts(spark, monkeypatch):
+    """Long texts of one letter, of a short period and of dashed rules, worked on in pieces and cut into fragments."""
+    rule = "+" + "-" * 12 + "+" + "-" * 30 + "+"
+    rows = [
+        (1, "a" * 5_000_000),
+        (2, "x" + "a" * 3_000 + "y"),
+        (3, "ab" * 40_000),
+        (4, "ba" * 300 + "c"),
+        (5, "\n".join([rule, "| one | two |"] * 900)),
+        (6, "\n".join([rule, "| three | four |"] * 50)),
+        (7, "-" * 49),
+        (8, "-" * 50 + "=" * 60),
+        (9, "=" * 55),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, sd.brute_force(rows)))
+    assert got(df) == want
+    monkeypatch.setattr(sd, "WINDOWS", 64)
+    monkeypatch.setattr(sd, "SLICE", 5_000)
+    monkeypatch.setattr(sd, "HELD", 100)
+    assert got(df) == want
+
+
+def test_fragments_cover_every_window_once():
+    """Pieces of any length, and keys that depend on a window's bytes alone."""
+    rng = np.random.default_rng(3)
+    pieces = [rng.integers(97, 97 + k, n).astype(np.uint8) for k, n in ((2, 400), (26, 900), (3, 49), (1, 120), (4, 50), (26, 0))]
+    data, owner = np.concatenate(pieces), np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+    of, start, windows, key, _ = sd.fragments(data, owner)
+    keys = {}
+    seen = np.zeros(len(data), dtype=int)
+    for a, n, k in zip(start.tolist(), windows.tolist(), key.tolist()):
+        seen[a : a + n] += 1
+        for j in range(a, a + n):
+            assert keys.setdefault(data[j : j + 50].tobytes(), k) == k
+    whole = np.zeros(len(data), dtype=int)
+    whole[: len(data) - 49] = owner[: len(data) - 49] == owner[49:]
+    assert (seen == whole).all()
+
+
 def test_empty(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == []
