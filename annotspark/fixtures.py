@@ -56,14 +56,14 @@ GROUP BY l_partkey, l_suppkey % 3, l_linestatus""",
     "fx_ortho": """SELECT DISTINCT concat('OG', cast(l_partkey AS string)) AS og, concat('G', cast(l_orderkey % 5 AS string)) AS genome,
   concat('g', cast(l_orderkey AS string)) AS gene FROM {lineitem} WHERE l_linenumber <= 1 + l_partkey % 3""",
     "fx_vcf": """SELECT concat('ctg', cast(user_id AS string)) AS chrom, 1 + (event_id * 37) % 7000 AS pos,
-  substr('ACGT', cast(event_id % 4 AS int) + 1, 1) AS ref,
-  CASE event_id % 9 WHEN 0 THEN 'A,C' WHEN 1 THEN '<DEL>' WHEN 2 THEN 'ACGTA' ELSE substr('CGTA', cast(event_id % 4 AS int) + 1, 1) END AS alt,
+  concat(substr('ACGT', cast(event_id % 4 AS int) + 1, 1), CASE event_id % 9 WHEN 3 THEN 'GT' WHEN 4 THEN 'C' WHEN 5 THEN 'ACC' ELSE '' END) AS ref,
+  CASE event_id % 9 WHEN 0 THEN 'A,C' WHEN 1 THEN '<DEL>' WHEN 2 THEN 'ACGTA' WHEN 3 THEN substr('ACGT', cast(event_id % 4 AS int) + 1, 1) WHEN 4 THEN 'GT' WHEN 5 THEN 'TA' ELSE substr('CGTA', cast(event_id % 4 AS int) + 1, 1) END AS alt,
   CASE event_id % 5 WHEN 0 THEN './.' WHEN 1 THEN '1|1' WHEN 2 THEN '1|0' ELSE '0|1' END AS gt, event_type AS filter_tag, event_id FROM {events}""",
     "fx_go": """SELECT concat('tx', cast(p_partkey AS string)) AS gene, concat('GO:', lpad(cast(p_size AS string), 7, '0')) AS go,
   CASE p_size % 3 WHEN 0 THEN 'BP' WHEN 1 THEN 'MF' ELSE 'CC' END AS ontology, (p_partkey % 100) / [[100.0]] AS padj FROM {part}""",
     "fx_paf": """SELECT concat('ctg', cast(l_suppkey AS string)) AS qname, 1000 + l_suppkey % 7 * 100 AS qlen, l_linenumber * 10 AS q_start, 1000 AS q_end,
   concat('ctg', cast(l_partkey % 50 AS string)) AS tname, 1000 + (l_partkey % 50) % 7 * 100 AS tlen, 5 AS t_start,
-  5 + cast(l_quantity AS bigint) * 20 AS t_end, cast(l_quantity AS bigint) * 19 AS matches, cast(l_quantity AS bigint) * 20 AS block FROM {lineitem}""",
+  5 + cast(l_quantity AS bigint) * 20 - l_linenumber % 3 AS t_end, cast(l_quantity AS bigint) * 19 AS matches, cast(l_quantity AS bigint) * 20 AS block FROM {lineitem}""",
     "fx_runs": "SELECT event_type AS tool, user_id AS genome, event_id % 3 AS rep, value AS metric, event_id AS pos, ts FROM {events}",
 }
 

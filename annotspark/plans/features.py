@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.registry import query
+from annotspark.tables import written
 
 COUNTS = {"genes": "type = 'gene'", "transcripts": "type IN ('mRNA', 'transcript')", "cds": "type = 'CDS'", "exons": "type = 'exon'"}
 _COUNT_SQL = ", ".join(f"count(*) FILTER (WHERE {c}) AS n_{k}" for k, c in COUNTS.items())
@@ -110,7 +111,8 @@ RANGES = [
 
 
 @query("A07_taxon_range_check", "fx_gene", """WITH s AS (SELECT count(*) AS n, avg(g_end - g_start + 1) AS len, avg(n_seg) AS ex FROM fx_gene),
-r(taxon, n1, n2, l1, l2, e1, e2) AS (VALUES ('ascomycota', 5000, 15000, 1200.0, 2500.0, 1.0, 4.0), ('basidiomycota', 6000, 25000, 1300.0, 3000.0, 3.0, 8.0))
+r(taxon, n1, n2, l1, l2, e1, e2) AS (VALUES ('fungi', 5000, 15000, 100.0, 2000.0, 2.0, 5.0), ('ascomycota', 6000, 12000, 300.0, 1500.0, 2.0, 4.0), ('basidiomycota', 8000, 20000, 400.0, 2000.0, 3.0, 6.0),
+('plants', 20000, 50000, 1000.0, 5000.0, 4.0, 8.0), ('animals', 15000, 25000, 1000.0, 10000.0, 5.0, 12.0), ('mammals', 19000, 23000, 1500.0, 15000.0, 6.0, 15.0))
 SELECT taxon, CASE WHEN n < n1 THEN 'low' WHEN n > n2 THEN 'high' ELSE 'ok' END AS gene_count, CASE WHEN len < l1 THEN 'low' WHEN len > l2 THEN 'high' ELSE 'ok' END AS gene_length,
 CASE WHEN ex < e1 THEN 'low' WHEN ex > e2 THEN 'high' ELSE 'ok' END AS exons FROM s, r""")
 def a07(genes):
@@ -160,17 +162,25 @@ def t01(seqs):
     return numbered(seqs.select("seq_id", F.length("seq").cast("long").alias("n")).where("n > 0"), [F.desc("n"), F.asc("seq_id")], "place")
 
 
+def ranged(df: DataFrame, order: list) -> DataFrame:
+    """Rows dealt to ranges ``_p`` of a global order and written: later looks at them see the same ranges."""
+    if "_p" in df.columns:
+        raise ValueError("a column is named _p already")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranged")
+
+
 def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
     """Rows numbered from 1 in a global order, without a one-partition window.
 
-    A range shuffle puts the order over partitions; rows are numbered inside each, and the partitions' counts (one row
-    for each) give what stands before it.
+    A range shuffle puts the order over ranges; rows are numbered inside each, and the ranges' counts (one row for
+    each) give what stands before it.
     """
-    spread = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_p", F.spark_partition_id())
-    placed = spread.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    size = placed.groupBy("_p").agg(F.count("*").alias("_n"))
+    rows = ranged(df, order)
+    placed = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    size = rows.groupBy("_p").agg(F.count("*").alias("_n"))
     before = size.alias("a").join(size.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy(F.col("a._p").alias("_p")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(before), "_p").withColumn(out, (F.col("_before") + F.col("_r")).cast("long")).drop("_p", "_r", "_before")
+    return placed.join(F.broadcast(before), "_p").withColumn(out, (F.col("_before") + F.col("_r")).cast("long")).drop("_p", "_r", "_before")  # a row for each shuffle partition
 
 
 @query("W05_number_loci", "fx_gene", "SELECT gid, concat('LOC_', lpad(CAST(row_number() OVER (ORDER BY seqid, g_start, gid) AS VARCHAR), 6, '0')) AS locus_tag FROM fx_gene")
@@ -217,6 +227,6 @@ def u04(features, contigs):
 @query("U07_pending_stages", "fx_runs", """SELECT g.genome, s.stage FROM (SELECT DISTINCT genome FROM fx_runs) g, (SELECT DISTINCT tool AS stage FROM fx_runs) s
 WHERE NOT EXISTS (SELECT 1 FROM fx_runs r WHERE r.genome = g.genome AND r.tool = s.stage AND r.metric > 50)""")
 def u07(runs):
-    stages = F.broadcast(runs.select(F.col("tool").alias("stage")).distinct())  # a handful of stage names
+    stages = runs.select(F.col("tool").alias("stage")).distinct()
     done = runs.where("metric > 50").select("genome", F.col("tool").alias("stage")).distinct()
     return runs.select("genome").distinct().crossJoin(stages).join(done, ["genome", "stage"], "left_anti")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annotspark.plans.sequences import reverse_complement, translate
+from annotspark.plans.sequences import protein_sql, reverse_complement, translate
 from annotspark.registry import query
+from annotspark.tables import let
 
 
 
@@ -37,11 +38,11 @@ def parse_gff3(lines: DataFrame) -> DataFrame:
     """
     p = F.split("value", "\t")
     at = lambda k: F.get(p, F.lit(k))
-    pairs = F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("=")))
+    pairs = F.reverse(F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("="))))
     key = lambda x: F.trim(F.substring_index(x, "=", 1))
     value = lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: key(y) == key(x)))
-    attrs = F.map_from_entries(F.transform(last, lambda x: F.struct(key(x), value(x))))
+    parts = let(pairs, lambda ps: F.struct(F.transform(ps, key).alias("k"), F.transform(ps, value).alias("v")))
+    attrs = let(parts, lambda s: let(F.array_distinct(s["k"]), lambda ks: F.map_from_arrays(ks, F.transform(ks, lambda k: F.element_at(s["v"], F.array_position(s["k"], k).cast("int"))))))
     start, end = at(3).try_cast("long"), at(4).try_cast("long")
     bad = (F.size(p) != 9) | start.isNull() | end.isNull() | (start > end)
     rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
@@ -162,11 +163,27 @@ def k10(variants):
     return variants.select("chrom", (F.col("pos") - 1).alias("start"), (F.col("pos") + F.length("ref") - 1).alias("end"), F.col("event_id").cast("string").alias("name"))
 
 
-@query("K12_vcf_to_annovar", "fx_vcf", f"""SELECT event_id, CASE WHEN length({_ALT}) > 1 THEN '-' ELSE ref END AS ref, CASE WHEN length({_ALT}) > 1 THEN substr({_ALT}, 2) ELSE {_ALT} END AS alt, CASE WHEN length({_ALT}) > 1 THEN pos + 1 ELSE pos END AS a_end FROM fx_vcf""")
+@query("K12_vcf_to_annovar", "fx_vcf", f"""SELECT event_id, chrom, CASE WHEN length(ref) > length(a) THEN pos + 1 ELSE pos END AS start,
+CASE WHEN length(ref) = 1 AND length(a) = 1 THEN pos WHEN length(ref) > length(a) THEN pos + length(ref) - 1 ELSE pos + 1 END AS "end",
+CASE WHEN length(ref) = 1 AND length(a) = 1 THEN ref WHEN length(ref) > length(a) THEN substr(ref, 2) ELSE '-' END AS ref,
+CASE WHEN length(ref) = 1 AND length(a) = 1 THEN a WHEN length(ref) > length(a) AND length(a) = 1 THEN '-' ELSE substr(a, 2) END AS alt FROM (SELECT event_id, chrom, pos, ref, {_ALT} AS a FROM fx_vcf)""")
 def k12(variants):
-    alt = F.get(F.split("alt", ","), F.lit(0))
-    longer = F.length(alt) > F.length("ref")
-    return variants.select("event_id", F.when(longer, "-").otherwise(F.col("ref")).alias("ref"), F.when(longer, F.substring(alt, F.lit(2), F.length(alt))).otherwise(alt).alias("alt"), F.when(longer, F.col("pos") + 1).otherwise(F.col("pos")).alias("a_end"))
+    return annovar(variants.withColumn("alt", F.get(F.split("alt", ","), F.lit(0)))).select("event_id", "chrom", "start", "end", "ref", "alt")
+
+
+def annovar(variants: DataFrame) -> DataFrame:
+    """(chrom, start, end, ref, alt) of variants with one alternative: bases that a deletion or insertion adds or takes, without the one before."""
+    n, m = F.length("ref"), F.length("alt")
+    one, deletion = (n == 1) & (m == 1), n > m
+    rest = lambda c: F.substring(c, F.lit(2), F.length(c))
+    return variants.select(
+        *[c for c in variants.columns if c not in ("chrom", "pos", "ref", "alt")],
+        "chrom",
+        F.when(deletion, F.col("pos") + 1).otherwise(F.col("pos")).alias("start"),
+        F.when(one, F.col("pos")).when(deletion, F.col("pos") + n - 1).otherwise(F.col("pos") + 1).alias("end"),
+        F.when(one, F.col("ref")).when(deletion, rest("ref")).otherwise("-").alias("ref"),
+        F.when(one, F.col("alt")).when(deletion & (m == 1), "-").otherwise(rest("alt")).alias("alt"),
+    )
 
 
 @query("K13_vcf_to_maf", "fx_vcf", f"SELECT event_id, chrom, pos, {_CLASS} AS variant_type, ref, {_ALT} AS tumor_allele, 'TUMOR' AS sample FROM fx_vcf")
@@ -184,20 +201,32 @@ def s07(paf):
     return rows.select(at(0).alias("qname"), at(2).try_cast("long").alias("q_start"), at(5).alias("tname"), at(8).try_cast("long").alias("t_end"), at(9).try_cast("long").alias("matches"), at(10).try_cast("long").alias("block")).dropna()
 
 
-_DROP = """SELECT CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN qname ELSE tname END AS short, CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN tname ELSE qname END AS long, least(qlen, tlen) AS n,
-sum(matches) AS m, sum(block) AS b FROM fx_paf WHERE qname <> tname GROUP BY 1, 2, 3"""
+_SIDES = """SELECT CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN qname ELSE tname END AS short, CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN tname ELSE qname END AS long, least(qlen, tlen) AS n,
+matches, CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN block ELSE t_end - t_start END AS span FROM fx_paf WHERE qname <> tname"""
+
 
+@query("C07_redundant_contigs", "fx_paf", f"""SELECT short, long, round(c, 6) AS coverage, round(i, 6) AS identity FROM (SELECT *, row_number() OVER (PARTITION BY short ORDER BY c * i DESC, long) AS r FROM
+(SELECT short, long, sum(span) / CAST(n AS DOUBLE) AS c, sum(matches) / CAST(sum(span) AS DOUBLE) AS i FROM ({_SIDES}) GROUP BY short, long, n) WHERE c >= 0.95 AND i >= 0.95) WHERE r = 1""")
+def c07(paf):
+    return redundant_contigs(paf).select("short", "long", F.round("coverage", 6).alias("coverage"), F.round("identity", 6).alias("identity"))
 
-@query("C07_redundant_contigs", "fx_paf", f"SELECT short, long, round(least(1.0, b / CAST(n AS DOUBLE)), 6) AS coverage, round(m / CAST(b AS DOUBLE), 6) AS identity FROM (SELECT *, row_number() OVER (PARTITION BY short ORDER BY b / CAST(n AS DOUBLE) DESC, long) AS r FROM ({_DROP})) WHERE r = 1 AND b >= 0.95 * n AND m >= 0.9 * b")
-def c07(paf, min_cov: float = 0.95, min_id: float = 0.9):
-    """Contigs that a longer one covers: per pair, summed aligned bases of the shorter."""
+
+def redundant_contigs(paf: DataFrame, min_cov: float = 0.95, min_id: float = 0.95) -> DataFrame:
+    """Contigs that a longer one holds, with that one: aligned and matched bases of the shorter summed over its alignments.
+
+    The span is the alignment's block where the shorter is the query, its stretch on the target where it is that.  Of
+    the partners that meet both thresholds the one of greatest coverage times identity is named, the first by name if
+    there are several.  Of two contigs of one length the greater name counts as shorter, so no two name each other.
+    """
     from annotspark.plans.hits import best
 
     query_short = (F.col("qlen") < F.col("tlen")) | ((F.col("qlen") == F.col("tlen")) & (F.col("qname") > F.col("tname")))
-    sides = paf.where("qname <> tname").select(F.when(query_short, F.col("qname")).otherwise(F.col("tname")).alias("short"), F.when(query_short, F.col("tname")).otherwise(F.col("qname")).alias("long"), F.least("qlen", "tlen").alias("n"), "matches", "block")
-    pairs = sides.groupBy("short", "long", "n").agg(F.sum("matches").alias("m"), F.sum("block").alias("b")).withColumn("c", F.col("b") / F.col("n"))
-    top = best(pairs, ["short"], F.desc("c"), F.asc("long")).where((F.col("b") >= min_cov * F.col("n")) & (F.col("m") >= min_id * F.col("b")))
-    return top.select("short", "long", F.round(F.least(F.lit(1.0), F.col("c")), 6).alias("coverage"), F.round(F.col("m") / F.col("b"), 6).alias("identity"))
+    pick = lambda yes, no: F.when(query_short, F.col(yes)).otherwise(F.col(no))
+    sides = paf.where("qname <> tname").withColumn("_span", F.col("t_end") - F.col("t_start"))
+    sides = sides.select(pick("qname", "tname").alias("short"), pick("tname", "qname").alias("long"), F.least("qlen", "tlen").alias("n"), "matches", pick("block", "_span").alias("span"))
+    pairs = sides.groupBy("short", "long", "n").agg(F.sum("matches").alias("m"), F.sum("span").alias("b")).where("n > 0 AND b > 0")
+    pairs = pairs.withColumn("coverage", F.col("b") / F.col("n")).withColumn("identity", F.col("m") / F.col("b")).where((F.col("coverage") >= min_cov) & (F.col("identity") >= min_id))
+    return best(pairs.withColumn("_c", F.col("coverage") * F.col("identity")), ["short"], F.desc("_c"), F.asc("long")).drop("_c")
 
 
 @query("S09_read_gtf_transcripts", "fx_cds", "SELECT CAST(gid AS VARCHAR) AS transcript, seqid, strand, min(seg_start) AS g_start, max(seg_end) AS g_end, count(*) AS segments FROM fx_cds GROUP BY gid, seqid, strand")
@@ -216,10 +245,27 @@ def gtf_transcripts(lines: DataFrame) -> DataFrame:
     return rows.groupBy("transcript", "seqid", "strand").agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("segments"))
 
 
-def spliced(segs: DataFrame, contigs: DataFrame) -> DataFrame:
-    """(gid, strand, cds): segments cut from their contigs, joined by start, reversed on the minus strand."""
-    cut = segs.join(contigs, "seqid").select("gid", "strand", "seg_start", F.substring("seq", F.col("seg_start").cast("int"), (F.col("seg_end") - F.col("seg_start") + 1).cast("int")).alias("s"))
-    one = cut.groupBy("gid", "strand").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seg_start", "s"))), lambda x: x["s"]), "").alias("cds"))
+#: Bases of a contig tile.
+TILE = 8192
+
+
+def tiles(contigs: DataFrame, size: int = TILE) -> DataFrame:
+    """(seqid, tile, part): contigs cut into stretches of ``size`` bases, numbered from 0."""
+    cut = contigs.select("seqid", "seq", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))).alias("tile"))
+    return cut.select("seqid", "tile", F.substring("seq", F.col("tile") * size + 1, F.lit(size)).alias("part"))
+
+
+def spliced(segs: DataFrame, contigs: DataFrame, key: str = "gid", size: int = TILE) -> DataFrame:
+    """(key, strand, cds): segments cut from their contigs, joined by start, reversed on the minus strand.
+
+    Segments meet the tiles they touch, so a long contig is never copied to each of them; stretches beyond its end are left out.
+    """
+    at = lambda c: F.floor((F.col(c) - 1) / size).cast("int")
+    touched = segs.where("seg_end >= seg_start AND seg_end > 0").select("seqid", key, "strand", "seg_start", "seg_end", F.explode(F.sequence(F.greatest(at("seg_start"), F.lit(0)), at("seg_end"))).alias("tile"))
+    first = F.greatest(F.col("seg_start") - F.col("tile").cast("long") * size, F.lit(1))
+    last = F.least(F.col("seg_end") - F.col("tile").cast("long") * size, F.lit(size))
+    cut = touched.join(tiles(contigs, size), ["seqid", "tile"]).select(key, "strand", "seg_start", "seg_end", "tile", F.substring("part", first.cast("int"), (last - first + 1).cast("int")).alias("s"))
+    one = cut.groupBy(key, "strand").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seg_start", "seg_end", "tile", "s"))), lambda x: x["s"]), "").alias("cds"))
     return one.withColumn("cds", F.when(F.col("strand") == "-", reverse_complement(F.col("cds"))).otherwise(F.col("cds")))
 
 
@@ -232,7 +278,7 @@ def j04(segs, contigs):
     return spliced(segs, contigs).select("gid", "cds")
 
 
-@query("J05_spliced_protein", "fx_cds fx_ctg", None)
+@query("J05_spliced_protein", "fx_cds fx_ctg", f"SELECT gid, protein FROM (SELECT gid, {protein_sql('cds')} AS protein FROM ({_SPLICED})) WHERE length(protein) >= 10")
 def j05(segs, contigs):
     return spliced(segs, contigs).select("gid", translate(F.col("cds")).alias("protein")).where("length(protein) >= 10")
 

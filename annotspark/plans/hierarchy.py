@@ -120,7 +120,7 @@ def v04(features):
     return orphans.groupBy(F.col("parent").alias("id")).agg(F.min("seqid").alias("seqid"), F.min("f_start").alias("f_start"), F.max("f_end").alias("f_end"), F.count("*").alias("children"))
 
 
-@query("V05_drop_orphans_and_fix", "fx_feature", """SELECT id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type FROM fx_feature f WHERE parent IS NULL OR EXISTS (SELECT 1 FROM fx_feature p WHERE p.id = f.parent)""")
+@query("V05_drop_orphans_and_fix", "fx_feature", """SELECT id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type FROM fx_feature WHERE parent IS NULL UNION ALL SELECT id, least(f_start, f_end), greatest(f_start, f_end), type FROM fx_feature WHERE parent IN (SELECT DISTINCT id FROM fx_feature WHERE id IS NOT NULL)""")
 def v05(features):
     known = features.select(F.col("id").alias("_p")).distinct()
     top, rest = features.where("parent IS NULL"), features.where("parent IS NOT NULL")

@@ -132,7 +132,7 @@ SELECT gid, support, kept, CASE WHEN kept THEN 'kept' WHEN n_seg = 1 THEN 'singl
 def c02(genes, segs):
     models = consensus.scored(genes, segs)
     best = consensus.support(models, consensus.winners(models), segs)
-    return consensus.support_filter(best).select("gid", "support", "kept", "reason")
+    return consensus.support_filter(best, single_least=2, rescue=12.0).select("gid", "support", "kept", "reason")
 
 
 COVER = "SELECT seqid, sum(seg_end - seg_start + 1) AS n FROM ({}) GROUP BY seqid"

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annotspark.plans.features import longest_transcript
+from annotspark.plans.features import _PRIMARY, longest_transcript
 from annotspark.plans.formats import spliced
 from annotspark.plans.hierarchy import ids
 from annotspark.plans.hits import merge_annotations
-from annotspark.plans.sequences import translate
+from annotspark.plans.sequences import protein_sql, translate
 from annotspark.registry import query
 
 
@@ -167,11 +167,15 @@ def c10(genes, hits, go):
     return merge_annotations(genes, hits).join(j09(genes, hits, go), "locus", "left")
 
 
-@query("J06_primary_protein", "fx_feature fx_cds fx_ctg")
-def j06(features, segs, contigs):
-    """The protein of the longest transcript of each gene: at least 10 letters, no internal stop."""
-    primary = longest_transcript(features).select("gid").distinct()
-    proteins = spliced(segs, contigs).join(primary, "gid", "left_semi").select("gid", translate(F.col("cds")).alias("protein"))
+@query("J06_primary_protein", "fx_feature fx_ctg", f"""WITH c AS (SELECT p.id, f.strand, string_agg(substr(seq, f.f_start, f.f_end - f.f_start + 1), '' ORDER BY f.f_start, f.f_end) AS s
+FROM ({_PRIMARY}) p JOIN (SELECT * FROM fx_feature WHERE type = 'CDS') f ON f.parent = p.id JOIN fx_ctg ON f.seqid = fx_ctg.seqid GROUP BY p.id, f.strand),
+t AS (SELECT id, {protein_sql("CASE WHEN strand = '-' THEN reverse(translate(s, 'ACGTacgtUu', 'TGCAtgcaAa')) ELSE s END")} AS protein FROM c)
+SELECT id, protein FROM t WHERE length(protein) >= 10 AND NOT contains(protein, '*')""")
+def j06(features, contigs):
+    """The protein of the longest transcript of each gene, from that transcript's CDS: at least 10 letters, no internal stop."""
+    primary = longest_transcript(features).select("id")
+    segs = features.where("type = 'CDS'").select("seqid", "strand", F.col("parent").alias("id"), F.col("f_start").alias("seg_start"), F.col("f_end").alias("seg_end"))
+    proteins = spliced(segs.join(primary, "id", "left_semi"), contigs, "id").select("id", translate(F.col("cds")).alias("protein"))
     return proteins.where((F.length("protein") >= 10) & ~F.contains("protein", F.lit("*")))
 
 

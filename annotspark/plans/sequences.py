@@ -42,9 +42,14 @@ def internal_stops(protein: Column) -> Column:
 
 
 _CODE = "MAP {" + ", ".join(f"'{c}': '{a}'" for c, a in codons().items()) + "}"
-_CUT = "substr(upper(seq), 1, 3000)"
-_PROTEIN = f"regexp_replace(array_to_string(list_transform(range(0, length({_CUT}) // 3), lambda i: coalesce(({_CODE})[substr({_CUT}, CAST(3 * i + 1 AS BIGINT), 3)], 'X')), ''), '\\*$', '')"
-_PROT = f"(SELECT seq_id, {_PROTEIN} AS protein FROM fx_seq)"
+
+
+def protein_sql(seq: str) -> str:
+    """:func:`translate` in the oracle's SQL."""
+    return f"regexp_replace(coalesce(array_to_string(list_transform(regexp_extract_all(upper({seq}), '...'), lambda c: coalesce(({_CODE})[c], 'X')), ''), ''), '\\*$', '')"
+
+
+_PROT = f"(SELECT seq_id, {protein_sql('seq')} AS protein FROM fx_seq)"
 
 
 def proteins(seqs: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def r01(docs):
 
 
 @query("R02_split_paragraphs", "documents", """SELECT doc_id, CAST(i AS BIGINT) AS n, left(p, 500) AS snippet FROM (SELECT doc_id, unnest(l) AS p, unnest(range(0, len(l))) AS i FROM
-(SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 50) AS l FROM documents))""")
+(SELECT doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: strlen(regexp_replace(x, '^\\s+|\\s+$', '', 'g')) > 50) AS l FROM documents))""")
 def r02(docs):
     """Paragraphs between blank lines, of more than 50 bytes without the white space around them."""
     parts = F.filter(F.split("text", "\n\n"), lambda x: F.octet_length(F.regexp_replace(x, r"(?U)^\s+|\s+\z", "")) > 50)
