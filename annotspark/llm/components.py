@@ -26,3 +26,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if new.where("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")
+
+
+#: Parts into which the rows of one key are dealt by :func:`salted_join`.
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, one: DataFrame, key: str, deal: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``one`` (one row for each key), for keys that hold much of ``rows``.
+
+    Rows of a key are dealt to parts by a hash of the column ``deal``; the other side has a row for each part.
+    """
+    parts = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(deal), F.lit(SALTS)).cast("int")).join(parts, [key, "_salt"], how).drop("_salt")

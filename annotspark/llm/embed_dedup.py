@@ -2,17 +2,18 @@
 
 Vectors are normalised; equal ones form one class.  In each of several tables a class falls into the bucket given by
 ``hashes`` random projections, shifted and cut into steps of ``width``.  Classes that share a bucket are compared by
-their cosine in double precision.  Large buckets are cut into blocks, and every pair of blocks is a group of its own,
-so no task holds a whole bucket and no pair of rows is ever emitted: a group returns how many vectors each of its
-classes links with and a spanning forest of the links.  A pair is counted in the first table it shares only.
+their cosine in double precision.  Large buckets are cut into blocks, and every pair of blocks is compared on its own,
+so no task holds a whole bucket and no pair of rows is ever emitted: what returns is how many vectors each class links
+with and a spanning forest of the links.  Pairs of blocks travel many to a group of bounded size.  A pair is counted in
+the first table it shares only.
 
 The number of projections grows with the logarithm of the number of vectors, so that buckets stay small, and the
 number of tables follows from it so that a pair at the threshold is found with probability ``recall``; closer pairs
 are found more often.  No link below the threshold is ever made.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with nothing; equal vectors
-link with one another; repeated rows are vectors of their own; labels and other columns are ignored; an empty table
-gives no rows.
+link with one another; vectors of different lengths never link, whatever rows they stand beside; repeated rows are
+vectors of their own; labels and other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import written
-from annotspark.llm.components import components
+from annotspark.llm.components import components, salted_join
 
 THRESHOLD = 0.95
 WIDTH = 2.0
 RECALL = 0.97
 #: Members of a block of a small bucket; blocks grow slowly with the bucket.
 BLOCK = 128
+#: Rows of a group of pairs of blocks, on average.
+GROUP = 4096
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -48,16 +51,21 @@ def plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[
     return hashes, tables
 
 
-def _units(column) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows hold a usable vector, and those rows normalised."""
+def _units(column) -> list[bytes | None]:
+    """Each vector normalised, as bytes of doubles, or None where it links with nothing."""
     lists = column.to_pylist()
-    width = max((len(x) for x in lists if x), default=0)
-    good = np.array([x is not None and len(x) == width and width > 0 and None not in x for x in lists], dtype=bool)
-    data = np.array([x for x, ok in zip(lists, good) if ok], dtype=np.float64).reshape(-1, max(width, 1))
-    norm = np.linalg.norm(data, axis=1)
-    fine = np.isfinite(norm) & (norm > 0)
-    good[np.flatnonzero(good)[~fine]] = False
-    return good, data[fine] / norm[fine, None]
+    sizes = np.array([0 if x is None or None in x else len(x) for x in lists], dtype=np.int64)
+    out: list[bytes | None] = [None] * len(lists)
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        which = np.flatnonzero(sizes == size)
+        data = np.array([lists[k] for k in which], dtype=np.float64)
+        most = np.abs(data).max(axis=1)
+        fine = np.isfinite(most) & (most > 0)
+        data = data[fine] / most[fine, None]  # squares of very large or small components stay finite
+        unit = data / np.linalg.norm(data, axis=1)[:, None] + 0.0
+        for k, u in zip(which[fine].tolist(), unit):
+            out[k] = u.tobytes()
+    return out
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -67,11 +75,7 @@ def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            good, unit = _units(batch.column(1))
-            out: list = [None] * len(good)
-            for k, u in zip(np.flatnonzero(good).tolist(), unit + 0.0):
-                out[k] = u.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_units(batch.column(1)), pa.binary())], names=["id", "unit"])
 
     kind = vectors.schema[id_col].dataType.simpleString()
     return vectors.select(F.col(id_col), F.col(vec_col)).mapInArrow(run, f"id {kind}, unit binary")
@@ -107,19 +111,16 @@ def bucket_keys(classes: DataFrame, hashes: int, tables: int, width: float = WID
 
 
 def _compare(threshold: float):
-    """For a pair of blocks: the weight linked to each class, and a forest of the links."""
+    """For the pairs of blocks in a group: the weight linked to each class, and a forest of the links."""
 
     def run(table):
         import pyarrow as pa
 
-        t, i, j = (table.column(c)[0].as_py() for c in ("tab", "lo", "hi"))
         names = table.column("cls").to_pylist()
         weight = table.column("weight").to_numpy()
         keys = np.array(table.column("keys").to_pylist(), dtype=np.int64)
-        unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), dtype=np.float64).reshape(len(names), -1)
-        block = table.column("block").to_numpy()
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
+        units = table.column("unit").to_pylist()
+        tab, key, lo, hi, block = (table.column(c).to_numpy() for c in ("tab", "key", "lo", "hi", "block"))
         linked = np.zeros(len(names), dtype=np.int64)
         root = np.arange(len(names))
 
@@ -129,19 +130,30 @@ def _compare(threshold: float):
                 x = root[x]
             return x
 
-        for at in range(0, len(left), 512):
-            rows = left[at : at + 512]
-            hit = unit[rows] @ unit[right].T >= threshold
-            for s in range(t):
-                hit &= keys[rows, s][:, None] != keys[right, s][None, :]
-            if i == j:
-                hit &= right[None, :] > rows[:, None]
-            linked[rows] += hit @ weight[right]
-            linked[right] += hit.T @ weight[rows]
-            for x, y in zip(*np.nonzero(hit)) if hit.sum() < 4 * len(names) else _forest(hit):
-                a, b = top(rows[x]), top(right[y])
-                if a != b:
-                    root[max(a, b)] = min(a, b)
+        order = np.lexsort((hi, lo, key, tab))
+        new = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (tab, key, lo, hi)])
+        for rows in np.split(order, np.flatnonzero(new) + 1):
+            if len(rows) < 2:
+                continue
+            t, inner = int(tab[rows[0]]), lo[rows[0]] == hi[rows[0]]
+            unit = np.frombuffer(b"".join([units[k] for k in rows]), dtype=np.float64).reshape(len(rows), -1)
+            left = np.flatnonzero(block[rows] == lo[rows[0]])
+            right = left if inner else np.flatnonzero(block[rows] == hi[rows[0]])
+            for at in range(0, len(left), 512):
+                a = left[at : at + 512]
+                hit = unit[a] @ unit[right].T >= threshold
+                if not hit.any():
+                    continue
+                for s in range(t):
+                    hit &= keys[rows[a], s][:, None] != keys[rows[right], s][None, :]
+                if inner:
+                    hit &= right[None, :] > a[:, None]
+                linked[rows[a]] += hit @ weight[rows[right]]
+                linked[rows[right]] += hit.T @ weight[rows[a]]
+                for x, y in zip(*np.nonzero(hit)) if hit.sum() < 4 * len(rows) else _forest(hit):
+                    p, q = top(rows[a[x]]), top(rows[right[y]])
+                    if p != q:
+                        root[max(p, q)] = min(p, q)
         some = np.flatnonzero(linked)
         text = lambda x: pa.array(x, pa.string())
         return pa.table({"cls": text([names[k] for k in some]), "linked": linked[some], "root": text([names[top(k)] for k in some])})
@@ -177,14 +189,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         "cls", "tab", "key", "block",
         F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))).alias("p"),
     ).select("cls", "tab", "key", "block", "p.lo", "p.hi")
+    groups = -(-pairs.count() // GROUP) + 1
+    pairs = pairs.withColumn("g", F.pmod(F.xxhash64("tab", "key", "lo", "hi"), F.lit(groups)))
     full = pairs.join(keyed.select("cls", "unit", "weight", "keys"), "cls")
-    found = written(full.groupBy("tab", "key", "lo", "hi").applyInArrow(_compare(threshold), "cls string, linked long, root string"), "links")
+    found = written(full.groupBy("g").applyInArrow(_compare(threshold), "cls string, linked long, root string"), "links")
 
     groups = components(found, "cls", "root")
     counts = found.groupBy("cls").agg(F.sum("linked").alias("linked"))
     classed = keyed.select("cls", "least", "weight").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = classed.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_class = classed.join(least, "label").join(counts, "cls", "left").select("cls", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    per_class = salted_join(classed, least, "label", "cls").join(counts, "cls", "left").select("cls", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     out = rows.join(per_class, "cls", "left")
     component = F.coalesce("component_id", "id")
     return out.select(

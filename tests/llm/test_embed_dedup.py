@@ -37,6 +37,30 @@ def test_against_brute_force(spark):
     assert sum(g[1] == want[i][1] for i, g in got.items()) >= 0.99 * len(want)
 
 
+def test_widths_sizes_and_repeats(spark):
+    """Vectors of several lengths in one batch, very large and small components, repeated and null ids."""
+    rows = [
+        (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [2.0, 0.0, 0.0]), (5, [1.0]), (5, [1.0]), (6, [1e300, 1e300]), (7, [1e-300, 1e-300]),
+        (8, [1.0, float("nan"), 1.0]), (9, [1.0, None]), (10, []), (11, None), (12, [0.0, 0.0]), (None, [0.0, 1.0]), (None, [0.0, 1.0]), (13, [-1.0, 0.0]),
+    ]
+    df = spark.createDataFrame([(i, v, "x", 2) for i, v in rows], "vec_id long, embedding array<double>, cls string, linked int")
+    for docs in (df.coalesce(1), df.repartition(5)):
+        got = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in ed.near_duplicates(docs).collect())
+        alone = [(str(i), 0, str(i)) for i in (8, 9, 10, 11, 12, 13)]
+        assert got == sorted([("1", 1, "1"), ("2", 1, "1"), ("3", 1, "3"), ("4", 1, "3"), ("5", 1, "5"), ("5", 1, "5"), ("6", 1, "6"), ("7", 1, "6"), ("None", 1, "None"), ("None", 1, "None"), *alone])
+
+
+def test_blocks_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ed, "BLOCK", 8)
+    monkeypatch.setattr(ed, "GROUP", 20)
+    rng = np.random.default_rng(9)
+    centre = rng.standard_normal(16)
+    rows = [list(map(float, centre + rng.standard_normal(16) * 0.02)) for _ in range(150)] + [list(map(float, rng.standard_normal(16))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    want = brute(list(range(len(rows))), rows)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in ed.near_duplicates(df).collect()} == want
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert ed.near_duplicates(df).count() == 0
