@@ -64,16 +64,13 @@ def _crc32(ids) -> int:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), folder)
-    back = warc.read(spark, folder)
-    # of responses both are taken from the payload that was read, of revisits from their headers
-    answered = F.col("record_type") == "response"
-    return back.select(
-        "page_id",
-        F.when(answered, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(answered, warc.base32_sha1(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    # the record type is pushed into the reader: responses are told by the payload that was read, revisits by their headers
+    responses = warc.read(spark, folder).where("record_type = 'response'")
+    revisits = warc.read(spark, folder, payload=False).where("record_type = 'revisit'")
+    told = responses.select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), warc.base32_sha1(F.col("payload")).alias("payload_digest"), "record_type", "refers_to"
     )
+    return told.unionByName(revisits.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,6 @@ and the others revisit it; repeated rows of one page_id with equal payloads are
 
 from __future__ import annotations
 
-import gzip
-import io
 import struct
 import uuid
 import zlib
@@ -37,6 +35,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from annotspark.llm.components import salted_join
+
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, page_id long, refers_to long, "
     "payload_digest string, payload_bytes long, payload binary"
@@ -85,7 +85,15 @@ def make_record(row: dict) -> bytes:
     return b"\r\n".join(lines) + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
+def _number(value: str | None) -> int | None:
+    try:
+        return None if value is None else int(value)
+    except ValueError:
+        return None
+
+
 def parse_headers(raw: bytes) -> dict:
+    """Header fields by column; a number that isn't one is null, and a missing length is 0."""
     found = {}
     for line in raw.split(b"\r\n")[1:]:
         key, _, value = line.partition(b":")
@@ -95,8 +103,8 @@ def parse_headers(raw: bytes) -> dict:
         value = found.get(header.lower())
         if value is not None and name == "payload_digest":
             value = value.removeprefix("sha1:")
-        row[name] = int(value) if value is not None and name in _NUMBERS else value
-    row["_length"] = int(found.get("content-length", 0))
+        row[name] = _number(value) if name in _NUMBERS else value
+    row["_length"] = max(0, _number(found.get("content-length")) or 0)
     return row
 
 
@@ -108,38 +116,104 @@ def _passes(row: dict, filters: list[tuple[str, str, tuple]]) -> bool:
     return True
 
 
-def records(stream, filters: list, want_payload: bool) -> Iterator[dict]:
-    """Records of one gzip file; members that fail the filters are skipped once their headers are known."""
+class _Plain:
+    """The text of gzip members, inflated piece by piece as it is asked for."""
+
+    def __init__(self, stream, piece: int = 1 << 16):
+        self.stream, self.piece = stream, piece
+        self.inflate, self.held, self.packed = zlib.decompressobj(31), b"", b""
+
+    def _more(self) -> bool:
+        if self.inflate.eof:
+            self.packed, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+        if not self.packed:
+            self.packed = self.stream.read(self.piece)
+        if not self.packed:
+            return False
+        now, self.packed = self.packed, b""
+        try:
+            self.held += self.inflate.decompress(now, self.piece * 4)
+        except zlib.error:  # not gzip from here on, or cut short
+            return False
+        self.packed = self.inflate.unconsumed_tail
+        return True
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What stands before the mark, which is passed over; None at the end."""
+        while (at := self.held.find(mark)) < 0:
+            if not self._more():
+                return None
+        out, self.held = self.held[:at], self.held[at + len(mark) :]
+        return out
+
+    def take(self, n: int, keep: bool) -> bytes | None:
+        """The next ``n`` bytes; only counted, unless they are to be kept.  None where there are fewer."""
+        parts = []
+        while n > len(self.held):
+            n -= len(self.held)
+            if keep:
+                parts.append(self.held)
+            self.held = b""
+            if not self._more():
+                return None
+        if keep:
+            parts.append(self.held[:n])
+        self.held = self.held[n:]
+        return b"".join(parts)
+
+
+def _own(stream, filters: list, want_payload: bool) -> Iterator[dict]:
+    """Records of members with their length in an "sl" field, up to the first other one, which the stream is left at."""
     while True:
+        at = stream.tell()
         head = stream.read(24)
-        if not head:
+        if len(head) < 24 or head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != b"sl":
+            stream.seek(at)
+            return
+        total, _ = struct.unpack("<II", head[16:24])
+        inflate, text, packed, end = zlib.decompressobj(-15), b"", b"", at + total
+        while b"\r\n\r\n" not in text and stream.tell() < end:
+            packed = stream.read(min(1 << 10, end - stream.tell()))
+            if not packed:
+                break
+            text += inflate.decompress(packed)
+        top, gap, rest = text.partition(b"\r\n\r\n")
+        if not gap:
             return
-        if len(head) == 24 and head[:4] == b"\x1f\x8b\x08\x04" and head[12:14] == b"sl":
-            total, _ = struct.unpack("<II", head[16:24])
-            body, inflate = stream.read(total - 24), zlib.decompressobj(-15)
-            text, at = b"", 0
-            while b"\r\n\r\n" not in text and at < len(body):
-                text += inflate.decompress(body[at : at + 512])
-                at += 512
-            top, _, rest = text.partition(b"\r\n\r\n")
-            row = parse_headers(top)
-            if not _passes(row, filters):
-                continue
+        row = parse_headers(top)
+        if _passes(row, filters):
             if want_payload:
-                row["payload"] = (rest + inflate.decompress(body[at:]))[: row["_length"]]
+                packed = stream.read(max(0, end - stream.tell())) if len(rest) < row["_length"] else b""
+                row["payload"] = (rest + inflate.decompress(packed))[: row["_length"]]
+                if len(row["payload"]) < row["_length"]:
+                    return
             yield row
-        else:  # members of other writers: inflate all that is left
-            plain = gzip.decompress(head + stream.read())
-            at = 0
-            while (end := plain.find(b"\r\n\r\n", at)) >= 0:
-                row = parse_headers(plain[at:end])
-                begin = end + 4
-                at = begin + row["_length"] + 4
-                if _passes(row, filters):
-                    if want_payload:
-                        row["payload"] = plain[begin : begin + row["_length"]]
-                    yield row
+        stream.seek(end)
+
+
+def records(stream, filters: list, want_payload: bool) -> Iterator[dict]:
+    """Records of one gzip file, whose headers are parsed first.
+
+    Members of this writer that the filters reject are passed over by their length, without reading or inflating their
+    payload.  Other writers' members have to be inflated to be passed over, which is done piece by piece; no more than
+    one payload that is wanted is held.  A record that is cut short ends the file; what isn't a record's beginning is
+    passed over up to the next.
+    """
+    yield from _own(stream, filters, want_payload)
+    plain = _Plain(stream)
+    while (top := plain.until(b"\r\n\r\n")) is not None:
+        begin = top.rfind(b"WARC/")
+        if begin < 0:
+            continue
+        row = parse_headers(top[begin:])
+        fits = _passes(row, filters)
+        payload = plain.take(row["_length"], fits and want_payload)
+        if payload is None:
             return
+        if fits:
+            if want_payload:
+                row["payload"] = payload
+            yield row
 
 
 class _Files(InputPartition):
@@ -186,26 +260,11 @@ class WarcReader(DataSourceReader):
         store, _ = _file_system(self.folder)
         names = [*_HEADERS, "payload"]
         for path in partition.paths:
-            with store.open_input_stream(path, compression=None) as f:
-                for row in records(io.BufferedReader(_Raw(f), 1 << 20), self.filters, self.want_payload):
+            with store.open_input_file(path) as f:
+                for row in records(f, self.filters, self.want_payload):
                     yield tuple(row.get(n) for n in names)
 
 
-class _Raw(io.RawIOBase):
-    """Arrow stream as a raw Python stream."""
-
-    def __init__(self, stream):
-        self.stream = stream
-
-    def readable(self):
-        return True
-
-    def readinto(self, buffer):
-        data = self.stream.read(len(buffer))
-        buffer[: len(data)] = data
-        return len(data)
-
-
 class _Done(WriterCommitMessage):
     def __init__(self, names: list[str]):
         self.names = names
@@ -278,12 +337,12 @@ def page_records(pages: DataFrame) -> DataFrame:
     """The records of pages: responses, and revisits of pages whose payload a larger page_id holds too.
 
     Copies are found by digest; the join with the largest page_id per digest carries only digests that occur twice or
-    more, and its hot digests are split at run time (adaptive skew join).
+    more, and the pages of one digest are dealt to several parts.
     """
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("payload_digest", base32_sha1(F.col("payload")))
     last = rows.groupBy("payload_digest").agg(F.max("page_id").alias("_last"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    joined = rows.join(last, "payload_digest", "left")
+    joined = salted_join(rows, last, "payload_digest", "page_id", "left")
     revisit = F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
     return joined.select(
         F.concat(F.lit("<urn:uuid:"), F.regexp_replace(F.md5(F.concat_ws("/", F.col("page_id"), "payload_digest")), "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5"), F.lit(">")).alias("record_id"),
