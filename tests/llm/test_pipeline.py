@@ -56,3 +56,17 @@ def test_nulls_pass(spark, tricky):
 
 def test_secret_rules_are_listed():
     assert [r.kind for r in secret_scan.RULES[:3]] == ["assign", "access", "hex"]
+
+
+def test_clashing_names_and_empty_tables(spark, tricky):
+    """Columns named as those that the stages and operators make for themselves, and tables without rows."""
+    clash = ["_null", "_hash", "_key", "_id", "_words", "_row", "_doc", "row", "doc", "key", "words", "kept", "spans", "label", "cls", "n", "n_chars"]
+    docs = tricky.selectExpr("doc_id", "text", *[f"'{c}' AS `{c}`" if c != "n_chars" else "length(text) AS n_chars" for c in clash])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == c for c in clash if c != "n_chars") and r["n_chars"] == (None if r["text"] is None else len(r["text"])), name
+        assert stage(spark, docs.limit(0), "").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), "").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
