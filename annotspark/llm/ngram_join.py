@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import discard, text_or_empty, written
-from annotspark.llm.components import components
+from annotspark.llm.components import components, salted_join
 from annotspark.llm.filters import filter_bits, hits, passing
 
 WORDS = 5
@@ -331,23 +331,24 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = known.select("key", "cls", F.coalesce("far", "bound").alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
     # the pivot itself has been compared with all
     cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
-    ready = None
+    tried = None
     while True:
         left = _open(cells, components(links))
-        if ready is None:
+        whole = (F.col("m") <= CELL) | (2 * F.col("m") > F.coalesce("above", 2 * F.col("m")))
+        here = written(inside(left.where(whole).drop("above"), percent, reach).distinct(), "tried")
+        large = left.where(~whole)
+        if tried is None:  # all that is left to compare is among these
             discard(sets)
-            sets = sets_of(rows, seen, left.select("cls").distinct(), words)
-        direct = left.where((F.col("m") <= CELL) | (2 * F.col("m") > F.col("above"))).drop("above")
-        ready = direct if ready is None else ready.unionByName(direct)
-        large = left.where((F.col("m") > CELL) & ((2 * F.col("m") <= F.col("above")) | F.col("above").isNull()))
+            sets = sets_of(rows, seen, _ends(here).union(large.select("cls")).distinct(), words)
+        tried = here if tried is None else tried.union(here)
         if large.isEmpty():
             break
         cells, found = divide(large, sets, reach)
         links = written(links.union(_linked(found, percent)), "links")
-    links = links.union(_linked(distances(inside(ready, percent, reach), sets), percent))
+    links = links.union(_linked(distances(tried, sets), percent))
     groups = components(links)
 
     docs_by = seen.select("_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = docs_by.where("label IS NOT NULL").groupBy("label").agg(F.min("_id").alias("_least"))
-    out = docs_by.join(least, "label", "left")
+    out = salted_join(docs_by, least, "label", "_id", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "_id").alias("component_id"))
