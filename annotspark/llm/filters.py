@@ -11,7 +11,7 @@ FILTER_BITS = 1 << 26
 
 
 def filter_bits(values: DataFrame) -> np.ndarray:
-    """A bit per value's low bits, as FILTER_BITS bits at most whatever the number of values."""
+    """Two bits per value, in FILTER_BITS bits whatever the number of values."""
     piece = 1 << 19
 
     def run(batches: Iterator) -> Iterator:
@@ -19,7 +19,8 @@ def filter_bits(values: DataFrame) -> np.ndarray:
 
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
-            bits[batch.column(0).to_numpy() & (FILTER_BITS - 1)] = True
+            for p in _places(batch.column(0).to_numpy()):
+                bits[p] = True
         for k in range(FILTER_BITS // piece):
             part = bits[k * piece : (k + 1) * piece]
             if part.any():
@@ -39,8 +40,18 @@ def filter_bits(values: DataFrame) -> np.ndarray:
 
 def hits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Where the values pass."""
-    p = values.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
-    return np.flatnonzero(bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & 1)
+    first, second = _places(values)
+    some = np.flatnonzero(_set(bits, first))
+    return some[_set(bits, second[some])]
+
+
+def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    v = values.view(np.uint64)
+    return (v & np.uint64(FILTER_BITS - 1)).astype(np.int64), ((v >> np.uint64(30)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _set(bits: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return (bits[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def passing(found: DataFrame, column: str, bits: np.ndarray) -> DataFrame:

@@ -7,8 +7,9 @@ Every byte covered by a ``length``-byte string that also starts in a document wi
    ends too soon for those before it.  This key depends on the window's bytes alone, so equal windows share it wherever
    they stand; and it covers most of a window, so that few others do.  Neighbouring windows of one key are a fragment.
    Keys seen in documents of one id only are dropped; a filter of bounded size tells which are left.
-2. *Blocks.*  One copy of every fragment left is gathered, with the least document that holds it, in blocks of about
-   ``BLOCK`` bytes.  Keys with more than that are dealt to several.
+2. *Blocks.*  A key whose fragments are all equal has its least document already.  Of every other key a copy of each
+   fragment is gathered, with the least document that holds it, in blocks of about ``BLOCK`` bytes.  Keys with more
+   than that are dealt to several.
 3. *Expansion.*  In a block the fragments are put in suffix order, their Burrows-Wheeler transform is taken, and
    intervals are extended backwards, breadth first, from the empty string: each level gives the places where neighbours
    share exactly that many bytes, by increasing value, and the search stops at ``length``.  What is still undivided then
@@ -163,43 +164,51 @@ def _least(key: np.ndarray, doc: np.ndarray):
 
 
 def shared_keys(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Keys that stand in documents of different ids."""
+    """(key, low, mixed): keys that stand in documents of different ids, the least of those, and whether their fragments differ."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for (key, _, doc, *_), _ in _slices(batches, length, gram):
-            key, _, low, high = _least(key, doc)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(low), pa.array(high)], names=["key", "low", "high"])
+        for (key, made, doc, *_), _ in _slices(batches, length, gram):
+            order = np.argsort(key, kind="stable")
+            key, made, doc = key[order], made[order].view(np.int64), doc[order]
+            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+            ends = [f.reduceat(x, at) if len(at) else x for x in (doc, made) for f in (np.minimum, np.maximum)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[at].view(np.int64)), *map(pa.array, ends)], names=["key", "low", "high", "f1", "f2"])
 
-    found = rows.mapInArrow(run, "key long, low long, high long").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return found.where("low < high").select("key")
+    found = rows.mapInArrow(run, "key long, low long, high long, f1 long, f2 long")
+    found = found.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("f1").alias("f1"), F.max("f2").alias("f2"))
+    return found.where("low < high").select("key", "low", (F.col("f1") != F.col("f2")).alias("mixed"))
 
 
-def occurrences(rows: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataFrame:
+def occurrences(rows: DataFrame, bits: np.ndarray, mixed: np.ndarray, length: int, gram: int) -> DataFrame:
     """Fragments whose key passes the filter: key, fragment, doc, row, start, windows.
 
-    At one of a task's places of a fragment also its body, and the least and greatest document of those places.
+    Those of keys that pass the filter ``mixed`` have, at one of a task's places, also their body, and the least and
+    greatest document of those places.
     """
-    spread = rows.sparkSession.sparkContext.broadcast(bits)
+    spread = rows.sparkSession.sparkContext.broadcast((bits, mixed))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        bits, mixed = spread.value
         for found, text in _slices(batches, length, gram):
-            hit = hits(spread.value, found[0])
+            hit = hits(bits, found[0])
             key, made, doc, row, start, windows, place = (x[hit] for x in found)
-            _, at, low, high = _least(made, doc)
-            some = np.zeros(len(key), dtype=bool)
-            some[at] = True
-            put = lambda x: pa.array(np.take(x, np.cumsum(some) - 1), mask=~some) if len(x) else pa.array([], pa.int64())
-            order = np.argsort(at)
-            body = [None] * len(key)
+            some = hits(mixed, key)
+            _, at, low, high = _least(made[some], doc[some])
+            at = some[at]
+            body: list = [None] * len(key)
             for k, a, n in zip(at.tolist(), place[at].tolist(), windows[at].tolist()):
                 body[k] = text[a : a + n + length - 1].tobytes()
+            ends = np.zeros((2, len(key)), dtype=np.int64)
+            ends[:, at] = low, high
+            other = np.ones(len(key), dtype=bool)
+            other[at] = False
             columns = [key.view(np.int64), made.view(np.int64), doc, row, start.astype(np.int32), windows.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(body, pa.binary()), put(low[order]), put(high[order])],
+                [*map(pa.array, columns), pa.array(body, pa.binary()), *(pa.array(x, mask=other) for x in ends)],
                 names=["key", "fragment", "doc", "row", "start", "windows", "body", "low", "high"],
             )
 
@@ -390,19 +399,18 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     if gram >= length:
         raise ValueError("a window has to hold several short strings")
     shared = written(shared_keys(rows, length, gram), "shared")
-    bits = filter_bits(shared)
-    discard(shared)
-    found = written(occurrences(rows, bits, length, gram), "occurrences")
+    found = written(occurrences(rows, filter_bits(shared.select("key")), filter_bits(shared.where("mixed").select("key")), length, gram), "occurrences")
     minima = window_minima(found, length)
-    places = passing(found.select("fragment", "doc", "row", "start", "windows"), "fragment", filter_bits(minima.select("fragment")))
-    gone = places.join(minima, "fragment").where("low < doc")
+    places = found.select("key", "fragment", "doc", "row", "start", "windows")
+    whole = places.join(shared.where("NOT mixed").select("key", "low"), "key").where("low < doc")
+    whole = whole.select("row", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))).alias("s"))
 
     def edges(flags):  # where runs of removed windows begin and end, in turn
         at = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
         return F.filter(F.sequence(F.lit(0), F.size(flags)), lambda k: at(k) != at(k - 1))
 
-    whole = F.array(F.lit(0), F.col("windows"))
-    cuts = F.when(F.col("least").isNull(), whole).otherwise(let(F.transform("least", lambda x: x < F.col("doc")), edges))
+    every = F.array(F.lit(0), F.col("windows"))
+    cuts = F.when(F.col("least").isNull(), every).otherwise(let(F.transform("least", lambda x: x < F.col("doc")), edges))
     spans = let(
         cuts,
         lambda e: F.transform(
@@ -410,8 +418,9 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             lambda x, k: F.struct((F.col("start") + x).alias("a"), (F.col("start") + F.get(e, 2 * k + 1) + length - 1).alias("b")),
         ),
     )
-    out = written(gone.select("row", spans.alias("s")).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
-    discard(found, minima)
+    parts = passing(places, "fragment", filter_bits(minima.select("fragment"))).join(minima, "fragment").where("low < doc").select("row", spans.alias("s"))
+    out = written(whole.unionByName(parts).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    discard(shared, found, minima)
     return out
 
 
