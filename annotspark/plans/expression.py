@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annotspark.plans.features import ranged
 from annotspark.registry import query
 
 SAMPLES = [f"s{i}" for i in range(6)]
@@ -61,11 +62,24 @@ def x01(quant):
 
 
 def benjamini_hochberg(df: DataFrame, group: str, p: str, tie: str, out: str = "padj") -> DataFrame:
-    """Adjusted p-values per group: the least of p * n / rank over equal or larger p-values, at most 1."""
-    up = Window.partitionBy(group).orderBy(p, tie)
-    down = Window.partitionBy(group).orderBy(F.desc(p), F.desc(tie)).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = df.where(F.col(p).isNotNull()).withColumn("_q", F.col(p) * F.count("*").over(Window.partitionBy(group)) / F.row_number().over(up))
-    return ranked.withColumn(out, F.least(F.lit(1.0), F.min("_q").over(down))).drop("_q")
+    """Adjusted p-values per group: the least of p * n / rank over equal or larger p-values, at most 1; null p-values are left out.
+
+    A group may hold most of the rows, so it is dealt to ranges of the order by p: ranks go on from the ranges before,
+    minima from those behind.  What is gathered of the ranges are a few numbers for each group and range.
+    """
+    rows = ranged(df.where(F.col(p).isNotNull()), [F.asc(group), F.asc(p), F.asc(tie)])
+    here = Window.partitionBy("_p", group)
+    parts = Window.partitionBy(group).orderBy("_p")
+    sizes = rows.groupBy(group, "_p").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(group, "_p", before.alias("_before"), F.sum("_n").over(Window.partitionBy(group)).alias("_all"))
+    rank = F.col("_before") + F.row_number().over(here.orderBy(p, tie))
+    scaled = rows.join(sizes, [group, "_p"]).withColumn("_q", F.col(p) * F.col("_all") / rank)
+    least = scaled.groupBy(group, "_p").agg(F.min("_q").alias("_m"))
+    behind = least.select(group, "_p", F.min("_m").over(parts.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"))
+    down = here.orderBy(F.desc(p), F.desc(tie)).rowsBetween(Window.unboundedPreceding, 0)
+    done = scaled.withColumn("_q", F.min("_q").over(down)).join(behind, [group, "_p"])
+    return done.withColumn(out, F.least(F.lit(1.0), "_q", F.coalesce("_behind", F.lit(1.0)))).drop("_q", "_p", "_before", "_all", "_behind")
 
 
 @query("W08_bh_adjust", "fx_go", """SELECT gene, ontology, round(least(1.0, min(q) OVER (PARTITION BY ontology ORDER BY padj DESC, gene DESC ROWS UNBOUNDED PRECEDING)), 6) AS adjusted FROM (

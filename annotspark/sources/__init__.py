@@ -1 +1,32 @@
-"""Part of annotspark."""
+"""Readers of files as lines, and what turns a parser of lines into a reader of paths."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value): the lines of all files below ``path``, compressed ones too."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n, value) with lines numbered from 0 in each file, for formats in which a line's place counts.
+
+    A file's blocks are put in order by where they begin; one task numbers one file.
+    """
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), "value")
+    w = Window.partitionBy("file").orderBy("_b", "_i")
+    return read.select("file", (F.row_number().over(w) - 1).cast("long").alias("n"), "value")
+
+
+def reader(parse: Callable[[DataFrame], DataFrame], by_place: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+    """``read(spark, path)`` for a parser of lines."""
+
+    def read(spark: SparkSession, path: str) -> DataFrame:
+        return parse(numbered_lines(spark, path) if by_place else lines(spark, path))
+
+    return read
