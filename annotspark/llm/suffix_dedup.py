@@ -185,7 +185,7 @@ def occurrences(rows: DataFrame, bits: np.ndarray, mixed: np.ndarray, length: in
     """Fragments whose key passes the filter: key, fragment, doc, row, start, windows.
 
     Those of keys that pass the filter ``mixed`` have, at one of a task's places, also their body, and the least and
-    greatest document of those places.
+    greatest document of those places; of all other keys the fragments are equal and stay 0.
     """
     spread = rows.sparkSession.sparkContext.broadcast((bits, mixed))
 
@@ -206,7 +206,9 @@ def occurrences(rows: DataFrame, bits: np.ndarray, mixed: np.ndarray, length: in
             ends[:, at] = low, high
             other = np.ones(len(key), dtype=bool)
             other[at] = False
-            columns = [key.view(np.int64), made.view(np.int64), doc, row, start.astype(np.int32), windows.astype(np.int32)]
+            told = np.zeros(len(key), dtype=np.int64)
+            told[some] = made[some].view(np.int64)
+            columns = [key.view(np.int64), told, doc, row, start.astype(np.int32), windows.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
                 [*map(pa.array, columns), pa.array(body, pa.binary()), *(pa.array(x, mask=other) for x in ends)],
                 names=["key", "fragment", "doc", "row", "start", "windows", "body", "low", "high"],
@@ -399,11 +401,11 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     if gram >= length:
         raise ValueError("a window has to hold several short strings")
     shared = written(shared_keys(rows, length, gram), "shared")
+    alike = shared.where("NOT mixed").select("key", "low")
     found = written(occurrences(rows, filter_bits(shared.select("key")), filter_bits(shared.where("mixed").select("key")), length, gram), "occurrences")
     minima = window_minima(found, length)
-    places = found.select("key", "fragment", "doc", "row", "start", "windows")
-    whole = places.join(shared.where("NOT mixed").select("key", "low"), "key").where("low < doc")
-    whole = whole.select("row", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))).alias("s"))
+    whole = passing(found.select("key", "doc", "row", "start", "windows"), "key", filter_bits(alike.select("key"))).join(alike, "key").where("low < doc")
+    whole = whole.select("row", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
 
     def edges(flags):  # where runs of removed windows begin and end, in turn
         at = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
@@ -418,8 +420,9 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             lambda x, k: F.struct((F.col("start") + x).alias("a"), (F.col("start") + F.get(e, 2 * k + 1) + length - 1).alias("b")),
         ),
     )
-    parts = passing(places, "fragment", filter_bits(minima.select("fragment"))).join(minima, "fragment").where("low < doc").select("row", spans.alias("s"))
-    out = written(whole.unionByName(parts).groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    places = found.where("fragment <> 0").select("fragment", "doc", "row", "start", "windows")
+    parts = passing(places, "fragment", filter_bits(minima.select("fragment"))).join(minima, "fragment").where("low < doc").select("row", F.explode(spans).alias("s")).select("row", "s.*")
+    out = written(whole.unionByName(parts).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     discard(shared, found, minima)
     return out
 
