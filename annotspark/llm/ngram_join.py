@@ -28,6 +28,7 @@ rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,8 @@ WORDS = 5
 PERCENT = 75
 #: Shingles that are ordered last; a bounded list that is sent to all tasks.
 COMMON = 1 << 19
+#: Shingles among which a task looks for repeated ones.
+TOGETHER = 1 << 21
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
 CELL = 128
 PIVOTS = 8
@@ -48,6 +51,9 @@ PIVOTS = 8
 EARLIER = 16
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
+#: Bytes of text that are hashed together, and length from which a word is hashed on its own.
+SLICE = 1 << 20
+LONG_WORD = 1 << 19
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -56,21 +62,75 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingles(texts, words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text of an Arrow string array without nulls."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
+@lru_cache(maxsize=1)
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2^64, a hash of each byte (that of a-z for A-Z), and which are white space."""
+
+    def powers(x: int) -> np.ndarray:
+        out = np.full(SLICE + 1, x, dtype=np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    low = np.arange(256, dtype=np.uint64)
+    low[65:91] += np.uint64(32)
+    space = np.zeros(256, dtype=bool)
+    space[[9, 10, 11, 12, 13, 32]] = True
+    base = int(_ODD[0])
+    return powers(base), powers(pow(base, -1, 1 << 64)), _mix(low + np.uint64(1)), space
+
+
+def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in joined texts that begin at ``starts``, and how many words stand before each text and in all."""
+    up, down, letter, space = _letters()
+    gap = np.ones(len(data) + 1, dtype=bool)
+    gap[1:] = space[data[: len(data)]]
+    own = ~space[data]
+    new = own & gap[:-1]
+    begins = starts[starts < len(data)]
+    new[begins] = own[begins]
+    begin = np.flatnonzero(new)
+    last = own.copy()
+    last[:-1] &= ~own[1:]
+    before = begins[begins > 0] - 1
+    last[before] = own[before]
+    end = np.flatnonzero(last) + 1
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(letter[data] * up[: len(data)], out=sums[1:])
+    h = _mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * _ODD[1])
+    return h, np.append(np.searchsorted(begin, starts), len(begin))
+
+
+def _long_text(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of one text of any length, cut at white space; very long words are hashed on their own."""
+    import xxhash
+
+    space, out, at = _letters()[3], [], 0
+    while at < len(data):
+        to = min(len(data), at + SLICE)
+        if to < len(data):
+            gaps = np.flatnonzero(space[data[to - LONG_WORD : to]])
+            if not len(gaps):  # a long word, that begins before or where this slice does
+                gaps = np.flatnonzero(space[data[at : to - LONG_WORD]])
+                begin = at + int(gaps[-1]) + 1 if len(gaps) else at
+                end = to
+                while end < len(data) and not space[data[end]]:
+                    end += 1
+                if begin > at:
+                    out.append(_words(data[at:begin], np.array([0]))[0])
+                word = bytes(data[begin:end]).lower()
+                out.append(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64))
+                at = end
+                continue
+            to = to - LONG_WORD + int(gaps[-1]) + 1
+        out.append(_words(data[at:to], np.array([0]))[0])
+        at = to
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
+def _sets(h: np.ndarray, at: np.ndarray, words: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of texts whose words' hashes stand at ``h[at[i]:at[i + 1]]``."""
     import xxhash
 
-    lower = pc.ascii_lower(texts.cast(pa.large_string()))
-    parts = pc.ascii_split_whitespace(lower)
-    at = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-    flat = parts.flatten()
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    at = np.concatenate([[0], np.cumsum(real)])[at]
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    of_word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
-    h = of_word[coded.indices.to_numpy()]
     weights = (_ODD if words <= len(_ODD) else np.resize(_ODD, words))[:words]
     m = max(0, len(h) - words + 1)
     run = np.zeros(m, dtype=np.uint64)
@@ -81,7 +141,8 @@ def shingles(texts, words: int = WORDS) -> list[np.ndarray]:
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         if b - a >= words:
-            out.append(np.unique(run[a : b - words + 1]))
+            own = np.sort(run[a : b - words + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif b > a:
             out.append(np.array([xxhash.xxh3_64_intdigest(h[a:b].tobytes(), seed=b - a)], dtype=np.uint64))
         else:
@@ -89,18 +150,23 @@ def shingles(texts, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _sliced(column, words: int, limit: int = 4 << 20) -> Iterator[list[np.ndarray]]:
-    """:func:`shingles` of a few megabytes of text at a time, so that a batch's words are never all held at once."""
+def _sliced(column, words: int) -> Iterator[list[np.ndarray]]:
+    """The shingle sets of the texts of an Arrow string array without nulls, those of about a megabyte of text at a time."""
     import pyarrow as pa
-    import pyarrow.compute as pc
 
-    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+    text = column.cast(pa.large_binary())
+    ends = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
     at = 0
-    while at < len(column):
-        done = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
-        yield shingles(column.take(pa.array(np.arange(at, end))), words)  # a copy: offsets begin at 0
-        at = end
+    while at < len(text):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE, side="right")) - 1)
+        part = data[ends[at] : ends[to]]
+        if len(part) > SLICE:
+            h = _long_text(part)
+            yield _sets(h, np.array([0, len(h)]), words)
+        else:
+            yield _sets(*_words(part, ends[at:to] - ends[at]), words)
+        at = to
 
 
 def _class_of(s: np.ndarray) -> int:
@@ -115,11 +181,20 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def often(held: list[np.ndarray]):
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key[n > 1].view(np.int64)), pa.array(n[n > 1], pa.int64())], names=["key", "n"])
+
+        held, size = [], 0
         for batch in batches:
-            for sets in _sliced(batch.column(0), words, 12 << 20):
-                key, n = np.unique(np.concatenate(sets), return_counts=True)
-                often = n > 1
-                yield pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["key", "n"])
+            for sets in _sliced(batch.column(0), words):
+                held += sets
+                size += sum(map(len, sets))
+                if size >= TOGETHER:
+                    yield often(held)
+                    held, size = [], 0
+        if held:
+            yield often(held)
 
     counts = written(docs.select("_text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
     # a count is looked for from which on the list is short enough; counts fall into at most 8 * 64 steps

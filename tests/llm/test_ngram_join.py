@@ -72,5 +72,32 @@ def test_chains_and_shared_passages(spark, monkeypatch):
         assert got(nj.link_components(df)) == want
 
 
+def test_words_are_told_apart_wherever_texts_are_cut(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = ["", " ", "a", "A b\tC\x0bd\x0ce\rf\ng", "é É\u00a0x", "x" * 900, "Y " * 300, " lead and trail ", "\x1c\x1d one word"]
+    texts += ["".join(rng.choice("abCD  \n") for _ in range(rng.randint(0, 400))) for _ in range(60)]
+    texts += [" ".join(texts), "q" * 500 + " " + "w " * 200, "z" * 1500 + "end a b c d e " + "Z" * 1500]
+    want = [len(sets_of(t)) for t in texts]
+
+    def run(words=5):
+        return [s.tobytes() for part in nj._sliced(pa.array(texts), words) for s in part]
+
+    whole = run()
+    assert [len(s) // 8 for s in whole] == want
+    same = {}
+    for t, s in zip(texts, whole):
+        assert same.setdefault(frozenset(sets_of(t)), s) == s
+    monkeypatch.setattr(nj, "SLICE", 256)
+    nj._letters.cache_clear()
+    monkeypatch.setattr(nj, "LONG_WORD", 64)
+    cut = run()
+    nj._letters.cache_clear()
+    assert [len(s) // 8 for s in cut] == want
+    short = [k for k, t in enumerate(texts) if max(map(len, t.split() or [""])) < 64]
+    assert [cut[k] for k in short] == [whole[k] for k in short]
+
+
 def test_empty(spark):
     assert nj.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
