@@ -16,10 +16,13 @@ AB_INITIO = ["augustus", "snap", "genemark", "glimmerhmm"]
 KEYS = ["seqid", "strand"]
 
 
-def scored(genes: DataFrame, segs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Models with ``locus`` and ``score`` = own weight + the weights of overlapping models times their Jaccard index."""
+def scored(genes: DataFrame, segs: DataFrame, keys: list[str] = KEYS, pairs: DataFrame | None = None) -> DataFrame:
+    """Models with ``locus`` and ``score`` = own weight + the weights of overlapping models times their Jaccard index.
+
+    ``pairs`` are those of :func:`intervals.jaccard`, where they are known.
+    """
     loci = iv.cluster(genes, keys, "g_start", "g_end", ["g_end", "gid"])
-    pairs = iv.jaccard(segs, "gid", keys, "seg_start", "seg_end")
+    pairs = iv.jaccard(segs, "gid", keys, "seg_start", "seg_end") if pairs is None else pairs
     weight = genes.select(F.col("gid").alias("b"), F.col("weight").alias("wb"))
     agree = pairs.join(weight, "b").groupBy(F.col("a").alias("gid")).agg(F.sum(F.col("wb") * F.col("jaccard")).alias("agree"))
     total = F.col("weight") + F.coalesce("agree", F.lit(0.0))
@@ -32,9 +35,9 @@ def winners(models: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return models.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def support(models: DataFrame, best: DataFrame, segs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def support(models: DataFrame, best: DataFrame, segs: DataFrame, keys: list[str] = KEYS, pairs: DataFrame | None = None) -> DataFrame:
     """Winners with ``support``: distinct sources of models that overlap the winner's segments, its own included."""
-    pairs = iv.pair_overlap(segs, "gid", keys, "seg_start", "seg_end")
+    pairs = iv.pair_overlap(segs, "gid", keys, "seg_start", "seg_end") if pairs is None else pairs
     source = models.select(F.col("gid").alias("b"), F.col("source").alias("sb"))
     own = best.select(F.col("gid").alias("a"), F.col("source").alias("sb"))
     met = pairs.join(best.select(F.col("gid").alias("a")), "a").join(source, "b").select("a", "sb").union(own)

@@ -240,8 +240,9 @@ def predict_merge(genes: DataFrame, segs: DataFrame, contigs: DataFrame, prefix:
     Tables that several steps read are written once.
     """
     genes, segs = written(genes, "models"), written(segs, "segments")
-    models = written(consensus.scored(genes, segs), "scored")
-    kept = consensus.support_filter(consensus.support(models, consensus.winners(models), segs), least, single_least, rescue).where("kept").select("gid", "seqid", "strand")
+    pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")
+    models = written(consensus.scored(genes, segs, pairs=pairs), "scored")
+    kept = consensus.support_filter(consensus.support(models, consensus.winners(models), segs, pairs=pairs), least, single_least, rescue).where("kept").select("gid", "seqid", "strand")
     own = segs.join(kept.select("gid"), "gid", "left_semi").select("gid", "seqid", "strand", "seg_start", "seg_end")
     if whole_orfs:
         fine = spliced(own, contigs).where(orf_status(F.col("cds")) == "Complete").select("gid")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from annotspark.operators import consensus, intervals as iv
 from annotspark.registry import query
+from annotspark.tables import written
 
 KEYS = ["seqid", "strand"]
 OVER = "a.seqid = b.seqid AND a.strand = b.strand"
@@ -130,8 +131,9 @@ s AS (SELECT gid, count(DISTINCT source) AS support, bool_and(source IN ('august
 k AS (SELECT w.gid, s.support, n_seg, (s.support >= CASE WHEN n_seg = 1 AND ab THEN 2 ELSE 1 END OR score >= 12) AS kept FROM w JOIN s ON s.gid = w.gid)
 SELECT gid, support, kept, CASE WHEN kept THEN 'kept' WHEN n_seg = 1 THEN 'single_exon_ab_initio' ELSE 'low_support' END AS reason FROM k""")
 def c02(genes, segs):
-    models = consensus.scored(genes, segs)
-    best = consensus.support(models, consensus.winners(models), segs)
+    pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")  # two steps read it
+    models = written(consensus.scored(genes, segs, pairs=pairs), "scored")
+    best = consensus.support(models, consensus.winners(models), segs, pairs=pairs)
     return consensus.support_filter(best, single_least=2, rescue=12.0).select("gid", "support", "kept", "reason")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from annotspark.plans.features import _PRIMARY, longest_transcript
 from annotspark.plans.formats import spliced
 from annotspark.plans.hierarchy import ids
-from annotspark.plans.hits import merge_annotations
+from annotspark.plans.hits import _MERGED, merge_annotations
 from annotspark.plans.sequences import protein_sql, translate
 from annotspark.registry import query
 
@@ -154,13 +154,15 @@ def k02(features):
     return rows.select("id", kind.alias("type"), F.concat(F.lit('gene_id "'), gene, F.lit('"; transcript_id "'), tx, F.lit('";')).alias("attrs"))
 
 
-@query("J11_annotation_table", "fx_gene fx_hits")
+@query("J11_annotation_table", "fx_gene fx_hits", f"SELECT locus, product, coalesce(printf('%.1f', identity), '') AS identity, coalesce(printf('%.2e', evalue), '') AS evalue FROM ({_MERGED})")
 def j11(genes, hits):
     rows = merge_annotations(genes, hits)
-    return rows.select("locus", "product", F.coalesce(F.format_string("%.1f", "identity"), F.lit("")).alias("identity"), F.coalesce(F.format_string("%.2e", "evalue"), F.lit("")).alias("evalue"))
+    shown = lambda f, c: F.when(F.col(c).isNotNull(), F.format_string(f, c)).otherwise("").alias(c)
+    return rows.select("locus", "product", shown("%.1f", "identity"), shown("%.2e", "evalue"))
 
 
-@query("C10_functional_annotation", "fx_gene fx_hits fx_go")
+@query("C10_functional_annotation", "fx_gene fx_hits fx_go", f"""WITH t AS (SELECT locus, string_agg(DISTINCT go, '|' ORDER BY go) AS terms FROM (SELECT concat('LT', CAST(g.gid AS VARCHAR)) AS locus, t.go FROM fx_gene g
+JOIN fx_hits h ON h.query = concat('LT', CAST(g.gid AS VARCHAR)) JOIN fx_go t ON t.gene = 'tx' || substr(h.target, 2)) GROUP BY locus) SELECT m.*, t.terms FROM ({_MERGED}) m LEFT JOIN t ON t.locus = m.locus""")
 def c10(genes, hits, go):
     from annotspark.plans.hits import j09
 

@@ -11,12 +11,56 @@ from annotspark.registry import query
 
 #: The standard genetic code, codons in the order T, C, A, G of each base.
 STANDARD = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
-#: Fixed deviations of other tables: table -> codon -> amino acid.
-DEVIATIONS = {1: {}, 4: {"TGA": "W"}, 6: {"TAA": "Q", "TAG": "Q"}, 12: {"CTG": "S"}, 26: {"CTG": "A"}}
+#: Fixed values of the public translation tables: what a codon means where it isn't the standard, codons besides ATG
+#: that begin a protein, and names.  In 27, 28 and 31 some stops depend on what stands around them; here they are read.
+CODES = {
+    1: ("", "", "standard"),
+    2: ("AGA* AGG* ATAM TGAW", "ATT ATC ATA GTG", "vertebrate-mito vertebrate_mitochondrial"),
+    3: ("ATAM CTTT CTCT CTAT CTGT TGAW", "ATA", "yeast-mito yeast_mitochondrial"),
+    4: ("TGAW", "TTA TTG CTG ATT ATC ATA GTG", "mold-mito mold_mitochondrial mold protozoan mycoplasma spiroplasma"),
+    5: ("AGAS AGGS ATAM TGAW", "ATT ATC ATA GTG", "invertebrate-mito invertebrate_mitochondrial"),
+    6: ("TAAQ TAGQ", "", "ciliate ciliate_nuclear dasycladacean hexamita"),
+    9: ("AAAN AGAS AGGS TGAW", "GTG", "echinoderm-mito flatworm-mito"),
+    10: ("TGAC", "", "euplotid euplotid_nuclear"),
+    11: ("", "GTG TTG ATT CTG", "bacterial archaeal plastid"),
+    12: ("CTGS", "CTG", "candida ctg ctg-clade alt-yeast alternative_yeast_nuclear"),
+    13: ("AGAG AGGG ATAM TGAW", "ATA GTG TTG", "ascidian-mito"),
+    14: ("AAAN AGAS AGGS TAAY TGAW", "", "alt-flatworm-mito"),
+    16: ("TAGL", "", "chlorophycean-mito"),
+    21: ("TGAW ATAM AGAS AGGS AAAN", "GTG", "trematode-mito"),
+    22: ("TCA* TAGL", "", "scenedesmus-mito"),
+    23: ("TTA*", "ATT GTG", "thraustochytrium-mito"),
+    24: ("AGAS AGGK TGAW", "GTG TTG CTG", "rhabdopleuridae-mito"),
+    25: ("TGAG", "TTG GTG", "sr1 gracilibacteria"),
+    26: ("CTGA", "CTG", "pachysolen pachysolen_nuclear"),
+    27: ("TAAQ TAGQ TGAW", "", "karyorelict karyorelict_nuclear"),
+    28: ("TAAQ TAGQ TGAW", "", "condylostoma condylostoma_nuclear"),
+    29: ("TAAY TAGY", "", "mesodinium mesodinium_nuclear"),
+    30: ("TAAE TAGE", "", "peritrich peritrich_nuclear"),
+    31: ("TAAE TAGE TGAW", "", "blastocrithidia blastocrithidia_nuclear"),
+    33: ("AGAS AGGK TAAY TGAW", "GTG TTG CTG", "cephalodiscidae-mito"),
+}
 
 
 def codons(table: int = 1) -> dict[str, str]:
-    return dict(zip(map("".join, itertools.product("TCAG", repeat=3)), STANDARD)) | DEVIATIONS[table]
+    standard = dict(zip(map("".join, itertools.product("TCAG", repeat=3)), STANDARD))
+    return standard | {x[:3]: x[3] for x in CODES[table][0].split()}
+
+
+def _lookup(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def code_of(name: Column) -> Column:
+    """The table that a number or a name, in any case, stands for; the standard one for others."""
+    names = {n: k for k, (_, _, all_) in CODES.items() for n in [str(k), *all_.split()]}
+    return F.coalesce(F.try_element_at(_lookup(names), F.lower(F.trim(name))), F.lit(1))
+
+
+def is_start(code: Column, codon: Column) -> Column:
+    """Whether the codon begins proteins in a table."""
+    starts = _lookup({k: f"ATG {s}" for k, (_, s, _) in CODES.items()})
+    return F.array_contains(F.split(F.try_element_at(starts, code), " "), F.upper(codon))
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -71,10 +115,17 @@ def p06(seqs):
     return proteins(seqs)
 
 
-@query("P07_genetic_code_lookup", "fx_hits", "SELECT DISTINCT source, CASE source WHEN 'homology' THEN 1 WHEN 'domain' THEN 12 ELSE 1 END AS code FROM fx_hits")
-def p07(hits):
-    names = hits.sparkSession.createDataFrame([("homology", 1), ("domain", 12)], "source string, code int")
-    return hits.select("source").distinct().join(F.broadcast(names), "source", "left").select("source", F.coalesce("code", F.lit(1)).alias("code"))
+_CODE_ROWS = ", ".join(f"({k}, '{s}')" for k, (_, s, _) in CODES.items())
+
+
+@query("P07_genetic_code_lookup", "fx_go", f"""SELECT DISTINCT n AS name, coalesce(k, 1) AS code, coalesce(contains(s, 'GTG'), false) AS gtg, true AS atg FROM
+(SELECT CASE WHEN CAST(go[4:] AS INT) % 3 = 0 THEN concat(' ', CAST(CAST(go[4:] AS INT) AS VARCHAR)) WHEN CAST(go[4:] AS INT) % 3 = 1 THEN 'Candida' ELSE 'martian' END AS n, CASE WHEN CAST(go[4:] AS INT) % 3 = 0 THEN CAST(go[4:] AS INT) WHEN CAST(go[4:] AS INT) % 3 = 1 THEN 12 ELSE 0 END AS want FROM fx_go)
+LEFT JOIN (VALUES {_CODE_ROWS}) v(k, s) ON k = want""")
+def p07(go):
+    n = F.substring("go", 4, 9).cast("int")
+    name = F.when(n % 3 == 0, F.concat(F.lit(" "), n.cast("string"))).when(n % 3 == 1, "Candida").otherwise("martian")
+    rows = go.select(name.alias("name")).distinct().withColumn("code", code_of(F.col("name")))
+    return rows.select("name", "code", is_start(F.col("code"), F.lit("gtg")).alias("gtg"), is_start(F.col("code"), F.lit("ATG")).alias("atg"))
 
 
 @query("P08_internal_stop_positions", "fx_seq", f"""SELECT seq_id, len(p) AS n, p[1] AS first, p[-1] AS last FROM (SELECT seq_id, list_filter(range(0, length(protein) - 1),
@@ -87,19 +138,24 @@ def p08(seqs):
 _CLEAN = f"(SELECT seq_id, protein, CASE WHEN strpos(protein, '*') > 0 THEN substr(protein, 1, strpos(protein, '*') - 1) ELSE protein END AS c FROM {_PROT})"
 
 
-def clean_protein(protein: Column) -> tuple[Column, Column]:
-    """(cleaned, reason it is skipped): cut at the first stop, 10 to 40,000 letters, at most 80% X."""
-    cut = F.substring_index(protein, "*", 1)
-    x = F.length(cut) - F.length(F.replace(cut, F.lit("X"), F.lit("")))
-    reason = F.when(F.length(cut) < 10, "too_short").when(F.length(cut) > 40000, "too_long").when(x * 10 > F.length(cut) * 8, "mostly_unknown").otherwise("ok")
-    return cut, reason
+def clean_protein(protein: Column) -> tuple[Column, Column, Column]:
+    """(cleaned, reason it is skipped, note): cut at the first stop, 10 to 40,000 letters, what is no amino acid becomes X, at most 80% X or ACGT."""
+    cut = F.upper(F.substring_index(protein, "*", 1))
+    fixed = F.regexp_replace(cut, "[^ACDEFGHIKLMNPQRSTVWYX]", "X")
+    share = lambda letters: F.length(fixed) - F.length(F.regexp_replace(fixed, f"[{letters}]", ""))
+    n = F.length(fixed)
+    reason = (
+        F.when(n < 10, "too_short").when(n > 40000, "too_long").when(share("X") * 10 > n * 8, "mostly_unknown").when(share("ACGT") * 10 > n * 8, "looks_like_dna").otherwise("ok")
+    )
+    note = F.concat_ws(",", F.when(cut != F.upper(protein), "cut_at_stop"), F.when(fixed != cut, "letters_replaced"))
+    return fixed, reason, note
 
 
-@query("P09_clean_protein", "fx_seq", f"""SELECT seq_id, c AS cleaned, CASE WHEN length(c) < 10 THEN 'too_short' WHEN length(c) > 40000 THEN 'too_long'
-WHEN (length(c) - length(replace(c, 'X', ''))) * 10 > length(c) * 8 THEN 'mostly_unknown' ELSE 'ok' END AS reason FROM {_CLEAN}""")
+@query("P09_clean_protein", "fx_seq", f"""SELECT seq_id, c AS cleaned, CASE WHEN length(c) < 10 THEN 'too_short' WHEN length(c) > 40000 THEN 'too_long' WHEN (length(c) - length(replace(c, 'X', ''))) * 10 > length(c) * 8 THEN 'mostly_unknown'
+WHEN (length(c) - length(regexp_replace(c, '[ACGT]', '', 'g'))) * 10 > length(c) * 8 THEN 'looks_like_dna' ELSE 'ok' END AS reason, CASE WHEN strpos(protein, '*') > 0 THEN 'cut_at_stop' ELSE '' END AS note FROM {_CLEAN}""")
 def p09(seqs):
-    cut, reason = clean_protein(F.col("protein"))
-    return proteins(seqs).select("seq_id", cut.alias("cleaned"), reason.alias("reason"))
+    cut, reason, note = clean_protein(F.col("protein"))
+    return proteins(seqs).select("seq_id", cut.alias("cleaned"), reason.alias("reason"), note.alias("note"))
 
 
 @query("P21_softmask_case", "fx_seq", """SELECT CAST(sum(length(regexp_replace(seq, '[^a-z]', '', 'g'))) AS BIGINT) AS masked, CAST(sum(length(regexp_replace(seq, '[^A-Za-z]', '', 'g'))) AS BIGINT) AS letters,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.registry import query
+from annotspark.tables import let
 
 
 def terms(text):
@@ -76,25 +77,72 @@ def r04(runs):
     return runs.groupBy(F.col("tool").alias("stage")).agg(F.when(m < 40, "low").when(m > 60, "high").otherwise("ok").alias("finding"))
 
 
-@query("R05_log_line_counts", "documents", """SELECT source, count(*) FILTER (WHERE contains(l, 'th')) AS errors, count(*) FILTER (WHERE contains(l, 'en')) AS warnings FROM (SELECT source, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY source""")
-def r05(docs):
-    lines = docs.select("source", F.explode(F.split("text", "\n")).alias("l"))
-    return lines.groupBy("source").agg(F.count_if(F.contains("l", F.lit("th"))).alias("errors"), F.count_if(F.contains("l", F.lit("en"))).alias("warnings"))
+def log_counts(lines: DataFrame, key: str) -> DataFrame:
+    """(key, errors, warnings): lines that say ERROR or WARNING."""
+    return lines.groupBy(key).agg(F.count_if(F.contains("value", F.lit("ERROR"))).alias("errors"), F.count_if(F.contains("value", F.lit("WARNING"))).alias("warnings"))
 
 
-@query("R06_classify_text_format", "documents", """SELECT doc_id, CASE WHEN len(list_filter(l, lambda x: len(string_split(x, chr(9))) = 9)) > 0 THEN 'gff3' WHEN len(list_filter(l, lambda x: left(x, 1) = '>')) > 0 THEN 'fasta'
-WHEN len(list_filter(l, lambda x: contains(x, 'License'))) > 0 THEN 'license' ELSE 'unknown' END AS format FROM (SELECT doc_id, string_split(text, chr(10))[1:20] AS l FROM documents)""")
+@query("R05_log_line_counts", "fx_runs", "SELECT tool, count(*) FILTER (WHERE pos % 7 = 0) AS errors, count(*) FILTER (WHERE pos % 5 = 0 AND pos % 7 <> 0 OR pos % 35 = 0) AS warnings FROM fx_runs GROUP BY tool")
+def r05(runs):
+    """Log lines of the runs: an error in every seventh, a warning in every fifth, both in every thirty-fifth."""
+    said = F.when(F.col("pos") % 35 == 0, "ERROR after WARNING").when(F.col("pos") % 7 == 0, "ERROR").when(F.col("pos") % 5 == 0, "WARNING").otherwise("info, no Error or warning")
+    return log_counts(runs.select("tool", F.concat(F.lit("["), F.col("ts").cast("string"), F.lit("] "), said, F.lit(": metric "), F.col("metric").cast("string")).alias("value")), "tool")
+
+
+#: What error reports and log lines look like.
+_REPORT = r"(?i)\b(SEQ_FEAT|FATAL|error|invalid|missing required)\b"
+_LOG = r"(?i)^\s*(\[?\d{4}-\d{2}-\d{2}|\[?(info|warn(ing)?|error|debug)\b)"
+
+
+def text_format(text: Column) -> Column:
+    """What a pasted text is, by its first 20 lines: a nine-column row, a sequence header, an error report, log lines, or unknown."""
+    head = F.slice(F.split(text, "\n"), 1, 20)
+    some = lambda f: F.exists(head, f)
+    logs = F.size(F.filter(head, lambda x: x.rlike(_LOG)))
+    return (
+        F.when(some(lambda x: ~x.startswith("#") & (F.size(F.split(x, "\t")) == 9)), "gff3").when(some(lambda x: x.startswith(">")), "fasta")
+        .when(logs >= 2, "log").when(some(lambda x: x.rlike(_REPORT)), "validation").otherwise("unknown")
+    )
+
+
+@query("R06_classify_text_format", "documents", """WITH d AS (SELECT doc_id, CASE CAST(doc_id % 5 AS INTEGER) WHEN 0 THEN 'gff3' WHEN 1 THEN 'fasta' WHEN 2 THEN 'log' WHEN 3 THEN 'validation' ELSE 'x' END AS k, string_split(text, chr(10))[1:18] AS l FROM documents)
+SELECT doc_id, CASE WHEN k IN ('gff3') OR len(list_filter(l, lambda x: left(x, 1) <> '#' AND len(string_split(x, chr(9))) = 9)) > 0 THEN 'gff3' WHEN k = 'fasta' OR len(list_filter(l, lambda x: left(x, 1) = '>')) > 0 THEN 'fasta'
+WHEN len(list_filter(l, lambda x: regexp_matches(x, '(?i)^\s*(\[?\d{4}-\d{2}-\d{2}|\[?(info|warn(ing)?|error|debug)\b)'))) + CASE WHEN k = 'log' THEN 2 ELSE 0 END >= 2 THEN 'log'
+WHEN k = 'validation' OR len(list_filter(l, lambda x: regexp_matches(x, '(?i)\b(SEQ_FEAT|FATAL|error|invalid|missing required)\b'))) > 0 THEN 'validation' ELSE 'unknown' END AS format FROM d""")
 def r06(docs):
-    head = docs.select("doc_id", F.slice(F.split("text", "\n"), 1, 20).alias("l"))
-    some = lambda f: F.exists("l", f)
-    kind = F.when(some(lambda x: F.size(F.split(x, "\t")) == 9), "gff3").when(some(lambda x: x.startswith(">")), "fasta").when(some(lambda x: F.contains(x, F.lit("License"))), "license").otherwise("unknown")
-    return head.select("doc_id", kind.alias("format"))
+    """Documents behind two lines of each kind in turn."""
+    row = F.lit("c\ts\tgene\t1\t9\t.\t+\t.\tID=a\n# note\n")
+    heads = [row, F.lit(">seq one\n\n"), F.lit("2024-05-01 start\n[INFO] read\n"), F.lit("SEQ_FEAT.NoStop\n\n"), F.lit("\n\n")]
+    kind = (F.col("doc_id") % 5).cast("int")
+    head = F.get(F.array(*heads), kind)
+    return docs.select("doc_id", text_format(F.concat(head, "text")).alias("format"))
 
 
-@query("S29_detect_format", "documents", "SELECT doc_id, CASE WHEN left(f, 1) = '>' THEN 'fasta' WHEN left(f, 5) = 'LOCUS' THEN 'genbank' WHEN left(f, 2) = '##' THEN 'gff3' ELSE 'other' END AS format FROM (SELECT doc_id, string_split(text, chr(10))[1] AS f FROM documents)")
+#: Fixed extensions by format.
+EXTENSIONS = {"gff3": ["gff", "gff3"], "gtf": ["gtf"], "fasta": ["fa", "fasta", "fna", "faa", "ffn"], "genbank": ["gb", "gbk", "gbff", "genbank"]}
+
+
+def detect_format(name: Column, text: Column) -> Column:
+    """By a file's extension (before a .gz), else by its first line that says something."""
+    ending = F.lower(F.regexp_extract(F.regexp_replace(name, r"(?i)\.gz$", ""), r"\.([^./]+)$", 1))
+    known = F.try_element_at(F.create_map(*[F.lit(x) for f, es in EXTENSIONS.items() for e in es for x in (e, f)]), ending)
+    first = F.get(F.filter(F.split(text, "\r?\n"), lambda x: (F.trim(x) != "") & (~x.startswith("#") | x.startswith("##gff-version"))), F.lit(0))
+    told = (
+        F.when(first.startswith(">"), "fasta").when(first.startswith("LOCUS"), "genbank").when(first.startswith("##gff-version"), "gff3")
+        .when(F.contains(first, F.lit('gene_id "')), "gtf").when(F.size(F.split(first, "\t")) == 9, "gff3").otherwise("unknown")
+    )
+    return F.coalesce(known, told, F.lit("unknown"))
+
+
+@query("S29_detect_format", "documents", """SELECT doc_id, CASE CAST(doc_id % 8 AS INTEGER) WHEN 0 THEN 'gff3' WHEN 1 THEN 'genbank' WHEN 2 THEN 'fasta' WHEN 3 THEN 'genbank' WHEN 4 THEN 'gff3' WHEN 5 THEN 'gtf' WHEN 6 THEN 'gff3' ELSE 'unknown' END AS format FROM documents""")
 def s29(docs):
-    first = F.get(F.split("text", "\n"), F.lit(0))
-    return docs.select("doc_id", F.when(first.startswith(">"), "fasta").when(first.startswith("LOCUS"), "genbank").when(first.startswith("##"), "gff3").otherwise("other").alias("format"))
+    """Documents as files: two told by their extension, the others by a line behind blank and comment lines."""
+    kind = (F.col("doc_id") % 8).cast("int")
+    names = [F.lit(x) for x in ("a.GFF3.gz", "b.v1.gbk", "c.txt", "d", "e.1", "f.tmp", "g", "h.md")]
+    tab = F.lit("c\ts\tgene\t1\t9\t.\t+\t.\t")
+    lines = [F.lit(">x"), F.lit(">x"), F.lit(">x"), F.lit("LOCUS x"), F.lit("##gff-version 3"), F.concat(tab, F.lit('gene_id "a";')), F.concat(tab, F.lit("ID=a")), F.lit("plain words")]
+    text = F.concat(F.lit("\n# comment\n  \n"), F.get(F.array(*lines), kind), F.lit("\n"), "text")
+    return docs.select("doc_id", detect_format(F.get(F.array(*names), kind), text).alias("format"))
 
 
 #: Ordered screening rules.
@@ -110,12 +158,20 @@ def r07(rows):
     return rows.select("conv_id", "turn", out.otherwise("pass").alias("verdict"))
 
 
-@query("R08_drop_unknown_commands", "conversations", """SELECT conv_id, turn, CAST(len(k) AS BIGINT) AS kept, CAST(len(l) - len(k) AS BIGINT) AS removed FROM (SELECT conv_id, turn, l, list_filter(l, lambda x: NOT contains(x, '?')) AS k FROM
-(SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations))""")
+def known_commands(text: Column, program: str, allowed: list[str]) -> Column:
+    """(text, kept, removed, valid): the text without the lines that name a command of the program outside the list."""
+    named = lambda line: F.regexp_extract_all(line, F.lit(rf"(?:^|[\s`$]){program}\s+([a-z][a-z0-9-]*)"), F.lit(1))
+    fine = lambda line: F.forall(named(line), lambda c: c.isin(*allowed))
+    return let(F.split(text, "\n"), lambda lines: let(F.filter(lines, fine), lambda kept: F.struct(F.array_join(kept, "\n").alias("text"), F.size(kept).cast("long").alias("kept"), (F.size(lines) - F.size(kept)).cast("long").alias("removed"), (F.size(lines) == F.size(kept)).alias("valid"))))
+
+
+@query("R08_drop_unknown_commands", "conversations", """SELECT conv_id, turn, CAST(len(string_split(text, chr(10))) + 2 - CASE WHEN conv_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS kept, CAST(CASE WHEN conv_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS removed, conv_id % 3 <> 0 AS valid, length(text) AS rest FROM conversations""")
 def r08(rows):
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x: ~F.contains(x, F.lit("?")))
-    return rows.select("conv_id", "turn", F.size(kept).cast("long").alias("kept"), (F.size(lines) - F.size(kept)).cast("long").alias("removed"))
+    """Turns behind a line with a known command and one with a known or an unknown one."""
+    second = F.when(F.col("conv_id") % 3 == 0, "run annot clean and `annot destroy`\n").otherwise("run annot clean\n")
+    found = rows.select("conv_id", "turn", "text", known_commands(F.concat(F.lit("$ annot stats x\n"), second, "text"), "annot", ["stats", "clean", "convert"]).alias("x"))
+    first = F.length(F.lit("$ annot stats x\n")) + F.when(F.col("conv_id") % 3 == 0, 0).otherwise(F.length(F.lit("run annot clean\n")))
+    return found.select("conv_id", "turn", "x.kept", "x.removed", "x.valid", (F.length("x.text") - first).alias("rest"))
 
 
 @query("P17_sanitise_names", "documents", "SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9_\\-\"=/ \\t]', '_', 'g') AS clean FROM documents")

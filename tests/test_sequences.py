@@ -31,6 +31,6 @@ def test_whole_sequences_are_translated(spark, long_seqs):
     assert got == {i: (len(s), s[0] if s else None, s[-1] if s else None) for i, s in stops.items()}
     cleaned = {r["seq_id"]: (r["cleaned"], r["reason"]) for r in sequences.p09(seqs).collect()}
     assert {i: c for i, (c, _) in cleaned.items()} == {i: p.split("*")[0] for i, p in want.items()}
-    assert cleaned[6][1] == "too_long" and cleaned[7] == ("A" * 2000, "ok")
+    assert cleaned[6][1] == "too_long" and cleaned[7] == ("A" * 2000, "looks_like_dna")  # more than 80 % of A, C, G and T
     inside = sequences.v07(seqs.where("seq_id IN (3, 7)")).first()
     assert (inside["proteins"], inside["with_stops"], inside["short"], inside["odd"]) == (2, 1, 1, 0)
