@@ -67,20 +67,22 @@ UNION ALL SELECT 'gene_without_locus_tag', count(*) FROM fx_feature WHERE type =
 
 @query("V01_validate_features", "fx_feature", _CHECKS)
 def v01(features):
-    n = lambda df, name: df.agg(F.lit(name).alias("category"), F.count("*").alias("n"))
-    known, parents = features.select(F.col("id").alias("parent")).distinct(), features.select(F.col("parent").alias("id")).where("id IS NOT NULL").distinct()
-    parts = [
-        n(features.groupBy("id").count().where("count > 1"), "duplicate_id"),
-        n(features.where("parent IS NOT NULL").join(known, "parent", "left_anti"), "missing_parent"),
-        n(features.where("f_start > f_end"), "reversed"),
-        n(features.where("type = 'gene'").select("id").distinct().join(parents, "id", "left_anti"), "childless_gene"),
-        n(features.where("type = 'CDS' AND phase IS NULL"), "cds_without_phase"),
-        n(features.where("type = 'gene' AND locus_tag IS NULL"), "gene_without_locus_tag"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One count over the features, and one over their ids with those that children name."""
+    own = features.agg(
+        F.count_if(F.col("f_start") > F.col("f_end")).alias("reversed"),
+        F.count_if((F.col("type") == "CDS") & F.col("phase").isNull()).alias("cds_without_phase"),
+        F.count_if((F.col("type") == "gene") & F.col("locus_tag").isNull()).alias("gene_without_locus_tag"),
+    )
+    names = features.groupBy("id").agg(F.count("*").alias("held"), F.max(F.col("type") == "gene").alias("gene")).where("id IS NOT NULL")
+    asked = features.where("parent IS NOT NULL").groupBy("parent").agg(F.count("*").alias("children"))
+    met = names.join(asked, names["id"] == asked["parent"], "full")
+    links = met.agg(
+        F.count_if(F.col("held") > 1).alias("duplicate_id"),
+        F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("children"))), F.lit(0)).alias("missing_parent"),
+        F.count_if(F.col("gene") & F.col("children").isNull()).alias("childless_gene"),
+    )
+    both = own.crossJoin(links)  # one row each
+    return both.unpivot([], both.columns, "category", "n")
 
 
 @query("V02_validate_submission", "fx_feature", """SELECT count(*) FILTER (WHERE type = 'gene') AS genes, count(*) FILTER (WHERE type = 'CDS') AS cds, count(*) FILTER (WHERE type = 'gene' AND locus_tag IS NOT NULL) AS tagged,
@@ -120,12 +122,19 @@ def v04(features):
     return orphans.groupBy(F.col("parent").alias("id")).agg(F.min("seqid").alias("seqid"), F.min("f_start").alias("f_start"), F.max("f_end").alias("f_end"), F.count("*").alias("children"))
 
 
-@query("V05_drop_orphans_and_fix", "fx_feature", """SELECT id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type FROM fx_feature WHERE parent IS NULL UNION ALL SELECT id, least(f_start, f_end), greatest(f_start, f_end), type FROM fx_feature WHERE parent IN (SELECT DISTINCT id FROM fx_feature WHERE id IS NOT NULL)""")
+_KEPT = "SELECT * FROM fx_feature WHERE parent IS NULL UNION ALL SELECT * FROM fx_feature WHERE parent IN (SELECT DISTINCT id FROM fx_feature WHERE id IS NOT NULL)"
+
+
+@query("V05_drop_orphans_and_fix", "fx_feature", f"""SELECT CASE WHEN r > 1 THEN concat(id, '_dup', CAST(r AS VARCHAR)) ELSE id END AS id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lvl, f_start, f_end) AS r FROM ({_KEPT}))""")
 def v05(features):
+    """Without features of unknown parents; further holders of an id are numbered, bounds put in order."""
     known = features.select(F.col("id").alias("_p")).distinct()
     top, rest = features.where("parent IS NULL"), features.where("parent IS NOT NULL")
     kept = top.unionByName(rest.join(known, rest["parent"] == known["_p"], "left_semi"))
-    return kept.select("id", F.least("f_start", "f_end").alias("f_start"), F.greatest("f_start", "f_end").alias("f_end"), "type")
+    r = F.row_number().over(Window.partitionBy("id").orderBy("lvl", "f_start", "f_end"))
+    name = F.when((F.col("r") > 1) & F.col("id").isNotNull(), F.concat("id", F.lit("_dup"), F.col("r").cast("string"))).otherwise(F.col("id"))
+    return kept.withColumn("r", r).select(name.alias("id"), F.least("f_start", "f_end").alias("f_start"), F.greatest("f_start", "f_end").alias("f_end"), "type")
 
 
 @query("V06_clean_features", "fx_feature", "SELECT count(*) AS total, count(*) FILTER (WHERE f_end - f_start + 1 >= 100) AS kept, count(*) FILTER (WHERE f_end - f_start + 1 < 100) AS removed FROM fx_feature")
@@ -134,17 +143,31 @@ def v06(features, least: int = 100):
     return features.agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), F.count_if(~long).alias("removed"))
 
 
-@query("V09_reparent_bounds", "fx_feature", """SELECT m.id, least(m.f_start, min(c.f_start)) AS f_start, greatest(m.f_end, max(c.f_end)) AS f_end FROM fx_feature m JOIN fx_feature c ON c.parent = m.id WHERE m.type = 'mRNA' GROUP BY m.id, m.f_start, m.f_end""")
+@query("V09_reparent_bounds", "fx_feature", """WITH c AS (SELECT parent, min(f_start) AS s, max(f_end) AS e FROM fx_feature WHERE parent IS NOT NULL GROUP BY parent), m AS (SELECT f.id, f.parent, least(f_start, s) AS f_start, greatest(f_end, e) AS f_end FROM fx_feature f JOIN c ON c.parent = f.id WHERE type = 'mRNA'),
+d AS (SELECT parent, min(f_start) AS s, max(f_end) AS e FROM m GROUP BY parent) SELECT 'mRNA' AS type, id, f_start, f_end FROM m UNION ALL SELECT 'gene', id, least(f_start, s), greatest(f_end, e) FROM fx_feature f JOIN d ON d.parent = f.id WHERE type = 'gene'""")
 def v09(features):
-    child = features.groupBy(F.col("parent").alias("id")).agg(F.min("f_start").alias("_s"), F.max("f_end").alias("_e"))
-    m = features.where("type = 'mRNA'").join(child, "id")
-    return m.select("id", F.least("f_start", "_s").alias("f_start"), F.greatest("f_end", "_e").alias("f_end"))
+    """Transcripts widened to their children, and genes to their transcripts as they are then."""
+
+    def widened(rows, children):
+        child = children.groupBy(F.col("parent").alias("id")).agg(F.min("f_start").alias("_s"), F.max("f_end").alias("_e"))
+        return rows.join(child, "id").withColumn("f_start", F.least("f_start", "_s")).withColumn("f_end", F.greatest("f_end", "_e")).drop("_s", "_e")
+
+    rna = widened(features.where("type = 'mRNA'"), features.where("parent IS NOT NULL"))
+    return rna.unionByName(widened(features.where("type = 'gene'"), rna)).select("type", "id", "f_start", "f_end")
 
 
-@query("V10_synthesise_children", "fx_feature", """SELECT parent, concat(id, '.exon') AS id, f_start, f_end FROM fx_feature c WHERE type = 'CDS' AND NOT EXISTS (SELECT 1 FROM fx_feature e WHERE e.type = 'exon' AND e.parent = c.parent)""")
+@query("V10_synthesise_children", "fx_feature", """SELECT parent, 'exon' AS type, f_start, f_end FROM fx_feature WHERE type = 'CDS' UNION ALL SELECT parent, CASE WHEN strand = '-' THEN 'stop_codon' ELSE 'start_codon' END, min(f_start), min(f_start) + 2 FROM fx_feature WHERE type = 'CDS' GROUP BY parent, strand
+UNION ALL SELECT parent, CASE WHEN strand = '-' THEN 'start_codon' ELSE 'stop_codon' END, max(f_end) - 2, max(f_end) FROM fx_feature WHERE type = 'CDS' GROUP BY parent, strand""")
 def v10(features):
-    exons = features.where("type = 'exon'").select("parent").distinct()
-    return features.where("type = 'CDS'").join(exons, "parent", "left_anti").select("parent", F.concat("id", F.lit(".exon")).alias("id"), "f_start", "f_end")
+    """What transcripts with coding segments lack: exons as their segments, and codons of three bases at their ends."""
+    segs = features.where("type = 'CDS'")
+    lacking = lambda rows, kind: rows.join(features.where(F.col("type") == kind).select("parent").distinct(), "parent", "left_anti")
+    exons = lacking(segs, "exon").select("parent", F.lit("exon").alias("type"), "f_start", "f_end")
+    ends = segs.groupBy("parent", "strand").agg(F.min("f_start").alias("s"), F.max("f_end").alias("e"))
+    minus = F.col("strand") == "-"
+    at = lambda low: (F.when(low, F.col("s")).otherwise(F.col("e") - 2).alias("f_start"), F.when(low, F.col("s") + 2).otherwise(F.col("e")).alias("f_end"))
+    starts = lacking(ends, "start_codon").select("parent", F.lit("start_codon").alias("type"), *at(~minus))
+    return exons.unionByName(starts).unionByName(lacking(ends, "stop_codon").select("parent", F.lit("stop_codon").alias("type"), *at(minus)))
 
 
 @query("W06_dup_suffix", "fx_feature", """SELECT CASE WHEN r > 1 THEN concat(id, '_dup', CAST(r AS VARCHAR)) ELSE id END AS id, count(*) AS n FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY lvl, f_start) AS r FROM fx_feature) GROUP BY 1""")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.registry import query
-from annotspark.tables import let
+from annotspark.tables import let, written
 
 
 def terms(text):
@@ -16,10 +18,13 @@ def terms(text):
 
 def bm25(docs: DataFrame, doc_id: str, text: str, asked: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The k best documents for a query text.  Only terms of the query are counted per document; the query is a literal."""
-    words = docs.select(doc_id, terms(F.col(text)).alias("_t"))
+    asked_terms = [t for t in re.split("[^a-z0-9_]+", asked.lower()) if len(t) > 2]
+    # each text is split once: its length and the query's terms in it are what both the statistics and the counts need
+    found = docs.select(doc_id, let(terms(F.col(text)), lambda t: F.struct(F.size(t).alias("len"), F.filter(t, lambda x: x.isin(*asked_terms)).alias("hits"))).alias("_t"))
+    found = written(found.select(doc_id, "_t.len", "_t.hits"), "terms")
     wanted = docs.sparkSession.range(1).select(F.explode(terms(F.lit(asked))).alias("term")).groupBy("term").agg(F.count("*").alias("q"))
-    stats = docs.select(F.size(terms(F.col(text))).alias("n")).agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
-    tf = words.select(doc_id, F.size("_t").alias("len"), F.explode("_t").alias("term")).join(F.broadcast(wanted), "term")  # the query's terms
+    stats = found.agg(F.count("*").alias("docs"), F.avg("len").alias("mean"))
+    tf = found.select(doc_id, "len", F.explode("hits").alias("term")).join(F.broadcast(wanted), "term")  # the query's terms
     tf = tf.groupBy(doc_id, "len", "term", "q").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     rows = tf.join(df, "term").crossJoin(stats)  # one row
