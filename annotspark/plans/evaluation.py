@@ -113,11 +113,25 @@ def e07(pred, ref):
     return x.agg(F.count("*").alias("refs"), F.sum("chosen").alias("consensus_right"), F.sum("any_tool").alias("any_right"), (F.sum("any_tool") - F.sum("chosen")).alias("recoverable"))
 
 
-@query("E08_metrics_by_exon_class", "fx_cds fx_ref", f"""WITH p AS ({_PRED_GENE}), r AS ({_REF_GENE})
-SELECT CASE WHEN n_seg = 1 THEN 'single' ELSE 'multi' END AS class, count(*) AS preds, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM r WHERE {_SAME})) AS strict,
-count(*) FILTER (WHERE EXISTS (SELECT 1 FROM r WHERE p.seqid = r.seqid AND p.strand = r.strand AND g_start <= r_end AND r_start <= g_end)) AS loose FROM p GROUP BY 1""")
+_HIT = "SELECT gid, rid, p.n_seg AS pn, r.n_seg AS rn, g_key = r_key AS same FROM p JOIN r ON p.seqid = r.seqid AND p.strand = r.strand AND g_start <= r_end AND r_start <= g_end"
+
+
+@query("E08_metrics_by_exon_class", "fx_cds fx_ref", f"""WITH p AS ({_PRED_GENE}), r AS ({_REF_GENE.replace(" AS r_key", " AS r_key, count(*) AS n_seg")}), h AS ({_HIT}),
+a AS (SELECT n_seg = 1 AS s, count(*) AS preds, count(*) FILTER (WHERE gid IN (SELECT gid FROM h)) AS pl, count(*) FILTER (WHERE gid IN (SELECT gid FROM h WHERE same)) AS ps FROM p GROUP BY 1),
+b AS (SELECT n_seg = 1 AS s, count(*) AS refs, count(*) FILTER (WHERE rid IN (SELECT rid FROM h)) AS rl, count(*) FILTER (WHERE rid IN (SELECT rid FROM h WHERE same)) AS rs FROM r GROUP BY 1)
+SELECT CASE WHEN a.s THEN 'single' ELSE 'multi' END AS class, preds, refs, round(rl / CAST(refs AS DOUBLE), 6) AS loose_sensitivity, round(pl / CAST(preds AS DOUBLE), 6) AS loose_specificity, round(rs / CAST(refs AS DOUBLE), 6) AS strict_sensitivity,
+round(ps / CAST(preds AS DOUBLE), 6) AS strict_specificity FROM a JOIN b ON a.s = b.s""")
 def e08(pred, ref):
+    """Each side by its own number of segments: which references are met, and which predictions meet one."""
     p, r = models(pred, "gid", "g"), models(ref, "rid", "r")
-    loose = iv.overlap_join(p, r, KEYS, "g_start", "g_end", "r_start", "r_end").groupBy("gid").agg(F.max(F.col("g_key") == F.col("r_key")).alias("strict"))
-    joined = p.join(loose, "gid", "left")
-    return joined.groupBy(F.when(F.col("g_n") == 1, "single").otherwise("multi").alias("class")).agg(F.count("*").alias("preds"), F.count_if(F.coalesce("strict", F.lit(False))).alias("strict"), F.count("strict").alias("loose"))
+    met = iv.overlap_join(p.select("gid", *KEYS, "g_start", "g_end", "g_key"), r.select("rid", *KEYS, "r_start", "r_end", "r_key"), KEYS, "g_start", "g_end", "r_start", "r_end").select("gid", "rid", (F.col("g_key") == F.col("r_key")).alias("same"))
+
+    def side(rows, key, n, prefix):
+        found = rows.join(met.groupBy(key).agg(F.max("same").alias("same")), key, "left")
+        return found.groupBy(F.when(F.col(n) == 1, "single").otherwise("multi").alias("class")).agg(F.count("*").alias(f"{prefix}s"), F.count("same").alias(f"{prefix}_loose"), F.count_if(F.coalesce("same", F.lit(False))).alias(f"{prefix}_strict"))
+
+    both = side(p, "gid", "g_n", "pred").join(side(r, "rid", "r_n", "ref"), "class")
+    share = lambda a, b, name: F.round(F.col(a) / F.col(b), 6).alias(name)
+    return both.select(
+        "class", "preds", "refs", share("ref_loose", "refs", "loose_sensitivity"), share("pred_loose", "preds", "loose_specificity"), share("ref_strict", "refs", "strict_sensitivity"), share("pred_strict", "preds", "strict_specificity")
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.plans.features import ranged
@@ -98,10 +100,8 @@ _OG = "SELECT og, count(DISTINCT genome) AS n, count(*) AS genes FROM fx_ortho G
 _KIND = "CASE WHEN n = 5 THEN 'core' WHEN n >= 4 THEN 'soft_core' WHEN n = 1 THEN 'singleton' WHEN n <= 1 THEN 'cloud' ELSE 'shell' END"
 
 
-def orthogroup_kinds(ortho: DataFrame, genomes: int = 5, soft: float = 0.8, cloud: float = 0.15) -> DataFrame:
+def orthogroup_kinds(ortho: DataFrame, genomes: int = 5, soft: float = 0.95, cloud: float = 0.15) -> DataFrame:
     """(og, n genomes, genes, kind)."""
-    import math
-
     n = F.col("n")
     kind = F.when(n == genomes, "core").when(n >= math.ceil(genomes * soft), "soft_core").when(n == 1, "singleton").when(n <= math.ceil(genomes * cloud), "cloud").otherwise("shell")
     return ortho.groupBy("og").agg(F.count_distinct("genome").alias("n"), F.count("*").alias("genes")).withColumn("kind", kind)
@@ -109,13 +109,18 @@ def orthogroup_kinds(ortho: DataFrame, genomes: int = 5, soft: float = 0.8, clou
 
 @query("A20_pangenome_summary", "fx_ortho", f"SELECT kind, count(*) AS groups, count(*) FILTER (WHERE n = 5 AND genes = 5) AS single_copy_core FROM (SELECT *, {_KIND} AS kind FROM ({_OG})) GROUP BY kind")
 def a20(ortho):
-    return orthogroup_kinds(ortho).groupBy("kind").agg(F.count("*").alias("groups"), F.count_if((F.col("n") == 5) & (F.col("genes") == 5)).alias("single_copy_core"))
+    return orthogroup_kinds(ortho, soft=0.8).groupBy("kind").agg(F.count("*").alias("groups"), F.count_if((F.col("n") == 5) & (F.col("genes") == 5)).alias("single_copy_core"))
 
 
-@query("A21_ortholog_table", "fx_ortho", "SELECT og, " + ", ".join(f"coalesce(string_agg(gene, ',' ORDER BY gene) FILTER (WHERE genome = 'G{i}'), '-') AS G{i}" for i in range(5)) + " FROM fx_ortho GROUP BY og")
-def a21(ortho):
-    wide = ortho.groupBy("og").pivot("genome", [f"G{i}" for i in range(5)]).agg(F.array_join(F.sort_array(F.collect_list("gene")), ","))
-    return wide.select("og", *[F.when(F.coalesce(F.col(f"G{i}"), F.lit("")) == "", "-").otherwise(F.col(f"G{i}")).alias(f"G{i}") for i in range(5)])
+@query("A21_ortholog_table", "fx_ortho", "SELECT og, " + ", ".join(f"coalesce(string_agg(gene, ',' ORDER BY gene) FILTER (WHERE genome = 'G{i}'), '-') AS G{i}" for i in range(5)) + """, count(DISTINCT genome) AS n_genomes,
+CASE WHEN count(DISTINCT genome) = 5 THEN CASE WHEN count(*) = 5 THEN 'core_single_copy' ELSE 'core' END WHEN count(DISTINCT genome) = 1 THEN 'singleton' ELSE 'accessory' END AS category FROM fx_ortho GROUP BY og""")
+def a21(ortho, genomes: int = 5):
+    names = [f"G{i}" for i in range(genomes)]
+    wide = ortho.groupBy("og").pivot("genome", names).agg(F.array_join(F.sort_array(F.collect_list("gene")), ","))
+    size = ortho.groupBy("og").agg(F.count_distinct("genome").alias("n_genomes"), F.count("*").alias("_genes"))
+    n = F.col("n_genomes")
+    category = F.when(n == genomes, F.when(F.col("_genes") == genomes, "core_single_copy").otherwise("core")).when(n == 1, "singleton").otherwise("accessory")
+    return wide.join(size, "og").select("og", *[F.when(F.coalesce(F.col(g), F.lit("")) == "", "-").otherwise(F.col(g)).alias(g) for g in names], "n_genomes", category.alias("category"))
 
 
 @query("A22_per_genome_pan_stats", "fx_ortho", f"""SELECT genome, count(DISTINCT gene) AS proteins, count(DISTINCT o.og) AS groups, round(100.0 * count(*) FILTER (WHERE n = 5) / count(*), 6) AS core_percent,
@@ -180,10 +185,31 @@ def b02(runs):
     return runs.groupBy("genome").agg(F.array_join(F.sort_array(F.collect_set("tool")), ",").alias("completed"), F.max_by("tool", "pos").alias("current"), F.count("*").alias("events"))
 
 
+def student_tail(t: Column, df: Column) -> Column:
+    """Two-sided tail of Student's t for whole degrees of freedom, by the finite series in the angle whose tangent is t / sqrt(df)."""
+    angle = F.atan(F.abs(t) / F.sqrt(df.cast("double")))
+    square = F.cos(angle) * F.cos(angle)
+    odd = df % 2 == 1
+    # each term is the one before it times (k - 1) / k or so, k going up in twos
+    steps = F.filter(F.sequence(F.lit(1), F.greatest(df.cast("int"), F.lit(1))), lambda k: (k <= df - 2) & F.when(odd, k % 2 == 0).otherwise(k % 2 == 1))
+    first = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+    grown = F.aggregate(steps, first, lambda a, k: F.struct((a["term"] * square * k / (k + 1)).alias("term"), (a["sum"] + a["term"] * square * k / (k + 1)).alias("sum")))["sum"]
+    inside = F.when(df == 1, 2 * angle / math.pi).when(odd, 2 / math.pi * (angle + F.sin(angle) * F.cos(angle) * grown)).otherwise(F.sin(angle) * grown)
+    return F.greatest(F.lit(0.0), 1 - inside)
+
+
+def paired(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """One row: n, means, mean difference, paired t, its two-sided p and Cohen's d; pairs count where both are above 0, and two are needed."""
+    rows = pairs.where((F.col(a) > 0) & (F.col(b) > 0)).withColumn("_x", F.col(a) - F.col(b))
+    one = rows.agg(F.count("*").alias("n"), F.avg(a).alias("mean_a"), F.avg(b).alias("mean_b"), F.avg("_x").alias("difference"), F.stddev_samp("_x").alias("_s"))
+    fine = (F.col("n") >= 2) & (F.col("_s") > 0)
+    one = one.withColumn("d", F.when(fine, F.col("difference") / F.col("_s"))).withColumn("t", F.when(fine, F.col("d") * F.sqrt("n")))
+    return one.withColumn("p", F.when(fine, student_tail(F.col("t"), F.col("n") - 1))).drop("_s")
+
+
 @query("X05_paired_comparison", "fx_runs", """WITH p AS (SELECT genome, rep, avg(metric) FILTER (WHERE tool = 'click') AS a, avg(metric) FILTER (WHERE tool = 'view') AS b FROM fx_runs GROUP BY genome, rep)
 SELECT count(*) AS n, round(avg(a), 6) AS mean_a, round(avg(b), 6) AS mean_b, round(avg(a - b) / (stddev_samp(a - b) / sqrt(count(*))), 6) AS t, round(avg(a - b) / stddev_samp(a - b), 6) AS d FROM p WHERE a > 0 AND b > 0""")
 def x05(runs):
     mean = lambda t: F.avg(F.when(F.col("tool") == t, F.col("metric")))
-    pairs = runs.groupBy("genome", "rep").agg(mean("click").alias("a"), mean("view").alias("b")).where("a > 0 AND b > 0").withColumn("x", F.col("a") - F.col("b"))
-    d = F.avg("x") / F.stddev_samp("x")
-    return pairs.agg(F.count("*").alias("n"), F.round(F.avg("a"), 6).alias("mean_a"), F.round(F.avg("b"), 6).alias("mean_b"), F.round(d * F.sqrt(F.count("*")), 6).alias("t"), F.round(d, 6).alias("d"))
+    found = paired(runs.groupBy("genome", "rep").agg(mean("click").alias("a"), mean("view").alias("b")), "a", "b")
+    return found.select("n", *[F.round(c, 6).alias(c) for c in ("mean_a", "mean_b", "t", "d")])

@@ -108,3 +108,13 @@ def test_description_and_orf(spark):
     assert got[0] == "Protein kinase"
     orf = spark.createDataFrame([("ATGAAATAA",), ("ATGTAATAA",), ("ATGAAAA",), ("CTGAAATAA",), ("ATGAAA",)], "s string")
     assert [r[0] for r in orf.select(formats.orf_status(F.col("s"))).collect()] == ["Complete", "InternalStop", "BadLength", "NoStart", "NoStop"]
+
+
+def test_student_tails_against_tables(spark):
+    rows = [(12.706, 1), (4.303, 2), (3.182, 3), (2.776, 4), (2.228, 10), (2.262, 9), (1.984, 100), (0.0, 7)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t double, n int").select(expression.student_tail(F.col("t"), F.col("n"))).collect()]
+    assert all(abs(p - 0.05) < 1e-4 for p in got[:-1]) and got[-1] == 1.0
+
+
+def test_long_files_of_codes_agree():
+    assert len(sequences.CODES) == 25 and sequences.codons(2)["AGA"] == "*" and sequences.codons(33)["AGG"] == "K" and sequences.codons(11) == sequences.codons(1)
