@@ -84,9 +84,11 @@ def k04(segs):
     return one.select(F.concat_ws("\t", "seqid", low, high, F.concat(F.lit("m"), text(F.col("gid")), F.lit(".1")), F.lit("0"), "strand", low, high, F.lit("0"), text(F.size("b")), F.concat(sizes, F.lit(",")), F.concat(starts, F.lit(","))).alias("value"))
 
 
-@query("K05_to_bedgraph", "fx_feature", "SELECT concat_ws(chr(9), seqid, CAST(f_start - 1 AS VARCHAR), CAST(f_end AS VARCHAR), '1') AS value FROM fx_feature WHERE type = 'gene'")
-def k05(features):
-    return features.where("type = 'gene'").select(F.concat_ws("\t", "seqid", (F.col("f_start") - 1).cast("string"), F.col("f_end").cast("string"), F.lit("1")).alias("value"))
+@query("K05_to_bedgraph", "fx_feature", """SELECT 'track type=bedGraph name="gene" visibility=full' AS value UNION ALL SELECT concat_ws(chr(9), seqid, CAST(f_start - 1 AS VARCHAR), CAST(f_end AS VARCHAR), '1') FROM fx_feature WHERE type = 'gene'""")
+def k05(features, kind: str = "gene"):
+    """The track line, and a line for each feature of the type."""
+    track = features.sparkSession.range(1).select(F.lit(f'track type=bedGraph name="{kind}" visibility=full').alias("value"))
+    return track.unionAll(features.where(F.col("type") == kind).select(F.concat_ws("\t", "seqid", (F.col("f_start") - 1).cast("string"), F.col("f_end").cast("string"), F.lit("1")).alias("value")))
 
 
 @query("K06_to_feature_table", "fx_feature", "SELECT seqid, type, f_start, f_end, strand, id, parent, coalesce('locus_tag=' || locus_tag, '') AS rest FROM fx_feature")
@@ -140,16 +142,35 @@ def phased_status(alt: Column, gt: Column) -> Column:
     )
 
 
-@query("S06_read_phased_vcf", "fx_vcf", f"SELECT event_id, {_STATUS} AS status, CASE WHEN {_STATUS} = 'ok' THEN left(gt, 1) <> right(gt, 1) END AS informative FROM fx_vcf")
-def s06(variants):
+def phased(variants: DataFrame, strict: bool = True) -> DataFrame:
+    """Variants with ``status``, the alleles ``hap0`` and ``hap1``, ``informative`` and ``kind``; alleles only where the status is ok.
+
+    An unphased heterozygous call is an error, or a status of its own if not ``strict``.
+    """
     status = phased_status(F.col("alt"), F.col("gt"))
-    return variants.select("event_id", status.alias("status"), F.when(status == "ok", F.substring("gt", 1, 1) != F.substring("gt", -1, 1)).alias("informative"))
+    if strict:
+        said = F.concat(F.lit("unphased call at "), "chrom", F.lit(":"), F.col("pos").cast("string"))
+        status = F.when(status == "unphased", F.raise_error(said).cast("string")).otherwise(status)
+    rows = variants.withColumn("status", status)
+    allele = lambda k: F.when(F.col("status") == "ok", F.when(F.get(F.split("gt", r"[|/]"), F.lit(k)) == "0", F.col("ref")).otherwise(F.col("alt")))
+    n, m = F.length("ref"), F.length("alt")
+    kind = F.when(F.col("status") == "ok", F.when((n == 1) & (m == 1), "SNV").when(n == m, "MNP").otherwise("Indel"))
+    return rows.withColumn("hap0", allele(0)).withColumn("hap1", allele(1)).withColumn("informative", F.col("hap0") != F.col("hap1")).withColumn("kind", kind)
+
+
+_PHASED = f"""SELECT event_id, status, CASE WHEN status = 'ok' THEN CASE left(gt, 1) WHEN '0' THEN ref ELSE alt END END AS hap0, CASE WHEN status = 'ok' THEN CASE right(gt, 1) WHEN '0' THEN ref ELSE alt END END AS hap1,
+CASE WHEN status = 'ok' THEN left(gt, 1) <> right(gt, 1) END AS informative, CASE WHEN status = 'ok' THEN CASE WHEN length(ref) = 1 AND length(alt) = 1 THEN 'SNV' WHEN length(ref) = length(alt) THEN 'MNP' ELSE 'Indel' END END AS kind FROM (SELECT *, {_STATUS} AS status FROM fx_vcf)"""
+
+
+@query("S06_read_phased_vcf", "fx_vcf", _PHASED)
+def s06(variants):
+    return phased(variants).select("event_id", "status", "hap0", "hap1", "informative", "kind")
 
 
-@query("A14_variant_summary", "fx_vcf", f"SELECT {_STATUS} AS status, {_CLASS} AS class, count(*) AS n FROM fx_vcf GROUP BY 1, 2")
+@query("A14_variant_summary", "fx_vcf", f"SELECT status, kind, count(*) AS n, count(*) FILTER (WHERE informative) AS informative, count(*) FILTER (WHERE NOT informative) AS homozygous FROM ({_PHASED}) GROUP BY 1, 2")
 def a14(variants):
-    first = F.get(F.split("alt", ","), F.lit(0))
-    return variants.groupBy(phased_status(F.col("alt"), F.col("gt")).alias("status"), variant_class(F.col("ref"), first).alias("class")).agg(F.count("*").alias("n"))
+    told = F.coalesce("informative", F.lit(False))
+    return phased(variants).groupBy("status", "kind").agg(F.count("*").alias("n"), F.count_if(told).alias("informative"), F.count_if(F.col("informative").isNotNull() & ~told).alias("homozygous"))
 
 
 @query("P14_classify_variant", "fx_vcf", f"SELECT event_id, {_CLASS} AS class, pos + length(ref) - 1 AS pos_end FROM fx_vcf")
@@ -186,10 +207,16 @@ def annovar(variants: DataFrame) -> DataFrame:
     )
 
 
-@query("K13_vcf_to_maf", "fx_vcf", f"SELECT event_id, chrom, pos, {_CLASS} AS variant_type, ref, {_ALT} AS tumor_allele, 'TUMOR' AS sample FROM fx_vcf")
-def k13(variants):
+@query("K13_vcf_to_maf", "fx_vcf", f"""SELECT 'Unknown' AS Hugo_Symbol, '0' AS Entrez_Gene_Id, '.' AS Center, 'GRCh38' AS NCBI_Build, chrom AS Chromosome, pos AS Start_Position, pos + length(ref) - 1 AS End_Position, '+' AS Strand,
+'Missense_Mutation' AS Variant_Classification, {_CLASS} AS Variant_Type, ref AS Reference_Allele, ref AS Tumor_Seq_Allele1, {_ALT} AS Tumor_Seq_Allele2, 'TUMOR' AS Tumor_Sample_Barcode FROM fx_vcf""")
+def k13(variants, sample: str = "TUMOR"):
     alt = F.get(F.split("alt", ","), F.lit(0))
-    return variants.select("event_id", "chrom", "pos", variant_class(F.col("ref"), alt).alias("variant_type"), "ref", alt.alias("tumor_allele"), F.lit("TUMOR").alias("sample"))
+    fixed = lambda v, c: F.lit(v).alias(c)
+    return variants.select(
+        fixed("Unknown", "Hugo_Symbol"), fixed("0", "Entrez_Gene_Id"), fixed(".", "Center"), fixed("GRCh38", "NCBI_Build"), F.col("chrom").alias("Chromosome"), F.col("pos").alias("Start_Position"),
+        (F.col("pos") + F.length("ref") - 1).alias("End_Position"), fixed("+", "Strand"), fixed("Missense_Mutation", "Variant_Classification"), variant_class(F.col("ref"), alt).alias("Variant_Type"),
+        F.col("ref").alias("Reference_Allele"), F.col("ref").alias("Tumor_Seq_Allele1"), alt.alias("Tumor_Seq_Allele2"), fixed(sample, "Tumor_Sample_Barcode"),
+    )
 
 
 @query("S07_read_paf", "fx_paf", "SELECT qname, CAST(q_start AS BIGINT) AS q_start, tname, t_end, matches, block FROM fx_paf")
@@ -287,10 +314,16 @@ _ORF = """CASE WHEN length(cds) % 3 <> 0 THEN 'BadLength' WHEN left(cds, 3) <> '
 WHEN len(list_filter(range(0, length(cds) // 3 - 1), lambda i: substr(cds, CAST(3 * i + 1 AS BIGINT), 3) IN ('TAA', 'TAG', 'TGA'))) > 0 THEN 'InternalStop' ELSE 'Complete' END"""
 
 
-def orf_status(cds: Column, stops: tuple = ("TAA", "TAG", "TGA")) -> Column:
+def orf_status(cds: Column, stops: tuple = ("TAA", "TAG", "TGA"), code: int = 1) -> Column:
+    """Why a coding sequence isn't a whole one, or Complete; Unverifiable where there is no sequence, for which only a length could be told.
+
+    In genetic code 6 only TGA ends a protein.
+    """
+    stops = ("TGA",) if code == 6 else stops
     n = F.floor(F.length(cds) / 3).cast("int")
     inner = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & F.substring(cds, 3 * i - 2, F.lit(3)).isin(*stops))
-    return F.when(F.length(cds) % 3 != 0, "BadLength").when(F.substring(cds, 1, 3) != "ATG", "NoStart").when(~F.substring(cds, -3, 3).isin(*stops), "NoStop").when(inner, "InternalStop").otherwise("Complete")
+    told = F.when(F.length(cds) % 3 != 0, "BadLength").when(F.substring(cds, 1, 3) != "ATG", "NoStart").when(~F.substring(cds, -3, 3).isin(*stops), "NoStop").when(inner, "InternalStop").otherwise("Complete")
+    return F.when(cds.isNull(), "Unverifiable").otherwise(told)
 
 
 @query("C03_orf_gate", "fx_cds fx_ctg", f"SELECT gid, {_ORF} AS status FROM ({_SPLICED})")
@@ -298,11 +331,39 @@ def c03(segs, contigs):
     return spliced(segs, contigs).select("gid", orf_status(F.col("cds")).alias("status"))
 
 
+def parse_quant(lines: DataFrame, names: dict[str, str], text: str, header_in_place: list[str] | None = None) -> DataFrame:
+    """(sample, columns) of tables whose first line per sample (n = 0) names the columns; ``names`` says which are wanted, and as what.
+
+    A column that is missing, a header that isn't ``header_in_place`` where that is asked for, and a cell that is no
+    number are errors; ``text`` is the wanted column that isn't one.
+    """
+    heads = lines.where("n = 0").select("sample", F.split("value", "\t").alias("_h"))
+    rows = lines.where("n > 0").join(heads, "sample", "left").withColumn("_c", F.split("value", "\t"))
+    wrong = F.col("_h").isNull()
+    if header_in_place:
+        wrong = wrong | (F.slice("_h", 1, len(header_in_place)) != F.array(*map(F.lit, header_in_place)))
+    said = lambda what: F.raise_error(F.concat(F.lit(f"table of {{}}: {what}".replace("{}", "sample ")), "sample"))
+    out = []
+    for c, name in names.items():
+        cell = F.get("_c", F.array_position("_h", c).cast("int") - 1)
+        cell = F.when(wrong | ~F.array_contains("_h", c), said(f"no column {c} where it should be").cast("string")).otherwise(cell)
+        if c != text:
+            cell = F.when(cell.try_cast("double").isNull(), said(f"no number in {c}").cast("double")).otherwise(cell.try_cast("double"))
+        out.append(cell.alias(name))
+    return rows.select("sample", *out)
+
+
+def quant_lines(quant: DataFrame, names: list[str], cells: list[Column]) -> DataFrame:
+    head = quant.select("sample").distinct().select("sample", F.lit(0).alias("n"), F.lit("\t".join(names)).alias("value"))
+    return head.unionByName(quant.select("sample", F.lit(1).alias("n"), F.concat_ws("\t", *cells).alias("value")))
+
+
 @query("S20_read_quant_sf", "fx_quant", "SELECT transcript, sample, round(tpm, 6) AS tpm, num_reads FROM fx_quant")
 def s20(quant):
-    lines = quant.select("sample", F.concat_ws("\t", "transcript", F.lit("1000"), F.lit("900.0"), F.col("tpm").cast("string"), F.col("num_reads").cast("string")).alias("value"))
-    p = F.split("value", "\t")
-    return lines.select(F.get(p, F.lit(0)).alias("transcript"), "sample", F.round(F.get(p, F.lit(3)).cast("double"), 6).alias("tpm"), F.get(p, F.lit(4)).cast("double").alias("num_reads"))
+    names = ["Name", "Length", "EffectiveLength", "TPM", "NumReads"]
+    lines = quant_lines(quant, names, [F.col("transcript"), F.lit("1000"), F.lit("900.0"), F.col("tpm").cast("string"), F.col("num_reads").cast("string")])
+    found = parse_quant(lines, {"Name": "transcript", "TPM": "tpm", "NumReads": "num_reads"}, "Name", names)
+    return found.select("transcript", "sample", F.round("tpm", 6).alias("tpm"), "num_reads")
 
 
 @query("P15_cigar_reference_end", "fx_paf", "SELECT qname, q_start, q_start + matches + 7 AS r_end FROM fx_paf")

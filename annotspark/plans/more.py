@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.plans.features import _PRIMARY, longest_transcript
-from annotspark.plans.formats import spliced
+from annotspark.plans.formats import parse_quant, quant_lines, spliced
 from annotspark.plans.hierarchy import ids
 from annotspark.plans.hits import _MERGED, merge_annotations
 from annotspark.plans.sequences import protein_sql, translate
@@ -81,9 +81,10 @@ def s18(genes):
 
 @query("S21_read_abundance", "fx_quant", "SELECT transcript, sample, num_reads AS est_counts, round(tpm, 6) AS tpm FROM fx_quant")
 def s21(quant):
-    lines = quant.select("sample", F.concat_ws("\t", "transcript", F.lit("1000"), F.lit("900"), F.col("num_reads").cast("string"), F.col("tpm").cast("string")).alias("value"))
-    at = {c: _field(k) for k, c in enumerate(["target_id", "length", "eff_length", "est_counts", "tpm"])}
-    return lines.select(at["target_id"].alias("transcript"), "sample", at["est_counts"].cast("double").alias("est_counts"), F.round(at["tpm"].cast("double"), 6).alias("tpm"))
+    """By the names of the columns, wherever they stand."""
+    lines = quant_lines(quant, ["tpm", "length", "target_id", "eff_length", "est_counts"], [F.col("tpm").cast("string"), F.lit("1000"), F.col("transcript"), F.lit("900"), F.col("num_reads").cast("string")])
+    found = parse_quant(lines, {"target_id": "transcript", "est_counts": "est_counts", "tpm": "tpm"}, "target_id")
+    return found.select("transcript", "sample", "est_counts", F.round("tpm", 6).alias("tpm"))
 
 
 @query("S25_read_topology_calls", "fx_hits", "SELECT query, CAST(min(partkey % 4) AS BIGINT) AS tm, bool_or(partkey % 2 = 0) AS signal FROM fx_hits GROUP BY query")

@@ -118,3 +118,19 @@ def test_student_tails_against_tables(spark):
 
 def test_long_files_of_codes_agree():
     assert len(sequences.CODES) == 25 and sequences.codons(2)["AGA"] == "*" and sequences.codons(33)["AGG"] == "K" and sequences.codons(11) == sequences.codons(1)
+
+
+def test_tables_with_wrong_headers_or_cells_are_errors(spark):
+    import pytest
+
+    good = [("s", 0, "Name\tTPM"), ("s", 1, "t1\t2.5"), ("s", 1, "t2\t0")]
+    read = lambda rows, **x: formats.parse_quant(spark.createDataFrame(rows, "sample string, n int, value string"), {"Name": "id", "TPM": "tpm"}, "Name", **x).collect()
+    assert sorted((r["id"], r["tpm"]) for r in read(good)) == [("t1", 2.5), ("t2", 0.0)]
+    for bad, x in (([("s", 1, "t\t1")], {}), ([("s", 0, "Name\tReads"), ("s", 1, "t\t1")], {}), ([*good, ("s", 1, "t3\tmany")], {}), (good, {"header_in_place": ["Name", "Length"]})):
+        with pytest.raises(Exception, match="table of sample"):
+            read(bad, **x)
+
+
+def test_orf_of_code_6_and_without_sequence(spark):
+    df = spark.createDataFrame([("ATGTAATGA",), (None,)], "s string")
+    assert [r[0] for r in df.select(formats.orf_status(F.col("s"), code=6)).collect()] == ["Complete", "Unverifiable"]
