@@ -8,23 +8,33 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 FILTER_BITS = 1 << 26
+#: Places that a task holds before it passes its bits on.
+HELD = 1 << 21
 
 
 def filter_bits(values: DataFrame) -> np.ndarray:
     """Two bits per value, in FILTER_BITS bits whatever the number of values."""
     piece = 1 << 19
 
-    def run(batches: Iterator) -> Iterator:
+    def pieces(held: list[np.ndarray]) -> Iterator:
         import pyarrow as pa
 
-        bits = np.zeros(FILTER_BITS, dtype=bool)
+        at = np.unique(np.concatenate(held))
+        for k in np.unique(at // piece).tolist():
+            part = np.zeros(piece, dtype=bool)
+            part[at[np.searchsorted(at, k * piece) : np.searchsorted(at, (k + 1) * piece)] - k * piece] = True
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], names=["k", "bits"])
+
+    def run(batches: Iterator) -> Iterator:
+        held, size = [], 0
         for batch in batches:
-            for p in _places(batch.column(0).to_numpy()):
-                bits[p] = True
-        for k in range(FILTER_BITS // piece):
-            part = bits[k * piece : (k + 1) * piece]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], names=["k", "bits"])
+            held += [np.unique(p) for p in _places(batch.column(0).to_numpy())]
+            size += 2 * len(batch)
+            if size >= HELD:
+                yield from pieces(held)
+                held, size = [], 0
+        if held:
+            yield from pieces(held)
 
     def either(table):
         import pyarrow as pa

@@ -48,12 +48,14 @@ TOGETHER = 1 << 21
 CELL = 128
 PIVOTS = 8
 #: Regions of a class by which it is told whether a pair has met before.
-EARLIER = 16
+EARLIER = 32
+#: Bits of a class's parity marks, at least and at most.
+MARKS = (1 << 7, 1 << 13)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 #: Bytes of text that are hashed together, and length from which a word is hashed on its own.
-SLICE = 1 << 20
-LONG_WORD = 1 << 19
+SLICE = 1 << 18
+LONG_WORD = 1 << 17
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -175,6 +177,44 @@ def _class_of(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))).view(np.int64))
 
 
+def marks_of(s: np.ndarray) -> bytes:
+    """For each of a power of two of places, of about the set's size, whether an odd number of its shingles falls there.
+
+    Marks of half the size are those of both halves added.  Where two sets' marks differ, so do the sets, by a shingle
+    for each place at least, and what two sets of known sizes share follows from how much they differ.
+    """
+    bits = MARKS[0]
+    while bits < min(len(s), MARKS[1]):
+        bits *= 2
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """At how many places two sets' marks differ."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def may_link(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) of classes whose marks (cls, n, marks) leave it open whether they are linked."""
+    one = lambda c: marks.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
+    both = pairs.distinct().join(one("a"), "a").join(one("b"), "b").select("a", "b", "na", "nb", "ma", "mb")
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            apart = np.fromiter(map(_differ, batch.column(4).to_pylist(), batch.column(5).to_pylist()), dtype=np.int64, count=len(total))
+            open_ = np.flatnonzero((total - apart) // 2 * (100 + percent) >= total * percent)
+            yield batch.select(["a", "b"]).take(open_)
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The commonest shingles, sorted, and their places in the order (rarer first)."""
 
@@ -223,7 +263,7 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
 
 
 def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Per document: id, size n, class, and the first shingles (once per class and task)."""
+    """Per document: id, size n, class, and once per class and task its first shingles and marks."""
     kind = docs.schema["_id"].dataType.simpleString()
     keys, places = common
 
@@ -232,17 +272,19 @@ def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray,
 
         seen: set[int] = set()
         for batch in batches:
-            n, cls, first = [], [], []
+            n, cls, first, marks = [], [], [], []
             for s in (s for part in _sliced(batch.column(1), words) for s in part):
                 n.append(len(s))
                 c = _class_of(s) if len(s) else None
                 cls.append(c)
                 if c is None or c in seen:
                     first.append(None)
+                    marks.append(None)
                     continue
                 if len(seen) > 2_000_000:
                     seen.clear()
                 seen.add(c)
+                marks.append(marks_of(s))
                 size = len(s) - -(-percent * len(s) // 100) + 1
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
@@ -254,10 +296,11 @@ def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray,
                     s = rare
                 first.append(s[:size].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["_id", "n", "cls", "first"]
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                names=["_id", "n", "cls", "first", "marks"],
             )
 
-    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, n long, cls long, first array<long>")
+    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, n long, cls long, first array<long>, marks binary")
 
 
 def sets_of(docs: DataFrame, seen: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -327,7 +370,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def first_regions(seen: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n, i, r, before): the members of every region of two classes or more, regions of equal members once.
+    """(key, cls, n, i, r, before): the members of every region of two classes or more that don't meet elsewhere anyway.
 
     ``before`` names a class's earlier regions, as far as they are its first ``EARLIER``: what two members can be is
     found out in the first region in which they meet.
@@ -344,7 +387,13 @@ def first_regions(seen: DataFrame, percent: int) -> DataFrame:
     once = once.withColumn("_k", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
     heads = F.collect_list(F.when(F.col("_k") <= EARLIER, F.struct("i", "key"))).over(Window.partitionBy("cls"))
     once = once.withColumn("_heads", heads).withColumn("before", F.transform(F.filter("_heads", lambda x: x["i"] < F.col("i")), lambda x: x["key"]))
-    out = written(once.select("key", "cls", "n", "i", "r", "before"), "regions")
+    once = written(once.select("key", "cls", "n", "i", "r", "before"), "once")
+    # where all members of a region were in another one before, so were all its pairs
+    size = once.groupBy("key").agg(F.count("*").alias("m"))
+    inside_ = once.select("key", F.explode("before").alias("b")).groupBy("key", "b").agg(F.count("*").alias("m"))
+    met = inside_.join(size, ["key", "m"]).select("key").distinct()
+    out = written(once.join(met, "key", "left_anti"), "regions")
+    discard(once)
     discard(rows, shared)
     return out
 
@@ -406,7 +455,10 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     pivots = written(regions.groupBy("key").agg(F.min_by(F.struct("cls", "n", "i", "r"), "cls").alias("p")).select("key", "p.*"), "pivots")
     stars = regions.alias("b").join(pivots.alias("p"), "key").where("b.cls <> p.cls")
-    tried = written(stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b")).distinct(), "stars")
+    marks = seen.where("marks IS NOT NULL").join(regions.select("cls").distinct(), "cls", "left_semi").select("cls", "n", "marks").dropDuplicates(["cls"])
+    marks = written(marks, "marks")
+    tried = stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b"))
+    tried = written(may_link(tried, marks, percent), "stars")
     sets = sets_of(rows, seen, _ends(tried), words)
     found = distances(tried, sets)
     links = written(_linked(found, percent), "links")
@@ -421,7 +473,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while True:
         left = _open(cells, components(links))
         whole = (F.col("m") <= CELL) | (2 * F.col("m") > F.coalesce("above", 2 * F.col("m")))
-        here = written(inside(left.where(whole).drop("above"), percent, reach).distinct(), "tried")
+        here = written(may_link(inside(left.where(whole).drop("above"), percent, reach), marks, percent), "tried")
         large = left.where(~whole)
         if tried is None:  # all that is left to compare is among these
             discard(sets)

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from annotspark.llm import ngram_join as nj
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -99,5 +101,13 @@ def test_words_are_told_apart_wherever_texts_are_cut(monkeypatch):
     assert [cut[k] for k in short] == [whole[k] for k in short]
 
 
+def test_marks_never_say_more_than_is_so():
+    rng = np.random.default_rng(6)
+    for n, m, both in ((10, 12, 9), (300, 280, 250), (300, 300, 0), (5000, 7000, 4800), (20_000, 16_000, 15_000)):
+        pool = rng.integers(0, 2**63, n + m - both).astype(np.uint64)
+        a, b = pool[:n], pool[n - both :]
+        assert (n + m - nj._differ(nj.marks_of(a), nj.marks_of(b))) // 2 >= both
+
+
 def test_empty(spark):
     assert nj.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
