@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +11,14 @@ from pyspark.sql import functions as F
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet below ``spark.checkpoint.dir``, read back: fixed rows, whatever is computed again later.
 
-    Only a local session may leave the setting out; it takes a temporary folder.
+    Only a local session may leave the setting out.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="annotspark-")
+        base = "/tmp/checkpoints/annotspark"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
