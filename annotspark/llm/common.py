@@ -16,9 +16,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; that setting is made only where it is unset (tests)."""
+    """A fresh folder below ``spark.checkpoint.dir``; only a local session, as in tests, may leave that unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = "/tmp/checkpoints/annotspark"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -26,7 +28,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The finished plan's shuffle files go once the driver's JVM finds it unreachable, so it is asked to look.
+    Spark deletes the finished plan's shuffle files once the driver's JVM has found that plan unreachable, which may take
+    until its memory is full; it is asked to look now, as disk is what runs out first in jobs of many tables.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
