@@ -122,6 +122,15 @@ def ablation(book: DataFrame, policy: str | list[str]) -> DataFrame:
     )
 
 
+def only_rule(policy: str | list[str]) -> Column:
+    """The rule of the policy that alone rejects a document, which would stay without it; null for all others."""
+    bits = F.col("fail_bits").bitwiseAND(F.lit(mask_of(policy)))
+    out = None
+    for name in POLICIES[policy] if isinstance(policy, str) else policy:
+        out = F.when(bits == BIT[name], name) if out is None else out.when(bits == BIT[name], name)
+    return out
+
+
 def select_documents(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that pass the policy, with their own columns: judged row by row, without a join."""
     cols = docs.columns
@@ -155,3 +164,5 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
     + (CASE WHEN 2 * n_capitals > word_chars THEN 16 ELSE 0 END) + (CASE WHEN 2 * n_dup_lines > n_lines THEN 32 ELSE 0 END)
     + (CASE WHEN word_chars > 25 * n_words THEN 64 ELSE 0 END) AS BIGINT) AS fail_bits FROM q
 """
+_NAMED = " ".join(f"WHEN {BIT[name]} THEN '{name}'" for name in POLICIES["v2"])
+ORACLE = f"SELECT *, CASE fail_bits {_NAMED} END AS only_rule FROM ({ORACLE}) judged"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annotspark.llm import byte_bpe, embed_dedup, license_scan, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, warc, wavelet
-from annotspark.llm.common import read, shared_dir
+from annotspark.llm.common import read, shared_dir, written
 from annotspark.llm.tokens import tokenizer_path
 
 
@@ -29,10 +29,11 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")), "v2")
+    # the rules are evaluated once, into a stored ledger; policies and ablations read that
+    book = written(quality_rules.ledger(read(spark, sf_dir, "documents")), "ledger")
     base = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask_of("v1"))) != 0
-    return book.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits"
+    return quality_rules.apply_policy(book, "v2").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits", quality_rules.only_rule("v2").alias("only_rule")
     )
 
 
