@@ -139,7 +139,7 @@ def a23(ortho):
 
 @query("S22_read_orthogroups", "fx_ortho", "SELECT og, genome, gene FROM fx_ortho")
 def s22(ortho):
-    return long_orthogroups(a21(ortho), "og")
+    return long_orthogroups(a21(ortho).drop("n_genomes", "category"), "og")
 
 
 def long_orthogroups(wide: DataFrame, key: str) -> DataFrame:
