@@ -15,7 +15,7 @@ region.  From there on the metric decides:
   whose members the triangle inequality lets it reach.  Cells that are still too large are divided again;
 * in a cell of at most ``CELL`` rows the pairs that the windows of distance, size and place leave are compared exactly.
   A cell that pivots can't make smaller (all its members are about as far from one another) is joined block by block,
-  each block and group of that bounded size, all pairs of blocks together being the whole cell.
+  each of that bounded size, all pairs of blocks together being the whole cell.
 
 The order of shingles affects cost only.  Shingles that repeat inside a batch of documents are counted over the whole
 corpus; of these the most frequent, by a count from which on there are at most ``COMMON``, go last.
@@ -45,8 +45,8 @@ COMMON = 1 << 19
 #: Shingles among which a task looks for repeated ones.
 TOGETHER = 1 << 21
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
-CELL = 128
-PIVOTS = 8
+CELL = 512
+PIVOTS = 4
 #: Regions of a class by which it is told whether a pair has met before.
 EARLIER = 32
 #: Bits of a class's parity marks, at least and at most.
@@ -399,10 +399,15 @@ def first_regions(seen: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the cells in which members of different components are left, with their labels and the cell's rows ``m``."""
-    now = cells.drop("label", "m").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    some = now.groupBy("key", "cell").agg(F.count("*").alias("m"), F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-    return written(now.join(some.select("key", "cell", "m"), ["key", "cell"]), "open")
+    """Rows of the cells in which members of different components are left, with their labels.
+
+    Also the cell's rows ``m``, its largest component ``core``, and how many rows ``rest`` are of another one.
+    """
+    now = cells.drop("label", "m", "core", "rest").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    per = now.groupBy("key", "cell", "label").agg(F.count("*").alias("_c"))
+    some = per.groupBy("key", "cell").agg(F.sum("_c").alias("m"), F.max_by("label", F.struct("_c", "label")).alias("core"), F.max("_c").alias("_most"))
+    some = some.where("m > _most").select("key", "cell", "m", "core", (F.col("m") - F.col("_most")).alias("rest"))
+    return written(now.join(some, ["key", "cell"]), "open")
 
 
 def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
@@ -432,18 +437,39 @@ def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame,
 
 
 def inside(cells: DataFrame, percent: int, reach: float) -> DataFrame:
-    """Pairs of a cell's members that all windows leave, block by block where a cell has more than ``CELL`` rows."""
-    blocks = F.ceil(F.col("m") / CELL).cast("int")
-    rows = cells.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
-    rows = rows.withColumn("p", F.explode(others)).select("*", "p.lo", "p.hi").drop("p", "m")
-    a, b = rows.where("block = lo").alias("a"), rows.where("block = hi").alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "cell", "lo", "hi")]
-    once = (F.col("a.cls") < F.col("b.cls")) | (F.col("a.lo") < F.col("a.hi"))
+    """Pairs of a cell's members of different components that all windows leave.
+
+    The members of the largest component are compared with the rest, and the rest with itself, in blocks of at most
+    ``CELL`` rows each way: what is large in a cell is mostly one component, whose members needn't meet.
+    """
+    size = lambda n: F.greatest(F.ceil(n / CELL), F.lit(1)).cast("int")
+    inner, outer = size(F.col("m") - F.col("rest")), size(F.col("rest"))
+    of = lambda blocks: F.pmod(F.xxhash64("cls"), blocks).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
+    core = F.col("label") == F.col("core")
+    kept = [c for c in cells.columns if c not in ("m", "core", "rest")]
+    rest = cells.where(~core)
+    most = cells.where(core).select(*kept, of(inner).alias("p"), every(outer).alias("q")).alias("a")
+    met = most.join(rest.select(*kept, of(outer).alias("q"), every(inner).alias("p")).alias("b"), [*_same("p", "q"), _windows(percent, reach)]).select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y"))
+
+    block = of(outer)
+    others = F.transform(F.sequence(F.lit(0), outer - 1), lambda o: F.struct(F.least(block, o).alias("p"), F.greatest(block, o).alias("q")))
+    rest = rest.select(*kept, block.alias("block"), F.explode(others).alias("_o")).select(*kept, "block", "_o.p", "_o.q")
+    once = (F.col("a.cls") < F.col("b.cls")) | (F.col("a.p") < F.col("a.q"))
+    among = rest.where("block = p").alias("a").join(rest.where("block = q").alias("b"), [*_same("p", "q"), once & _windows(percent, reach)])
+    met = met.unionByName(among.select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def _same(*blocks: str) -> list[Column]:
+    return [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "cell", *blocks)]
+
+
+def _windows(percent: int, reach: float) -> Column:
+    """Whether two members of a cell may be linked, are in no common component, and meet here first."""
     triangle = (F.col("a.low") <= F.col("b.high") + reach) & (F.col("b.low") <= F.col("a.high") + reach)
     apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home")) & ~F.arrays_overlap("a.before", "b.before")
-    met = a.join(b, [*same, once & apart & triangle & _near_enough("a", "b", percent)])
-    return met.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
+    return apart & triangle & _near_enough("a", "b", percent)
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
