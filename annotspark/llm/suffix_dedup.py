@@ -40,7 +40,7 @@ from annotspark.llm.filters import filter_bits, hits, passing
 
 LENGTH = 50
 #: Bytes of the short strings that anchor a window.
-GRAM = 10
+GRAM = 8
 #: Bytes of fragments in a block.
 BLOCK = 1 << 18
 #: Windows of a fragment at most, and bytes of text worked on at a time.
