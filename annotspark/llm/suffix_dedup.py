@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,6 +48,8 @@ WINDOWS = 1 << 12
 SLICE = 1 << 18
 #: Fragments of a task that are held before they are passed on.
 HELD = 1 << 20
+#: Turns in which shared keys are looked for, each among its part of the keys.
+TURNS = 2
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 #: Low bits of a hash that give way to the place inside a slice, so that the least value is also the first.
@@ -163,13 +165,18 @@ def _least(key: np.ndarray, doc: np.ndarray):
     return key[at], order[at], np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
 
 
-def shared_keys(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(key, low, mixed): keys that stand in documents of different ids, the least of those, and whether their fragments differ."""
+def shared_keys(rows: DataFrame, length: int, gram: int, turn: int) -> DataFrame:
+    """(key, low, mixed): keys that stand in documents of different ids, the least of those, and whether their fragments differ.
+
+    Of one turn's keys: this shuffle is the largest, and the texts are cheaper to hash again than all of it is to keep.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for (key, made, doc, *_), _ in _slices(batches, length, gram):
+            mine = np.flatnonzero((key >> np.uint64(40)) % np.uint64(TURNS) == np.uint64(turn))
+            key, made, doc = key[mine], made[mine], doc[mine]
             order = np.argsort(key, kind="stable")
             key, made, doc = key[order], made[order].view(np.int64), doc[order]
             at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
@@ -400,7 +407,7 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     """(row, spans): stretches [a, b) to remove, unsorted, for rows (_doc, _row, _text)."""
     if gram >= length:
         raise ValueError("a window has to hold several short strings")
-    shared = written(shared_keys(rows, length, gram), "shared")
+    shared = reduce(DataFrame.unionByName, [written(shared_keys(rows, length, gram, k), "shared") for k in range(TURNS)])
     alike = shared.where("NOT mixed").select("key", "low")
     found = written(occurrences(rows, filter_bits(shared.select("key")), filter_bits(shared.where("mixed").select("key")), length, gram), "occurrences")
     minima = window_minima(found, length)
