@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, embed_dedup, license_scan, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, warc, wavelet
+from annotspark.llm import byte_bpe, embed_dedup, hard_negatives, license_scan, ngram_join, packing, periodic_runs, quality_rules, secret_scan, suffix_dedup, warc, wavelet
 from annotspark.llm.common import read, shared_dir, written
 from annotspark.llm.tokens import tokenizer_path
 
@@ -82,6 +82,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.stretched(read(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, collapsed=False))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.contract_vectors(read(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -93,5 +103,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op8_warc": warc.ORACLE}
+ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op8_warc": warc.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
