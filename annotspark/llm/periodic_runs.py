@@ -197,7 +197,7 @@ def find_runs(codes: np.ndarray, starts: np.ndarray, words: int = WORDS, times:
     return start[order], end[order], period[order]
 
 
-def _slices(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def slices(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Bytes and bounds of the texts of an Arrow string array without nulls, those of about a megabyte at a time."""
     import pyarrow as pa
 
@@ -242,7 +242,7 @@ def runs_of(column, words: int = WORDS, times: int = TIMES) -> Iterator[tuple[in
     """Per text of an Arrow string array: number of words, its runs (start, length, period), and the collapsed text."""
     import pyarrow as pa
 
-    for data, bounds in _slices(column):
+    for data, bounds in slices(column):
         letters, edges, first = _words(data, bounds)
         m, docs = len(edges) - 1, len(bounds) - 1
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), m, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(letters)]).dictionary_encode()

@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotspark.llm import byte_bpe, embed_dedup, hard_negatives, license_scan, ngram_join, packing, periodic_runs, quality_rules, secret_scan, suffix_dedup, warc, wavelet
+from annotspark.llm import byte_bpe, embed_dedup, hard_negatives, license_scan, line_quality, ngram_join, packing, periodic_runs, quality_rules, secret_scan, suffix_dedup, warc, wavelet
 from annotspark.llm.common import read, shared_dir, written
 from annotspark.llm.tokens import tokenizer_path
 
@@ -82,6 +82,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = line_quality.train(docs, read(spark, sf_dir, "labels"), ~line_quality.held_out(F.col("id")))
+    # a null id has no remainder: such a row is scored, and not held out
+    held = F.coalesce(line_quality.held_out(F.col("doc_id")), F.lit(False))
+    found = line_quality.score(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.stretched(read(spark, sf_dir, "documents"))
     return periodic_runs.digest(periodic_runs.periodic_runs(docs, collapsed=False))
@@ -103,6 +112,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_hard_negatives": op13_hard_negatives,
 }
