@@ -1,4 +1,8 @@
-"""Filters of bounded size over 64-bit hashes, built by tasks and sent to tasks; a fuller one only lets more rows pass."""
+"""Filters of bounded size over 64-bit hashes, built by tasks and sent to tasks; a fuller one only lets more rows pass.
+
+A filter has about sixteen bits a value, up to ``FILTER_BITS``; of more values than it could tell apart there is none,
+and all rows pass.
+"""
 
 from __future__ import annotations
 
@@ -6,66 +10,76 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FILTER_BITS = 1 << 26
-#: Places that a task holds before it passes its bits on.
-HELD = 1 << 21
+#: Tasks, or groups of them, whose bits meet in one group.
+FAN = 64
+#: Bits that travel together.
+PIECE = 1 << 19
 
 
-def filter_bits(values: DataFrame) -> np.ndarray:
-    """Two bits per value, in FILTER_BITS bits whatever the number of values."""
-    piece = 1 << 19
+def filter_bits(values: DataFrame) -> np.ndarray | None:
+    """Two bits per value of a written table of one column; None where there are too many values for a filter."""
+    n = values.count()
+    if 2 * n > FILTER_BITS:
+        return None
+    size = PIECE
+    while size < min(16 * n, FILTER_BITS):
+        size *= 2
 
-    def pieces(held: list[np.ndarray]) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        at = np.unique(np.concatenate(held))
-        for k in np.unique(at // piece).tolist():
-            part = np.zeros(piece, dtype=bool)
-            part[at[np.searchsorted(at, k * piece) : np.searchsorted(at, (k + 1) * piece)] - k * piece] = True
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], names=["k", "bits"])
-
-    def run(batches: Iterator) -> Iterator:
-        held, size = [], 0
+        own = np.zeros(size // 8, dtype=np.uint8)
         for batch in batches:
-            held += [np.unique(p) for p in _places(batch.column(0).to_numpy())]
-            size += 2 * len(batch)
-            if size >= HELD:
-                yield from pieces(held)
-                held, size = [], 0
-        if held:
-            yield from pieces(held)
+            for p in _places(batch.column(0).to_numpy(), size):
+                np.bitwise_or.at(own, p >> 3, np.left_shift(1, p & 7).astype(np.uint8))
+        some = [k for k in range(size // PIECE) if own[k * PIECE // 8 : (k + 1) * PIECE // 8].any()]
+        bits = [own[k * PIECE // 8 : (k + 1) * PIECE // 8].tobytes() for k in some]
+        part = [TaskContext.get().partitionId()] * len(some)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(part, pa.int32()), pa.array(bits, pa.binary())], names=["k", "part", "bits"])
 
     def either(table):
         import pyarrow as pa
 
-        parts = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
-        return pa.table({"k": table.column("k").slice(0, 1), "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
-
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in values.mapInArrow(run, "k int, bits binary").groupBy("k").applyInArrow(either, "k int, bits binary").collect():
-        out[r["k"] * piece // 8 : (r["k"] + 1) * piece // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+        out = np.zeros(PIECE // 8, dtype=np.uint8)
+        for x in table.column("bits"):
+            out |= np.frombuffer(x.as_buffer(), dtype=np.uint8)
+        return pa.table({"k": table.column("k").slice(0, 1), "part": table.column("part").slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
+
+    found = values.mapInArrow(run, "k int, part int, bits binary")
+    for _ in range(3):  # FAN tasks' bits, then those of FAN such groups, and so on
+        found = found.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("k", "part").applyInArrow(either, "k int, part int, bits binary")
+    out = np.zeros(size // 8, dtype=np.uint8)
+    for r in found.collect():
+        out[r["k"] * PIECE // 8 : (r["k"] + 1) * PIECE // 8] |= np.frombuffer(r["bits"], dtype=np.uint8)
     return out
 
 
-def hits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+def hits(bits: np.ndarray | None, values: np.ndarray) -> np.ndarray:
     """Where the values pass."""
-    first, second = _places(values)
+    if bits is None:
+        return np.arange(len(values))
+    first, second = _places(values, 8 * len(bits))
     some = np.flatnonzero(_set(bits, first))
     return some[_set(bits, second[some])]
 
 
-def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    v = values.view(np.uint64)
-    return (v & np.uint64(FILTER_BITS - 1)).astype(np.int64), ((v >> np.uint64(30)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _places(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    v, mask = values.view(np.uint64), np.uint64(size - 1)
+    return (v & mask).astype(np.int64), ((v >> np.uint64(30)) & mask).astype(np.int64)
 
 
 def _set(bits: np.ndarray, p: np.ndarray) -> np.ndarray:
     return (bits[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def passing(found: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+def passing(found: DataFrame, column: str, bits: np.ndarray | None) -> DataFrame:
     """Rows whose column passes the filter, which spares the others a shuffle."""
+    if bits is None:
+        return found
     spread = found.sparkSession.sparkContext.broadcast(bits)
     at = found.columns.index(column)
 

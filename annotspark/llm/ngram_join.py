@@ -53,9 +53,10 @@ EARLIER = 32
 MARKS = (1 << 7, 1 << 13)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-#: Bytes of text that are hashed together, and length from which a word is hashed on its own.
+#: Bytes of text that are hashed together; a word may go on in the next ones.
 SLICE = 1 << 18
-LONG_WORD = 1 << 17
+#: Letters of a word whose hashes are looked up; those of later ones are computed.
+NEAR = 64
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -64,68 +65,78 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOW = np.arange(256, dtype=np.uint64)
+_LOW[65:91] += np.uint64(32)
+
+
+def _letter(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """A hash of a byte (that of a-z for A-Z) and its place in a word."""
+    return _mix((place.astype(np.uint64) * np.uint64(256) + _LOW[byte] + np.uint64(1)) * _ODD[0])
+
+
 @lru_cache(maxsize=1)
-def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse modulo 2^64, a hash of each byte (that of a-z for A-Z), and which are white space."""
+def _near_letters() -> np.ndarray:
+    return _letter(np.repeat(np.arange(NEAR), 256), np.tile(np.arange(256), NEAR))
 
-    def powers(x: int) -> np.ndarray:
-        out = np.full(SLICE + 1, x, dtype=np.uint64)
-        out[0] = 1
-        return np.cumprod(out, dtype=np.uint64)
 
-    low = np.arange(256, dtype=np.uint64)
-    low[65:91] += np.uint64(32)
-    space = np.zeros(256, dtype=bool)
-    space[[9, 10, 11, 12, 13, 32]] = True
-    base = int(_ODD[0])
-    return powers(base), powers(pow(base, -1, 1 << 64)), _mix(low + np.uint64(1)), space
+def _word_sums(data: np.ndarray, heads: np.ndarray, before: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words in joined texts begin, how long they are, and the sums of their letters' hashes.
+
+    A word begins behind white space and at ``heads``; the first ``before`` letters of the first one came earlier.  The
+    hashes that are summed are those of letters with their places, so a word can be cut anywhere, and words of other
+    letters, or of the same ones elsewhere, have unrelated sums.
+    """
+    own = ~_SPACE[data]
+    new = own.copy()
+    new[1:] &= ~own[:-1]
+    new[heads] = own[heads]
+    begin, at = np.flatnonzero(new), np.flatnonzero(own)
+    if not len(begin):
+        return begin, begin, np.zeros(0, dtype=np.uint64)
+    first = np.searchsorted(at, begin)
+    length = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, length)
+    if before and begin[0] == 0:
+        place[: length[0]] += before
+        length[0] += before
+    near = place < NEAR
+    values = np.empty(len(at), dtype=np.uint64)
+    if near.all():
+        values = _near_letters()[place * 256 + data[at]]
+    else:
+        values[near] = _near_letters()[place[near] * 256 + data[at[near]]]
+        values[~near] = _letter(place[~near], data[at[~near]])
+    return begin, length, np.add.reduceat(values, first)
+
+
+def _finished(sums: np.ndarray, length: np.ndarray) -> np.ndarray:
+    return _mix(sums + length.astype(np.uint64) * _ODD[1])
 
 
 def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words in joined texts that begin at ``starts``, and how many words stand before each text and in all."""
-    up, down, letter, space = _letters()
-    gap = np.ones(len(data) + 1, dtype=bool)
-    gap[1:] = space[data[: len(data)]]
-    own = ~space[data]
-    new = own & gap[:-1]
-    begins = starts[starts < len(data)]
-    new[begins] = own[begins]
-    begin = np.flatnonzero(new)
-    last = own.copy()
-    last[:-1] &= ~own[1:]
-    before = begins[begins > 0] - 1
-    last[before] = own[before]
-    end = np.flatnonzero(last) + 1
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(letter[data] * up[: len(data)], out=sums[1:])
-    h = _mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * _ODD[1])
-    return h, np.append(np.searchsorted(begin, starts), len(begin))
+    begin, length, sums = _word_sums(data, starts[starts < len(data)])
+    return _finished(sums, length), np.append(np.searchsorted(begin, starts), len(begin))
 
 
 def _long_text(data: np.ndarray) -> np.ndarray:
-    """Hashes of the words of one text of any length, cut at white space; very long words are hashed on their own."""
-    import xxhash
-
-    space, out, at = _letters()[3], [], 0
-    while at < len(data):
-        to = min(len(data), at + SLICE)
-        if to < len(data):
-            gaps = np.flatnonzero(space[data[to - LONG_WORD : to]])
-            if not len(gaps):  # a long word, that begins before or where this slice does
-                gaps = np.flatnonzero(space[data[at : to - LONG_WORD]])
-                begin = at + int(gaps[-1]) + 1 if len(gaps) else at
-                end = to
-                while end < len(data) and not space[data[end]]:
-                    end += 1
-                if begin > at:
-                    out.append(_words(data[at:begin], np.array([0]))[0])
-                word = bytes(data[begin:end]).lower()
-                out.append(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64))
-                at = end
-                continue
-            to = to - LONG_WORD + int(gaps[-1]) + 1
-        out.append(_words(data[at:to], np.array([0]))[0])
-        at = to
+    """Hashes of the words of one text of any length, slice by slice; a word that goes on is carried over."""
+    out, n, carried = [], 0, np.zeros(1, dtype=np.uint64)
+    none = np.zeros(0, dtype=np.int64)
+    for at in range(0, len(data), SLICE):
+        part = data[at : at + SLICE]
+        begin, length, sums = _word_sums(part, none, n)
+        if n and len(begin) and begin[0] == 0:
+            sums[:1] += carried
+        elif n:
+            length, sums = np.append(n, length), np.append(carried, sums)
+        n = 0
+        if not _SPACE[part[-1]] and at + SLICE < len(data):
+            n, carried = int(length[-1]), sums[-1:].copy()
+            length, sums = length[:-1], sums[:-1]
+        out.append(_finished(sums, length))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
@@ -306,7 +317,9 @@ def sketch(docs: DataFrame, percent: int, words: int, common: tuple[np.ndarray,
 def sets_of(docs: DataFrame, seen: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """(cls, shingles) of the given classes, computed anew from one document of each; a few come twice."""
     kept = seen.join(nodes, "cls", "left_semi").groupBy("cls").agg(F.min(_place_of("_id")).alias("_at"))
-    spread = docs.sparkSession.sparkContext.broadcast(filter_bits(kept.select(_mark("cls", "_at"))))
+    kept = written(kept.select(_mark("cls", "_at")), "kept")
+    spread = docs.sparkSession.sparkContext.broadcast(filter_bits(kept))
+    discard(kept)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -19,7 +19,7 @@ Every byte covered by a ``length``-byte string that also starts in a document wi
 
 All shuffles carry hashes or distinct fragments, combined before they are sent; a passage in a third of all documents
 is one fragment.  A long text is worked on in pieces and a long fragment is cut, so that neither has to fit in a block.
-Keys and fragments are told apart by 64-bit hashes; which windows of a block are equal is told by the transform.
+Keys are told apart by 64-bit hashes, the fragments of a key by another one; which windows of a block are equal is told by the transform.
 
 Defined results: null text is the empty text; a null id is greater than all others, and rows with equal (or null) ids
 remove nothing from one another; extra columns are ignored; an empty table gives no rows.
@@ -91,6 +91,9 @@ def fragments(data: np.ndarray, owner: np.ndarray, length: int = LENGTH, gram: i
     text_hash = lambda a, size: (sums[a + size] - sums[a]) * down[a]
     low = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
     low = (low ^ (low >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    # fragments are told apart by their short strings: sums of single letters' hashes agree for some long words
+    grams = np.zeros(len(low) + 1, dtype=np.uint64)
+    np.cumsum((low ^ (low >> np.uint64(32))) * up[: len(low)], out=grams[1:])
     low = (low & ~np.uint64(_PLACE)) | np.arange(len(low), dtype=np.uint64)
     k = 1
     while 2 * k <= span:
@@ -116,7 +119,7 @@ def fragments(data: np.ndarray, owner: np.ndarray, length: int = LENGTH, gram: i
         new[1:] |= part[1:] != part[:-1]
         at = np.flatnonzero(new)
         start, end, key = start[at], end[np.append(at[1:], len(start)) - 1], key[at]
-    made = _mix(text_hash(start, end - start + length - 1) + (end - start).astype(np.uint64) * np.uint64(_BASE) + key)
+    made = _mix((grams[end + length - gram] - grams[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(_BASE) + key)
     return owner[start].astype(np.int64), start, end - start, key, made
 
 
@@ -300,8 +303,8 @@ def block_minima(bodies: list[bytes], docs: np.ndarray, length: int) -> tuple[li
     return [least[of[a:b]] for a, b in spans], [of[a:b] for a, b in spans]
 
 
-def _block(table, whole: bool) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """The distinct fragments of a block: hashes, bodies, least and greatest document.
+def _block(table, whole: bool) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """The distinct fragments of a block: keys, hashes, bodies, least and greatest document.
 
     Where the block has ``whole`` keys, those that stand in one document are left out.
     """
@@ -314,32 +317,32 @@ def _block(table, whole: bool) -> tuple[np.ndarray, list[bytes], np.ndarray, np.
         keys, _, _, key_high = _least(key, high)
         of = np.searchsorted(keys, key)
         some = np.flatnonzero(key_low[of] < key_high[of])
-        made, low, high = made[some], low[some], high[some]
+        key, made, low, high = key[some], made[some], low[some], high[some]
     names, at, least, _ = _least(made, low)
     greatest = _least(made, high)[3]
-    return names, table.column("body").take(pa.array(some[at])).to_pylist(), least, greatest
+    return key[at], names, table.column("body").take(pa.array(some[at])).to_pylist(), least, greatest
 
 
 def _minima(length: int):
-    """Of blocks with all fragments of their keys: (fragment, low, least) where a document beyond the least one holds a window."""
+    """Of blocks with all fragments of their keys: (key, fragment, low, least) where a document beyond the least one holds a window."""
 
     def run(table):
         import pyarrow as pa
 
-        names, bodies, low, high = _block(table, True)
+        keys, names, bodies, low, high = _block(table, True)
         least = block_minima(bodies, low, length)[0] if len(names) else []
-        return _told(names, high, least)
+        return _told(keys, names, high, least)
 
     return run
 
 
-def _told(names, high, least):
+def _told(keys, names, high, least):
     import pyarrow as pa
 
     low = np.array([x.min() for x in least], dtype=np.int64)
     some = np.flatnonzero(low < high[: len(low)])
     lists = [None if least[k].max() == low[k] else least[k] for k in some.tolist()]
-    return pa.table({"fragment": pa.array(names[some], pa.int64()), "low": pa.array(low[some], pa.int64()), "least": pa.array(lists, pa.list_(pa.int64()))})
+    return pa.table({"key": pa.array(keys[some], pa.int64()), "fragment": pa.array(names[some], pa.int64()), "low": pa.array(low[some], pa.int64()), "least": pa.array(lists, pa.list_(pa.int64()))})
 
 
 def _parts(length: int):
@@ -349,7 +352,7 @@ def _parts(length: int):
         import pyarrow as pa
         import xxhash
 
-        names, bodies, low, high = _block(table, False)
+        _, names, bodies, low, high = _block(table, False)
         least, groups = block_minima(bodies, low, length) if len(names) else ([], [])
         digest: dict[int, int] = {}
         minimum: dict[int, int] = {}
@@ -377,12 +380,12 @@ def _resolved(key, parts, lows):
     low = lows.column("low").to_numpy()[order]
     rows = parts.column("windows").to_pylist()
     least = [low[np.searchsorted(windows, np.array(r, dtype=np.int64), sorter=order)] for r in rows]
-    return _told(parts.column("fragment").to_numpy(), parts.column("high").to_numpy(), least)
+    return _told(parts.column("key").to_numpy(), parts.column("fragment").to_numpy(), parts.column("high").to_numpy(), least)
 
 
 def window_minima(found: DataFrame, length: int) -> DataFrame:
-    """(fragment, low, least): the least document of each window, or of all where they have one (``least`` is null)."""
-    told = "fragment long, low long, least array<long>"
+    """(key, fragment, low, least): the least document of each window, or of all where they have one (``least`` is null)."""
+    told = "key long, fragment long, low long, least array<long>"
     copies = found.where("body IS NOT NULL").select("key", "fragment", "low", "high", "body")
     total = copies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     large = copies.groupBy("key").agg(F.sum(F.octet_length("body")).alias("bytes")).where(F.col("bytes") > BLOCK)
@@ -404,7 +407,7 @@ def window_minima(found: DataFrame, length: int) -> DataFrame:
 
 
 def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(row, spans): stretches [a, b) to remove, unsorted, for rows (_doc, _row, _text)."""
+    """(doc, row, spans): stretches [a, b) to remove, unsorted, for rows (_doc, _row, _text)."""
     if gram >= length:
         raise ValueError("a window has to hold several short strings")
     shared = reduce(DataFrame.unionByName, [written(shared_keys(rows, length, gram, k), "shared") for k in range(TURNS)])
@@ -412,7 +415,7 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     found = written(occurrences(rows, filter_bits(shared.select("key")), filter_bits(shared.where("mixed").select("key")), length, gram), "occurrences")
     minima = window_minima(found, length)
     whole = passing(found.select("key", "doc", "row", "start", "windows"), "key", filter_bits(alike.select("key"))).join(alike, "key").where("low < doc")
-    whole = whole.select("row", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
+    whole = whole.select("doc", "row", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
 
     def edges(flags):  # where runs of removed windows begin and end, in turn
         at = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
@@ -427,9 +430,10 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             lambda x, k: F.struct((F.col("start") + x).alias("a"), (F.col("start") + F.get(e, 2 * k + 1) + length - 1).alias("b")),
         ),
     )
-    places = found.where("fragment <> 0").select("fragment", "doc", "row", "start", "windows")
-    parts = passing(places, "fragment", filter_bits(minima.select("fragment"))).join(minima, "fragment").where("low < doc").select("row", F.explode(spans).alias("s")).select("row", "s.*")
-    out = written(whole.unionByName(parts).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    places = found.where("fragment <> 0").select("key", "fragment", "doc", "row", "start", "windows")
+    parts = passing(places, "fragment", filter_bits(minima.select("fragment"))).join(minima, ["key", "fragment"]).where("low < doc")
+    parts = parts.select("doc", "row", F.explode(spans).alias("s")).select("doc", "row", "s.*")
+    out = written(whole.unionByName(parts).groupBy("doc", "row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     discard(shared, found, minima)
     return out
 
@@ -459,9 +463,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """
     cols = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text_col]).alias("doc"), text_or_empty(f"`{text_col}`").alias("_text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("_doc"))
-    packed = packed.withColumn("_row", F.xxhash64("_doc", "_text"))
+    # a text's hash tells apart rows of one id only
+    packed = packed.withColumn("_row", F.xxhash64("_text"))
     spans = removed_spans(packed.select("_doc", "_row", "_text"), length, gram)
-    joined = packed.select("doc", "_row", "_text").join(spans.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
+    spans = spans.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), "spans")
+    joined = packed.join(spans, ["_doc", "_row"], "left").select("doc", "_text", "spans")
     kind = joined.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:

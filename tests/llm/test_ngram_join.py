@@ -91,14 +91,31 @@ def test_words_are_told_apart_wherever_texts_are_cut(monkeypatch):
     same = {}
     for t, s in zip(texts, whole):
         assert same.setdefault(frozenset(sets_of(t)), s) == s
-    monkeypatch.setattr(nj, "SLICE", 256)
-    nj._letters.cache_clear()
-    monkeypatch.setattr(nj, "LONG_WORD", 64)
-    cut = run()
-    nj._letters.cache_clear()
-    assert [len(s) // 8 for s in cut] == want
-    short = [k for k, t in enumerate(texts) if max(map(len, t.split() or [""])) < 64]
-    assert [cut[k] for k in short] == [whole[k] for k in short]
+    for cut_at in (256, 61, 7):
+        monkeypatch.setattr(nj, "SLICE", cut_at)
+        monkeypatch.setattr(nj, "NEAR", 3)
+        nj._near_letters.cache_clear()
+        assert run() == whole
+    nj._near_letters.cache_clear()
+
+
+def test_long_words_have_one_hash_wherever_they_stand(spark):
+    """A word over the end of a slice, and behind another length of text, is still the same word."""
+    words = [f"{c}" * 6000 for c in "abcdefghij"] + ["k" * 200_000]
+    rows = [(1, " ".join(words)), (2, " ".join(["z" * 10_000, *words])), (3, " ".join(words[2:]) + " " + "y" * 300_000)]
+    found = brute(rows)
+    assert [r[2] for r in found] == ["1", "1", "3"]
+    assert got(nj.link_components(spark.createDataFrame(rows, "doc_id long, text string"))) == found
+
+
+def test_words_that_agree_modulo_powers_of_two(spark):
+    """A sequence and its complement, which have one polynomial hash modulo 2 ** 64 whatever the base."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"one two {word} three four"), (4, f"one two {other} three four")]
+    found = brute(rows)
+    assert [r[2] for r in found] == ["1", "2", "3", "4"]
+    assert got(nj.link_components(spark.createDataFrame(rows, "doc_id long, text string"))) == found
 
 
 def test_marks_never_say_more_than_is_so():

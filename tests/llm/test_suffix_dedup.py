@@ -90,5 +90,33 @@ def test_fragments_cover_every_window_once():
     assert (seen == whole).all()
 
 
+def test_rows_of_one_id_and_one_text(spark):
+    text = "the quick brown fox jumps over the lazy dog, and then it does so again. "
+    rows = [(1, text), (2, text * 2), (2, text * 2), (2, text + "tail"), (None, text), (None, text * 2), (None, text), (3, None), (3, "")]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(map(str, sd.brute_force(rows)))
+
+
+def test_one_passage_in_a_third_of_all_texts(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8)))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(k, " ".join(word() for _ in range(20)) + (passage[k % 7 :] if k % 3 == 0 else "") + word()) for k in range(900)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(16)) == sorted(map(str, sd.brute_force(rows)))
+
+
+def test_filters_of_any_number_of_tasks(spark, monkeypatch):
+    from annotspark.llm import filters
+
+    values = spark.range(40_000, numPartitions=9).selectExpr("xxhash64(id) AS v")
+    rows = np.array([r["v"] for r in values.collect()], dtype=np.int64)
+    other = np.array([r["v"] for r in spark.range(10**6, 10**6 + 40_000).selectExpr("xxhash64(id) AS v").collect()], dtype=np.int64)
+    monkeypatch.setattr(filters, "FAN", 2)
+    bits = filters.filter_bits(values)
+    assert len(filters.hits(bits, rows)) == len(rows) and len(filters.hits(bits, other)) < 0.03 * len(other)
+    assert filters.passing(values, "v", bits).count() == len(rows)
+    monkeypatch.setattr(filters, "FILTER_BITS", 1 << 10)
+    assert filters.filter_bits(values) is None and len(filters.hits(None, other)) == len(other)
+
+
 def test_empty(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == []
