@@ -123,7 +123,14 @@ class WordEncoder(ChunkEncoder):
         if len(words) > MEMO_ENTRIES:
             words.clear()
         for chunk in chunks:
-            if _PLAIN.match(chunk) and "<|" not in chunk:
+            part = chunk[1:] if chunk.startswith(" ") else chunk
+            if part.isascii() and part.isalpha():  # one word
+                part = part.lower()
+                ids = words.get(part)
+                if ids is None:
+                    ids = words[part] = self._word(part)
+                out.append(ids)
+            elif _PLAIN.match(chunk) and "<|" not in chunk:
                 parts = []
                 for part in _PARTS.findall(chunk.lower()):
                     ids = words.get(part)

@@ -300,12 +300,14 @@ def read_shards(manifest: DataFrame, folder: str, id_col: str = "doc_id", decode
     of each part comes to the driver: as many numbers as the range shuffle had partitions.
     """
     sizes = _sizes(manifest, folder)
-    totals = {r["part"]: r["n"] for r in sizes.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    found = sizes.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("files")).collect()
+    totals, files = {r["part"]: r["n"] for r in found}, sum(r["files"] for r in found)
     offset, at = {}, 0
     for p in sorted(totals):
         offset[p], at = at, at + totals[p]
     before = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = sizes.withColumn("before", before).select("part", "path", "before")
+    # what is few rows here is a file each to read
+    placed = sizes.withColumn("before", before).select("part", "path", "before").repartition(max(1, files))
     whole, decode = decode is None, decode or (lambda ids: ids.tolist())
 
     def run(batches: Iterator) -> Iterator:
