@@ -38,11 +38,11 @@ from annotspark.llm.common import written
 POSITIVES, NEGATIVES = 5, 3
 #: Scores of negatives, in hundredths of the positive's score.
 LOWER, UPPER = 50, 95
-LEAF, FAN = 128, 16
+LEAF, FAN = 256, 16
 #: Boxes that are sent to tasks.
 TOP = 1024
 #: Rows of a subtree: between these, about a 64th of all.
-SUBTREE = (1024, 1 << 16)
+SUBTREE = (2048, 1 << 16)
 #: Anchors in a block.
 BLOCK = 1 << 15
 _LONG = (1 << 63) - 1
@@ -110,36 +110,44 @@ class Tree:
         up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
         return self.low @ up.T + self.high @ down.T, self.high @ up.T + self.low @ down.T
 
-    def best(self, anchor: np.ndarray, reach: tuple, wanted, k: int, least, most) -> list[tuple]:
-        """The ``k`` best (score, id) among the wanted rows with scores from ``least`` to ``most``, smaller ids first.
+    def best(self, anchor: np.ndarray, reach: tuple, wanted, k: int, windows: list[tuple]) -> list[list[tuple]]:
+        """For each window (least, most) the ``k`` best (score, id) among the wanted rows inside it, smaller ids first.
 
-        ``reach`` holds the anchor's bounds in every box; ``wanted`` tells a range of rows apart.
+        ``reach`` holds the anchor's bounds in every box; ``wanted`` tells a range of rows apart.  One queue serves all
+        windows: a box is opened as long as one of them may want it.
         """
         below, above = reach
+        heaps: list[list[tuple]] = [[] for _ in windows]  # of (score, -id): the worst of the best first
+        floors = [least for least, _ in windows]
+        floor, most = min(floors), max(high for _, high in windows)
         queue = [(-above[self.root], self.root)]
-        found: list[tuple] = []  # a heap of (score, -id): the worst of the best first
         while queue:
             bound, box = heapq.heappop(queue)
-            if -bound < least or len(found) == k and -bound < found[0][0]:
+            if -bound < floor:
                 break
-            if below[box] > most:
-                continue
             if box >= self.leaves:
-                floor = found[0][0] if len(found) == k else least
                 for child in self.children[box - self.leaves]:
-                    if above[child] >= floor and below[child] <= most:
+                    if any(above[child] >= low and below[child] <= high for low, (_, high) in zip(floors, windows)):
                         heapq.heappush(queue, (-above[child], child))
                 continue
             rows = slice(box * LEAF, (box + 1) * LEAF)
             scores = self.vectors[rows] @ anchor
-            floor = max(least, found[0][0]) if len(found) == k else least
-            for r in np.flatnonzero(wanted(rows) & (scores >= floor) & (scores <= most)).tolist():
-                item = (scores[r], -self.ids[box * LEAF + r])
-                if len(found) < k:
-                    heapq.heappush(found, item)
-                elif item > found[0]:
-                    heapq.heapreplace(found, item)
-        return [(s, -i) for s, i in sorted(found, reverse=True)]
+            hit = np.flatnonzero((scores >= floor) & (scores <= most) & wanted(rows))
+            if not len(hit):
+                continue
+            for score, id_ in zip(scores[hit].tolist(), self.ids[rows][hit].tolist()):
+                item = (score, -id_)
+                for w, (_, high) in enumerate(windows):
+                    if floors[w] <= score <= high:
+                        heap = heaps[w]
+                        if len(heap) < k:
+                            heapq.heappush(heap, item)
+                        elif item > heap[0]:
+                            heapq.heapreplace(heap, item)
+                        if len(heap) == k:
+                            floors[w] = heap[0][0]
+            floor = min(floors)
+        return [[(s, -i) for s, i in sorted(heap, reverse=True)] for heap in heaps]
 
 
 def _long(x) -> int:
@@ -161,7 +169,7 @@ def _positives(rows, anchors, k: int) -> list[tuple[int, int, int]]:
     for n in range(len(ids)):
         wanted = lambda part, n=n: (tree.labels[part] == labels[n]) & (tree.ids[part] != ids[n])
         least = -math.inf if floors[n] is None else floors[n]
-        out += [(n, i, s) for s, i in tree.best(vectors[n], (below[:, n], above[:, n]), wanted, k, least, math.inf)]
+        out += [(n, i, s) for s, i in tree.best(vectors[n], (below[:, n], above[:, n]), wanted, k, [(least, math.inf)])[0]]
     return out
 
 
@@ -172,10 +180,9 @@ def _negatives(rows, anchors, k: int, lower: int, upper: int) -> list[tuple[int,
     out = []
     for n, label in enumerate(labels):
         wanted = lambda part, label=label: tree.labels[part] != label
-        for s in scores[n]:
-            least, most = window(s, lower, upper)
-            if least <= most:
-                out += [(n, s, i, x) for x, i in tree.best(vectors[n], (below[:, n], above[:, n]), wanted, k, least, most)]
+        asked = [(s, w) for s in scores[n] if (w := window(s, lower, upper))[0] <= w[1]]
+        found = tree.best(vectors[n], (below[:, n], above[:, n]), wanted, k, [w for _, w in asked]) if asked else []
+        out += [(n, s, i, x) for (s, _), items in zip(asked, found) for x, i in items]
     return out
 
 

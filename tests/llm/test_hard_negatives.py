@@ -86,6 +86,7 @@ def test_empty(spark):
 def test_tree_bounds_hold(monkeypatch):
     rng = np.random.default_rng(5)
     v = np.floor(256 * rng.standard_normal((700, 5)))
+    monkeypatch.setattr(hn, "LEAF", 16)
     tree = hn.Tree(v, np.arange(700), np.zeros(700, dtype=np.int64))
     below, above = tree.bounds(v[:9])
     for leaf in range(tree.leaves):
@@ -93,5 +94,5 @@ def test_tree_bounds_hold(monkeypatch):
         assert (scores.min(axis=0) >= below[leaf]).all() and (scores.max(axis=0) <= above[leaf]).all()
     assert sorted(tree.ids.tolist()) == list(range(700))
     for n in range(9):
-        got = tree.best(v[n], (below[:, n], above[:, n]), lambda part: tree.ids[part] != n, 7, -np.inf, np.inf)
+        got = tree.best(v[n], (below[:, n], above[:, n]), lambda part: tree.ids[part] != n, 7, [(-np.inf, np.inf)])[0]
         assert got == sorted(((s, i) for i, s in enumerate((v @ v[n]).tolist()) if i != n), key=lambda x: (-x[0], x[1]))[:7]
