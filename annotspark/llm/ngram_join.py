@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import discard, text_or_empty, written
-from annotspark.llm.components import components, salted_join
+from annotspark.llm.components import components, salted_join, stars as joined
 from annotspark.llm.filters import filter_bits, hits, passing
 
 WORDS = 5
@@ -510,7 +510,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", "before", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
     tried = None
     while True:
-        left = _open(cells, components(links))
+        groups = components(links)
+        links = joined(groups)  # as few edges as say the same
+        left = _open(cells, groups)
         whole = (F.col("m") <= CELL) | (2 * F.col("m") > F.coalesce("above", 2 * F.col("m")))
         here = written(may_link(inside(left.where(whole).drop("above"), percent, reach), marks, percent), "tried")
         large = left.where(~whole)
