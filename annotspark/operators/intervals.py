@@ -1,7 +1,11 @@
 """Interval operators: 1-based inclusive coordinates, ``keys`` (genome, contig, strand ...) first.
 
-Range predicates go through a bin equi-join: both sides list the bins they touch, rows meet per key and bin, and a
-pair survives only in the bin where the later of the two starts, so it comes out once and needs no distinct.
+Range predicates go through a bin equi-join at two widths.  Short intervals meet in fine bins; where either is long they
+meet in coarse ones, so that an interval makes a few rows whatever its length.  A pair survives only in the bin where the
+later of the two starts, so it comes out once and needs no distinct.
+
+What runs along a contig (merging, clustering) is done per tile of a contig; from tile to tile only the furthest end and
+the number of runs are carried, one row for each tile.
 """
 
 from __future__ import annotations
@@ -10,17 +14,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIN = 2048
-
-
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
+#: Width of coarse bins, in fine ones, and of the longest interval that is filed in fine ones.
+COARSE, SHORT = 512, 16
+#: Bases of a tile along which intervals are merged and clustered.
+TILE = 1 << 17
+
+
+def _binned(df: DataFrame, start: str, end: str, width: int, left: bool) -> DataFrame:
+    """A row for each class of partners and each bin: 0 for short ones with short ones, 1 for long ones of the left side
+    with all of the right, 2 for short ones of the left side with long ones."""
+    bins = lambda kind, w: F.transform(F.sequence(F.floor(F.col(start) / w), F.floor(F.col(end) / w)), lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("bin")))
+    fine, coarse = width, width * COARSE
+    short = F.col(end) - F.col(start) < SHORT * width
+    if left:
+        rows = F.when(short, F.concat(bins(0, fine), bins(2, coarse))).otherwise(bins(1, coarse))
+    else:
+        rows = F.when(short, F.concat(bins(0, fine), bins(1, coarse))).otherwise(F.concat(bins(1, coarse), bins(2, coarse)))
+    # an interval that ends before it starts meets nothing
+    return df.where(F.col(start) <= F.col(end)).withColumn("_bin", F.explode(rows))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], ls: str, le: str, rs: str, re: str, width: int = BIN, on: Column | None = None) -> DataFrame:
     """Pairs whose intervals share a position; columns of both sides, keys once.  Other column names must differ."""
-    a, b = _binned(left, ls, le, width), _binned(right, rs, re, width)
-    met = a.join(b, [*keys, "_bin"])
-    met = met.where((F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) & (F.col("_bin") == F.floor(F.greatest(ls, rs) / width)))
+    met = _binned(left, ls, le, width, True).join(_binned(right, rs, re, width, False), [*keys, "_bin"])
+    own = F.when(F.col("_bin.kind") == 0, F.lit(width)).otherwise(F.lit(width * COARSE))
+    met = met.where((F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) & (F.col("_bin.bin") == F.floor(F.greatest(ls, rs) / own)))
     return (met if on is None else met.where(on)).drop("_bin")
 
 
@@ -28,20 +46,23 @@ def overlap_bp(ls: str, le: str, rs: str, re: str) -> Column:
     return F.greatest(F.lit(0), F.least(le, re) - F.greatest(ls, rs) + 1)
 
 
-def _before(keys: list[str], *order) -> Window:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def cluster(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], out: str = "locus", gap: int = 0) -> DataFrame:
+def cluster(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], out: str = "locus", gap: int = 0, tile: int = TILE) -> DataFrame:
     """Number the runs of intervals in which each starts no later than the furthest end so far (plus ``gap``).
 
-    One window per contig and strand: as large as the models of one contig, never the whole table.
+    Intervals are looked at in the tile of their start; what earlier tiles of the contig reach, and how many runs begin
+    in them, comes from one row for each tile.
     """
-    w = _before(keys, start, *order)
-    reach = df.withColumn("_reach", F.max(end).over(w))
-    new = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach") + gap), 1).otherwise(0)
-    run = Window.partitionBy(*keys).orderBy(start, *order).rowsBetween(Window.unboundedPreceding, 0)
-    return reach.withColumn("_new", new).withColumn(out, F.sum("_new").over(run).cast("long")).drop("_reach", "_new")
+    # one struct is the key of a tile: null contigs and strands are keys like others
+    rows = df.withColumn("_at", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.floor(F.col(start) / tile).alias("tile")))
+    along = Window.partitionBy(*[f"_at.k{i}" for i in range(len(keys))]).orderBy("_at.tile").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_at").orderBy(start, *order)
+    ends = rows.groupBy("_at").agg(F.max(end).alias("_far")).withColumn("_far", F.max("_far").over(along))
+    reach = F.greatest(F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col("_far"))
+    flagged = rows.join(ends, "_at").withColumn("_reach", reach)
+    flagged = flagged.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach") + gap), 1).otherwise(0)).drop("_far", "_reach")
+    runs = flagged.groupBy("_at").agg(F.sum("_new").alias("_runs")).withColumn("_runs", F.coalesce(F.sum("_runs").over(along), F.lit(0)))
+    number = F.col("_runs") + F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return flagged.join(runs, "_at").withColumn(out, number.cast("long")).select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 def merge(df: DataFrame, keys: list[str], start: str, end: str, gap: int = 0) -> DataFrame:

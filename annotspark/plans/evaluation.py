@@ -20,17 +20,13 @@ def models(segs: DataFrame, id_col: str, prefix: str) -> DataFrame:
     return segs.groupBy(F.col("gid").alias(id_col), *KEYS).agg(F.min("seg_start").alias(f"{prefix}_start"), F.max("seg_end").alias(f"{prefix}_end"), key.alias(f"{prefix}_key"), F.count("*").alias(f"{prefix}_n"))
 
 
-def gene_matches(pred: DataFrame, ref: DataFrame, mode: str) -> DataFrame:
-    """(gid, rid): each prediction's first matching reference by start."""
+def gene_matches(pred: DataFrame, ref: DataFrame) -> DataFrame:
+    """(gid, loose, moderate, strict): each prediction's first matching reference by start, as (start, rid), in each mode."""
     p, r = models(pred, "gid", "g"), models(ref, "rid", "r")
     met = iv.overlap_join(p, r, KEYS, "g_start", "g_end", "r_start", "r_end")
-    if mode == "moderate":
-        shorter = F.least(F.col("g_end") - F.col("g_start") + 1, F.col("r_end") - F.col("r_start") + 1)
-        met = met.where(iv.overlap_bp("g_start", "g_end", "r_start", "r_end") * 2 >= shorter)
-    elif mode == "strict":
-        met = met.where("g_key = r_key")
-    w = Window.partitionBy("gid").orderBy("r_start", "rid")
-    return met.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("gid", "rid")
+    shorter = F.least(F.col("g_end") - F.col("g_start") + 1, F.col("r_end") - F.col("r_start") + 1)
+    fits = {"loose": F.lit(True), "moderate": iv.overlap_bp("g_start", "g_end", "r_start", "r_end") * 2 >= shorter, "strict": F.col("g_key") == F.col("r_key")}
+    return met.groupBy("gid").agg(*[F.min(F.when(c, F.struct("r_start", "rid"))).alias(m) for m, c in fits.items()])
 
 
 _MODES = {"loose": "true", "moderate": "2 * (least(g_end, r_end) - greatest(g_start, r_start) + 1) >= least(g_end - g_start + 1, r_end - r_start + 1)", "strict": "g_key = r_key"}
@@ -45,12 +41,13 @@ SELECT p.gid, r.rid, row_number() OVER (PARTITION BY p.gid ORDER BY r_start, rid
 SELECT mode, tp, fp, fn, round(2.0 * tp / (2 * tp + fp + fn), 4) AS f1 FROM m""")
 def e01(pred, ref):
     n = pred.agg(F.count_distinct("gid").alias("np")).crossJoin(ref.agg(F.count_distinct("gid").alias("nr")))  # one row each
-    out = None
-    for mode in _MODES:
-        m = gene_matches(pred, ref, mode).agg(F.count("*").alias("tp"), F.count_distinct("rid").alias("found")).crossJoin(n)
-        row = m.select(F.lit(mode).alias("mode"), "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("nr") - F.col("found")).alias("fn"))
-        out = row if out is None else out.unionByName(row)
-    return out.withColumn("f1", F.round(2.0 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn")), 4))
+    met = gene_matches(pred, ref)
+    # one row a reference that is found in a mode, with how many predictions find it
+    modes = met.select(F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), F.col(f"{m}.rid").alias("rid")) for m in _MODES])).alias("x")).select("x.*")
+    found = modes.groupBy("mode", "rid").agg(F.count("*").alias("n")).groupBy("mode").agg(F.coalesce(F.sum(F.when(F.col("rid").isNotNull(), F.col("n"))), F.lit(0)).alias("tp"), F.count("rid").alias("found"))
+    every = pred.sparkSession.createDataFrame([(m,) for m in _MODES], "mode string").join(found, "mode", "left").na.fill(0, ["tp", "found"])
+    rows = every.crossJoin(n).select("mode", "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("nr") - F.col("found")).alias("fn"))  # one row
+    return rows.withColumn("f1", F.round(2.0 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn")), 4))
 
 
 _EXON = "SELECT DISTINCT seqid, seg_start, seg_end, strand FROM {}"

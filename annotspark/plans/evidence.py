@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from annotspark.operators import consensus
 from annotspark.operators import intervals as iv
-from annotspark.plans.features import numbered
+from annotspark.plans.features import PADDED, number_loci
 from annotspark.plans.formats import TILE, _SPLICED, orf_status, spliced, tiles
 from annotspark.plans.intervals import WON
 from annotspark.registry import query
@@ -100,13 +100,34 @@ def i03(contigs, segs):
 
 
 def tandem_windows(contigs: DataFrame, window: int = 64, step: int = 16, least: int = 2, most: int = 50, share: float = 0.75) -> DataFrame:
-    """(seqid, w_start, period) of windows that match themselves at some period, the smallest of those; starts from 0."""
-    starts = contigs.where(F.length("seq") >= window).select("seqid", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - window, F.lit(step))).alias("w_start"))
-    rows = starts.select("seqid", "w_start", F.substring("seq", F.col("w_start") + 1, F.lit(window)).alias("w"))
-    letters = rows.select("seqid", "w_start", F.split("w", "").alias("w"))
-    same = lambda p: F.size(F.filter(F.arrays_zip(F.slice("w", F.lit(1), window - p).alias("a"), F.slice("w", p + 1, window - p).alias("b")), lambda x: x["a"] == x["b"]))
-    found = F.filter(F.sequence(F.lit(least), F.lit(most)), lambda p: same(p) >= share * (window - p))
-    return letters.select("seqid", "w_start", F.get(found, F.lit(0)).alias("period")).where("period IS NOT NULL")
+    """(seqid, w_start, period) of windows that match themselves at some period, the smallest of those; starts from 0.
+
+    For each period a sequence is compared with itself shifted, and what agrees in a window is a difference of sums: one
+    pass over the letters a period, which expressions over arrays can't do.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            names, starts, periods = [], [], []
+            for name, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                letters = np.frombuffer((seq or "").encode(), dtype=np.uint8)
+                at = np.arange(0, len(letters) - window + 1, step)
+                found = np.zeros(len(at), dtype=np.int64)
+                for p in range(least, most + 1) if len(at) else ():
+                    same = np.concatenate([[0], np.cumsum(letters[:-p] == letters[p:])])
+                    found[(found == 0) & (same[at + window - p] - same[at] >= share * (window - p))] = p
+                hit = np.flatnonzero(found)
+                names += [name] * len(hit)
+                starts.append(at[hit])
+                periods.append(found[hit])
+            whole = lambda parts: pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *parts]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(names, batch.schema.field(0).type), whole(starts), whole(periods)], names=["seqid", "w_start", "period"])
+
+    kind = contigs.schema["seqid"].dataType.simpleString()
+    return contigs.select("seqid", "seq").mapInArrow(run, f"seqid {kind}, w_start long, period long")
 
 
 def tandem_repeats(contigs: DataFrame, min_length: int, window: int = 64) -> DataFrame:
@@ -116,14 +137,11 @@ def tandem_repeats(contigs: DataFrame, min_length: int, window: int = 64) -> Dat
     return runs.select("seqid", (F.col("s") - 1).alias("start"), F.col("e").alias("end")).where(F.col("end") - F.col("start") >= min_length)
 
 
-@query("I09_tandem_repeats", "fx_gene")
-def i09(genes):
-    """Contigs made of two motifs whose period follows from their number, with a stretch that repeats nothing between them."""
-    k = F.conv(F.substring("seqid", 4, 12), 10, 10).cast("long")
-    unit = F.substring(F.translate(F.md5(F.col("seqid")), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(1), (k % 29 + 2).cast("int"))
-    noise = F.translate(F.sha2(F.col("seqid"), 512), "0123456789abcdef", "ACGTTGCAACGTCATG")
-    contigs = genes.select("seqid").distinct().select("seqid", F.concat(F.repeat(unit, F.lit(9)), noise, F.repeat(F.substring(noise, 5, 7), F.lit(20))).alias("seq"))
-    return tandem_repeats(contigs, 80)
+@query("I09_tandem_repeats", "fx_seq")
+def i09(seqs):
+    """Repeats in the sequences as they are, each behind a motif of its own first letters, written seven times over."""
+    motif = F.repeat(F.substring("seq", F.lit(1), (F.col("seq_id") % 23 + 2).cast("int")), F.lit(7))
+    return tandem_repeats(seqs.select(F.col("seq_id").alias("seqid"), F.concat(motif, "seq").alias("seq")), 80)
 
 
 def extend_utr(genes: DataFrame, reads: DataFrame, most: int) -> DataFrame:
@@ -253,14 +271,13 @@ def predict_merge(genes: DataFrame, segs: DataFrame, contigs: DataFrame, prefix:
     own = written(own, "kept")
     spans = own.groupBy("gid", "seqid", "strand").agg(F.min("seg_start").alias("g_start"), F.max("seg_end").alias("g_end"))
     clean = repeat_filter(spans, own, contigs, threshold)
-    named = numbered(clean, [F.asc("seqid"), F.asc("g_start"), F.asc("gid")], "n")
-    named = named.withColumn("locus_tag", F.concat(F.lit(prefix), F.lpad(F.col("n").cast("string"), 6, "0")))
+    named = number_loci(clean, prefix)
     return children(named, own)
 
 
 @query("C06_predict_merge", "fx_gene fx_cds fx_ctg", f"""WITH f AS ({_FRACTION}), b AS (SELECT 0.9 - 0.4 * (least(greatest(sum({_LOW('length(seq)')}) / CAST(sum(length(seq)) AS DOUBLE), 0.1), 0.4) - 0.1) / 0.3 AS bar FROM fx_ctg),
 k AS (SELECT w.gid, row_number() OVER (ORDER BY g.seqid, g.g_start, g.gid) AS n FROM ({WON}) w JOIN fx_gene g ON g.gid = w.gid LEFT JOIN f ON f.gid = w.gid, b WHERE coalesce(fraction, 0) <= bar)
-SELECT concat('LOC_', lpad(CAST(n AS VARCHAR), 6, '0')) AS locus, c.seqid, c.strand, min(seg_start) AS g_start, max(seg_end) AS g_end, count(*) AS exons FROM k JOIN fx_cds c ON c.gid = k.gid GROUP BY n, c.seqid, c.strand""")
+SELECT concat('LOC_', {PADDED.format('n')}) AS locus, c.seqid, c.strand, min(seg_start) AS g_start, max(seg_end) AS g_end, count(*) AS exons FROM k JOIN fx_cds c ON c.gid = k.gid GROUP BY n, c.seqid, c.strand""")
 def c06(genes, segs, contigs):
     known = contigs.select("seqid")
     rows = predict_merge(genes, segs, _masked(contigs).join(known, "seqid", "left_semi"))

@@ -178,15 +178,32 @@ def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
     """
     rows = ranged(df, order)
     placed = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    size = rows.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = size.alias("a").join(size.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy(F.col("a._p").alias("_p")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(before), "_p").withColumn(out, (F.col("_before") + F.col("_r")).cast("long")).drop("_p", "_r", "_before")  # a row for each shuffle partition
+    # a window over one row for each shuffle partition
+    earlier = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = rows.groupBy("_p").agg(F.count("*").alias("_n")).select("_p", earlier.alias("_before"))
+    return placed.join(F.broadcast(before), "_p").withColumn(out, (F.col("_before") + F.col("_r")).cast("long")).drop("_p", "_r", "_before")
 
 
-@query("W05_number_loci", "fx_gene", "SELECT gid, concat('LOC_', lpad(CAST(row_number() OVER (ORDER BY seqid, g_start, gid) AS VARCHAR), 6, '0')) AS locus_tag FROM fx_gene")
+def padded(number, digits: int = 6):
+    """A number with leading zeros, to ``digits`` or as many as it has: ``lpad`` alone would cut longer ones."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
+def number_loci(genes: DataFrame, prefix: str = "LOC_", first: int = 1) -> DataFrame:
+    """Genes with ``n`` in genome order from ``first``, and the ``locus_tag`` made of it."""
+    named = numbered(genes, [F.asc("seqid"), F.asc("g_start"), F.asc("gid")], "n").withColumn("n", F.col("n") + (first - 1))
+    return named.withColumn("locus_tag", F.concat(F.lit(prefix), padded(F.col("n"))))
+
+
+#: DuckDB's text of a number with at least six digits.
+PADDED = "lpad(CAST({0} AS VARCHAR), CAST(greatest(6, length(CAST({0} AS VARCHAR))) AS INTEGER), '0')"
+
+
+@query("W05_number_loci", "fx_gene", f"SELECT gid, concat('LOC_', {PADDED.format('n')}) AS locus_tag FROM (SELECT gid, 995000 + row_number() OVER (ORDER BY seqid, g_start, gid) AS n FROM fx_gene)")
 def w05(genes):
-    n = numbered(genes.select("gid", "seqid", "g_start"), [F.asc("seqid"), F.asc("g_start"), F.asc("gid")], "n")
-    return n.select("gid", F.concat(F.lit("LOC_"), F.lpad(F.col("n").cast("string"), 6, "0")).alias("locus_tag"))
+    """Numbers begin at 995,001, so that they pass a million on small tables too."""
+    return number_loci(genes.select("gid", "seqid", "g_start"), first=995_001).select("gid", "locus_tag")
 
 
 @query("T02_genome_order_sort", "fx_gene", "SELECT gid, row_number() OVER (ORDER BY seqid, g_start, gid) AS place FROM fx_gene")

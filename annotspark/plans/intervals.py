@@ -29,7 +29,7 @@ MERGED = """SELECT seqid, min(seg_start) AS seg_start, max(seg_end) AS seg_end,
 
 @query("I02_merge_intervals", "fx_cds", MERGED)
 def i02(segs):
-    return iv.merge(segs, ["seqid"], "seg_start", "seg_end")
+    return iv.merge(written(segs.select("seqid", "seg_start", "seg_end"), "segments"), ["seqid"], "seg_start", "seg_end")
 
 
 PAIR_BP = f"""SELECT a.gid AS a, b.gid AS b, CAST(sum(least(a.seg_end, b.seg_end) - greatest(a.seg_start, b.seg_start) + 1) AS BIGINT) AS bp
@@ -56,7 +56,7 @@ LOCI = """SELECT *, CAST(sum(new) OVER (PARTITION BY seqid, strand ORDER BY g_st
 
 @query("I07_locus_cluster", "fx_gene", f"SELECT gid, locus FROM ({LOCI})")
 def i07(genes):
-    return iv.cluster(genes, KEYS, "g_start", "g_end", ["g_end", "gid"]).select("gid", "locus")
+    return iv.cluster(written(genes, "models"), KEYS, "g_start", "g_end", ["g_end", "gid"]).select("gid", "locus")
 
 
 REGIONS = "SELECT seqid, g_start - 300 AS r_start, g_end + 300 AS r_end, gid AS region FROM fx_gene WHERE gid % 10 = 0"
@@ -121,6 +121,7 @@ FROM ({SCORED})) WHERE r = 1"""
 
 @query("C01_consensus_merge", "fx_gene fx_cds", f"SELECT gid, seqid, strand, source, locus, round(score, 6) AS score FROM ({WON})")
 def c01(genes, segs):
+    genes, segs = written(genes, "models"), written(segs, "segments")  # several steps read them
     best = consensus.winners(consensus.scored(genes, segs))
     return best.select("gid", "seqid", "strand", "source", "locus", F.round("score", 6).alias("score"))
 
@@ -131,7 +132,8 @@ s AS (SELECT gid, count(DISTINCT source) AS support, bool_and(source IN ('august
 k AS (SELECT w.gid, s.support, n_seg, (s.support >= CASE WHEN n_seg = 1 AND ab THEN 2 ELSE 1 END OR score >= 12) AS kept FROM w JOIN s ON s.gid = w.gid)
 SELECT gid, support, kept, CASE WHEN kept THEN 'kept' WHEN n_seg = 1 THEN 'single_exon_ab_initio' ELSE 'low_support' END AS reason FROM k""")
 def c02(genes, segs):
-    pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")  # two steps read it
+    genes, segs = written(genes, "models"), written(segs, "segments")  # several steps read them
+    pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")
     models = written(consensus.scored(genes, segs, pairs=pairs), "scored")
     best = consensus.support(models, consensus.winners(models), segs, pairs=pairs)
     return consensus.support_filter(best, single_least=2, rescue=12.0).select("gid", "support", "kept", "reason")

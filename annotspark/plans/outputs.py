@@ -209,7 +209,9 @@ def file_manifest(spark, path: str, tables: list[str]) -> DataFrame:
     return files.join(count, "file", "left")
 
 
-QUERIES["B03_file_manifest"] = lambda spark, sf_dir: file_manifest(spark, sf_dir, sorted(TABLES - {"conversations"}))
+#: All of the driver's tables.
+MANIFEST = sorted(TABLES | {"region", "nation", "embeddings", "pages", "labels"})
+QUERIES["B03_file_manifest"] = lambda spark, sf_dir: file_manifest(spark, sf_dir, MANIFEST)
 
 
 def cache_key(coding: Column, genome: Column, version: str, k: int) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annotspark.plans.features import padded
 from annotspark.registry import query
 from annotspark.sources import reader
 
@@ -153,7 +154,7 @@ def s17(genes):
 def trna_features(trnas: DataFrame, prefix: str = "LOC") -> DataFrame:
     """gene, tRNA and exon rows of tRNA genes with a number ``n``; an intron leaves an exon on each side that has bases."""
     row = lambda kind, s, e, own, up: F.struct(F.lit(kind).alias("type"), s.cast("long").alias("start"), e.cast("long").alias("end"), own.alias("id"), up.alias("parent"))
-    gene = F.concat(F.lit(f"{prefix}_tRNA_"), F.lpad(F.col("n").cast("string"), 4, "0"))
+    gene = F.concat(F.lit(f"{prefix}_tRNA_"), padded(F.col("n"), 4))
     rna, none, s, e = F.concat(gene, F.lit("-tRNA")), F.lit(None).cast("string"), F.col("start"), F.col("end")
     split = F.col("intron_start").isNotNull()
     exons = F.when(split, F.array(row("exon", s, F.col("intron_start") - 1, none, rna), row("exon", F.col("intron_end") + 1, e, none, rna))).otherwise(F.array(row("exon", s, e, none, rna)))
@@ -161,13 +162,13 @@ def trna_features(trnas: DataFrame, prefix: str = "LOC") -> DataFrame:
     return trnas.select("seqid", "strand", "score", F.explode(rows).alias("x")).select("seqid", "strand", "score", "x.*")
 
 
-_TRNA = "(SELECT *, concat('LOC_tRNA_', lpad(CAST(gid AS VARCHAR), 4, '0')) AS g FROM fx_gene WHERE gid < 10000)"
+_TRNA = "(SELECT *, concat('LOC_tRNA_', lpad(CAST(gid AS VARCHAR), CAST(greatest(4, length(CAST(gid AS VARCHAR))) AS INTEGER), '0')) AS g FROM fx_gene)"
 
 
 @query("K09_to_trna_features", "fx_gene", f"""SELECT seqid, 'gene' AS type, g_start AS start, g_end AS "end", g AS id, NULL AS parent FROM {_TRNA} UNION ALL SELECT seqid, 'tRNA', g_start, g_end, concat(g, '-tRNA'), g FROM {_TRNA}
 UNION ALL SELECT seqid, 'exon', g_start, CASE WHEN gid % 3 = 0 THEN g_start + 9 ELSE g_end END, NULL, concat(g, '-tRNA') FROM {_TRNA} UNION ALL SELECT seqid, 'exon', g_start + 21, g_end, NULL, concat(g, '-tRNA') FROM {_TRNA} WHERE gid % 3 = 0 AND g_start + 21 <= g_end""")
 def k09(genes):
-    rows = parse_trnascan(trna_lines(genes.where("gid < 10000")), ["gid"])  # four digits name a locus
+    rows = parse_trnascan(trna_lines(genes), ["gid"])
     return trna_features(rows.withColumnRenamed("gid", "n")).select("seqid", "type", "start", "end", "id", "parent")
 
 

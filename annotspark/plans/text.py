@@ -110,17 +110,17 @@ def text_format(text: Column) -> Column:
     )
 
 
-@query("R06_classify_text_format", "documents", """WITH d AS (SELECT doc_id, CASE CAST(doc_id % 5 AS INTEGER) WHEN 0 THEN 'gff3' WHEN 1 THEN 'fasta' WHEN 2 THEN 'log' WHEN 3 THEN 'validation' ELSE 'x' END AS k, string_split(text, chr(10))[1:18] AS l FROM documents)
-SELECT doc_id, CASE WHEN k IN ('gff3') OR len(list_filter(l, lambda x: left(x, 1) <> '#' AND len(string_split(x, chr(9))) = 9)) > 0 THEN 'gff3' WHEN k = 'fasta' OR len(list_filter(l, lambda x: left(x, 1) = '>')) > 0 THEN 'fasta'
-WHEN len(list_filter(l, lambda x: regexp_matches(x, '(?i)^\s*(\[?\d{4}-\d{2}-\d{2}|\[?(info|warn(ing)?|error|debug)\b)'))) + CASE WHEN k = 'log' THEN 2 ELSE 0 END >= 2 THEN 'log'
-WHEN k = 'validation' OR len(list_filter(l, lambda x: regexp_matches(x, '(?i)\b(SEQ_FEAT|FATAL|error|invalid|missing required)\b'))) > 0 THEN 'validation' ELSE 'unknown' END AS format FROM d""")
+@query("R06_classify_text_format", "documents", r"""WITH d AS (SELECT doc_id, string_split(concat(CASE CAST(doc_id % 7 AS INTEGER) WHEN 0 THEN concat_ws(chr(9), 'c', 's', 'gene', '1', '9', '.', '+', '.', 'ID=a') || chr(10) || '# note' WHEN 1 THEN '>seq one'
+WHEN 2 THEN '2024-05-01 start' || chr(10) || '[INFO] read' WHEN 3 THEN 'SEQ_FEAT.NoStop' WHEN 4 THEN 'it says: Invalid row' WHEN 5 THEN 'terrors and errorless words, warnings too' ELSE '' END, chr(10), text), chr(10))[1:20] AS l FROM documents)
+SELECT doc_id, CASE WHEN len(list_filter(l, lambda x: left(x, 1) <> '#' AND len(string_split(x, chr(9))) = 9)) > 0 THEN 'gff3' WHEN len(list_filter(l, lambda x: left(x, 1) = '>')) > 0 THEN 'fasta'
+WHEN len(list_filter(l, lambda x: regexp_matches(x, '(?i)^\s*(\[?\d{4}-\d{2}-\d{2}|\[?(info|warn(ing)?|error|debug)\b)'))) >= 2 THEN 'log'
+WHEN len(list_filter(l, lambda x: regexp_matches(x, '(?i)\b(SEQ_FEAT|FATAL|error|invalid|missing required)\b'))) > 0 THEN 'validation' ELSE 'unknown' END AS format FROM d""")
 def r06(docs):
-    """Documents behind two lines of each kind in turn."""
-    row = F.lit("c\ts\tgene\t1\t9\t.\t+\t.\tID=a\n# note\n")
-    heads = [row, F.lit(">seq one\n\n"), F.lit("2024-05-01 start\n[INFO] read\n"), F.lit("SEQ_FEAT.NoStop\n\n"), F.lit("\n\n")]
-    kind = (F.col("doc_id") % 5).cast("int")
-    head = F.get(F.array(*heads), kind)
-    return docs.select("doc_id", text_format(F.concat(head, "text")).alias("format"))
+    """Documents behind a line or two of each kind in turn, and of words that only look like a report's."""
+    row = F.lit("c\ts\tgene\t1\t9\t.\t+\t.\tID=a\n# note")
+    said = ["2024-05-01 start\n[INFO] read", "SEQ_FEAT.NoStop", "it says: Invalid row", "terrors and errorless words, warnings too", ""]
+    head = F.get(F.array(row, F.lit(">seq one"), *map(F.lit, said)), (F.col("doc_id") % 7).cast("int"))
+    return docs.select("doc_id", text_format(F.concat(head, F.lit("\n"), "text")).alias("format"))
 
 
 #: Fixed extensions by format.
