@@ -37,6 +37,9 @@ UNION ALL SELECT 2, gid, seqid, 'mRNA', g_start, g_start + (g_end - g_start) DIV
   concat('m', cast(gid AS string), '.2'), concat('g', cast(gid AS string)), NULL FROM {fx_gene} WHERE gid % 3 = 0
 UNION ALL SELECT 3, gid, seqid, 'CDS', seg_start, seg_end, strand, CASE WHEN ord = 7 THEN NULL ELSE 0 END,
   concat('c', cast(gid AS string), '.', cast(ord AS string)), concat('m', cast(gid AS string), '.1'), NULL FROM {fx_cds}""",
+    "fx_broken": """SELECT lvl, gid, seqid, type, f_start, f_end, strand, phase, CASE WHEN type IN ('gene', 'mRNA') AND gid % 23 = 0 THEN NULL ELSE id END AS id,
+  CASE WHEN type = 'CDS' AND gid % 29 = 0 OR type = 'mRNA' AND gid % 37 = 0 THEN NULL WHEN type = 'CDS' AND gid % 41 = 0 THEN concat(parent, ',x')
+  WHEN type = 'mRNA' AND gid % 43 = 0 THEN concat('c', cast(gid AS string), '.1') ELSE parent END AS parent, locus_tag FROM {fx_feature}""",
     "fx_seq": """SELECT doc_id AS seq_id, translate(LETTERS(text), 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'acgtacgtacgtacgtacgtacgtacACGTACGTACGTACGTACGTACGTAC') AS seq FROM {documents}""",
     "fx_ctg": """SELECT concat('ctg', cast(c_custkey AS string)) AS seqid,

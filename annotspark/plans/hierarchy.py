@@ -1,11 +1,12 @@
-"""Feature hierarchies, validation and repair."""
+"""Feature hierarchies and their validation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.registry import query
+from annotspark.tables import written
 
 
 def ids(features: DataFrame) -> DataFrame:
@@ -34,21 +35,34 @@ def j01(features, depth: int = 2):
 
 @query("J02_gene_of_transcript", "fx_feature", f"""SELECT c.id, coalesce(g.locus_tag, g.id, m.id, c.id) AS locus FROM fx_feature c LEFT JOIN ({_IDS}) m ON m.id = c.parent LEFT JOIN ({_IDS}) g ON g.id = m.parent WHERE c.type = 'CDS'""")
 def j02(features):
-    known = ids(features)
+    """Segments without a parent, or whose transcript has none, stay out of the join that would look it up."""
+    known = written(ids(features), "ids")
     m = known.select(F.col("id").alias("parent"), F.col("id").alias("m_id"), F.col("parent").alias("m_parent"))
     g = known.select(F.col("id").alias("m_parent"), F.col("id").alias("g_id"), F.col("locus_tag").alias("g_tag"))
-    cds = features.where("type = 'CDS'").select("id", "parent").join(m, "parent", "left").join(g, "m_parent", "left")
-    return cds.select("id", F.coalesce("g_tag", "g_id", "m_id", "id").alias("locus"))
+    cds = features.where("type = 'CDS'").select("id", "parent")
+    met = _looked_up(_looked_up(cds, m, "parent"), g, "m_parent")
+    return met.select("id", F.coalesce("g_tag", "g_id", "m_id", "id").alias("locus"))
+
+
+def _looked_up(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """A left join by a key that may be null, without the null rows meeting in one task."""
+    return rows.where(F.col(key).isNotNull()).join(known, key, "left").unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 @query("J03_attr_from_ancestors", "fx_feature", f"""SELECT c.id, coalesce(c.locus_tag, m.locus_tag, g.locus_tag) AS locus_tag FROM fx_feature c LEFT JOIN ({_IDS}) m ON m.id = c.parent LEFT JOIN ({_IDS}) g ON g.id = m.parent""")
 def j03(features, hops: int = 8):
-    """The nearest locus tag up the parent chain."""
-    known = ids(features).select(F.col("id").alias("_up"), F.col("parent").alias("_next"), F.col("locus_tag").alias("_tag"))
-    out = features.select("id", F.col("locus_tag").alias("found"), F.col("parent").alias("_at"))
-    for _ in range(hops):
-        out = out.join(known, out["_at"] == known["_up"], "left").select("id", F.coalesce("found", "_tag").alias("found"), F.col("_next").alias("_at"))
-    return out.select("id", F.col("found").alias("locus_tag"))
+    """The nearest locus tag up the parent chain: rows leave as soon as they have one, or no parent to ask."""
+    known = written(ids(features).select(F.col("id").alias("_at"), F.col("parent").alias("_next"), F.col("locus_tag").alias("_tag")), "ids")
+    now = written(features.select("id", F.col("locus_tag").alias("found"), F.col("parent").alias("_at")), "rows")
+    done = None
+    for hop in range(hops + 1):
+        asks = F.col("found").isNull() & F.col("_at").isNotNull() & F.lit(hop < hops)
+        left = now.where(~asks).select("id", F.col("found").alias("locus_tag"))
+        done = left if done is None else done.unionByName(left)
+        now = now.where(asks)
+        if hop == hops or now.isEmpty():
+            return done
+        now = written(now.join(known, "_at", "left").select("id", F.col("_tag").alias("found"), F.col("_next").alias("_at")), "hop")
 
 
 @query("J07_liftover_seqids", "fx_feature", "SELECT id, CASE WHEN seqid LIKE '%1' THEN concat('scaffold_', substr(seqid, 4)) ELSE seqid END AS seqid FROM fx_feature")
@@ -85,64 +99,6 @@ def v01(features):
     return both.unpivot([], both.columns, "category", "n")
 
 
-@query("V02_validate_submission", "fx_feature", """SELECT count(*) FILTER (WHERE type = 'gene') AS genes, count(*) FILTER (WHERE type = 'CDS') AS cds, count(*) FILTER (WHERE type = 'gene' AND locus_tag IS NOT NULL) AS tagged,
-count(*) FILTER (WHERE length(seqid) > 16) AS long_ids, count(*) - count(DISTINCT id) AS repeats FROM fx_feature""")
-def v02(features):
-    gene = F.col("type") == "gene"
-    return features.agg(F.count_if(gene).alias("genes"), F.count_if(F.col("type") == "CDS").alias("cds"), F.count_if(gene & F.col("locus_tag").isNotNull()).alias("tagged"), F.count_if(F.length("seqid") > 16).alias("long_ids"), (F.count("*") - F.count_distinct("id")).alias("repeats"))
-
-
-_PARENT = f"SELECT f.*, p.id AS pid, p.type AS ptype, p.f_start AS pstart, p.f_end AS pend FROM fx_feature f LEFT JOIN ({_IDS}) p ON p.id = f.parent"
-
-
-def with_parent(features: DataFrame) -> DataFrame:
-    p = ids(features).select(F.col("id").alias("pid"), F.col("type").alias("ptype"), F.col("f_start").alias("pstart"), F.col("f_end").alias("pend"))
-    return features.join(p, features["parent"] == p["pid"], "left")
-
-
-@query("V03_check_structure", "fx_feature", f"""SELECT issue, count(*) AS n FROM (SELECT CASE WHEN type <> 'gene' AND parent IS NULL THEN 'MissingParent' WHEN parent IS NOT NULL AND pid IS NULL THEN 'OrphanParent'
-WHEN type = 'mRNA' AND ptype <> 'gene' THEN 'MrnaParentNotGene' WHEN type = 'CDS' AND (f_start < pstart OR f_end > pend) THEN 'CdsOutsideMrna' END AS issue FROM ({_PARENT})) WHERE issue IS NOT NULL GROUP BY issue""")
-def v03(features):
-    t = F.col("type")
-    issue = (
-        F.when((t != "gene") & F.col("parent").isNull(), "MissingParent")
-        .when(F.col("parent").isNotNull() & F.col("pid").isNull(), "OrphanParent")
-        .when((t == "mRNA") & (F.col("ptype") != "gene"), "MrnaParentNotGene")
-        .when((t == "CDS") & ((F.col("f_start") < F.col("pstart")) | (F.col("f_end") > F.col("pend"))), "CdsOutsideMrna")
-    )
-    return with_parent(features).select(issue.alias("issue")).where("issue IS NOT NULL").groupBy("issue").agg(F.count("*").alias("n"))
-
-
-@query("V04_repair_structure", "fx_feature", """SELECT parent AS id, min(seqid) AS seqid, min(f_start) AS f_start, max(f_end) AS f_end, count(*) AS children FROM fx_feature f WHERE parent IS NOT NULL AND type = 'CDS'
-AND NOT EXISTS (SELECT 1 FROM fx_feature p WHERE p.id = f.parent) GROUP BY parent""")
-def v04(features):
-    """The transcripts made up for orphaned segments: bounds of their children."""
-    known = features.select(F.col("id").alias("parent")).distinct()
-    orphans = features.where("parent IS NOT NULL AND type = 'CDS'").join(known, "parent", "left_anti")
-    return orphans.groupBy(F.col("parent").alias("id")).agg(F.min("seqid").alias("seqid"), F.min("f_start").alias("f_start"), F.max("f_end").alias("f_end"), F.count("*").alias("children"))
-
-
-_KEPT = "SELECT * FROM fx_feature WHERE parent IS NULL UNION ALL SELECT * FROM fx_feature WHERE parent IN (SELECT DISTINCT id FROM fx_feature WHERE id IS NOT NULL)"
-
-
-@query("V05_drop_orphans_and_fix", "fx_feature", f"""SELECT CASE WHEN r > 1 THEN concat(id, '_dup', CAST(r AS VARCHAR)) ELSE id END AS id, least(f_start, f_end) AS f_start, greatest(f_start, f_end) AS f_end, type
-FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lvl, f_start, f_end) AS r FROM ({_KEPT}))""")
-def v05(features):
-    """Without features of unknown parents; further holders of an id are numbered, bounds put in order."""
-    known = features.select(F.col("id").alias("_p")).distinct()
-    top, rest = features.where("parent IS NULL"), features.where("parent IS NOT NULL")
-    kept = top.unionByName(rest.join(known, rest["parent"] == known["_p"], "left_semi"))
-    r = F.row_number().over(Window.partitionBy("id").orderBy("lvl", "f_start", "f_end"))
-    name = F.when((F.col("r") > 1) & F.col("id").isNotNull(), F.concat("id", F.lit("_dup"), F.col("r").cast("string"))).otherwise(F.col("id"))
-    return kept.withColumn("r", r).select(name.alias("id"), F.least("f_start", "f_end").alias("f_start"), F.greatest("f_start", "f_end").alias("f_end"), "type")
-
-
-@query("V06_clean_features", "fx_feature", "SELECT count(*) AS total, count(*) FILTER (WHERE f_end - f_start + 1 >= 100) AS kept, count(*) FILTER (WHERE f_end - f_start + 1 < 100) AS removed FROM fx_feature")
-def v06(features, least: int = 100):
-    long = F.col("f_end") - F.col("f_start") + 1 >= least
-    return features.agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), F.count_if(~long).alias("removed"))
-
-
 @query("V09_reparent_bounds", "fx_feature", """WITH c AS (SELECT parent, min(f_start) AS s, max(f_end) AS e FROM fx_feature WHERE parent IS NOT NULL GROUP BY parent), m AS (SELECT f.id, f.parent, least(f_start, s) AS f_start, greatest(f_end, e) AS f_end FROM fx_feature f JOIN c ON c.parent = f.id WHERE type = 'mRNA'),
 d AS (SELECT parent, min(f_start) AS s, max(f_end) AS e FROM m GROUP BY parent) SELECT 'mRNA' AS type, id, f_start, f_end FROM m UNION ALL SELECT 'gene', id, least(f_start, s), greatest(f_end, e) FROM fx_feature f JOIN d ON d.parent = f.id WHERE type = 'gene'""")
 def v09(features):
@@ -168,10 +124,3 @@ def v10(features):
     at = lambda low: (F.when(low, F.col("s")).otherwise(F.col("e") - 2).alias("f_start"), F.when(low, F.col("s") + 2).otherwise(F.col("e")).alias("f_end"))
     starts = lacking(ends, "start_codon").select("parent", F.lit("start_codon").alias("type"), *at(~minus))
     return exons.unionByName(starts).unionByName(lacking(ends, "stop_codon").select("parent", F.lit("stop_codon").alias("type"), *at(minus)))
-
-
-@query("W06_dup_suffix", "fx_feature", """SELECT CASE WHEN r > 1 THEN concat(id, '_dup', CAST(r AS VARCHAR)) ELSE id END AS id, count(*) AS n FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY lvl, f_start) AS r FROM fx_feature) GROUP BY 1""")
-def w06(features):
-    r = F.row_number().over(Window.partitionBy("id").orderBy("lvl", "f_start"))
-    named = features.withColumn("r", r).select(F.when(F.col("r") > 1, F.concat("id", F.lit("_dup"), F.col("r").cast("string"))).otherwise(F.col("id")).alias("id"))
-    return named.groupBy("id").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from annotspark import fixtures
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("features", "intervals", "sequences", "hits", "expression", "evaluation", "text", "formats", "hierarchy", "more", "readers", "statistics", "evidence", "outputs")
+_MODULES = ("features", "intervals", "sequences", "hits", "expression", "evaluation", "text", "formats", "hierarchy", "repair", "more", "readers", "statistics", "evidence", "outputs")
 
 
 def query(name: str, views: str = "", oracle: str | None = None):

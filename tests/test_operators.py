@@ -134,3 +134,36 @@ def test_tables_with_wrong_headers_or_cells_are_errors(spark):
 def test_orf_of_code_6_and_without_sequence(spark):
     df = spark.createDataFrame([("ATGTAATGA",), (None,)], "s string")
     assert [r[0] for r in df.select(formats.orf_status(F.col("s"), code=6)).collect()] == ["Complete", "Unverifiable"]
+
+
+def test_intervals_of_all_lengths_and_null_keys(spark):
+    rng = random.Random(3)
+    make = lambda n: [(k, rng.choice(["x", "y", None]), s := rng.randint(1, 9000), s + rng.choice([0, 5, 90, 1500, 40_000, 3_000_000])) for k in range(n)]
+    left, right = make(90), make(80)
+    a, b = spark.createDataFrame(left, "i int, seqid string, s1 long, e1 long"), spark.createDataFrame(right, "j int, seqid string, s2 long, e2 long")
+    got = sorted(tuple(r) for r in iv.overlap_join(a, b, ["seqid"], "s1", "e1", "s2", "e2", width=16).select("i", "j").collect())
+    assert got == sorted((i, j) for i, c, s, e in left for j, d, t, f in right if c == d and c is not None and s <= f and t <= e)
+    # a long interval is a few rows
+    long = spark.createDataFrame([("x", 1, 1_000_000)], "seqid string, s long, e long")
+    assert iv._binned(long, "s", "e", iv.BIN, True).count() <= 2
+
+
+def test_clusters_over_tiles(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["x", None]), s := rng.randint(1, 5000), s + rng.choice([3, 10, 30, 800])) for k in range(150)]
+    df = spark.createDataFrame(rows, "i int, seqid string, s long, e long")
+    for gap in (0, 1, 7):
+        want = {}
+        for c in ("x", None):
+            reach, locus = None, 0
+            for i, _, s, e in sorted((r for r in rows if r[1] == c), key=lambda r: (r[2], r[3], r[0])):
+                locus += reach is None or s > reach + gap
+                reach = e if reach is None else max(reach, e)
+                want[i] = locus
+        got = {r["i"]: r["locus"] for r in iv.cluster(df, ["seqid"], "s", "e", ["e", "i"], gap=gap, tile=64).collect()}
+        assert got == want
+
+
+def test_locus_tags_beyond_a_million(spark):
+    genes = spark.createDataFrame([("c", k, k) for k in range(1, 4)], "seqid string, g_start long, gid long")
+    assert [r["locus_tag"] for r in features.number_loci(genes, first=999_999).orderBy("gid").collect()] == ["LOC_999999", "LOC_1000000", "LOC_1000001"]
