@@ -28,7 +28,7 @@ rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +50,9 @@ PIVOTS = 4
 #: Regions of a class by which it is told whether a pair has met before.
 EARLIER = 32
 #: Bits of a class's parity marks, at least and at most.
-MARKS = (1 << 7, 1 << 13)
+MARKS = (1 << 8, 1 << 13)
+#: Turns in which regions are looked for, each among its part of the shingles.
+TURNS = 2
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 #: Bytes of text that are hashed together; a word may go on in the next ones.
@@ -201,6 +203,27 @@ def marks_of(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
 
+def signature(marks: bytes) -> list[int]:
+    """Marks as few as any set has, as four longs."""
+    x = np.frombuffer(marks, dtype=np.uint8)
+    while len(x) > MARKS[0] // 8:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.copy().view(np.int64).tolist()
+
+
+def signatures(marks: DataFrame) -> DataFrame:
+    """(cls, s0 to s3) of the classes' marks (cls, n, marks)."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = np.array([signature(x) for x in batch.column(1).to_pylist()], dtype=np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(4))], names=["cls", "s0", "s1", "s2", "s3"])
+
+    return marks.select("cls", "marks").mapInArrow(run, "cls long, s0 long, s1 long, s2 long, s3 long")
+
+
 def _differ(a: bytes, b: bytes) -> int:
     """At how many places two sets' marks differ."""
     x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
@@ -389,8 +412,9 @@ def first_regions(seen: DataFrame, percent: int) -> DataFrame:
     found out in the first region in which they meet.
     """
     firsts = seen.where("first IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("i", "key"))
-    shared = firsts.groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
-    shared = written(shared, "shared")
+    part = F.pmod(F.shiftright("key", 40), F.lit(TURNS))
+    ends = lambda k: firsts.where(part == k).groupBy("key").agg(F.min("cls").alias("_min"), F.max("cls").alias("_max")).where("_min <> _max").select("key")
+    shared = reduce(DataFrame.unionByName, [written(ends(k), "shared") for k in range(TURNS)])
     rows = passing(firsts, "key", filter_bits(shared)).join(shared, "key").distinct().withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("i")))
     # a linked pair shares at least the percentage of either set
     rows = written(rows.where(100 * (F.col("r") + F.col("n") - F.col("i") - 1) >= percent * F.col("n")), "rows")
@@ -411,16 +435,16 @@ def first_regions(seen: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def _open(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the cells in which members of different components are left, with their labels.
+def _open(cells: DataFrame, labels: DataFrame, few: DataFrame) -> DataFrame:
+    """Rows of the cells in which members of different components are left, with their labels and signatures.
 
     Also the cell's rows ``m``, its largest component ``core``, and how many rows ``rest`` are of another one.
     """
-    now = cells.drop("label", "m", "core", "rest").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    now = cells.drop("label", "m", "core", "rest", "s0", "s1", "s2", "s3").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     per = now.groupBy("key", "cell", "label").agg(F.count("*").alias("_c"))
     some = per.groupBy("key", "cell").agg(F.sum("_c").alias("m"), F.max_by("label", F.struct("_c", "label")).alias("core"), F.max("_c").alias("_most"))
     some = some.where("m > _most").select("key", "cell", "m", "core", (F.col("m") - F.col("_most")).alias("rest"))
-    return written(now.join(some, ["key", "cell"]), "open")
+    return written(now.join(some, ["key", "cell"]).join(few, "cls"), "open")
 
 
 def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
@@ -482,7 +506,11 @@ def _windows(percent: int, reach: float) -> Column:
     """Whether two members of a cell may be linked, are in no common component, and meet here first."""
     triangle = (F.col("a.low") <= F.col("b.high") + reach) & (F.col("b.low") <= F.col("a.high") + reach)
     apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home")) & ~F.arrays_overlap("a.before", "b.before")
-    return apart & triangle & _near_enough("a", "b", percent)
+    # where marks differ so do the sets, by a shingle each at least
+    differ = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(1, 4)), F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))))
+    total = F.col("a.n") + F.col("b.n")
+    open_ = (total - differ) * (100 + percent) >= 2 * total * percent
+    return apart & triangle & _near_enough("a", "b", percent) & open_
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -496,6 +524,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = regions.alias("b").join(pivots.alias("p"), "key").where("b.cls <> p.cls")
     marks = seen.where("marks IS NOT NULL").join(regions.select("cls").distinct(), "cls", "left_semi").select("cls", "n", "marks").dropDuplicates(["cls"])
     marks = written(marks, "marks")
+    few = written(signatures(marks), "signatures")
     tried = stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b"))
     tried = written(may_link(tried, marks, percent), "stars")
     sets = sets_of(rows, seen, _ends(tried), words)
@@ -512,7 +541,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while True:
         groups = components(links)
         links = joined(groups)  # as few edges as say the same
-        left = _open(cells, groups)
+        left = _open(cells, groups, few)
         whole = (F.col("m") <= CELL) | (2 * F.col("m") > F.coalesce("above", 2 * F.col("m")))
         here = written(may_link(inside(left.where(whole).drop("above"), percent, reach), marks, percent), "tried")
         large = left.where(~whole)
