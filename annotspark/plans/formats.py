@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annotspark.plans.sequences import protein_sql, reverse_complement, translate
 from annotspark.registry import query
+from annotspark.sources import carried, lines
 from annotspark.tables import let
 
 
@@ -31,28 +32,29 @@ def k01(features):
     return to_gff3(features)
 
 
-def parse_gff3(lines: DataFrame) -> DataFrame:
+def parse_gff3(rows: DataFrame) -> DataFrame:
     """Typed rows with ``attrs`` as a map, and ``_error`` on bad ones; comments and blank lines are skipped.
 
     The last of repeated attribute keys wins and pairs without ``=`` are dropped.
     """
     p = F.split("value", "\t")
     at = lambda k: F.get(p, F.lit(k))
-    pairs = F.reverse(F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("="))))
+    # one entry a key, made of the text of its last pair: what stands behind is looked at once
+    pairs = F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("=")))
     key = lambda x: F.trim(F.substring_index(x, "=", 1))
     value = lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))
-    parts = let(pairs, lambda ps: F.struct(F.transform(ps, key).alias("k"), F.transform(ps, value).alias("v")))
-    attrs = let(parts, lambda s: let(F.array_distinct(s["k"]), lambda ks: F.map_from_arrays(ks, F.transform(ks, lambda k: F.element_at(s["v"], F.array_position(s["k"], k).cast("int"))))))
+    last = lambda ps: F.filter(ps, lambda x, i: ~F.exists(F.slice(ps, i + 2, F.size(ps)), lambda y: key(y) == key(x)))
+    attrs = F.map_from_entries(F.transform(let(pairs, last), lambda x: F.struct(key(x), value(x))))
     start, end = at(3).try_cast("long"), at(4).try_cast("long")
     bad = (F.size(p) != 9) | start.isNull() | end.isNull() | (start > end)
-    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    rows = rows.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     strand = F.when(F.length(at(6)) == 1, at(6)).otherwise(".")
-    return rows.select(at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), start.alias("start"), end.alias("end"), at(5).try_cast("double").alias("score"), strand.alias("strand"), at(7).try_cast("tinyint").alias("phase"), attrs.alias("attrs"), F.when(F.coalesce(bad, F.lit(True)), F.col("value")).alias("_error"))
+    return rows.select(*carried(rows), at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), start.alias("start"), end.alias("end"), at(5).try_cast("double").alias("score"), strand.alias("strand"), at(7).try_cast("tinyint").alias("phase"), attrs.alias("attrs"), F.when(F.coalesce(bad, F.lit(True)), F.col("value")).alias("_error"))
 
 
 def read_gff3(spark, path: str, strict: bool = False) -> DataFrame:
-    """GFF3 files with their name; ``strict`` raises on the first bad line, else bad lines are left out."""
-    rows = parse_gff3(spark.read.text(path).select("value"))
+    """GFF3 files with their genome; ``strict`` raises on the first bad line, else bad lines are left out."""
+    rows = parse_gff3(lines(spark, path))
     if strict:
         fine = F.when(F.col("_error").isNotNull(), F.raise_error(F.concat(F.lit("bad line: "), "_error")).cast("string")).otherwise(F.col("seqid"))
         return rows.withColumn("seqid", fine).drop("_error")
@@ -114,12 +116,22 @@ _ALT = "string_split(alt, ',')[1]"
 _CLASS = f"CASE WHEN length(ref) = 1 AND length({_ALT}) = 1 THEN 'SNP' WHEN length(ref) = 1 AND length({_ALT}) > 1 THEN 'INS' WHEN length(ref) > 1 AND length({_ALT}) = 1 THEN 'DEL' ELSE 'DNP' END"
 
 
-def parse_vcf(lines: DataFrame) -> DataFrame:
-    """Variants with their first alternative; headers, short lines and bad positions are skipped."""
+def parse_vcf(lines: DataFrame, first: bool = True) -> DataFrame:
+    """Variants with their first alternative (all of them, as written, if not ``first``) and INFO as a map; headers, short lines and bad positions are skipped.
+
+    A flag of INFO has a null value; of repeated keys the last one counts.
+    """
     p = F.split("value", "\t")
     at = lambda k: F.get(p, F.lit(k))
     rows = lines.where(~F.col("value").startswith("#") & (F.size(p) >= 8) & at(1).try_cast("long").isNotNull())
-    return rows.select(at(0).alias("chrom"), at(1).try_cast("long").alias("pos"), at(2).alias("id"), at(3).alias("ref"), F.get(F.split(at(4), ","), F.lit(0)).alias("alt"), at(5).try_cast("double").alias("qual"), at(6).alias("filter"), at(9).alias("gt"))
+    name = lambda x: F.substring_index(x, "=", 1)
+    said = F.filter(F.split(at(7), ";"), lambda x: ~x.isin("", "."))
+    said = let(said, lambda xs: F.filter(xs, lambda x, i: ~F.exists(F.slice(xs, i + 2, F.size(xs)), lambda y: name(y) == name(x))))
+    info = F.map_from_entries(F.transform(said, lambda x: F.struct(name(x), F.when(F.contains(x, F.lit("=")), F.substring(x, F.instr(x, "=") + 1, F.length(x))))))
+    return rows.select(
+        *carried(rows), at(0).alias("chrom"), at(1).try_cast("long").alias("pos"), at(2).alias("id"), at(3).alias("ref"), (F.get(F.split(at(4), ","), F.lit(0)) if first else at(4)).alias("alt"), at(5).try_cast("double").alias("qual"),
+        at(6).alias("filter"), info.alias("info"), at(9).alias("gt"),
+    )
 
 
 def vcf_lines(variants: DataFrame) -> DataFrame:
@@ -222,10 +234,15 @@ def k13(variants, sample: str = "TUMOR"):
 @query("S07_read_paf", "fx_paf", "SELECT qname, CAST(q_start AS BIGINT) AS q_start, tname, t_end, matches, block FROM fx_paf")
 def s07(paf):
     text = [F.col(c).cast("string") for c in ("qname", "qlen", "q_start", "q_end")] + [F.lit("+")] + [F.col(c).cast("string") for c in ("tname", "tlen", "t_start", "t_end", "matches", "block")] + [F.lit("60")]
+    return parse_paf(paf.select(F.concat_ws("\t", *text).alias("value")))
+
+
+def parse_paf(rows: DataFrame) -> DataFrame:
+    """Alignments of at least twelve fields whose numbers are numbers."""
     p = F.split("value", "\t")
     at = lambda k: F.get(p, F.lit(k))
-    rows = paf.select(F.concat_ws("\t", *text).alias("value")).where(F.size(p) >= 12)
-    return rows.select(at(0).alias("qname"), at(2).try_cast("long").alias("q_start"), at(5).alias("tname"), at(8).try_cast("long").alias("t_end"), at(9).try_cast("long").alias("matches"), at(10).try_cast("long").alias("block")).dropna()
+    rows = rows.where(F.size(p) >= 12)
+    return rows.select(*carried(rows), at(0).alias("qname"), at(2).try_cast("long").alias("q_start"), at(5).alias("tname"), at(8).try_cast("long").alias("t_end"), at(9).try_cast("long").alias("matches"), at(10).try_cast("long").alias("block")).dropna()
 
 
 _SIDES = """SELECT CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN qname ELSE tname END AS short, CASE WHEN qlen < tlen OR (qlen = tlen AND qname > tname) THEN tname ELSE qname END AS long, least(qlen, tlen) AS n,
@@ -268,8 +285,9 @@ def gtf_transcripts(lines: DataFrame) -> DataFrame:
     p = F.split("value", "\t")
     at = lambda k: F.get(p, F.lit(k))
     named = F.nullif(F.regexp_extract(at(8), 'transcript_id "([^"]*)"', 1), F.lit(""))
-    rows = lines.where(at(2).isin("CDS", "exon")).select(F.coalesce(named, F.concat_ws("_", at(0), at(3), at(4))).alias("transcript"), at(0).alias("seqid"), at(6).alias("strand"), at(3).try_cast("long").alias("s"), at(4).try_cast("long").alias("e"))
-    return rows.groupBy("transcript", "seqid", "strand").agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("segments"))
+    keys = carried(lines)
+    rows = lines.where(at(2).isin("CDS", "exon")).select(*keys, F.coalesce(named, F.concat_ws("_", at(0), at(3), at(4))).alias("transcript"), at(0).alias("seqid"), at(6).alias("strand"), at(3).try_cast("long").alias("s"), at(4).try_cast("long").alias("e"))
+    return rows.groupBy(*keys, "transcript", "seqid", "strand").agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("segments"))
 
 
 #: Bases of a contig tile.
@@ -337,8 +355,9 @@ def parse_quant(lines: DataFrame, names: dict[str, str], text: str, header_in_pl
     A column that is missing, a header that isn't ``header_in_place`` where that is asked for, and a cell that is no
     number are errors; ``text`` is the wanted column that isn't one.
     """
-    heads = lines.where("n = 0").select("sample", F.split("value", "\t").alias("_h"))
-    rows = lines.where("n > 0").join(heads, "sample", "left").withColumn("_c", F.split("value", "\t"))
+    keys = [*carried(lines), "sample"]
+    heads = lines.where("n = 0").select(*keys, F.split("value", "\t").alias("_h"))
+    rows = lines.where("n > 0").join(heads, keys, "left").withColumn("_c", F.split("value", "\t"))
     wrong = F.col("_h").isNull()
     if header_in_place:
         wrong = wrong | (F.slice("_h", 1, len(header_in_place)) != F.array(*map(F.lit, header_in_place)))
@@ -350,7 +369,7 @@ def parse_quant(lines: DataFrame, names: dict[str, str], text: str, header_in_pl
         if c != text:
             cell = F.when(cell.try_cast("double").isNull(), said(f"no number in {c}").cast("double")).otherwise(cell.try_cast("double"))
         out.append(cell.alias(name))
-    return rows.select("sample", *out)
+    return rows.select(*keys, *out)
 
 
 def quant_lines(quant: DataFrame, names: list[str], cells: list[Column]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annotspark.registry import query
+from annotspark.sources import carried
 
 
 def best(hits: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
@@ -186,7 +187,7 @@ def parse_blast6(lines: DataFrame) -> DataFrame:
     p = F.split("value", "\t")
     number = lambda k: F.get(p, F.lit(k)).try_cast("double")
     rows = lines.where(~F.col("value").startswith("#") & (F.size(p) >= 5))
-    return rows.select(F.get(p, F.lit(0)).alias("query"), F.get(p, F.lit(1)).alias("target"), number(2).alias("identity"), F.coalesce(number(3), F.lit(float("inf"))).alias("evalue"), number(4).alias("bitscore"))
+    return rows.select(*carried(rows), F.get(p, F.lit(0)).alias("query"), F.get(p, F.lit(1)).alias("target"), number(2).alias("identity"), F.coalesce(number(3), F.lit(float("inf"))).alias("evalue"), number(4).alias("bitscore"))
 
 
 @query("S13_read_domtblout", "fx_hits", "SELECT query, target, CAST(dom_len AS BIGINT) AS dom_len, evalue, CAST(hmm_from AS BIGINT) AS a, CAST(hmm_to AS BIGINT) AS b FROM fx_hits")
@@ -196,9 +197,10 @@ def s13(hits):
     return parse_domains(lines)
 
 
-def parse_domains(lines: DataFrame) -> DataFrame:
-    """Per-domain search tables of at least 22 blank-separated fields."""
+def parse_domains(lines: DataFrame, by_target: bool = True) -> DataFrame:
+    """Per-domain search tables of at least 22 blank-separated fields; the domain is the table's target, or its query."""
     p = F.split(F.trim("value"), r"\s+")
     at = lambda k: F.get(p, F.lit(k))
     rows = lines.where(~F.col("value").startswith("#") & (F.size(p) >= 22))
-    return rows.select(at(3).alias("query"), at(0).alias("target"), at(2).try_cast("long").alias("dom_len"), at(12).try_cast("double").alias("evalue"), at(17).try_cast("long").alias("a"), at(18).try_cast("long").alias("b"))
+    query_, target, size = (3, 0, 2) if by_target else (0, 3, 5)
+    return rows.select(*carried(rows), at(query_).alias("query"), at(target).alias("target"), at(size).try_cast("long").alias("dom_len"), at(12).try_cast("double").alias("evalue"), at(17).try_cast("long").alias("a"), at(18).try_cast("long").alias("b"))

@@ -11,6 +11,7 @@ from annotspark.plans.hierarchy import ids
 from annotspark.plans.hits import _MERGED, merge_annotations
 from annotspark.plans.sequences import protein_sql, translate
 from annotspark.registry import query
+from annotspark.sources import carried
 
 
 def _field(k: int, sep: str = "\t") -> Column:
@@ -26,7 +27,7 @@ def parse_fasta(records: DataFrame, upper: bool = True) -> DataFrame:
     head = F.substring_index(text, "\n", 1)
     seq = F.regexp_replace(F.expr("substr(regexp_replace(value, '^>', ''), instr(regexp_replace(value, '^>', ''), '\n') + 1)"), r"\s", "")
     rows = records.where(F.contains("value", F.lit("\n")))
-    return rows.select(F.substring_index(head, " ", 1).alias("id"), head.alias("description"), (F.upper(seq) if upper else seq).alias("seq"))
+    return rows.select(*carried(rows), F.substring_index(head, " ", 1).alias("id"), head.alias("description"), (F.upper(seq) if upper else seq).alias("seq"))
 
 
 @query("S02_read_fasta", "fx_seq", "SELECT concat('s', CAST(seq_id AS VARCHAR)) AS id, upper(seq) AS seq FROM fx_seq")
@@ -43,10 +44,11 @@ def s10(segs):
 
 def snap_genes(lines: DataFrame) -> DataFrame:
     """A gene begins whenever the name changes from the line before in its file; its row keeps the first segment's start."""
-    rows = lines.select("file", "file_pos", _field(8).alias("gene"), _field(3).try_cast("long").alias("start")).where("start IS NOT NULL")
+    keys = carried(lines)
+    rows = lines.select(*keys, "file", "file_pos", _field(8).alias("gene"), _field(3).try_cast("long").alias("start")).where("start IS NOT NULL")
     w = Window.partitionBy("file").orderBy("file_pos")
     runs = rows.withColumn("_new", F.when(F.lag("gene").over(w).eqNullSafe(F.col("gene")), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
-    return runs.groupBy("file", "_run", "gene").agg(F.count("*").alias("segments"), F.min_by("start", "file_pos").alias("first_start")).select("gene", "segments", "first_start")
+    return runs.groupBy(*keys, "file", "_run", "gene").agg(F.count("*").alias("segments"), F.min_by("start", "file_pos").alias("first_start")).select(*keys, "gene", "segments", "first_start")
 
 
 @query("S11_read_glimmer_gff", "fx_cds", "SELECT seqid, strand, count(*) AS segments, min(seg_start) AS g_start, max(seg_end) AS g_end FROM fx_cds GROUP BY gid, seqid, strand")
@@ -60,23 +62,37 @@ def glimmer_genes(rows: DataFrame) -> DataFrame:
     """A gene is the run of CDS rows between mRNA rows of a file."""
     w = Window.partitionBy("file").orderBy("file_pos")
     runs = rows.withColumn("_run", F.sum(F.when(F.col("type") == "mRNA", 1).otherwise(0)).over(w)).where("type <> 'mRNA'")
-    return runs.groupBy("file", "_run", "seqid", "strand").agg(F.count("*").alias("segments"), F.min("s").alias("g_start"), F.max("e").alias("g_end")).drop("file", "_run")
+    return runs.groupBy(*carried(rows), "file", "_run", "seqid", "strand").agg(F.count("*").alias("segments"), F.min("s").alias("g_start"), F.max("e").alias("g_end")).drop("file", "_run")
 
 
 @query("S15_read_interproscan", "fx_hits", "SELECT query, target AS accession, evalue FROM fx_hits WHERE partkey % 5 <> 0")
 def s15(hits):
     status = F.when(F.col("partkey") % 5 == 0, "FALSE").otherwise("T")
     cols = ["query", F.lit("md5"), F.lit("100"), F.lit("Pfam"), "target", F.lit("desc"), F.lit("1"), F.lit("50"), F.col("evalue").cast("string"), status, F.lit("date")]
-    rows = hits.select(F.concat_ws("\t", *cols).alias("value")).where((F.size(F.split("value", "\t")) >= 11) & (_field(9) != "FALSE"))
-    return rows.select(_field(0).alias("query"), _field(4).alias("accession"), _field(8).try_cast("double").alias("evalue"))
+    return parse_interpro(hits.select(F.concat_ws("\t", *cols).alias("value"))).select("query", "accession", "evalue")
+
+
+def parse_interpro(rows: DataFrame) -> DataFrame:
+    """Domain matches of at least eleven fields that aren't marked FALSE, with their entry and ontology terms where they have any."""
+    rows = rows.where((F.size(F.split("value", "\t")) >= 11) & (_field(9) != "FALSE"))
+    cell = lambda k: F.nullif(F.nullif(_field(k), F.lit("-")), F.lit(""))
+    go = F.regexp_extract_all(F.coalesce(cell(13), F.lit("")), F.lit(r"GO:\d+"), F.lit(0))
+    return rows.select(*carried(rows), _field(0).alias("query"), _field(3).alias("library"), _field(4).alias("accession"), _field(8).try_cast("double").alias("evalue"), cell(11).alias("entry"), go.alias("go"))
 
 
 @query("S18_read_bgc_regions", "fx_gene", "SELECT seqid, g_start AS start, g_end AS \"end\", CASE WHEN gid % 3 = 0 THEN 'unknown' ELSE source END AS kind FROM fx_gene")
 def s18(genes):
     attrs = F.when(F.col("gid") % 3 == 0, F.lit("ID=x")).otherwise(F.concat(F.lit("ID=x;Product="), "source"))
     lines = genes.select(F.concat_ws("\t", "seqid", F.lit("a"), F.lit("region"), F.col("g_start").cast("string"), F.col("g_end").cast("string"), F.lit("."), "strand", F.lit("."), attrs).alias("value"))
-    kind = F.nullif(F.regexp_extract(_field(8), "(?i)(?:^|;)product=([^;]*)", 1), F.lit(""))
-    return lines.where(_field(2).isin("region", "cluster")).select(_field(0).alias("seqid"), _field(3).try_cast("long").alias("start"), _field(4).try_cast("long").alias("end"), F.coalesce(kind, F.lit("unknown")).alias("kind"))
+    return parse_regions(lines).drop("id")
+
+
+def parse_regions(lines: DataFrame) -> DataFrame:
+    """Regions and clusters with their product, else their rules, as ``kind``; without an id the place is one."""
+    attr = lambda k: F.nullif(F.regexp_extract(_field(8), f"(?i)(?:^|;)\\s*{k}=([^;]*)", 1), F.lit(""))
+    place = F.concat(_field(0), F.lit("_"), _field(3), F.lit("-"), _field(4))
+    rows = lines.where(_field(2).isin("region", "cluster"))
+    return rows.select(*carried(rows), _field(0).alias("seqid"), _field(3).try_cast("long").alias("start"), _field(4).try_cast("long").alias("end"), F.coalesce(attr("product"), attr("rules"), F.lit("unknown")).alias("kind"), F.coalesce(attr("id"), place).alias("id"))
 
 
 @query("S21_read_abundance", "fx_quant", "SELECT transcript, sample, num_reads AS est_counts, round(tpm, 6) AS tpm FROM fx_quant")
@@ -90,32 +106,55 @@ def s21(quant):
 @query("S25_read_topology_calls", "fx_hits", "SELECT query, CAST(min(partkey % 4) AS BIGINT) AS tm, bool_or(partkey % 2 = 0) AS signal FROM fx_hits GROUP BY query")
 def s25(hits):
     line = F.concat_ws(" ", "query", (F.col("partkey") % 4).cast("string"), F.when(F.col("partkey") % 2 == 0, "Y").otherwise("0"), F.lit("o"))
-    p = lambda k: F.get(F.split("value", r"\s+"), F.lit(k))
-    rows = hits.select(line.alias("value")).select(p(0).alias("query"), p(1).try_cast("long").alias("tm"), (p(2) == "Y").alias("signal"))
+    rows = parse_topology(hits.select(line.alias("value")))
     return rows.groupBy("query").agg(F.min("tm").alias("tm"), F.max("signal").alias("signal"))
 
 
+def parse_topology(rows: DataFrame) -> DataFrame:
+    """(query, tm, signal): transmembrane helices and whether a signal peptide is called, in blank-separated rows."""
+    p = lambda k: F.get(F.split(F.trim("value"), r"\s+"), F.lit(k))
+    rows = rows.where(~F.trim("value").rlike("^(#|$|SEQENCE|SEQUENCE|ID )"))
+    return rows.select(*carried(rows), p(0).alias("query"), p(1).try_cast("long").alias("tm"), (p(2) == "Y").alias("signal"))
+
+
 @query("S26_read_sam_extents", "fx_paf", "SELECT qname AS name, min(q_start) AS x_start, max(q_start + matches) AS x_end FROM fx_paf GROUP BY qname")
 def s26(paf):
+    cols = ["qname", F.lit("0"), "tname", F.col("q_start").cast("string"), F.lit("60"), F.concat(F.col("matches").cast("string"), F.lit("M3S")), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII")]
+    rows = parse_sam(paf.select(F.concat_ws("\t", *cols).alias("value")))
+    return rows.groupBy("name").agg(F.min("x_start").cast("int").alias("x_start"), F.max("x_end").alias("x_end"))
+
+
+def parse_sam(rows: DataFrame) -> DataFrame:
+    """(name, seqid, x_start, x_end) of mapped reads: where they begin, and that plus the reference bases of their CIGAR."""
     from annotspark.plans.formats import cigar_length
 
-    cols = ["qname", F.lit("0"), "tname", F.col("q_start").cast("string"), F.lit("60"), F.concat(F.col("matches").cast("string"), F.lit("M3S")), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII")]
-    rows = paf.select(F.concat_ws("\t", *cols).alias("value")).where(F.size(F.split("value", "\t")) >= 10)
-    rows = rows.select(_field(0).alias("name"), _field(3).try_cast("long").alias("pos"), _field(5).alias("cigar"))
-    return rows.groupBy("name").agg(F.min("pos").cast("int").alias("x_start"), F.max(F.col("pos") + cigar_length(F.col("cigar"))).alias("x_end"))
+    rows = rows.where(~F.col("value").startswith("@") & (F.size(F.split("value", "\t")) >= 10) & (_field(5) != "*"))
+    at = _field(3).try_cast("long")
+    return rows.select(*carried(rows), _field(0).alias("name"), _field(2).alias("seqid"), at.alias("x_start"), (at + cigar_length(_field(5))).alias("x_end")).where("x_start IS NOT NULL")
 
 
 @query("S27_read_name_map", "fx_hits", "SELECT DISTINCT query AS id, target AS name FROM fx_hits")
 def s27(hits):
     lines = hits.select(F.concat_ws("\t", "query", "target").alias("value")).union(hits.sparkSession.createDataFrame([("# names",)], "value string"))
-    return lines.where(~F.col("value").startswith("#")).select(_field(0).alias("id"), _field(1).alias("name")).distinct()
+    return parse_names(lines)
+
+
+def parse_names(lines: DataFrame) -> DataFrame:
+    """(id, name) of two-column tables, each pair once."""
+    rows = lines.where(~F.col("value").startswith("#") & (F.size(F.split("value", "\t")) >= 2))
+    return rows.select(*carried(rows), _field(0).alias("id"), _field(1).alias("name")).distinct()
 
 
 @query("S28_read_metrics_json", "fx_runs", "SELECT genome, tool, metric AS f1, 0.0 AS seconds FROM fx_runs")
 def s28(runs):
     text = F.to_json(F.struct("genome", "tool", F.struct(F.col("metric").alias("f1")).alias("scores")))
-    row = F.from_json(text, "genome long, tool string, scores struct<f1 double>, performance struct<seconds double>")
-    return runs.select(row.alias("r")).select("r.genome", "r.tool", F.coalesce("r.scores.f1", F.lit(0.0)).alias("f1"), F.coalesce("r.performance.seconds", F.lit(0.0)).alias("seconds"))
+    return parse_metrics(runs.select(text.alias("value"))).withColumn("genome", F.col("genome").cast("long"))
+
+
+def parse_metrics(rows: DataFrame) -> DataFrame:
+    """(genome, tool, f1, seconds) of one JSON text a row; missing numbers are 0."""
+    row = F.from_json("value", "genome string, tool string, scores struct<f1 double>, performance struct<seconds double>")
+    return rows.select(*carried(rows), row.alias("r")).select(*carried(rows), "r.genome", "r.tool", F.coalesce("r.scores.f1", F.lit(0.0)).alias("f1"), F.coalesce("r.performance.seconds", F.lit(0.0)).alias("seconds"))
 
 
 @query("P16_gtf_attribute", "fx_cds", "SELECT gid, ord, CASE WHEN gid % 2 = 0 THEN concat('t', gid) ELSE concat('p', gid) END AS transcript FROM fx_cds")

@@ -1,7 +1,7 @@
 """Readers of reads, masks, hit tables, sample sheets and run reports.
 
-Each parser takes lines (``value``, and ``file`` and ``n`` where a line's place counts); ``READERS`` has the same for
-paths.  The registered queries render lines from the driver's tables and read them back.
+Each parser takes lines (``value``, and ``file`` and ``n`` where a line's place counts);
+:mod:`annotspark.plans.paths` has the same for paths.  The registered queries render lines from the driver's tables and read them back.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from annotspark.plans.features import padded
 from annotspark.registry import query
-from annotspark.sources import reader
+from annotspark.sources import carried
 
 
 def _tabs(k: int) -> Column:
@@ -27,11 +27,11 @@ def _list(cell: Column, sep: str = ",") -> Column:
 def parse_fastq(rows: DataFrame) -> DataFrame:
     """(file, id, description, seq, quality, _error) of four-line records; qualities are letter codes less 33."""
     part = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
-    one = rows.groupBy("file", F.floor(F.col("n") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("q"))
+    one = rows.groupBy(*carried(rows), "file", F.floor(F.col("n") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("q"))
     letters = F.filter(F.split("q", ""), lambda c: c != "")
     name = F.substring("head", F.lit(2), F.length("head"))
     bad = F.when(~F.col("head").startswith("@"), F.lit("header without @")).when(F.col("q").isNull() | (F.length("q") != F.length("seq")), F.lit("qualities don't fit the sequence"))
-    return one.select("file", "record", F.substring_index(name, " ", 1).alias("id"), name.alias("description"), "seq", F.transform(letters, lambda c: F.ascii(c) - 33).alias("quality"), bad.alias("_error"))
+    return one.select(*carried(one), "file", "record", F.substring_index(name, " ", 1).alias("id"), name.alias("description"), "seq", F.transform(letters, lambda c: F.ascii(c) - 33).alias("quality"), bad.alias("_error"))
 
 
 @query("S03_read_fastq", "fx_seq", """SELECT seq_id, concat('r', CAST(seq_id AS VARCHAR)) AS id, seq, CAST(40 * length(regexp_replace(seq, '[^a-z]', '', 'g')) + 41 * length(regexp_replace(seq, '[^A-Z]', '', 'g')) AS BIGINT) AS quality
@@ -49,7 +49,7 @@ def parse_qual(records: DataFrame) -> DataFrame:
     text = F.regexp_replace("value", "^>", "")
     head, body = F.substring_index(text, "\n", 1), F.regexp_replace("value", "^>?[^\n]*\n", "")
     numbers = F.filter(F.transform(F.split(F.trim(body), r"\s+"), lambda x: x.try_cast("smallint")), lambda x: x.isNotNull() & x.between(0, 255))
-    return records.where(F.contains("value", F.lit("\n"))).select(F.substring_index(head, " ", 1).alias("id"), numbers.alias("quality"))
+    return records.where(F.contains("value", F.lit("\n"))).select(*carried(records), F.substring_index(head, " ", 1).alias("id"), numbers.alias("quality"))
 
 
 @query("S04_read_qual", "fx_quant", "SELECT concat(transcript, '_', sample) AS id, 2 AS n, CAST(transcript[3:] AS BIGINT) % 250 + 7 AS total FROM fx_quant")
@@ -64,7 +64,7 @@ def parse_repeatmasker(rows: DataFrame, min_length: int = 0) -> DataFrame:
     """(file, seqid, start, end) with starts from 0, behind three header lines of each file."""
     p = F.split(F.trim("value"), r"\s+")
     at = lambda k: F.get(p, F.lit(k))
-    found = rows.where("n >= 3").select("file", at(4).alias("seqid"), (at(5).try_cast("long") - 1).alias("start"), at(6).try_cast("long").alias("end"))
+    found = rows.where("n >= 3").select(*carried(rows), "file", at(4).alias("seqid"), (at(5).try_cast("long") - 1).alias("start"), at(6).try_cast("long").alias("end"))
     return found.where((F.col("end") - F.col("start") >= min_length) & (F.col("end") > F.col("start")))
 
 
@@ -79,13 +79,14 @@ def s08(genes):
 def parse_emapper(rows: DataFrame, order: list | None = None) -> DataFrame:
     """Orthology annotations of at least 12 fields; the last row of a query wins (by ``order``)."""
     found = rows.where(~F.trim("value").startswith("#") & (F.size(F.split("value", "\t")) >= 12))
+    keys = carried(rows)
     out = found.select(
-        _tabs(0).alias("query"), _tabs(4).alias("og"), _tabs(6).alias("cog"), _tabs(7).alias("description"), _tabs(8).alias("name"), _list(_tabs(9)).alias("go"), _list(_tabs(12)).alias("kegg"),
+        *keys, _tabs(0).alias("query"), _tabs(4).alias("og"), _tabs(6).alias("cog"), _tabs(7).alias("description"), _tabs(8).alias("name"), _list(_tabs(9)).alias("go"), _list(_tabs(12)).alias("kegg"),
         *[F.col(c).alias(f"_{k}") for k, c in enumerate(order or [])],
     )
     if not order:
         return out
-    w = Window.partitionBy("query").orderBy(*[F.desc(f"_{k}") for k in range(len(order))])
+    w = Window.partitionBy(*keys, "query").orderBy(*[F.desc(f"_{k}") for k in range(len(order))])
     return out.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", *[f"_{k}" for k in range(len(order))])
 
 
@@ -104,9 +105,10 @@ def s14(hits):
 def parse_dbcan(rows: DataFrame) -> DataFrame:
     """(gene, family, method): one row for each family that a method names; ranges in brackets are cut off."""
     kept = rows.where(~F.col("value").rlike(r"^(#|Gene ID|\s*$)") & (F.size(F.split("value", "\t")) >= 4))
-    wide = kept.select(_tabs(0).alias("gene"), F.explode(F.array(*[F.struct(F.lit(m).alias("method"), _tabs(k).alias("cell")) for k, m in enumerate(("HMMER", "Hotpep", "DIAMOND"), 1)])).alias("x"))
-    parts = wide.where("x.cell <> '-'").select("gene", "x.method", F.explode(F.split("x.cell", r"\+")).alias("part"))
-    return parts.select("gene", F.trim(F.substring_index("part", "(", 1)).alias("family"), "method").where("family <> ''")
+    keys = carried(rows)
+    wide = kept.select(*keys, _tabs(0).alias("gene"), F.explode(F.array(*[F.struct(F.lit(m).alias("method"), _tabs(k).alias("cell")) for k, m in enumerate(("HMMER", "Hotpep", "DIAMOND"), 1)])).alias("x"))
+    parts = wide.where("x.cell <> '-'").select(*keys, "gene", "x.method", F.explode(F.split("x.cell", r"\+")).alias("part"))
+    return parts.select(*keys, "gene", F.trim(F.substring_index("part", "(", 1)).alias("family"), "method").where("family <> ''")
 
 
 @query("S16_read_dbcan_overview", "fx_hits", """SELECT query AS gene, concat('GH', CAST(partkey % 120 AS VARCHAR)) AS family, 'HMMER' AS method FROM fx_hits UNION ALL SELECT query, 'CBM1', 'HMMER' FROM fx_hits
@@ -129,7 +131,7 @@ def parse_trnascan(rows: DataFrame, carry: list[str] | None = None) -> DataFrame
     note = F.array_join(F.slice(p, F.lit(10), F.greatest(F.size(p) - 9, F.lit(0))), " ")
     intron = (num(6) > 0) & (num(7) > 0)
     return kept.select(
-        *(carry or []), at(0).alias("seqid"), F.least(num(2), num(3)).alias("start"), F.greatest(num(2), num(3)).alias("end"), F.when(num(2) > num(3), "-").otherwise("+").alias("strand"),
+        *carried(rows), *(carry or []), at(0).alias("seqid"), F.least(num(2), num(3)).alias("start"), F.greatest(num(2), num(3)).alias("end"), F.when(num(2) > num(3), "-").otherwise("+").alias("strand"),
         at(4).alias("amino_acid"), at(5).alias("anticodon"), F.when(intron, F.least(num(6), num(7))).alias("intron_start"), F.when(intron, F.greatest(num(6), num(7))).alias("intron_end"),
         F.coalesce(at(8).try_cast("double"), F.lit(0.0)).alias("score"), (at(4).isin("Pseudo", "Undet") | F.contains(note, F.lit("pseudo"))).alias("pseudo"),
     )
@@ -176,7 +178,7 @@ def parse_busco(rows: DataFrame) -> DataFrame:
     """(busco, seqid, start, end) of complete genes in a full table, with bounds in order."""
     kept = rows.where(~F.trim("value").rlike("^(#|$)") & (_tabs(1) == "Complete"))
     a, b = _tabs(3).try_cast("long"), _tabs(4).try_cast("long")
-    return kept.select(_tabs(0).alias("busco"), _tabs(2).alias("seqid"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end")).where((F.col("seqid") != "") & a.isNotNull() & b.isNotNull() & (F.least(a, b) > 0))
+    return kept.select(*carried(rows), _tabs(0).alias("busco"), _tabs(2).alias("seqid"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end")).where((F.col("seqid") != "") & a.isNotNull() & b.isNotNull() & (F.least(a, b) > 0))
 
 
 def parse_busco_line(line: Column) -> Column:
@@ -205,8 +207,9 @@ def check_sheet(rows: DataFrame, columns: list[str]) -> DataFrame:
     known = ("sample_id", "fastq_r1", "fastq_r2", "strandedness")
     cell = lambda c: F.nullif(F.trim(F.get("cells", F.lit(columns.index(c)))), F.lit("")) if c in columns else F.lit(None).cast("string")
     extra = [x for c in columns if c not in known for x in (F.lit(c), F.coalesce(cell(c), F.lit("")))]
-    sheet = rows.select("n", *[cell(c).alias(c) for c in known], (F.create_map(*extra) if extra else F.create_map().cast("map<string,string>")).alias("extra"), F.size("cells").alias("_w"))
-    seen = F.count("*").over(Window.partitionBy("sample_id"))
+    keys = carried(rows)
+    sheet = rows.select(*keys, "n", *[cell(c).alias(c) for c in known], (F.create_map(*extra) if extra else F.create_map().cast("map<string,string>")).alias("extra"), F.size("cells").alias("_w"))
+    seen = F.count("*").over(Window.partitionBy(*keys, "sample_id"))
     bad = (
         F.when(F.col("_w") > len(columns), "more cells than columns").when(F.col("sample_id").isNull(), "no sample_id").when(~F.col("sample_id").rlike(r"^[A-Za-z0-9._-]+$"), "bad character in sample_id")
         .when(F.col("_seen") > 1, "sample_id twice").when(~F.coalesce("strandedness", F.lit("unstranded")).isin("unstranded", "forward", "reverse", "auto"), "unknown strandedness")
@@ -217,7 +220,7 @@ def check_sheet(rows: DataFrame, columns: list[str]) -> DataFrame:
 def parse_sheet(rows: DataFrame, header: str) -> DataFrame:
     """A tab-separated sample sheet; blank lines and those with ``#`` are passed over."""
     kept = rows.where(~F.trim("value").rlike("^(#|$)") & (F.col("value") != header))
-    return check_sheet(kept.select("n", F.split("value", "\t").alias("cells")), header.split("\t"))
+    return check_sheet(kept.select(*carried(rows), "n", F.split("value", "\t").alias("cells")), header.split("\t"))
 
 
 @query("S23_read_sample_sheet", "fx_runs", """SELECT sample_id, extra, CASE WHEN pos % 50 = 0 THEN concat('line ', CAST(pos + 1 AS VARCHAR), ': bad character in sample_id') WHEN pos % 31 = 0 THEN concat('line ', CAST(pos + 1 AS VARCHAR), ': more cells than columns')
@@ -233,9 +236,10 @@ def s23(runs):
 def parse_runs(rows: DataFrame) -> DataFrame:
     """(run, k, url, md5, paired) for each file of a run; runs without files are left out, unpaired lists are an error."""
     urls, sums = _list(_tabs(1), ";"), _list(_tabs(2), ";")
-    one = rows.select(_tabs(0).alias("run"), urls.alias("urls"), F.when(F.size(urls) != F.size(sums), F.raise_error(F.concat(F.lit("run with unequal lists: "), _tabs(0))).cast("array<string>")).otherwise(sums).alias("sums"))
-    files = one.where(F.size("urls") > 0).select("run", (F.size("urls") > 1).alias("paired"), F.posexplode(F.arrays_zip("urls", "sums")).alias("k", "x"))
-    return files.select("run", "k", F.col("x.urls").alias("url"), F.col("x.sums").alias("md5"), "paired")
+    keys = carried(rows)
+    one = rows.select(*keys, _tabs(0).alias("run"), urls.alias("urls"), F.when(F.size(urls) != F.size(sums), F.raise_error(F.concat(F.lit("run with unequal lists: "), _tabs(0))).cast("array<string>")).otherwise(sums).alias("sums"))
+    files = one.where(F.size("urls") > 0).select(*keys, "run", (F.size("urls") > 1).alias("paired"), F.posexplode(F.arrays_zip("urls", "sums")).alias("k", "x"))
+    return files.select(*keys, "run", "k", F.col("x.urls").alias("url"), F.col("x.sums").alias("md5"), "paired")
 
 
 @query("S24_read_run_report", "fx_runs", """SELECT concat('R', CAST(pos AS VARCHAR)) AS run, k, concat('ftp/', CAST(pos AS VARCHAR), '_', CAST(k AS VARCHAR)) AS url, concat('m', CAST(k AS VARCHAR)) AS md5, pos % 3 = 2 AS paired
@@ -258,9 +262,3 @@ def j14(quant):
     asked = quant.sparkSession.createDataFrame([("condition", x) for x in ("control", "treated", "knockout")], "factor string, level string")
     absent = missing_levels(sheet, asked).withColumn("missing", F.lit(True))
     return asked.join(absent, ["factor", "level"], "left").select("factor", "level", F.coalesce("missing", F.lit(False)).alias("missing"))
-
-
-READERS = {
-    "fastq": reader(parse_fastq, by_place=True), "repeatmasker": reader(parse_repeatmasker, by_place=True), "emapper": lambda spark, path: parse_emapper(reader(lambda x: x, by_place=True)(spark, path), ["file", "n"]),
-    "dbcan": reader(parse_dbcan), "trnascan": reader(parse_trnascan), "busco": reader(parse_busco), "run_report": reader(parse_runs),
-}

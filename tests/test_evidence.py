@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from annotspark.operators import graph
-from annotspark.plans import evidence, outputs, readers, statistics
+from annotspark.plans import evidence, outputs, paths, readers, statistics
 from annotspark.sources import numbered_lines
 
 FEATURES = "parent string, type string, f_start long, f_end long, strand string"
@@ -167,13 +167,13 @@ def test_contrast_finds_what_changed(spark):
 def test_files_are_read_by_place(spark, tmp_path):
     (tmp_path / "a.fq").write_text("@r1 x\nACGT\n+\nIIII\n@r2\nAC\n+\nI\n")
     (tmp_path / "b.fq").write_text("".join(f"@q{k}\nAC\n+\nIJ\n" for k in range(3000)))
-    rows = {r["id"]: (r["seq"], r["quality"], r["_error"] is None) for r in readers.READERS["fastq"](spark, str(tmp_path)).collect()}
+    rows = {r["id"]: (r["seq"], r["quality"], r["_error"] is None) for r in paths.READERS["fastq"](spark, str(tmp_path)).collect()}
     assert rows["r1"] == ("ACGT", [40] * 4, True) and not rows["r2"][2] and rows["q2999"] == ("AC", [40, 41], True) and len(rows) == 3002
     lines = numbered_lines(spark, str(tmp_path / "b.fq")).orderBy("n").collect()
     assert [r["n"] for r in lines] == list(range(12000)) and lines[4]["value"] == "@q1"
     (tmp_path / "rm").mkdir()
     (tmp_path / "rm" / "x.out").write_text("h\nh\n\n 1 2 3 4 c1 11 20 (0) C x y\n 1 2 3 4 c2 5 6 (0) C x y\n")
-    assert [(r["seqid"], r["start"], r["end"]) for r in readers.READERS["repeatmasker"](spark, str(tmp_path / "rm")).where("end - start > 5").collect()] == [("c1", 10, 20)]
+    assert [(r["seqid"], r["start"], r["end"]) for r in paths.READERS["repeatmasker"](spark, str(tmp_path / "rm")).where("end - start > 5").collect()] == [("c1", 10, 20)]
 
 
 def test_sheet_and_reports_say_what_is_wrong(spark):
