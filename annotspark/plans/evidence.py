@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from annotspark.operators import consensus
 from annotspark.operators import intervals as iv
 from annotspark.plans.features import PADDED, number_loci
-from annotspark.plans.formats import TILE, _SPLICED, orf_status, spliced, tiles
-from annotspark.plans.intervals import WON
+from annotspark.plans.formats import TILE, _ORF, _SPLICED, orf_status, spliced, tiles
+from annotspark.plans.intervals import PARTS, SUPPORTED
 from annotspark.registry import query
 from annotspark.tables import written
 
@@ -252,35 +252,73 @@ def children(models: DataFrame, segs: DataFrame) -> DataFrame:
     return rows.withColumn("type", kind)
 
 
-def predict_merge(genes: DataFrame, segs: DataFrame, contigs: DataFrame, prefix: str = "LOC_", least: int = 1, single_least: int = 1, rescue: float | None = None, whole_orfs: bool = False, max_gap: int | None = None, min_part: int = 90, threshold: float | None = None) -> DataFrame:
-    """The gene set of competing models: consensus, support and ORF gates, gaps split, repeats, numbers in genome order, child rows.
+#: States of a coding sequence in which a model stays, where whole ones are asked for.
+WHOLE = ("Complete",)
 
-    Tables that several steps read are written once.
+
+def predict_merge(
+    genes: DataFrame, segs: DataFrame, contigs: DataFrame, prefix: str = "LOC_", least: int = 1, single_least: int = 1, rescue: float | None = None, orfs: tuple | None = None,
+    max_gap: int | None = None, min_part: int = 90, repeats: bool = True, threshold: float | None = None, stops: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The gene set of competing models: (rows, dropped).
+
+    In this order: one winner a locus, by agreement; support; coding sequences in one of the states ``orfs`` (a model on a
+    contig without sequence is told by its length); models cut at gaps over ``max_gap``; coding bases in repeats; numbers
+    in genome order; stop codons (gid, f_start, f_end) flush behind a model's 3' end taken into it; child rows.
+    ``rows`` are those of :func:`children`, ``gid`` being the model's with a part's number behind it.  ``dropped`` has gid
+    and the reason for each winner, or part of one, that isn't among them.  Tables that several steps read are written once.
     """
     genes, segs = written(genes, "models"), written(segs, "segments")
     pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")
     models = written(consensus.scored(genes, segs, pairs=pairs), "scored")
-    kept = consensus.support_filter(consensus.support(models, consensus.winners(models), segs, pairs=pairs), least, single_least, rescue).where("kept").select("gid", "seqid", "strand")
-    own = segs.join(kept.select("gid"), "gid", "left_semi").select("gid", "seqid", "strand", "seg_start", "seg_end")
-    if whole_orfs:
-        fine = spliced(own, contigs).where(orf_status(F.col("cds")) == "Complete").select("gid")
-        own = own.join(fine, "gid", "left_semi")
+    judged = written(consensus.support_filter(consensus.support(models, consensus.winners(models), segs, pairs=pairs), least, single_least, rescue).select("gid", "kept", "reason"), "judged")
+    name = F.col("gid").cast("string").alias("gid")
+    dropped = judged.where("NOT kept").select(name, "reason")
+    own = segs.join(judged.where("kept").select("gid"), "gid", "left_semi").select("gid", "seqid", "strand", "seg_start", "seg_end")
+    if orfs is not None:
+        length = own.groupBy("gid").agg(F.sum(F.col("seg_end") - F.col("seg_start") + 1).alias("_n"))
+        told = length.join(spliced(own, contigs).select("gid", "cds"), "gid", "left").withColumn("state", orf_status(F.col("cds")))
+        fine = F.col("state").isin(*orfs) | (F.col("state") == "Unverifiable") & (F.col("_n") % 3 == 0)
+        told = written(told.select("gid", "state", fine.alias("fine")), "orfs")
+        dropped = dropped.unionByName(told.where("NOT fine").select(name, F.concat(F.lit("orf_"), "state").alias("reason")))
+        own = own.join(told.where("fine").select("gid"), "gid", "left_semi")
+    own = own.withColumn("model", F.col("gid"))
     if max_gap is not None:
         own = iv.split_gaps(own, "gid", "seg_start", "seg_end", max_gap, min_part)
         own = own.withColumn("gid", F.concat_ws(".", F.col("gid").cast("string"), F.when(F.col("part") > 0, F.col("part").cast("string")))).drop("part")
-    own = written(own, "kept")
-    spans = own.groupBy("gid", "seqid", "strand").agg(F.min("seg_start").alias("g_start"), F.max("seg_end").alias("g_end"))
-    clean = repeat_filter(spans, own, contigs, threshold)
-    named = number_loci(clean, prefix)
-    return children(named, own)
-
-
-@query("C06_predict_merge", "fx_gene fx_cds fx_ctg", f"""WITH f AS ({_FRACTION}), b AS (SELECT 0.9 - 0.4 * (least(greatest(sum({_LOW('length(seq)')}) / CAST(sum(length(seq)) AS DOUBLE), 0.1), 0.4) - 0.1) / 0.3 AS bar FROM fx_ctg),
-k AS (SELECT w.gid, row_number() OVER (ORDER BY g.seqid, g.g_start, g.gid) AS n FROM ({WON}) w JOIN fx_gene g ON g.gid = w.gid LEFT JOIN f ON f.gid = w.gid, b WHERE coalesce(fraction, 0) <= bar)
-SELECT concat('LOC_', {PADDED.format('n')}) AS locus, c.seqid, c.strand, min(seg_start) AS g_start, max(seg_end) AS g_end, count(*) AS exons FROM k JOIN fx_cds c ON c.gid = k.gid GROUP BY n, c.seqid, c.strand""")
+    own = written(own.withColumn("gid", F.col("gid").cast("string")), "kept")
+    spans = written(own.groupBy("gid", "model", "seqid", "strand").agg(F.min("seg_start").alias("g_start"), F.max("seg_end").alias("g_end")), "spans")
+    clean = written(repeat_filter(spans, own, contigs, threshold), "clean") if repeats else spans
+    dropped = dropped.unionByName(spans.join(clean.select("gid"), "gid", "left_anti").select("gid", F.lit("repeats").alias("reason")))
+    named = number_loci(clean, prefix).select("gid", "locus_tag")
+    if stops is not None:
+        coding = own.select("gid", "model", "seqid", "strand", F.lit("CDS").alias("type"), F.col("seg_start").alias("f_start"), F.col("seg_end").alias("f_end"))
+        ends = spans.select("gid", "model", "seqid", "strand").join(stops.select(F.col("gid").alias("model"), F.lit("stop_codon").alias("type"), "f_start", "f_end"), "model")
+        folded = fold_stop_codons(coding.unionByName(ends), "gid").where("type = 'CDS'")
+        own = folded.select("gid", "seqid", "strand", F.col("f_start").alias("seg_start"), F.col("f_end").alias("seg_end"))
+    return children(named, own.select("gid", "seqid", "strand", "seg_start", "seg_end")), dropped
+
+
+#: States that the query lets pass: in the views' sequences hardly a model is whole.
+_STATES = ("Complete", "NoStart", "NoStop", "InternalStop")
+_MERGE = f"""{SUPPORTED}, o AS (SELECT gid, {_ORF} AS state FROM ({_SPLICED})),
+q AS (SELECT k.gid, k.kept, CASE WHEN k.n_seg = 1 THEN 'single_exon_ab_initio' ELSE 'low_support' END AS why, state FROM k LEFT JOIN o ON o.gid = k.gid),
+x AS (SELECT concat_ws('.', CAST(p.gid AS VARCHAR), CASE WHEN part > 0 THEN CAST(part AS VARCHAR) END) AS name, p.gid, p.seqid, p.strand, seg_start, seg_end FROM ({PARTS}) p JOIN q ON q.gid = p.gid WHERE kept AND state <> 'BadLength'),
+fr AS (SELECT name, sum({_LOW('least(seg_end, 8000)')} - {_LOW('least(seg_start - 1, 8000)')}) / CAST(sum(seg_end - seg_start + 1) AS DOUBLE) AS fraction FROM x GROUP BY name),
+bar AS (SELECT 0.9 - 0.4 * (least(greatest(sum({_LOW('length(seq)')}) / CAST(sum(length(seq)) AS DOUBLE), 0.1), 0.4) - 0.1) / 0.3 AS bar FROM fx_ctg),
+sp AS (SELECT x.name, x.gid, x.seqid, x.strand, min(seg_start) AS s, max(seg_end) AS e, count(*) AS exons FROM x GROUP BY 1, 2, 3, 4),
+y AS (SELECT sp.*, row_number() OVER (ORDER BY sp.seqid, s, sp.name) AS n FROM sp JOIN fr ON fr.name = sp.name, bar WHERE fraction <= bar.bar)"""
+
+
+@query("C06_predict_merge", "fx_gene fx_cds fx_ctg", f"""WITH {_MERGE} SELECT name AS gid, 'kept' AS reason, concat('LOC_', {PADDED.format('n')}) AS locus, y.seqid, y.strand,
+s - CASE WHEN y.strand = '-' AND y.gid % 2 = 0 AND y.gid % 6 <> 0 AND s = g_start THEN 3 ELSE 0 END AS g_start, e + CASE WHEN y.strand = '+' AND y.gid % 2 = 0 AND y.gid % 6 <> 0 AND e = g_end THEN 3 ELSE 0 END AS g_end, exons FROM y JOIN fx_gene g ON g.gid = y.gid
+UNION ALL SELECT CAST(gid AS VARCHAR), CASE WHEN NOT kept THEN why ELSE 'orf_BadLength' END, NULL, NULL, NULL, NULL, NULL, NULL FROM q WHERE NOT kept OR state = 'BadLength'
+UNION ALL SELECT name, 'repeats', NULL, NULL, NULL, NULL, NULL, NULL FROM sp WHERE name NOT IN (SELECT name FROM y)""")
 def c06(genes, segs, contigs):
-    known = contigs.select("seqid")
-    rows = predict_merge(genes, segs, _masked(contigs).join(known, "seqid", "left_semi"))
-    locus = F.substring_index("parent", "-T1", 1)
-    exons = rows.where("type = 'exon'").groupBy(locus.alias("locus"), "seqid", "strand").agg(F.count("*").alias("exons"))
-    return rows.where("type = 'gene'").select(F.col("id").alias("locus"), "seqid", "strand", F.col("f_start").alias("g_start"), F.col("f_end").alias("g_end")).join(exons, ["locus", "seqid", "strand"])
+    """All steps on: support with a rescue, reading frames, gaps, repeats, and stop codons behind every second model."""
+    stops = _with_stops(genes, segs).where("type = 'stop_codon'").select("gid", "f_start", "f_end")
+    rows, dropped = predict_merge(genes, segs, _masked(contigs), single_least=2, rescue=12, orfs=_STATES, max_gap=130, min_part=80, stops=stops)
+    rows = written(rows.where("type IN ('gene', 'exon')").select("gid", "type", "seqid", "strand", "f_start", "f_end", "id"), "rows")
+    exons = rows.where("type = 'exon'").groupBy("gid").agg(F.count("*").alias("exons"))
+    kept = rows.where("type = 'gene'").select("gid", F.lit("kept").alias("reason"), F.col("id").alias("locus"), "seqid", "strand", F.col("f_start").alias("g_start"), F.col("f_end").alias("g_end")).join(exons, "gid")
+    return kept.unionByName(dropped, allowMissingColumns=True)

@@ -191,13 +191,18 @@ def padded(number, digits: int = 6):
 
 
 def number_loci(genes: DataFrame, prefix: str = "LOC_", first: int = 1) -> DataFrame:
-    """Genes with ``n`` in genome order from ``first``, and the ``locus_tag`` made of it."""
+    """Genes with ``n`` in genome order from ``first``, and the ``locus_tag`` made of it.
+
+    All numbers have as many digits as the last one, six at least.
+    """
     named = numbered(genes, [F.asc("seqid"), F.asc("g_start"), F.asc("gid")], "n").withColumn("n", F.col("n") + (first - 1))
-    return named.withColumn("locus_tag", F.concat(F.lit(prefix), padded(F.col("n"))))
+    digits = genes.agg(F.greatest(F.lit(6), F.length((F.count("*") + (first - 1)).cast("string"))).alias("_digits"))
+    tag = F.concat(F.lit(prefix), F.lpad(F.col("n").cast("string"), F.col("_digits"), F.lit("0")))
+    return named.crossJoin(F.broadcast(digits)).withColumn("locus_tag", tag).drop("_digits")  # one row
 
 
-#: DuckDB's text of a number with at least six digits.
-PADDED = "lpad(CAST({0} AS VARCHAR), CAST(greatest(6, length(CAST({0} AS VARCHAR))) AS INTEGER), '0')"
+#: DuckDB's text of a number with as many digits as the greatest one, six at least.
+PADDED = "lpad(CAST({0} AS VARCHAR), CAST(greatest(6, length(CAST(max({0}) OVER () AS VARCHAR))) AS INTEGER), '0')"
 
 
 @query("W05_number_loci", "fx_gene", f"SELECT gid, concat('LOC_', {PADDED.format('n')}) AS locus_tag FROM (SELECT gid, 995000 + row_number() OVER (ORDER BY seqid, g_start, gid) AS n FROM fx_gene)")

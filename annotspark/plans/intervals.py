@@ -126,11 +126,15 @@ def c01(genes, segs):
     return best.select("gid", "seqid", "strand", "source", "locus", F.round("score", 6).alias("score"))
 
 
-@query("C02_consensus_support_filter", "fx_gene fx_cds", f"""WITH w AS ({WON}), m AS (SELECT p.a AS gid, g.source FROM ({PAIR_BP}) p JOIN w ON w.gid = p.a JOIN fx_gene g ON g.gid = p.b
+#: Winners with their support, and whether they stay.
+SUPPORTED = f"""w AS ({WON}), m AS (SELECT p.a AS gid, g.source FROM ({PAIR_BP}) p JOIN w ON w.gid = p.a JOIN fx_gene g ON g.gid = p.b
   UNION ALL SELECT gid, source FROM w),
 s AS (SELECT gid, count(DISTINCT source) AS support, bool_and(source IN ('augustus', 'snap', 'genemark', 'glimmerhmm')) AS ab FROM m GROUP BY gid),
-k AS (SELECT w.gid, s.support, n_seg, (s.support >= CASE WHEN n_seg = 1 AND ab THEN 2 ELSE 1 END OR score >= 12) AS kept FROM w JOIN s ON s.gid = w.gid)
-SELECT gid, support, kept, CASE WHEN kept THEN 'kept' WHEN n_seg = 1 THEN 'single_exon_ab_initio' ELSE 'low_support' END AS reason FROM k""")
+k AS (SELECT w.gid, s.support, n_seg, (s.support >= CASE WHEN n_seg = 1 AND ab THEN 2 ELSE 1 END OR score >= 12) AS kept FROM w JOIN s ON s.gid = w.gid)"""
+
+
+@query("C02_consensus_support_filter", "fx_gene fx_cds", f"""WITH {SUPPORTED}
+SELECT gid, support, kept, CASE WHEN kept THEN 'kept' WHEN n_seg = 1 THEN 'single_exon_ab_initio' ELSE 'low_support' END AS reason FROM k""")
 def c02(genes, segs):
     genes, segs = written(genes, "models"), written(segs, "segments")  # several steps read them
     pairs = written(iv.jaccard(segs, "gid", consensus.KEYS, "seg_start", "seg_end"), "pairs")

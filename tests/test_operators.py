@@ -166,4 +166,5 @@ def test_clusters_over_tiles(spark):
 
 def test_locus_tags_beyond_a_million(spark):
     genes = spark.createDataFrame([("c", k, k) for k in range(1, 4)], "seqid string, g_start long, gid long")
-    assert [r["locus_tag"] for r in features.number_loci(genes, first=999_999).orderBy("gid").collect()] == ["LOC_999999", "LOC_1000000", "LOC_1000001"]
+    assert [r["locus_tag"] for r in features.number_loci(genes, first=999_999).orderBy("gid").collect()] == ["LOC_0999999", "LOC_1000000", "LOC_1000001"]
+    assert [r["locus_tag"] for r in features.number_loci(genes).orderBy("gid").collect()] == ["LOC_000001", "LOC_000002", "LOC_000003"]
