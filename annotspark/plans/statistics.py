@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +37,91 @@ def _total(first: Column, last: Column, term) -> Column:
     return F.when(first > last, 0.0).otherwise(F.aggregate(F.sequence(first.cast("int"), last.cast("int")), F.lit(0.0), lambda t, k: t + term(k.cast("double"))))
 
 
+def _log_factorial_rest(n):
+    """What Stirling's formula lacks of log(n!), for an array."""
+    small = np.array([0.0] + [math.lgamma(k + 1) - (k + 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi) for k in range(1, 17)])
+    m = np.maximum(n, 1.0)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - (1 / 1680 - 1 / 1188 / m**2) / m**2) / m**2) / m**2) / m
+    whole = (n <= 16) & (n == np.floor(n))
+    return np.where(whole, small[np.clip(n, 0, 16).astype(int)], series)
+
+
+def _deviance(x, m):
+    """x log(x / m) + m - x, by a series where x and m are close and the terms would cancel."""
+    v = (x - m) / (x + m)
+    odd = sum(v ** (2 * j + 1) / (2 * j + 1) for j in range(1, 12))
+    return np.where(np.abs(v) < 0.1, (x - m) * v + 2 * x * odd, x * np.log(x / m) + m - x)
+
+
+def binomial_density(k, n, p):
+    """The probability of k successes among n, element by element, without the cancellation of large logarithms."""
+    k, n, p = (np.asarray(x, dtype=float) for x in (k, n, p))
+    inside = (k > 0) & (k < n)
+    a = np.where(inside, k, 0.5)
+    b = np.where(inside, n - k, 0.5)
+    m = np.where(inside, n, 1.0)
+    rest = _log_factorial_rest(m) - _log_factorial_rest(a) - _log_factorial_rest(b) - _deviance(a, m * p) - _deviance(b, m * (1 - p))
+    ends = np.where(k == 0, n * np.log1p(-p), np.where(k == n, n * np.log(p), -np.inf))
+    return np.where(inside, np.exp(rest) * np.sqrt(m / (2 * math.pi * a * b)), np.exp(ends))
+
+
+def incomplete_beta(a, b, x):
+    """The regularised incomplete beta function of whole a and b by its continued fraction; all elements go on until the last has
+    settled, in about the root of a + b steps."""
+    other = x >= (a + 1) / (a + b + 2)
+    a, b, x = np.where(other, b, a), np.where(other, a, b), np.where(other, 1 - x, x)
+    off = lambda v: np.where(np.abs(v) < 1e-300, 1e-300, v)
+    c, d = np.ones_like(a), 1 / off(1 - (a + b) * x / (a + 1))
+    h = d.copy()
+    for m in range(1, int(100 + 20 * math.sqrt(float((a + b).max(initial=0.0))))):
+        before = h
+        for factor in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            c, d = off(1 + factor / c), 1 / off(1 + factor * d)
+            h = h * c * d
+        if np.all(np.abs(h - before) <= 1e-15 * np.abs(h)):
+            break
+    tail = binomial_density(a, a + b, x) * b / (a + b) * h
+    return np.where(other, 1 - tail, tail)
+
+
+def _two_sided(k, n, p):
+    """The probabilities of all outcomes at most as likely as k (but for rounding).
+
+    The outcomes beyond the seen one are one tail.  Those on the other side of the likeliest outcome are another, that
+    begins where bisection finds the first one as unlikely.
+    """
+    mode = np.clip(np.floor((n + 1) * p), 0, n)
+    bar = binomial_density(k, n, p) * (1 + 1e-7)
+    below = k < mode
+    near, far = mode.copy(), np.where(below, n + 1, -1.0)  # what is rare lies farther; outcomes outside count as rare
+    while np.any(np.abs(far - near) > 1):
+        at = np.floor((near + far) / 2)
+        rare = binomial_density(np.clip(at, 0, n), n, p) <= bar
+        near, far = np.where(rare | (np.abs(far - near) <= 1), near, at), np.where(rare & (np.abs(far - near) > 1), at, far)
+    upper = lambda j: np.where(j > n, 0.0, np.where(j <= 0, 1.0, incomplete_beta(np.clip(j, 1, None), np.clip(n - j + 1, 1, None), p)))
+    lower = lambda j: np.where(j < 0, 0.0, np.where(j >= n, 1.0, incomplete_beta(np.clip(n - j, 1, None), np.clip(j + 1, 1, None), 1 - p)))
+    both = lower(np.where(below, k, far)) + upper(np.where(below, far, k))
+    # the likeliest outcome is no rarer than any: all are counted
+    return np.where(binomial_density(mode, n, p) <= bar, 1.0, np.minimum(1.0, both))
+
+
 def binomial_test(hits: Column, total: Column, p: Column) -> Column:
-    """Two-sided exact binomial test: all outcomes at most as likely as the one seen (but for rounding)."""
-    density = lambda k: F.exp(_choose(total.cast("double"), k) + F.when(k == 0, 0.0).otherwise(k * F.log(p)) + F.when(k == total, 0.0).otherwise((total - k) * F.log(1 - p)))
-    seen = density(hits.cast("double"))
-    rare = lambda k: F.when(density(k) <= seen * (1 + 1e-7), density(k)).otherwise(0.0)
-    exact = F.when(p <= 0, F.when(hits == 0, 1.0).otherwise(0.0)).when(p >= 1, F.when(hits == total, 1.0).otherwise(0.0))
-    return exact.otherwise(F.least(F.lit(1.0), _total(F.lit(0), total, rare)))
+    """Two-sided exact binomial test, batch by batch: its iterations end when they have settled, which expressions can't."""
+    @F.pandas_udf("double")
+    def test(hits: pd.Series, total: pd.Series, p: pd.Series) -> pd.Series:
+        k, n, x = (c.to_numpy(dtype=float) for c in (hits, total, p))
+        out = np.full(len(k), np.nan)
+        known = ~(np.isnan(k) | np.isnan(n) | np.isnan(x))
+        out[known & (x <= 0)] = (k == 0)[known & (x <= 0)]
+        out[known & (x >= 1)] = (k == n)[known & (x >= 1)]
+        out[known & (n <= 0)] = 1.0
+        some = known & (x > 0) & (x < 1) & (n > 0)
+        if some.any():
+            with np.errstate(all="ignore"):
+                out[some] = _two_sided(k[some], n[some], x[some])
+        return pd.Series(out).where(known)
+
+    return test(hits, total, p)
 
 
 def upper_tail(both: Column, row: Column, column: Column, total: Column) -> Column:

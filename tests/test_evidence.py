@@ -193,3 +193,16 @@ def test_manifest_digests(spark):
     rows = {r["file"]: r for r in outputs.file_manifest(spark, path, ["region", "nation"]).collect()}
     raw = open(f"{path}/nation.parquet", "rb").read()
     assert rows["nation.parquet"]["sha256"] == hashlib.sha256(raw).hexdigest() and rows["nation.parquet"]["rows"] == 25 and rows["region.parquet"]["bytes"] > 0
+
+
+def test_binomial_tails_of_many_reads(spark):
+    """Against sums over all outcomes, and in ten million reads against the normal tail that they come close to."""
+    rng = random.Random(3)
+    rows = [(rng.randint(0, n), n, rng.choice([0.5, 0.3, 0.07, 0.4999])) for n in (1, 2, 3, 10, 17, 100, 333, 1000) for _ in range(3)] + [(0, 0, 0.5), (15, 30, 0.5), (5_003_000, 10_000_000, 0.5), (4_996_000, 10_000_000, 0.5)]
+    got = [r[0] for r in spark.createDataFrame(rows, "h long, n long, p double").select(statistics.binomial_test(F.col("h"), F.col("n"), F.col("p"))).collect()]
+    for (h, n, p), x in zip(rows[:-2], got):
+        d = [math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)) for k in range(n + 1)]
+        assert abs(x - min(1.0, math.fsum(v for v in d if v <= d[h] * (1 + 1e-7)))) < 1e-9
+    for (h, n, p), x in zip(rows[-2:], got[-2:]):
+        z = (abs(h - n * p) - 0.5) / math.sqrt(n * p * (1 - p))
+        assert abs(x / math.erfc(z / math.sqrt(2)) - 1) < 1e-5
