@@ -45,7 +45,7 @@ COMMON = 1 << 19
 #: Shingles among which a task looks for repeated ones.
 TOGETHER = 1 << 21
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
-CELL = 512
+CELL = 2048
 PIVOTS = 4
 #: Regions of a class by which it is told whether a pair has met before.
 EARLIER = 32
