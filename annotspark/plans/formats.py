@@ -16,11 +16,11 @@ def _or_dot(c) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("."))
 
 
-def to_gff3(features: DataFrame) -> DataFrame:
-    """Nine columns; attributes in key order, empty ones as a dot."""
+def to_gff3(features: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Nine columns; attributes in key order, empty ones as a dot.  Columns in ``keep`` stand before the line."""
     attrs = F.concat_ws(";", F.concat(F.lit("ID="), "id"), F.concat(F.lit("Parent="), "parent"), F.concat(F.lit("locus_tag="), "locus_tag"))
     attrs = F.when(attrs == "", ".").otherwise(attrs)
-    return features.select(F.concat_ws("\t", "seqid", F.lit("annotspark"), "type", F.col("f_start").cast("string"), F.col("f_end").cast("string"), F.lit("."), "strand", _or_dot("phase"), attrs).alias("value"))
+    return features.select(*(keep or []), F.concat_ws("\t", "seqid", F.lit("annotspark"), "type", F.col("f_start").cast("string"), F.col("f_end").cast("string"), F.lit("."), "strand", _or_dot("phase"), attrs).alias("value"))
 
 
 _GFF = """concat_ws(chr(9), seqid, 'annotspark', type, CAST(f_start AS VARCHAR), CAST(f_end AS VARCHAR), '.', strand, coalesce(CAST(phase AS VARCHAR), '.'),
@@ -134,8 +134,8 @@ def parse_vcf(lines: DataFrame, first: bool = True) -> DataFrame:
     )
 
 
-def vcf_lines(variants: DataFrame) -> DataFrame:
-    return variants.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.col("event_id").cast("string"), "ref", "alt", F.lit("."), "filter_tag", F.lit("."), F.lit("GT"), "gt").alias("value"))
+def vcf_lines(variants: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return variants.select(*(keep or []), F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.col("event_id").cast("string"), "ref", "alt", F.lit("."), "filter_tag", F.lit("."), F.lit("GT"), "gt").alias("value"))
 
 
 @query("S05_read_vcf", "fx_vcf", f"SELECT chrom, CAST(pos AS BIGINT) AS pos, CAST(event_id AS VARCHAR) AS id, ref, {_ALT} AS alt, filter_tag AS filter FROM fx_vcf")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from annotspark.fixtures import TABLES
 from annotspark.operators import graph
 from annotspark.operators import intervals as iv
+from annotspark.operators.names import unique_names
 from annotspark.plans.evaluation import KEYS, models
 from annotspark.plans.formats import spliced
 from annotspark.plans.hits import _MERGED, merge_annotations
 from annotspark.plans.sequences import reverse_complement
 from annotspark.registry import QUERIES, query
-from annotspark.tables import let
+from annotspark.tables import let, written
 
 
 def feature_locations(segs: DataFrame) -> DataFrame:
@@ -166,18 +167,19 @@ def c12(hits):
 def repair_qualifiers(rows: DataFrame) -> DataFrame:
     """Qualifiers (record, feature, kind, n, key, value) with ``fix``: what was done to each, null where nothing was.
 
-    Of equal locus tags the second and further ones (by record, feature and place) get their number; a codon start
-    beyond 1 to 3 becomes 1; stars leave translations; coding features without a product are given one.  A numbered
-    tag that stands elsewhere already is numbered once more.
+    Of equal locus tags the second and further ones (by record, feature and place) get the least number that makes them a
+    tag of their own; a codon start beyond 1 to 3 becomes 1; stars leave translations; coding features without a product
+    are given one.  Only locus tags are numbered: what many features share, such as a product, meets nowhere.
     """
-    w = Window.partitionBy("key", "value").orderBy("record", "feature", "n")
-    tag, start, protein = F.col("key") == "locus_tag", F.col("key") == "codon_start", F.col("key") == "translation"
-    out = rows.withColumn("_r", F.row_number().over(w))
-    new = F.when(tag & (F.col("_r") > 1), F.concat_ws("_", "value", F.col("_r").cast("string"))).when(start & ~F.col("value").isin("1", "2", "3"), "1").when(protein, F.replace("value", F.lit("*"), F.lit(""))).otherwise(F.col("value"))
-    fix = F.when(tag & (F.col("_r") > 1), "duplicate_tag").when(start & ~F.col("value").isin("1", "2", "3"), "codon_start").when(protein & F.contains("value", F.lit("*")), "stops")
-    out = out.withColumn("fix", fix).withColumn("value", new)
-    taken = rows.where("key = 'locus_tag'").select(F.lit("locus_tag").alias("key"), F.col("value"), F.lit(True).alias("_taken")).distinct()
-    out = out.join(taken, ["key", "value"], "left").withColumn("value", F.when((F.col("fix") == "duplicate_tag") & F.col("_taken"), F.concat(F.col("value"), F.lit("_2"))).otherwise(F.col("value"))).drop("_r", "_taken")
+    named = F.coalesce(F.col("key") == "locus_tag", F.lit(False))
+    tags = written(rows.where(named).withColumn("_was", F.col("value")), "tags")
+    tags = unique_names(tags, "value", [F.asc("record"), F.asc("feature"), F.asc("n")], mark="_")
+    tags = tags.withColumn("fix", F.when(F.col("value") != F.col("_was"), "duplicate_tag")).drop("_was")
+    start, protein = F.col("key") == "codon_start", F.col("key") == "translation"
+    wrong = start & ~F.col("value").isin("1", "2", "3")
+    fix = F.when(wrong, "codon_start").when(protein & F.contains("value", F.lit("*")), "stops")
+    new = F.when(wrong, "1").when(protein, F.replace("value", F.lit("*"), F.lit(""))).otherwise(F.col("value"))
+    out = rows.where(~named).withColumn("fix", fix).withColumn("value", new).unionByName(tags)
     coding = rows.where("kind = 'CDS'").groupBy("record", "feature", "kind").agg(F.max("n").alias("n"), F.max(F.col("key") == "product").alias("_has")).where("NOT _has")
     added = coding.select("record", "feature", "kind", (F.col("n") + 1).alias("n"), F.lit("product").alias("key"), F.lit("hypothetical protein").alias("value"), F.lit("missing_product").alias("fix"))
     return out.select(*added.columns).unionByName(added)
