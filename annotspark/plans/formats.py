@@ -37,19 +37,22 @@ def parse_gff3(rows: DataFrame) -> DataFrame:
 
     The last of repeated attribute keys wins and pairs without ``=`` are dropped.
     """
-    p = F.split("value", "\t")
-    at = lambda k: F.get(p, F.lit(k))
-    # one entry a key, made of the text of its last pair: what stands behind is looked at once
-    pairs = F.filter(F.split(at(8), ";"), lambda x: F.contains(x, F.lit("=")))
-    key = lambda x: F.trim(F.substring_index(x, "=", 1))
-    value = lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))
-    last = lambda ps: F.filter(ps, lambda x, i: ~F.exists(F.slice(ps, i + 2, F.size(ps)), lambda y: key(y) == key(x)))
-    attrs = F.map_from_entries(F.transform(let(pairs, last), lambda x: F.struct(key(x), value(x))))
+    rows = rows.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("_p", F.split("value", "\t"))
+    at = lambda k: F.get("_p", F.lit(k))
+    # all pairs by one pattern; only where a key comes twice its last pair is looked for
+    pair = F.lit("(?:^|;) *([^;=]*?) *=([^;]*)")
+    rows = rows.withColumn("_k", F.regexp_extract_all(at(8), pair, F.lit(1))).withColumn("_v", F.regexp_extract_all(at(8), pair, F.lit(2)))
+    once = F.size(F.array_distinct("_k")) == F.size("_k")
+    pairs = F.arrays_zip("_k", "_v")
+    last = F.filter(pairs, lambda x, i: ~F.array_contains(F.slice("_k", i + 2, F.size("_k")), x["_k"]))
+    attrs = F.when(once, F.map_from_arrays("_k", "_v")).otherwise(F.map_from_entries(last))
     start, end = at(3).try_cast("long"), at(4).try_cast("long")
-    bad = (F.size(p) != 9) | start.isNull() | end.isNull() | (start > end)
-    rows = rows.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    bad = (F.size("_p") != 9) | start.isNull() | end.isNull() | (start > end)
     strand = F.when(F.length(at(6)) == 1, at(6)).otherwise(".")
-    return rows.select(*carried(rows), at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), start.alias("start"), end.alias("end"), at(5).try_cast("double").alias("score"), strand.alias("strand"), at(7).try_cast("tinyint").alias("phase"), attrs.alias("attrs"), F.when(F.coalesce(bad, F.lit(True)), F.col("value")).alias("_error"))
+    return rows.select(
+        *carried(rows), at(0).alias("seqid"), at(1).alias("source"), at(2).alias("type"), start.alias("start"), end.alias("end"), at(5).try_cast("double").alias("score"), strand.alias("strand"),
+        at(7).try_cast("tinyint").alias("phase"), attrs.alias("attrs"), F.when(F.coalesce(bad, F.lit(True)), F.col("value")).alias("_error"),
+    )
 
 
 def read_gff3(spark, path: str, strict: bool = False) -> DataFrame:
