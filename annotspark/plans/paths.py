@@ -7,11 +7,11 @@ that join, group and order by ids hold genomes apart, and :func:`unscoped` takes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annotspark.plans import formats, hits, more, readers, text
-from annotspark.sources import genome_of, lines, numbered_lines, reader, records
+from annotspark.sources import genome_of, numbered_lines, reader, records
 from annotspark.sources.fasta import SPLIT, TILE, fasta_tiles
 
 
