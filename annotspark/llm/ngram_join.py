@@ -15,7 +15,9 @@ region.  From there on the metric decides:
   whose members the triangle inequality lets it reach.  Cells that are still too large are divided again;
 * in a cell of at most ``CELL`` rows the pairs that the windows of distance, size and place leave are compared exactly.
   A cell that pivots can't make smaller (all its members are about as far from one another) is joined block by block,
-  each of that bounded size, all pairs of blocks together being the whole cell.
+  each of that bounded size, all pairs of blocks together being the whole cell.  A cell with more than ``CROWD`` rows
+  outside its largest component, as of near copies at whose edge its pivot stands, gets ``PIVOTS`` further pivots,
+  ``FURTHER`` times, to which members are linked at one distance each; what other components are left is joined then.
 
 The order of shingles affects cost only.  Shingles that repeat inside a batch of documents are counted over the whole
 corpus; of these the most frequent, by a count from which on there are at most ``COMMON``, go last.
@@ -47,6 +49,9 @@ TOGETHER = 1 << 21
 #: Rows up to which a cell is compared directly, and pivots that divide a larger one.
 CELL = 2048
 PIVOTS = 4
+#: Rows outside its largest component from which on a cell's components are first joined by further pivots, and how often.
+CROWD = 16
+FURTHER = 2
 #: Regions of a class by which it is told whether a pair has met before.
 EARLIER = 32
 #: Bits of a class's parity marks, at least and at most.
@@ -469,10 +474,26 @@ def divide(cells: DataFrame, sets: DataFrame, reach: float) -> tuple[DataFrame,
     radius = placed.where(own).groupBy("key", "cell", "pivot").agg(F.max("far").alias("radius"))
     visits = (F.col("far") <= F.col("near.far") + 2 * reach) & (F.col("far") <= F.col("radius") + reach) & (~F.col("home") | (F.col("pivot") < F.col("near.pivot")))
     out = placed.join(radius, ["key", "cell", "pivot"]).where(own | visits)
-    out = out.select("key", F.xxhash64("cell", "pivot").alias("cell"), "cls", "n", "i", "r", "before", own.alias("home"), F.col("far").alias("low"), F.col("far").alias("high"), F.col("m").alias("above"))
+    out = out.select("key", F.xxhash64("cell", "pivot").alias("cell"), "cls", "n", "i", "r", "before", own.alias("home"), F.col("far").alias("low"), F.col("far").alias("high"), F.col("m").alias("above"), F.lit(0).alias("turn"))
     return written(out, "cells"), found
 
 
+def further_stars(cells: DataFrame, percent: int, reach: float) -> DataFrame:
+    """Pairs of up to ``PIVOTS`` members of each cell with those of other components, as the cell's windows leave them.
+
+    The fewer of a member's first shingles are its own (``i - r``), the nearer it stands to the others, so such members
+    are drawn, one of each part of the cell's by a hash of the class; in the second turn outside the largest component
+    only.  Pairs that have met before are let through, as an earlier cell may have drawn others.
+    """
+    part = F.pmod(F.xxhash64("cls"), F.lit(PIVOTS))
+    draw = [F.min(F.when(part == j, F.struct((F.col("i") - F.col("r")).alias("own"), F.xxhash64("cls").alias("h"), "cls"))).alias(f"p{j}") for j in range(PIVOTS)]
+    picked = cells.where((F.col("turn") == 0) | (F.col("label") != F.col("core"))).groupBy("key", "cell").agg(*draw)
+    picked = picked.select("key", "cell", F.explode(F.array_distinct(F.array(*[F.col(f"p{j}.cls") for j in range(PIVOTS)]))).alias("cls"))
+    pivots = cells.join(picked, ["key", "cell", "cls"]).alias("a")
+    met = pivots.join(cells.alias("b"), [*_same(), _windows(percent, reach, again=True)])
+    return met.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
+
+
 def inside(cells: DataFrame, percent: int, reach: float) -> DataFrame:
     """Pairs of a cell's members of different components that all windows leave.
 
@@ -502,10 +523,12 @@ def _same(*blocks: str) -> list[Column]:
     return [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "cell", *blocks)]
 
 
-def _windows(percent: int, reach: float) -> Column:
-    """Whether two members of a cell may be linked, are in no common component, and meet here first."""
+def _windows(percent: int, reach: float, again: bool = False) -> Column:
+    """Whether two members of a cell may be linked, are in no common component, and meet here first (or ``again``)."""
     triangle = (F.col("a.low") <= F.col("b.high") + reach) & (F.col("b.low") <= F.col("a.high") + reach)
-    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home")) & ~F.arrays_overlap("a.before", "b.before")
+    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.home") | F.col("b.home"))
+    if not again:
+        apart = apart & ~F.arrays_overlap("a.before", "b.before")
     # where marks differ so do the sets, by a shingle each at least
     differ = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(1, 4)), F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))))
     total = F.col("a.n") + F.col("b.n")
@@ -536,23 +559,34 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = bound.join(found.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "far"), ["pivot", "cls"], "left")
     known = known.select("key", "cls", F.coalesce("far", "bound").alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
     # the pivot itself has been compared with all
-    cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", "before", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"))
+    cells = regions.join(known, ["key", "cls"]).select("key", F.lit(0).cast("long").alias("cell"), "cls", "n", "i", "r", "before", F.lit(True).alias("home"), "low", "high", F.lit(None).cast("long").alias("above"), F.lit(0).alias("turn"))
     tried = None
     while True:
         groups = components(links)
         links = joined(groups)  # as few edges as say the same
         left = _open(cells, groups, few)
         whole = (F.col("m") <= CELL) | (2 * F.col("m") > F.coalesce("above", 2 * F.col("m")))
-        here = written(may_link(inside(left.where(whole).drop("above"), percent, reach), marks, percent), "tried")
+        crowded = left.where(whole & (F.col("rest") > CROWD) & (F.col("turn") < FURTHER))
+        settled = left.where(whole & ((F.col("rest") <= CROWD) | (F.col("turn") >= FURTHER)))
+        here = written(may_link(inside(settled.drop("above"), percent, reach), marks, percent), "tried")
         large = left.where(~whole)
         if tried is None:  # all that is left to compare is among these
             discard(sets)
-            sets = sets_of(rows, seen, _ends(here).union(large.select("cls")).distinct(), words)
+            sets = sets_of(rows, seen, reduce(DataFrame.union, [_ends(here), large.select("cls"), crowded.select("cls")]).distinct(), words)
         tried = here if tried is None else tried.union(here)
-        if large.isEmpty():
+        none_large, none_crowded = large.isEmpty(), crowded.isEmpty()
+        if none_large and none_crowded:
             break
-        cells, found = divide(large, sets, reach)
-        links = written(links.union(_linked(found, percent)), "links")
+        again = []
+        if not none_crowded:
+            found = distances(written(may_link(further_stars(crowded, percent, reach), marks, percent), "stars"), sets)
+            links = links.union(_linked(found, percent))
+            again.append(crowded.select(*cells.columns).withColumn("turn", F.col("turn") + 1))
+        if not none_large:
+            cells, found = divide(large, sets, reach)
+            links = links.union(_linked(found, percent))
+            again.append(cells)
+        cells, links = reduce(DataFrame.unionByName, again), written(links, "links")
     links = links.union(_linked(distances(tried, sets), percent))
     groups = components(links)
 
