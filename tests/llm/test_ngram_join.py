@@ -67,7 +67,8 @@ def test_chains_and_shared_passages(spark, monkeypatch):
         k += 1
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    for cell, pivots, common in ((4, 2, 50), (1, 3, 0)):
+    for cell, pivots, common, crowd in ((4, 2, 50, 16), (1, 3, 0, 16), (2048, 2, 0, 1)):
+        monkeypatch.setattr(nj, "CROWD", crowd)
         monkeypatch.setattr(nj, "CELL", cell)
         monkeypatch.setattr(nj, "PIVOTS", pivots)
         monkeypatch.setattr(nj, "COMMON", common)
