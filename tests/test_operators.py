@@ -168,3 +168,12 @@ def test_locus_tags_beyond_a_million(spark):
     genes = spark.createDataFrame([("c", k, k) for k in range(1, 4)], "seqid string, g_start long, gid long")
     assert [r["locus_tag"] for r in features.number_loci(genes, first=999_999).orderBy("gid").collect()] == ["LOC_0999999", "LOC_1000000", "LOC_1000001"]
     assert [r["locus_tag"] for r in features.number_loci(genes).orderBy("gid").collect()] == ["LOC_000001", "LOC_000002", "LOC_000003"]
+
+
+def test_equal_intervals_merge_whichever_side_a_join_broadcasts(spark, monkeypatch):
+    frame = type(spark.range(1))
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, other, *how: join(self.hint("broadcast"), other, *how))
+    rows = [("c", s, e) for s, e in [(1, 10), (20, 30), (50, 60)] for _ in range(4)]
+    got = iv.merge(spark.createDataFrame(rows, "seqid string, s long, e long").repartition(3), ["seqid"], "s", "e").collect()
+    assert sorted((r["s"], r["e"], r["n_merged"]) for r in got) == [(1, 10, 4), (20, 30, 4), (50, 60, 4)]
