@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from annotspark.plans import sequences
 
@@ -34,3 +35,11 @@ def test_whole_sequences_are_translated(spark, long_seqs):
     assert cleaned[6][1] == "too_long" and cleaned[7] == ("A" * 2000, "looks_like_dna")  # more than 80 % of A, C, G and T
     inside = sequences.v07(seqs.where("seq_id IN (3, 7)")).first()
     assert (inside["proteins"], inside["with_stops"], inside["short"], inside["odd"]) == (2, 1, 1, 0)
+
+
+def test_a_filtered_protein_is_translated_once(spark):
+    seqs = spark.createDataFrame([(1, "ATGGCTTAA"), (2, None), (3, "ATGé GCTtga"), (4, "")], "k int, seq string")
+    rows = seqs.select("k", sequences.translate(F.col("seq")).alias("p")).where("length(p) >= 0")
+    assert {r["k"]: r["p"] for r in rows.collect()} == {1: "MA", 3: "MXL", 4: ""}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
