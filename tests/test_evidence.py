@@ -146,6 +146,13 @@ def test_error_taxonomy(spark):
     assert got == {"exact": (1, 1, 1), "wrong_boundaries": (1, 1, 1), "merged": (1, 1, 2), "split": (1, 2, 1), "tangled": (1, 2, 3), "extra": (1, 1, 0), "missed": (1, 0, 1)}
 
 
+def test_error_taxonomy_reads_its_inputs_once(spark):
+    cols = "gid long, seqid string, strand string, seg_start long, seg_end long"
+    pred, ref = spark.createDataFrame([(1, "c", "+", 1, 9)], cols), spark.createDataFrame([(2, "c", "+", 1, 9)], cols)
+    assert "ExistingRDD" not in outputs.error_taxonomy(pred, ref)._jdf.queryExecution().executedPlan().toString()
+
+
+
 def test_exact_tests_against_sums(spark):
     rows = [(3, 10, 0.5), (0, 20, 0.3), (17, 20, 0.4), (10, 10, 1.0), (9, 10, 1.0), (250, 400, 0.55)]
     got = [r[0] for r in spark.createDataFrame(rows, "h long, n long, p double").select(statistics.binomial_test(F.col("h"), F.col("n"), F.col("p"))).collect()]
