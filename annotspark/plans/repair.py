@@ -228,7 +228,7 @@ def v02(features, contigs):
 def clean_lines(lines: DataFrame, least: int = 0, swap: bool = True, drop_orphans: bool = False) -> DataFrame:
     """GFF3 rows with ``action``: ``kept``, ``swapped`` (bounds the wrong way round), ``raised`` (a start of 0 becomes 1),
     ``short``, ``orphan`` or ``unparseable``; the first two and the third are the cleaned rows."""
-    rows = parse_gff3(lines)
+    rows = parse_gff3(lines, ["ID", "Parent"] if drop_orphans else None)
     p = F.split("_error", "\t")
     a, b = F.get(p, F.lit(3)).try_cast("long"), F.get(p, F.lit(4)).try_cast("long")
     again = F.col("_error").isNotNull() & (F.size(p) == 9) & (a > b) & F.lit(swap)
@@ -241,9 +241,13 @@ def clean_lines(lines: DataFrame, least: int = 0, swap: bool = True, drop_orphan
     rows = rows.withColumn("action", action).drop("_s", "_z", "_error")
     if not drop_orphans:
         return rows
-    rows = rows.withColumn("_pid", first_parent(F.try_element_at("attrs", F.lit("Parent"))))
-    ids = rows.where("action IN ('kept', 'swapped', 'raised')").select(F.try_element_at("attrs", F.lit("ID")).alias("_pid"), F.lit(True).alias("_is")).where("_pid IS NOT NULL").distinct()
-    met = rows.where("_pid IS NOT NULL").join(ids, "_pid", "left").unionByName(rows.where("_pid IS NULL"), allowMissingColumns=True)
+    rows = rows.withColumn("_pid", first_parent("_Parent"))
+    # rows without a parent meet nothing, and are dealt by what they are: one look at all of them in place of two
+    rows = rows.withColumn("_key", F.struct(F.col("_pid").alias("id"), F.when(F.col("_pid").isNull(), F.xxhash64("seqid", "start", "end")).alias("rest")))
+    # no filter: pushed below the parsing, it would parse a line again at every place where it names a field
+    own = F.when(F.col("action").isin("kept", "swapped", "raised"), F.col("_ID"))
+    ids = rows.select(F.struct(own.alias("id"), F.lit(None).cast("long").alias("rest")).alias("_key")).distinct().withColumn("_is", F.lit(True))
+    met = rows.join(ids, "_key", "left").drop("_key", "_ID", "_Parent")
     lost = F.col("_pid").isNotNull() & F.col("_is").isNull() & F.col("action").isin("kept", "swapped", "raised")
     return met.withColumn("action", F.when(lost, "orphan").otherwise(F.col("action"))).drop("_pid", "_is")
 

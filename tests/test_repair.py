@@ -119,3 +119,13 @@ def test_cleaned_lines(spark):
     assert Counter(r["action"] for r in rows) == {"raised": 1, "swapped": 1, "short": 1, "unparseable": 2, "orphan": 1}
     assert {(r["start"], r["end"]) for r in rows if r["action"] in ("raised", "swapped")} == {(1, 9), (20, 90)}
     assert Counter(r["action"] for r in repair.clean_lines(spark.createDataFrame([(lines[1],)], "value string"), swap=False).collect()) == {"unparseable": 1}
+
+
+def test_cleaned_lines_are_parsed_without_filters_on_their_fields(spark):
+    row = lambda kind, a, b, attrs: "\t".join(["c", "x", kind, a, b, ".", "+", ".", attrs])
+    rows = [row("gene", "10", "20", "ID=a;ID =g"), row("mRNA", "10", "20", "Parent=g;ID=m"), row("CDS", "20", "10", "Parent=a"), row("CDS", "x", "20", "ID=lost"), row("CDS", "10", "20", "ID=c;Parent=lost"), row("exon", "0", "9", "Parent="), row("gene", "1", "9", ".")]
+    done = repair.clean_lines(spark.createDataFrame([(r,) for r in rows], "value string"), drop_orphans=True).select("type", "action", "start", "end")
+    assert sorted(tuple(r) for r in done.collect()) == sorted([("gene", "kept", 10, 20), ("mRNA", "kept", 10, 20), ("CDS", "orphan", 10, 20), ("CDS", "unparseable", None, 20), ("CDS", "orphan", 10, 20), ("exon", "orphan", 1, 9), ("gene", "kept", 1, 9)])
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not any("split(" in line or "regexp_extract" in line for line in filters)
