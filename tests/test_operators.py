@@ -177,3 +177,22 @@ def test_equal_intervals_merge_whichever_side_a_join_broadcasts(spark, monkeypat
     rows = [("c", s, e) for s, e in [(1, 10), (20, 30), (50, 60)] for _ in range(4)]
     got = iv.merge(spark.createDataFrame(rows, "seqid string, s long, e long").repartition(3), ["seqid"], "s", "e").collect()
     assert sorted((r["s"], r["e"], r["n_merged"]) for r in got) == [(1, 10, 4), (20, 30, 4), (50, 60, 4)]
+
+
+def test_models_pass_from_batch_to_batch(spark):
+    rng = random.Random(5)
+    seq = {c: "".join(rng.choice("ACGTacgtN") for _ in range(300)) for c in "ab"} | {"é": "ACGTé" * 60}
+    contigs = spark.createDataFrame(list(seq.items()), "seqid string, seq string")
+    segs = [(rng.choice("abé"), k if k else None, rng.choice(["+", "-", None]), s := rng.randint(-5, 290), s + rng.randint(0, 90)) for k in range(300) for _ in range(rng.randint(1, 9))]
+    segs += [("a", 1000, "-", 1 + k % 290, 5 + k % 290) for k in range(5000)]  # longer than a slice of a batch
+    got = formats.spliced(spark.createDataFrame(segs, "seqid string, gid int, strand string, seg_start long, seg_end long"), contigs, size=32).collect()
+    want = {}
+    for c, g, t, s, e in segs:
+        pieces = [(s, e, k, seq[c][max(s - 1, 32 * k) : min(e, 32 * k + 32)]) for k in range((max(s, 1) - 1) // 32, (e - 1) // 32 + 1) if 32 * k < len(seq[c])]
+        if pieces and e > 0:
+            want.setdefault((g, t), []).extend(pieces)
+    want = {k: "".join(x[3] for x in sorted(v)) for k, v in want.items()}
+    want = {k: v[::-1].translate(str.maketrans("ACGTacgt", "TGCAtgca")) if k[1] == "-" else v for k, v in want.items()}
+    assert len(got) == len(want) and {(r["gid"], r["strand"]): r["cds"] for r in got} == want
+    plan = formats.spliced(spark.createDataFrame(segs, "seqid string, gid int, strand string, seg_start long, seg_end long"), contigs)._jdf.queryExecution().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_list" not in plan
