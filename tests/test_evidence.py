@@ -252,3 +252,11 @@ def test_repeat_fraction_makes_no_pairs(spark):
     assert got.keys() == want.keys() and all(abs(got[g] - m / n) < 1e-12 for g, (n, m) in want.items())
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_edits_are_hashed_and_contigs_not_sorted(spark):
+    contigs = spark.createDataFrame([("a", "ACGTACGT"), ("b", "GGGG")], "seqid string, seq string")
+    found = outputs.variant_consensus(contigs, spark.createDataFrame([("a", 2, "C", "TT", 1)], "chrom string, pos long, ref string, alt string, line int"))
+    assert {tuple(r) for r in found.collect()} == {("a", "ATTGTACGT"), ("b", "GGGG")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
