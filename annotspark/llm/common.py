@@ -29,13 +29,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
 
     Spark deletes the finished plan's shuffle files once the driver's JVM has found that plan unreachable, which may take
-    until its memory is full; it is asked to look now, as disk is what runs out first in jobs of many tables.
+    until its memory is full; it is asked to look now, as disk is what runs out first in jobs of many tables.  It is asked
+    before as well, as listeners may still have held the plan of the table before this one when it was asked then.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    look = spark.sparkContext._jvm.java.lang.System.gc
+    look()
     df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.java.lang.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    look()
+    return out
 
 
 def discard(*tables: DataFrame) -> None:

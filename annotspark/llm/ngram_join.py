@@ -547,6 +547,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = regions.alias("b").join(pivots.alias("p"), "key").where("b.cls <> p.cls")
     marks = seen.where("marks IS NOT NULL").join(regions.select("cls").distinct(), "cls", "left_semi").select("cls", "n", "marks").dropDuplicates(["cls"])
     marks = written(marks, "marks")
+    # first shingles and marks aren't read from here on, and are most of the sketch
+    seen, sketched = written(seen.select("_id", "n", "cls"), "classes"), seen
+    discard(sketched)
     few = written(signatures(marks), "signatures")
     tried = stars.where(_near_enough("p", "b", percent)).select(F.col("p.cls").alias("a"), F.col("b.cls").alias("b"))
     tried = written(may_link(tried, marks, percent), "stars")

@@ -129,3 +129,15 @@ def test_marks_never_say_more_than_is_so():
 
 def test_empty(spark):
     assert nj.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_sketch_is_gone_before_pairs_are_compared(spark):
+    """First shingles and marks are most of what is on disk; of them nothing is left when later tables are written."""
+    import glob
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{base}/sketch-*"))
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "q r s t u v"), (4, None)]
+    found = nj.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(found) == brute(rows)
+    assert set(glob.glob(f"{base}/sketch-*")) == before
