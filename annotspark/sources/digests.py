@@ -1,8 +1,7 @@
 """MD5 and SHA-256 of whole files, through Spark's own readers and without a whole file in memory.
 
-A digest runs through its file in order, so one task makes it.  A file in one range is digested where it is read.  Of
-others the ranges are read by many tasks and cut into pieces of a few kilobytes, which are sorted on disk where memory
-ends; the task that digests them holds a batch of pieces at a time.
+A digest runs through its file in order, so one task makes it.  Many tasks read a file's ranges and cut them into pieces
+of a few kilobytes, which are sorted on disk where memory ends; the task that digests them holds a batch at a time.
 
 Ranges come as lines, as no reader gives bytes by their place: what stands between two line breaks is one row.
 """
@@ -15,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of a piece; an Arrow batch holds up to 10,000 of them.
-PIECE = 4096
-_PIECES = "path string, bytes long, begin long, at long, piece binary, md5 string, sha256 string"
+PIECE = 2048
+_PIECES = "path string, bytes long, begin long, at long, piece binary"
 
 
 def _steps(piece: int):
@@ -74,33 +73,23 @@ def _steps(piece: int):
         return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], kind) for n, kind in schema], names=[n for n, _ in schema])
 
     def cut(batches: Iterator) -> Iterator:
-        """Ranges as (place, piece); files in one range as digests."""
+        """Ranges as pieces: where a piece's range begins in its file, and where the piece begins in the range."""
         import pyarrow as pa
 
-        text, number = pa.string(), pa.int64()
-        schema = [("path", text), ("bytes", number), ("begin", number), ("at", number), ("piece", pa.binary()), ("md5", text), ("sha256", text)]
-        whole, now, at = None, None, 0
+        schema = [("path", pa.string()), ("bytes", pa.int64()), ("begin", pa.int64()), ("at", pa.int64()), ("piece", pa.binary())]
+        now, at = None, 0
         for batch in batches:
             for row, values in runs(batch, ["path", "begin"]):
+                if row != now:
+                    now, at = row, 0
                 data = joined(values)
-                if (row["path"], row["begin"]) != now:
-                    if whole:
-                        yield table([whole.done()], schema)
-                    now, at = (row["path"], row["begin"]), 0
-                    whole = Running(row) if row["length"] == row["bytes"] else None
-                if whole:
-                    whole.take(data)
-                    continue
-                own = {k: row[k] for k in ("path", "bytes", "begin")}
                 for k in range(0, len(data), 1024 * piece):
                     part = data[k : k + 1024 * piece]
-                    yield table([own | {"at": at + j, "piece": part[j : j + piece].tobytes()} for j in range(0, len(part), piece)], schema)
+                    yield table([row | {"at": at + j, "piece": part[j : j + piece].tobytes()} for j in range(0, len(part), piece)], schema)
                     at += len(part)
-        if whole:
-            yield table([whole.done()], schema)
 
     def digest(batches: Iterator) -> Iterator:
-        """(path, bytes, md5, sha256) of pieces in order, and of what is digested already."""
+        """(path, bytes, md5, sha256) of the files whose pieces come in order."""
         import pyarrow as pa
 
         schema = [("path", pa.string()), ("bytes", pa.int64()), ("md5", pa.string()), ("sha256", pa.string())]
@@ -110,9 +99,6 @@ def _steps(piece: int):
                 if one and row["path"] != one.row["path"]:
                     yield table([one.done()], schema)
                     one = None
-                if row["md5"] is not None:
-                    yield table([row], schema)
-                    continue
                 one = one or Running(row)
                 one.take(joined(values))
         if one:
@@ -125,7 +111,7 @@ def digests(spark: SparkSession, paths: list[str], piece: int = PIECE) -> DataFr
     """(path, name, bytes, md5, sha256) of the Parquet files at or below ``paths``; files without a byte give no row."""
     cut, digest = _steps(piece)
     read = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").text(paths)
-    about = {"path": "file_path", "bytes": "file_size", "begin": "file_block_start", "length": "file_block_length"}
+    about = {"path": "file_path", "bytes": "file_size", "begin": "file_block_start"}
     ranges = read.select(*[F.col(f"_metadata.{c}").alias(n) for n, c in about.items()], F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("piece"))
     pieces = ranges.mapInArrow(cut, _PIECES).repartition("path").sortWithinPartitions("path", "begin", "at")
     files = pieces.mapInArrow(digest, "path string, bytes long, md5 string, sha256 string")
