@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annotspark.llm.common import text_or_empty, written
-from annotspark.llm.tokens import word_encoder
+from annotspark.llm.tokens import slices, word_encoder
 
 #: Pieces in a group of the first pass; a group of the second pass takes the leftovers of as many groups as COARSER says.
 GROUP_PIECES = 2048
 COARSER = 16
+#: Entries of the encoder's memo, which a task of the pipeline holds beside what earlier stages left in its executor.
+MEMO_ENTRIES = 200_000
 
 
 class OpenBins:
@@ -84,8 +86,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc, end = word_encoder(tokenizer), end_id.to_bytes(4, "little")
-        for batch in batches:
+        enc, end = word_encoder(tokenizer, MEMO_ENTRIES), end_id.to_bytes(4, "little")
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             which, piece, start, length, crc = [], [], [], [], []
             offsets, ids = enc.encode(batch.column(1))
             raw, offsets = ids.astype("<u4").tobytes(), offsets.tolist()

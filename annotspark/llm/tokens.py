@@ -16,11 +16,23 @@ import numpy as np
 
 #: Entries after which a worker's memo is emptied; bounds memory, never results.
 MEMO_ENTRIES = 500_000
+#: Bytes of text that are encoded at a time where :func:`slices` is used; the encoder's arrays are some twenty times that.
+SLICE_BYTES = 4 << 20
 #: Unicode white space by name, as the patterns' ``\s`` means it; RE2's ``\s`` is ASCII without ``\v``.
 _SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 ODD_SPACE = rf" {_SPACE}|{_SPACE} |^{_SPACE}|{_SPACE}$"
 
 
+def slices(batch, column: int, size: int = SLICE_BYTES):
+    """A batch in slices of about ``size`` bytes in one of its columns, and of a row at least."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    bounds = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), len(batch)]
+    for a, b in zip(bounds, bounds[1:]):
+        yield batch.slice(a, b - a)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -30,8 +42,9 @@ def tokenizer_path(name: str) -> str:
 class ChunkEncoder:
     """Encodes Arrow columns of text; subclasses say what the ids of a chunk are."""
 
-    def __init__(self):
+    def __init__(self, entries: int | None = None):
         self.memo: dict[str, bytes] = {}
+        self.entries = entries or MEMO_ENTRIES
 
     def new_chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk, as little-endian unsigned 32-bit integers.
@@ -43,7 +56,7 @@ class ChunkEncoder:
     def _known(self, chunks: list[str]) -> list[bytes]:
         memo = self.memo
         new = [c for c in chunks if c not in memo]
-        if len(memo) + len(new) > MEMO_ENTRIES:
+        if len(memo) + len(new) > self.entries:
             memo.clear()
             new = chunks
         memo.update(zip(new, self.new_chunks(new)))
@@ -104,8 +117,8 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder(ChunkEncoder):
     """Ids by a ``tokenizers`` file that lower-cases words and drops white space."""
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, entries: int | None = None):
+        super().__init__(entries)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -120,7 +133,7 @@ class WordEncoder(ChunkEncoder):
 
     def new_chunks(self, chunks: list[str]) -> list[bytes]:
         out, words = [], self.words
-        if len(words) > MEMO_ENTRIES:
+        if len(words) > self.entries:
             words.clear()
         for chunk in chunks:
             part = chunk[1:] if chunk.startswith(" ") else chunk
@@ -144,5 +157,5 @@ class WordEncoder(ChunkEncoder):
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, entries: int | None = None) -> WordEncoder:
+    return WordEncoder(path, entries)
